@@ -63,6 +63,25 @@ def _argmax_sentiment(counts: list[tuple[Column, str]]) -> Column:
     return F.greatest(*keys).getField("s") if len(keys) > 1 else keys[0].getField("s")
 
 
+def sentiment_profile(posts: DataFrame, sentiments: tuple[str, ...] = SENTIMENTS) -> DataFrame:
+    """``(id, degree, <one count column per sentiment>)`` per tag, one aggregate.
+
+    Additive: profiles of disjoint post sets sum to the profile of their
+    union (the streaming graph keeps per-batch profiles).
+    """
+    occ = tag_occurrences(posts, "sentiment")
+    return occ.groupBy(F.col("tag").alias("id")).agg(
+        F.count(F.lit(1)).alias("degree"),
+        *[F.count_if(F.col("sentiment") == F.lit(s)).alias(s) for s in sentiments])
+
+
+def vertices_from_profile(profile: DataFrame, sentiments: tuple[str, ...] = SENTIMENTS) -> DataFrame:
+    """``(id, degree, dominant_sentiment)`` from a (summed) sentiment profile."""
+    named = [(F.col(s), s) for s in sentiments]
+    return profile.select("id", F.col("degree").cast("long").alias("degree"),
+                          _argmax_sentiment(named).alias("dominant_sentiment"))
+
+
 def vertices(posts: DataFrame, sentiments: tuple[str, ...] | None = SENTIMENTS) -> DataFrame:
     """``(id, degree, dominant_sentiment)`` per tag.
 
@@ -76,12 +95,7 @@ def vertices(posts: DataFrame, sentiments: tuple[str, ...] | None = SENTIMENTS)
     """
     if sentiments is None:
         return _vertices_general(posts)
-    occ = tag_occurrences(posts, "sentiment")
-    named = [(F.col(f"_n{i}"), s) for i, s in enumerate(sentiments)]
-    agg = occ.groupBy(F.col("tag").alias("id")).agg(
-        F.count(F.lit(1)).alias("degree"),
-        *[F.count_if(F.col("sentiment") == F.lit(s)).alias(f"_n{i}") for i, s in enumerate(sentiments)])
-    return agg.select("id", "degree", _argmax_sentiment(named).alias("dominant_sentiment"))
+    return vertices_from_profile(sentiment_profile(posts, sentiments), sentiments)
 
 
 def _vertices_general(posts: DataFrame) -> DataFrame:

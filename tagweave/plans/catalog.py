@@ -18,8 +18,16 @@ from ..functions.dates import constant_created_at, strip_zone
 from ..functions.labels import sentiment_from_text
 from ..functions.text import distinct_hashtags, has_hash, hashtags, shrink, tokens
 from ..operators import centrality, graph, sentiment, views
+from ..operators.model import train_sentiment_model
+from ..operators.tokens import token_spans
+from ..session import scratch_path
+from ..sinks.graph import write_chunks, write_graph
 from ..sources.fixtures import raw_view, read_table, scored_view
+from ..sources.graph_files import read_graph
 from ..sources.posts import hash_sample, normalize_posts
+from ..streaming.files import start_stream
+from ..streaming.live_graph import live_edges, live_vertices, start_graph_stream
+from ..streaming.wire import to_wire
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -216,6 +224,63 @@ def q_turn_top_subgraph_edges(spark, sf_dir):
     return views.top_subgraph_edges(*_graph(spark, sf_dir, "turn_posts"), top_n=TOP_N)
 
 
+def q_graph_roundtrip_edges(spark, sf_dir):
+    v, e = _graph(spark, sf_dir, "posts")
+    out = scratch_path(spark, "graph")
+    write_graph(v, e, out, "parquet")
+    return read_graph(spark, out, "parquet")[1]
+
+
+def q_token_spans(spark, sf_dir):
+    return token_spans(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def q_sentiment_model(spark, sf_dir):
+    """Train on labelled documents (quality 0/1 as negative/positive), score all of them."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select(
+        "doc_id", F.when(F.col("quality") == 1, "positive").otherwise("negative").alias("sentiment"))
+    model = train_sentiment_model(docs.join(labels, "doc_id"))
+    return model.transform(docs).select("doc_id", "sentiment")
+
+
+def q_to_wire(spark, sf_dir):
+    return to_wire(raw_view(spark, sf_dir, "posts"))
+
+
+def _wire_files(spark, sf_dir, name):
+    base = scratch_path(spark, name)
+    write_chunks(to_wire(raw_view(spark, sf_dir, "posts")), f"{base}/in", chunk_size=1000)
+    return base
+
+
+def q_stream_posts(spark, sf_dir):
+    """``availableNow`` file stream over the wire chunks of the posts view."""
+    base = _wire_files(spark, sf_dir, "stream-posts")
+    q = start_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt",
+                     trigger="available_now", max_files_per_trigger=4)
+    q.awaitTermination()
+    out = spark.read.schema("id string, text string, hashtags array<string>, sentiment string, "
+                            "processing_time timestamp").json(f"{base}/out")
+    return out.select("id", "text", F.array_join("hashtags", " ").alias("hashtags"), "sentiment")
+
+
+def _stream_graph(spark, sf_dir):
+    base = _wire_files(spark, sf_dir, "stream-graph")
+    q = start_graph_stream(spark, f"{base}/in", f"{base}/state", f"{base}/ckpt",
+                           trigger="available_now", max_files_per_trigger=4)
+    q.awaitTermination()
+    return f"{base}/state"
+
+
+def q_stream_graph_vertices(spark, sf_dir):
+    return live_vertices(spark, _stream_graph(spark, sf_dir))
+
+
+def q_stream_graph_edges(spark, sf_dir):
+    return live_edges(spark, _stream_graph(spark, sf_dir))
+
+
 def q_doc_graph_summary(spark, sf_dir):
     return graph.graph_summary(*_graph(spark, sf_dir, "doc_posts"))
 
@@ -265,6 +330,14 @@ QUERIES: dict[str, Query] = {
     "turn_top_subgraph_edges": q_turn_top_subgraph_edges,
     "turn_degree_centrality": _centrality("turn_posts"),
     "turn_pagerank_5": _pagerank("turn_posts"),
+    "graph_roundtrip_edges": q_graph_roundtrip_edges,
+    "token_spans": q_token_spans,
+    "sentiment_model": q_sentiment_model,
+    "to_wire": q_to_wire,
+    "stream_posts": q_stream_posts,
+    "stream_graph_vertices": q_stream_graph_vertices,
+    "stream_graph_edges": q_stream_graph_edges,
+    # whole documents, every word a tag: the heaviest queries, kept last
     "doc_graph_summary": q_doc_graph_summary,
     "doc_top_vertices": q_doc_top_vertices,
 }

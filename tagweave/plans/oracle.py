@@ -10,6 +10,7 @@ PageRank from unrolled iterations.
 from __future__ import annotations
 
 from ..functions.text import SPACE_RUN_PATTERN, TAG_PATTERN, TOKEN_PATTERN
+from ..operators.tokens import PIECE_PATTERN
 from ..sources.fixtures import ORACLE_RAW, oracle_scored
 
 TOP_N = 20
@@ -105,6 +106,34 @@ def _top_vertices(view: str) -> str:
     return _with(f"SELECT * FROM vertices ORDER BY degree DESC, id LIMIT {TOP_N}", view, VERTICES)
 
 
+# posts as they travel on the wire: distinct sorted tags, tagged posts only
+DISTINCT = """
+sd AS (SELECT id, text, list_sort(list_distinct(hashtags)) AS hashtags, sentiment, date
+       FROM sp WHERE len(hashtags) > 0)"""
+
+
+def _on_wire(cte: str) -> str:
+    return cte.replace("FROM sp)", "FROM sd)")
+
+
+def _strip_zone(c: str) -> str:
+    t = f"regexp_extract_all({c}, '\\S+')"
+    return (f"CASE WHEN len({t}) > 0 THEN array_to_string({t}[1:greatest(len({t}) - 2, 0)], ' ')"
+            f" || ' ' || {t}[len({t})] END")
+
+
+TOKEN_SPANS = f"""
+WITH p AS (SELECT doc_id, pieces[k] AS piece, k
+           FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{PIECE_PATTERN.replace("'", "''")}', 0)
+                 AS pieces FROM documents) d, range(1, len(pieces) + 1) g(k)),
+s AS (SELECT doc_id, k, piece,
+             CASE WHEN regexp_full_match(piece, '{SPACE_RUN_PATTERN}') THEN 0 ELSE 1 END AS tok,
+             coalesce(sum(length(piece)) OVER w, 0) AS "begin",
+             coalesce(sum(CASE WHEN regexp_full_match(piece, '{SPACE_RUN_PATTERN}') THEN 0 ELSE 1 END)
+                      OVER w, 0) AS pos
+      FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT doc_id AS id, pos, "begin", "begin" + length(piece) - 1 AS "end", piece AS token FROM s WHERE tok = 1"""
+
 ORACLE: dict[str, str] = {
     "load_parquet_normalized": _with("""
 SELECT id, text, array_to_string(hashtags, ' ') AS hashtags,
@@ -181,6 +210,15 @@ FROM (SELECT * FROM vertices ORDER BY degree DESC, id LIMIT {TOP_N}) t""", "post
     "turn_top_subgraph_edges": _top_subgraph_edges("turn_posts"),
     "turn_degree_centrality": _centrality("turn_posts"),
     "turn_pagerank_5": _pagerank("turn_posts"),
+    "graph_roundtrip_edges": _with("SELECT * FROM edges", "posts", EDGES),
+    "token_spans": TOKEN_SPANS,
+    "to_wire": _with(f"""
+SELECT id, text, CAST(to_json(hashtags) AS VARCHAR) AS hashtags, {_strip_zone('date')} AS created_at,
+       sentiment FROM sd""", "posts", DISTINCT),
+    "stream_posts": _with("SELECT id, text, array_to_string(hashtags, ' ') AS hashtags, sentiment FROM sd",
+                          "posts", DISTINCT),
+    "stream_graph_vertices": _with("SELECT * FROM vertices", "posts", DISTINCT, _on_wire(VERTICES)),
+    "stream_graph_edges": _with("SELECT * FROM edges", "posts", DISTINCT, _on_wire(EDGES)),
     "doc_graph_summary": _graph_sql("doc_posts", SUMMARY),
     "doc_top_vertices": _top_vertices("doc_posts"),
 }
