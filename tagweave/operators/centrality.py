@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize as write_table
 
 
 def _undirected(e: DataFrame) -> DataFrame:
@@ -40,51 +40,67 @@ def degree_centrality(v: DataFrame, e: DataFrame) -> DataFrame:
         F.try_divide(F.col("neighbor_degree").cast("double"), (n_vertices - 1).cast("double")))
 
 
+def _hash_keys_are_unique(v: DataFrame) -> bool:
+    """True when ``xxhash64`` is collision-free over the vertex ids (one small job)."""
+    row = v.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.xxhash64("id")).alias("h")).first()
+    return row["n"] == row["h"]
+
+
 def pagerank(v: DataFrame, e: DataFrame, max_iter: int = 20, tol: float | None = 0.01,
              reset: float = 0.15, checkpoint_every: int | None = 5,
-             num_partitions: int | None = None) -> DataFrame:
+             num_partitions: int | None = None, materialize: bool = True) -> DataFrame:
     """``(id, rank)``: PageRank with reset probability ``reset``.
 
     Ranks start at 1.0 and follow ``rank(v) = reset + (1 - reset) * sum(rank(u) / deg(u))``
     over neighbours u (unweighted, undirected, no self-loops); a vertex
-    without neighbours settles at ``reset``. Runs ``max_iter`` iterations, or
-    stops earlier when ``tol`` is given and no rank moved more than ``tol``
-    (one scalar action per iteration).
+    without neighbours settles at ``reset`` after the first iteration. Edge
+    ends must be vertices. Runs ``max_iter`` iterations, or stops earlier
+    when ``tol`` is given and no rank moved more than ``tol`` (one scalar
+    action per iteration).
 
-    The adjacency list is hash-partitioned by source once and kept that way,
-    so an iteration shuffles only the rank vector and the contributions.
-    Every ``checkpoint_every`` iterations the ranks are checkpointed to the
-    shared checkpoint directory, which cuts the lineage (reliable checkpoint,
-    it survives executor loss). With ``checkpoint_every=None`` and no ``tol``
-    the result stays one lazy plan.
+    Plan (``materialize=True``): vertices are keyed by ``xxhash64(id)`` when one
+    small job shows the hashes collision-free (else by the string id), so
+    the loop joins and sums fixed-width keys. The adjacency list
+    ``(src, dst)`` is written once as a Parquet table bucketed by
+    source in the shared checkpoint directory (survives executor loss,
+    columnar re-reads, no re-shuffle of the adjacency when the rank vector is
+    too large to broadcast). The loop runs over vertices with neighbours
+    only -- each of them receives a contribution every iteration -- so an
+    iteration is one join of the adjacency with the rank shares
+    ``rank / deg`` (a vertex-sized vector) and one aggregate; isolated vertices are joined
+    back once at the end. Every ``checkpoint_every`` iterations the rank
+    vector is written out too, which keeps the lineage short.
+    ``materialize=False`` keeps everything one lazy plan on string keys.
     """
     spark = v.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = v.select("id")
-    adj = _undirected(e).select(F.col("id").alias("src"), F.col("nbr").alias("dst"))
-    deg = adj.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
-    adj = (adj.join(deg, "src")
-           .select("src", "dst", (F.lit(1.0) / F.col("_deg")).alias("_inv"))
-           .repartition(parts, "src"))
-    materialize = checkpoint_every is not None or tol is not None
+    use_hash = materialize and _hash_keys_are_unique(v)
+    key = (lambda c: F.xxhash64(c)) if use_hash else (lambda c: F.col(c))
+    adj = _undirected(e).select(key("id").alias("src"), key("nbr").alias("dst"))
+    if materialize:
+        adj = write_table(adj, "pagerank-adjacency", bucket_by="src", buckets=parts)
+    # out-degree lives with the (small) rank vector, not on every adjacency row
+    deg = adj.groupBy(F.col("src").alias("_k")).agg(F.count(F.lit(1)).alias("_deg"))
     if materialize:
-        ensure_checkpoint_dir(spark)
-        adj = adj.checkpoint(eager=True)
-    ranks = ids.select("id", F.lit(1.0).alias("rank"))
+        deg = write_table(deg, "pagerank-degree")
+    ranks = deg.select("_k", F.lit(1.0).alias("rank"))
+    done = 0
     for it in range(int(max_iter)):
-        contrib = (adj.join(ranks, adj["src"] == ranks["id"])
-                   .select(F.col("dst").alias("id"), (F.col("rank") * F.col("_inv")).alias("_c"))
-                   .groupBy("id").agg(F.sum("_c").alias("_s")))
-        new = ids.join(contrib, "id", "left").select(
-            "id", (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce("_s", F.lit(0.0))).alias("rank"))
-        if checkpoint_every and (it + 1) % checkpoint_every == 0:
-            new = new.checkpoint(eager=True)
+        share = ranks.join(deg, "_k").select(F.col("_k").alias("_u"), (F.col("rank") / F.col("_deg")).alias("_c"))
+        new = (adj.join(share, adj["src"] == share["_u"])
+               .groupBy(F.col("dst").alias("_k"))
+               .agg((F.lit(reset) + F.lit(1.0 - reset) * F.sum("_c")).alias("rank")))
+        if materialize and checkpoint_every and (it + 1) % checkpoint_every == 0 and it + 1 < max_iter:
+            new = write_table(new, "pagerank-ranks")
+        done = it + 1
         if tol is not None:
-            delta = (new.alias("n").join(ranks.alias("o"), "id")
+            delta = (new.alias("n").join(ranks.alias("o"), "_k")
                      .agg(F.max(F.abs(F.col("n.rank") - F.col("o.rank"))).alias("d")).first()["d"])
             ranks = new
             if delta is None or delta < tol:
                 break
         else:
             ranks = new
-    return ranks
+    lone = F.lit(reset if done > 0 else 1.0)
+    return (v.select("id", key("id").alias("_k")).join(ranks, "_k", "left")
+            .select("id", F.coalesce(F.col("rank"), lone).alias("rank")))
