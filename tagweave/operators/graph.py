@@ -110,9 +110,14 @@ def dominant_sentiment(posts: DataFrame, sentiments: tuple[str, ...] | None = SE
     return vertices(posts, sentiments).select("id", "dominant_sentiment")
 
 
-def _array_pairs(posts: DataFrame, *extra: str) -> DataFrame:
+def _sorted(posts: DataFrame, presorted: bool, *extra: str) -> DataFrame:
+    tags = F.col("hashtags") if presorted else F.array_sort("hashtags")
+    return posts.select(tags.alias("_s"), *extra)
+
+
+def _array_pairs(posts: DataFrame, *extra: str, presorted: bool = False) -> DataFrame:
     """Row-local pairs: ``combinations(sorted(tags), 2)``, weight 1 per occurrence."""
-    s = posts.select(F.array_sort("hashtags").alias("_s"), *extra)
+    s = _sorted(posts, presorted, *extra)
     sorted_tags = F.col("_s")
     pairs = F.flatten(F.transform(
         sorted_tags,
@@ -123,7 +128,8 @@ def _array_pairs(posts: DataFrame, *extra: str) -> DataFrame:
                     F.lit(1).cast("long").alias("weight"), *extra))
 
 
-def _block_pairs(posts: DataFrame, block: int = SALT_BLOCK, partitions: int | None = None) -> DataFrame:
+def _block_pairs(posts: DataFrame, block: int = SALT_BLOCK, partitions: int | None = None,
+                 presorted: bool = False) -> DataFrame:
     """Pairs of long posts over distinct tags with multiplicities, split into blocks.
 
     Row-local and join-free: the sorted tag array gives its distinct tags ``d``
@@ -136,7 +142,7 @@ def _block_pairs(posts: DataFrame, block: int = SALT_BLOCK, partitions: int | No
     """
     spark = posts.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = posts.select(F.array_sort("hashtags").alias("_s"))
+    s = _sorted(posts, presorted)
     srt = F.col("_s")
     k = F.size(srt)
     starts = F.filter(F.sequence(F.lit(0), k - 1),
@@ -167,25 +173,27 @@ def _block_pairs(posts: DataFrame, block: int = SALT_BLOCK, partitions: int | No
 
 
 def post_pairs(posts: DataFrame, method: str = "auto", array_pair_limit: int = ARRAY_PAIR_LIMIT,
-               salt_block: int = SALT_BLOCK) -> DataFrame:
+               salt_block: int = SALT_BLOCK, presorted: bool = False) -> DataFrame:
     """Weighted pair rows ``(src, dst, weight)``; their sum per pair is the edge weight.
 
     ``method``: ``array`` (row-local, one row per pair occurrence), ``blocks``
     (distinct tags with multiplicities, one row per post and distinct pair,
     hot posts split over tasks) or ``auto`` (array for posts with at most
     ``array_pair_limit`` tags, blocks for longer ones). Posts with fewer
-    than two tags contribute nothing.
+    than two tags contribute nothing. ``presorted``: ``hashtags`` is already
+    in the order that defines ``src <= dst`` (equal tags adjacent); its
+    elements may be of any orderable type.
     """
     tagged = posts.select("hashtags")
     if method == "array":
-        return _array_pairs(tagged)
+        return _array_pairs(tagged, presorted=presorted)
     if method == "blocks":
-        return _block_pairs(tagged.where(F.size("hashtags") >= 2), salt_block)
+        return _block_pairs(tagged.where(F.size("hashtags") >= 2), salt_block, presorted=presorted)
     if method != "auto":
         raise ValueError(f"Unknown pair method: {method}")
     k = F.size("hashtags")
-    return _array_pairs(tagged.where(k <= array_pair_limit)).unionByName(
-        _block_pairs(tagged.where(k > array_pair_limit), salt_block))
+    return _array_pairs(tagged.where(k <= array_pair_limit), presorted=presorted).unionByName(
+        _block_pairs(tagged.where(k > array_pair_limit), salt_block, presorted=presorted))
 
 
 def pair_occurrences(posts: DataFrame) -> DataFrame:
@@ -198,11 +206,44 @@ def pair_occurrences(posts: DataFrame) -> DataFrame:
     return _array_pairs(tagged, "sentiment").select("src", "dst", "sentiment")
 
 
+def tag_keys(posts: DataFrame) -> DataFrame:
+    """``(tag, key)``: the distinct tags with their 64-bit key ``xxhash64(tag)``."""
+    return tag_occurrences(posts).select("tag").distinct().select("tag", F.xxhash64("tag").alias("key"))
+
+
+def keys_are_unique(posts: DataFrame) -> bool:
+    """True when no two distinct tags of ``posts`` share a key (one job over the distinct tags)."""
+    row = tag_keys(posts).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("key").alias("k")).first()
+    return row["n"] == row["k"]
+
+
 def edges(posts: DataFrame, method: str = "auto", array_pair_limit: int = ARRAY_PAIR_LIMIT,
-          salt_block: int = SALT_BLOCK) -> DataFrame:
-    """``(src, dst, weight)`` with ``src <= dst``: pair occurrences per tag pair."""
-    return (post_pairs(posts, method, array_pair_limit, salt_block)
-            .groupBy("src", "dst").agg(F.sum("weight").cast("long").alias("weight")))
+          salt_block: int = SALT_BLOCK, keys: str = "auto") -> DataFrame:
+    """``(src, dst, weight)`` with ``src <= dst``: pair occurrences per tag pair.
+
+    ``keys``: ``string`` aggregates on the tag strings. ``hash`` sorts each
+    post's tags as strings, encodes them as ``xxhash64`` longs, makes and sums
+    the pairs on fixed-width keys (about half the cost of string keys) and
+    joins the strings back from the distinct-tag dictionary (broadcast when
+    adaptive execution measures it small). The hash plan is exact only when
+    the tags' keys are distinct, so ``auto`` (default) first checks that
+    with one small job and uses ``string`` otherwise.
+    """
+    if keys == "auto":
+        keys = "hash" if keys_are_unique(posts) else "string"
+    if keys == "string":
+        return (post_pairs(posts, method, array_pair_limit, salt_block)
+                .groupBy("src", "dst").agg(F.sum("weight").cast("long").alias("weight")))
+    if keys != "hash":
+        raise ValueError(f"Unknown key mode: {keys}")
+    encoded = posts.select(F.transform(F.array_sort("hashtags"), lambda x: F.xxhash64(x)).alias("hashtags"))
+    summed = (post_pairs(encoded, method, array_pair_limit, salt_block, presorted=True)
+              .groupBy(F.col("src").alias("_hs"), F.col("dst").alias("_hd"))
+              .agg(F.sum("weight").cast("long").alias("weight")))
+    dictionary = tag_keys(posts)
+    src = dictionary.select(F.col("key").alias("_hs"), F.col("tag").alias("src"))
+    dst = dictionary.select(F.col("key").alias("_hd"), F.col("tag").alias("dst"))
+    return summed.join(src, "_hs").join(dst, "_hd").select("src", "dst", "weight")
 
 
 def graph_summary(v: DataFrame, e: DataFrame) -> DataFrame:
