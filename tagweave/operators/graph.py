@@ -29,6 +29,12 @@ from ..schema import SENTIMENTS
 # block plan; each block of such a post owns this many distinct left tags.
 ARRAY_PAIR_LIMIT = 64
 SALT_BLOCK = 256
+# Hash-keyed edges: only for vocabularies of at least this many tags, and
+# only when the dictionary (tag bytes + per-row overhead) fits this bound,
+# which is what makes broadcasting it safe.
+HASH_MIN_TAGS = 1024
+DICT_BROADCAST_BYTES = 64 << 20
+DICT_ROW_OVERHEAD = 32
 
 
 def tag_occurrences(posts: DataFrame, *extra: str) -> DataFrame:
@@ -211,38 +217,60 @@ def tag_keys(posts: DataFrame) -> DataFrame:
     return tag_occurrences(posts).select("tag").distinct().select("tag", F.xxhash64("tag").alias("key"))
 
 
+def key_stats(posts: DataFrame) -> dict:
+    """One job over the distinct tags: their number, the number of distinct keys, total bytes."""
+    row = tag_keys(posts).agg(
+        F.count(F.lit(1)).alias("tags"), F.count_distinct("key").alias("keys"),
+        F.coalesce(F.sum(F.octet_length("tag") + F.lit(DICT_ROW_OVERHEAD)), F.lit(0)).alias("bytes")).first()
+    return row.asDict()
+
+
 def keys_are_unique(posts: DataFrame) -> bool:
-    """True when no two distinct tags of ``posts`` share a key (one job over the distinct tags)."""
-    row = tag_keys(posts).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("key").alias("k")).first()
-    return row["n"] == row["k"]
+    """True when no two distinct tags of ``posts`` share a key."""
+    st = key_stats(posts)
+    return st["tags"] == st["keys"]
+
+
+def _hash_plan_ok(st: dict) -> bool:
+    return (st["tags"] == st["keys"] and st["tags"] >= HASH_MIN_TAGS
+            and st["bytes"] <= DICT_BROADCAST_BYTES)
 
 
 def edges(posts: DataFrame, method: str = "auto", array_pair_limit: int = ARRAY_PAIR_LIMIT,
           salt_block: int = SALT_BLOCK, keys: str = "auto") -> DataFrame:
     """``(src, dst, weight)`` with ``src <= dst``: pair occurrences per tag pair.
 
-    ``keys``: ``string`` aggregates on the tag strings. ``hash`` sorts each
-    post's tags as strings, encodes them as ``xxhash64`` longs, makes and sums
-    the pairs on fixed-width keys (about half the cost of string keys) and
-    joins the strings back from the distinct-tag dictionary (broadcast when
-    adaptive execution measures it small). The hash plan is exact only when
-    the tags' keys are distinct, so ``auto`` (default) first checks that
-    with one small job and uses ``string`` otherwise.
+    ``keys``:
+
+    * ``string`` -- pairs are made and summed on the tag strings: one pass
+      over the posts, one shuffle. Right for any vocabulary.
+    * ``hash`` -- each post's tags are sorted as strings and encoded as
+      ``xxhash64`` longs; pairs are made and summed on fixed-width keys
+      (about half the cost per pair) and the strings are joined back from
+      the distinct-tag dictionary, which is broadcast. Used only when one
+      small job over the distinct tags proves the keys collision-free (so the
+      result is exact) and the dictionary at most ``DICT_BROADCAST_BYTES``;
+      otherwise ``string`` runs.
+    * ``auto`` (default) -- ``hash`` when, in addition, the vocabulary holds
+      at least ``HASH_MIN_TAGS`` tags (a small vocabulary has few distinct
+      pairs, and the dictionary pass would cost more than it saves).
     """
-    if keys == "auto":
-        keys = "hash" if keys_are_unique(posts) else "string"
+    if keys not in ("auto", "hash", "string"):
+        raise ValueError(f"Unknown key mode: {keys}")
+    if keys != "string":
+        st = key_stats(posts)
+        exact_and_bounded = st["tags"] == st["keys"] and st["bytes"] <= DICT_BROADCAST_BYTES
+        keys = "hash" if (_hash_plan_ok(st) if keys == "auto" else exact_and_bounded) else "string"
     if keys == "string":
         return (post_pairs(posts, method, array_pair_limit, salt_block)
                 .groupBy("src", "dst").agg(F.sum("weight").cast("long").alias("weight")))
-    if keys != "hash":
-        raise ValueError(f"Unknown key mode: {keys}")
     encoded = posts.select(F.transform(F.array_sort("hashtags"), lambda x: F.xxhash64(x)).alias("hashtags"))
     summed = (post_pairs(encoded, method, array_pair_limit, salt_block, presorted=True)
               .groupBy(F.col("src").alias("_hs"), F.col("dst").alias("_hd"))
               .agg(F.sum("weight").cast("long").alias("weight")))
     dictionary = tag_keys(posts)
-    src = dictionary.select(F.col("key").alias("_hs"), F.col("tag").alias("src"))
-    dst = dictionary.select(F.col("key").alias("_hd"), F.col("tag").alias("dst"))
+    src = F.broadcast(dictionary.select(F.col("key").alias("_hs"), F.col("tag").alias("src")))
+    dst = F.broadcast(dictionary.select(F.col("key").alias("_hd"), F.col("tag").alias("dst")))
     return summed.join(src, "_hs").join(dst, "_hd").select("src", "dst", "weight")
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.graph import edges as edges_of
@@ -30,6 +30,7 @@ class BatchResult:
     tagged_path: str
     top_json: tuple[str, str] | None
     sentiment: DataFrame
+    counts: dict
 
 
 def tagged_posts(posts: DataFrame) -> DataFrame:
@@ -44,8 +45,13 @@ def run_batch(spark: SparkSession, data_path: str, data_format: str, out_dir: st
     posts = load_posts(spark, data_path, data_format, sample_fraction=sample_fraction,
                        max_rows=max_rows, **load_options)
     scored = with_sentiment(posts, sentiment_mode, model)
+    # row counts ride along with the one scan (DataFrame.observe), no extra count job
+    loaded = Observation("loaded")
+    scored_obs = scored.observe(loaded, F.count(F.lit(1)).alias("posts"),
+                                F.count_if(F.col("has_hashtags")).alias("posts_with_hash"),
+                                F.count_if(F.size("hashtags") > 0).alias("posts_with_tags"))
     tagged_path = scratch_path(spark, "tagged-posts")
-    tagged_posts(scored).write.mode("overwrite").parquet(tagged_path)
+    tagged_posts(scored_obs).write.mode("overwrite").parquet(tagged_path)
     tagged = spark.read.parquet(tagged_path)
     v, e = vertices_of(tagged), edges_of(tagged)
     vpath, epath = write_graph(v, e, out_dir, out_format)
@@ -53,4 +59,4 @@ def run_batch(spark: SparkSession, data_path: str, data_format: str, out_dir: st
     if top_n:
         sv, se = spark.read.format(out_format).load(vpath), spark.read.format(out_format).load(epath)
         top = export_top_json(sv, se, out_dir, top_n)
-    return BatchResult(vpath, epath, tagged_path, top, sentiment_distribution(scored))
+    return BatchResult(vpath, epath, tagged_path, top, sentiment_distribution(scored), dict(loaded.get))

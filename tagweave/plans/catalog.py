@@ -20,7 +20,8 @@ from ..functions.text import distinct_hashtags, has_hash, hashtags, shrink, toke
 from ..operators import centrality, graph, sentiment, views
 from ..operators.model import train_sentiment_model
 from ..operators.tokens import token_spans
-from ..session import scratch_path
+from ..session import materialize, scratch_path
+from .batch import tagged_posts
 from ..sinks.graph import write_chunks, write_graph
 from ..sources.fixtures import raw_view, read_table, scored_view
 from ..sources.graph_files import read_graph
@@ -41,8 +42,18 @@ def _epoch(c) -> F.Column:
     return F.unix_timestamp(c).cast("long")
 
 
+def _tagged(spark, sf_dir, view):
+    """The slim tagged-post table of a view, written once to the shared checkpoint dir.
+
+    As in the batch job: the text is parsed once, and every graph operator
+    (vertices, both pair plans, the key check, the tag dictionary) reads the
+    small ``(sentiment, hashtags)`` table instead of re-parsing.
+    """
+    return materialize(tagged_posts(scored_view(spark, sf_dir, view)), f"tagged-{view}")
+
+
 def _graph(spark, sf_dir, view="posts", method="auto"):
-    posts = scored_view(spark, sf_dir, view)
+    posts = _tagged(spark, sf_dir, view)
     return graph.vertices(posts), graph.edges(posts, method)
 
 
@@ -209,11 +220,11 @@ def _pagerank(view):
 
 
 def q_turn_vertices(spark, sf_dir):
-    return graph.vertices(scored_view(spark, sf_dir, "turn_posts"))
+    return graph.vertices(_tagged(spark, sf_dir, "turn_posts"))
 
 
 def q_turn_edges(spark, sf_dir):
-    return graph.edges(scored_view(spark, sf_dir, "turn_posts"))
+    return graph.edges(_tagged(spark, sf_dir, "turn_posts"))
 
 
 def q_turn_graph_summary(spark, sf_dir):
@@ -286,7 +297,7 @@ def q_doc_graph_summary(spark, sf_dir):
 
 
 def q_doc_top_vertices(spark, sf_dir):
-    v = graph.vertices(scored_view(spark, sf_dir, "doc_posts"))
+    v = graph.vertices(_tagged(spark, sf_dir, "doc_posts"))
     return views.top_vertices(v, TOP_N)
 
 

@@ -85,6 +85,11 @@ def normalize_posts(df: DataFrame, created_at_mode: str = "parse") -> DataFrame:
     )
 
 
+def posts_with_hashtags(posts: DataFrame) -> DataFrame:
+    """Keep posts whose text contains a '#' (``has_hashtags``); they may still have no tag."""
+    return posts.where(F.col("has_hashtags"))
+
+
 def load_posts(spark: SparkSession, path, fmt: str = "csv", *, sample_fraction: float | None = None,
                max_rows: int | None = None, encoding: str = "UTF-8", multiline: bool = False,
                mode: str = "PERMISSIVE", created_at_mode: str = "parse",
@@ -108,4 +113,4 @@ def load_posts(spark: SparkSession, path, fmt: str = "csv", *, sample_fraction:
 
 
 __all__ = ["RAW_COLUMNS", "SUPPORTED_FORMATS", "read_raw", "hash_sample",
-           "normalize_posts", "load_posts"]
+           "normalize_posts", "posts_with_hashtags", "load_posts"]

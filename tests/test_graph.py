@@ -85,3 +85,21 @@ def test_pair_occurrences_list(spark):
     df = posts_df(spark, [(["c", "a", "b"], "neutral")])
     got = sorted((r["src"], r["dst"]) for r in graph.pair_occurrences(df).collect())
     assert got == [("a", "b"), ("a", "c"), ("b", "c")]
+
+
+def test_hash_keys_equal_brute_force(spark):
+    posts = random_posts(4)
+    _, exp_e = brute.graph(posts)
+    df = posts_df(spark, posts)
+    for method in ("auto", "array", "blocks"):
+        assert collect_edges(graph.edges(df, method, keys="hash")) == exp_e, method
+    assert collect_edges(graph.edges(df, keys="string")) == exp_e
+    assert graph.keys_are_unique(df)
+
+
+def test_hash_plan_gate():
+    ok = graph._hash_plan_ok
+    assert ok({"tags": 5000, "keys": 5000, "bytes": 1000})
+    assert not ok({"tags": 5000, "keys": 4999, "bytes": 1000})       # a collision: strings
+    assert not ok({"tags": 10, "keys": 10, "bytes": 100})            # small vocabulary
+    assert not ok({"tags": 5000, "keys": 5000, "bytes": 1 << 40})    # dictionary too large to broadcast
