@@ -10,8 +10,9 @@ from ._util import as_col
 # Fixed values. Spark refuses the day-of-week letter when parsing, so the
 # weekday token is dropped and the rest is parsed with this pattern.
 PARSE_PATTERN = "MMM dd HH:mm:ss zzz yyyy"
-# Compatibility constant of the legacy loader (every row got this instant).
-CONSTANT_CREATED_AT = "2009-01-01 00:00:00"
+# Compatibility constant of the legacy loader (every row got this instant),
+# pinned to UTC so it does not move with the session time zone.
+CONSTANT_CREATED_AT = "2009-01-01 00:00:00 UTC"
 
 
 def parse_post_date(date) -> Column:
@@ -21,7 +22,7 @@ def parse_post_date(date) -> Column:
 
 
 def constant_created_at() -> Column:
-    return F.to_timestamp(F.lit(CONSTANT_CREATED_AT), "yyyy-MM-dd HH:mm:ss")
+    return F.to_timestamp(F.lit(CONSTANT_CREATED_AT), "yyyy-MM-dd HH:mm:ss z")
 
 
 def strip_zone(date) -> Column:
