@@ -40,10 +40,16 @@ def degree_centrality(v: DataFrame, e: DataFrame) -> DataFrame:
         F.try_divide(F.col("neighbor_degree").cast("double"), (n_vertices - 1).cast("double")))
 
 
-def _hash_keys_are_unique(v: DataFrame) -> bool:
-    """True when ``xxhash64`` is collision-free over the vertex ids (one small job)."""
+# A rank-share row is (long key, double share); broadcast the share vector
+# only while its proven size (vertex count x row bytes) stays under this.
+SHARE_ROW_BYTES = 24
+SHARE_BROADCAST_BYTES = 64 << 20
+
+
+def _vertex_key_stats(v: DataFrame) -> tuple[int, bool]:
+    """Vertex count, and whether ``xxhash64`` is collision-free over the ids (one small job)."""
     row = v.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.xxhash64("id")).alias("h")).first()
-    return row["n"] == row["h"]
+    return row["n"], row["n"] == row["h"]
 
 
 def pagerank(v: DataFrame, e: DataFrame, max_iter: int = 20, tol: float | None = 0.01,
@@ -67,14 +73,18 @@ def pagerank(v: DataFrame, e: DataFrame, max_iter: int = 20, tol: float | None =
     too large to broadcast). The loop runs over vertices with neighbours
     only -- each of them receives a contribution every iteration -- so an
     iteration is one join of the adjacency with the rank shares
-    ``rank / deg`` (a vertex-sized vector) and one aggregate; isolated vertices are joined
+    ``rank / deg`` (a vertex-sized vector, broadcast when the vertex count
+    proves it under ``SHARE_BROADCAST_BYTES``, else a sort-merge join against
+    the bucketed adjacency) and one aggregate; isolated vertices are joined
     back once at the end. Every ``checkpoint_every`` iterations the rank
     vector is written out too, which keeps the lineage short.
     ``materialize=False`` keeps everything one lazy plan on string keys.
     """
     spark = v.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    use_hash = materialize and _hash_keys_are_unique(v)
+    n_vertices, unique = _vertex_key_stats(v) if materialize else (None, False)
+    use_hash = materialize and unique
+    small_vector = use_hash and n_vertices * SHARE_ROW_BYTES <= SHARE_BROADCAST_BYTES
     key = (lambda c: F.xxhash64(c)) if use_hash else (lambda c: F.col(c))
     adj = _undirected(e).select(key("id").alias("src"), key("nbr").alias("dst"))
     if materialize:
@@ -87,6 +97,8 @@ def pagerank(v: DataFrame, e: DataFrame, max_iter: int = 20, tol: float | None =
     done = 0
     for it in range(int(max_iter)):
         share = ranks.join(deg, "_k").select(F.col("_k").alias("_u"), (F.col("rank") / F.col("_deg")).alias("_c"))
+        if small_vector:
+            share = F.broadcast(share)
         new = (adj.join(share, adj["src"] == share["_u"])
                .groupBy(F.col("dst").alias("_k"))
                .agg((F.lit(reset) + F.lit(1.0 - reset) * F.sum("_c")).alias("rank")))

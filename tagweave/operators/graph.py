@@ -237,13 +237,13 @@ def _hash_plan_ok(st: dict) -> bool:
 
 
 def edges(posts: DataFrame, method: str = "auto", array_pair_limit: int = ARRAY_PAIR_LIMIT,
-          salt_block: int = SALT_BLOCK, keys: str = "auto") -> DataFrame:
+          salt_block: int = SALT_BLOCK, keys: str = "string") -> DataFrame:
     """``(src, dst, weight)`` with ``src <= dst``: pair occurrences per tag pair.
 
     ``keys``:
 
-    * ``string`` -- pairs are made and summed on the tag strings: one pass
-      over the posts, one shuffle. Right for any vocabulary.
+    * ``string`` (default) -- pairs are made and summed on the tag strings:
+      one pass over the posts, one shuffle. Right for any vocabulary.
     * ``hash`` -- each post's tags are sorted as strings and encoded as
       ``xxhash64`` longs; pairs are made and summed on fixed-width keys
       (about half the cost per pair) and the strings are joined back from
@@ -251,9 +251,11 @@ def edges(posts: DataFrame, method: str = "auto", array_pair_limit: int = ARRAY_
       small job over the distinct tags proves the keys collision-free (so the
       result is exact) and the dictionary at most ``DICT_BROADCAST_BYTES``;
       otherwise ``string`` runs.
-    * ``auto`` (default) -- ``hash`` when, in addition, the vocabulary holds
-      at least ``HASH_MIN_TAGS`` tags (a small vocabulary has few distinct
-      pairs, and the dictionary pass would cost more than it saves).
+    * ``auto`` -- ``hash`` when, in addition, the vocabulary holds at least
+      ``HASH_MIN_TAGS`` tags (a small vocabulary has few distinct pairs, and
+      the dictionary pass would cost more than it saves). The check and the
+      dictionary read ``posts`` again, so use ``hash``/``auto`` on a
+      materialised tagged table (as the batch job does), not on raw text.
     """
     if keys not in ("auto", "hash", "string"):
         raise ValueError(f"Unknown key mode: {keys}")
@@ -289,6 +291,6 @@ def graph_summary(v: DataFrame, e: DataFrame) -> DataFrame:
             .agg(*[F.max(c).cast("long").alias(c) for c in cols]))
 
 
-def build_graph(posts: DataFrame, method: str = "auto") -> tuple[DataFrame, DataFrame]:
+def build_graph(posts: DataFrame, method: str = "auto", keys: str = "string") -> tuple[DataFrame, DataFrame]:
     """``(vertices, edges)`` of a post DataFrame with ``hashtags`` and ``sentiment``."""
-    return vertices(posts), edges(posts, method)
+    return vertices(posts), edges(posts, method, keys=keys)

@@ -53,7 +53,7 @@ def run_batch(spark: SparkSession, data_path: str, data_format: str, out_dir: st
     tagged_path = scratch_path(spark, "tagged-posts")
     tagged_posts(scored_obs).write.mode("overwrite").parquet(tagged_path)
     tagged = spark.read.parquet(tagged_path)
-    v, e = vertices_of(tagged), edges_of(tagged)
+    v, e = vertices_of(tagged), edges_of(tagged, keys="auto")
     vpath, epath = write_graph(v, e, out_dir, out_format)
     top = None
     if top_n:

@@ -54,7 +54,7 @@ def _tagged(spark, sf_dir, view):
 
 def _graph(spark, sf_dir, view="posts", method="auto"):
     posts = _tagged(spark, sf_dir, view)
-    return graph.vertices(posts), graph.edges(posts, method)
+    return graph.vertices(posts), graph.edges(posts, method, keys="auto")
 
 
 # --- loading and scalar functions -------------------------------------------
@@ -224,7 +224,7 @@ def q_turn_vertices(spark, sf_dir):
 
 
 def q_turn_edges(spark, sf_dir):
-    return graph.edges(_tagged(spark, sf_dir, "turn_posts"))
+    return graph.edges(_tagged(spark, sf_dir, "turn_posts"), keys="auto")
 
 
 def q_turn_graph_summary(spark, sf_dir):
