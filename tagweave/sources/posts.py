@@ -24,6 +24,9 @@ def read_raw(spark: SparkSession, path, fmt: str = "csv", *, encoding: str = "UT
     records spanning lines but makes every file a single task; prefer JSON
     Lines or Parquet for large inputs. ``encoding`` matters for non-UTF-8
     files (e.g. ``ISO-8859-1``); ``mode="DROPMALFORMED"`` skips bad lines.
+    Spark parses only the CSV columns a query reads, so a line with the wrong
+    number of fields counts as malformed only when all six are read (or the
+    session sets ``spark.sql.csv.parser.columnPruning.enabled=false``).
     """
     kind = fmt.lower()
     if kind == "csv":

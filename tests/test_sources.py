@@ -76,3 +76,22 @@ def test_max_rows_is_ordered(spark, scratch):
         .repartition(4).write.parquet(p)
     got = [r["id"] for r in load_posts(spark, p, "parquet", max_rows=3).collect()]
     assert got == sorted(str(i) for i in range(20))[:3]
+
+
+def test_dropmalformed_skips_bad_lines(spark, scratch):
+    p = write(os.path.join(scratch, "bad.csv"),
+              '0,"1","d","q","u","#a"\n'
+              '4,"2","d","q","u","#b","extra","fields"\n'
+              '4,"3","d","q","u","#c"\n', encoding="latin-1")
+    from tagweave.sources.posts import read_raw
+    raw = read_raw(spark, p, "csv", encoding="ISO-8859-1", mode="DROPMALFORMED")
+    assert {r["id"] for r in raw.collect()} == {"1", "3"}       # all columns read: checked
+    assert read_raw(spark, p, "csv").count() == 3                 # permissive keeps it
+
+
+def test_posts_with_hashtags_filter(spark):
+    from tagweave.sources.posts import posts_with_hashtags
+    df = spark.createDataFrame([("1", "#a"), ("2", "# x"), ("3", "none"), ("4", None)],
+                               "id string, text string")
+    got = sorted(r["id"] for r in posts_with_hashtags(normalize_posts(df)).collect())
+    assert got == ["1", "2"]
