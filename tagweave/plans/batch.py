@@ -1,9 +1,10 @@
 """The batch job: posts in, graph out.
 
 1. load and normalise posts, attach sentiment;
-2. write the slim tagged-post table ``(sentiment, hashtags)`` of posts with
-   at least one tag to the shared checkpoint directory -- the raw text is
-   scanned and parsed once, and the lineage is cut there;
+2. write the slim post table ``(sentiment, hashtags, has_hashtags)`` to the
+   shared checkpoint directory -- the raw text is scanned and parsed once,
+   the lineage is cut there, and row counts and the sentiment split come
+   from the slim table;
 3. write vertices and edges (Spark output directories);
 4. optionally export the bounded top-N subgraph as JSON array documents.
 """
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.graph import edges as edges_of
@@ -45,18 +46,17 @@ def run_batch(spark: SparkSession, data_path: str, data_format: str, out_dir: st
     posts = load_posts(spark, data_path, data_format, sample_fraction=sample_fraction,
                        max_rows=max_rows, **load_options)
     scored = with_sentiment(posts, sentiment_mode, model)
-    # row counts ride along with the one scan (DataFrame.observe), no extra count job
-    loaded = Observation("loaded")
-    scored_obs = scored.observe(loaded, F.count(F.lit(1)).alias("posts"),
-                                F.count_if(F.col("has_hashtags")).alias("posts_with_hash"),
-                                F.count_if(F.size("hashtags") > 0).alias("posts_with_tags"))
+    # every post as a slim row; posts without tags are a few bytes and give the counts
     tagged_path = scratch_path(spark, "tagged-posts")
-    tagged_posts(scored_obs).write.mode("overwrite").parquet(tagged_path)
+    scored.select("sentiment", "hashtags", "has_hashtags").write.mode("overwrite").parquet(tagged_path)
     tagged = spark.read.parquet(tagged_path)
+    counts = tagged.agg(F.count(F.lit(1)).alias("posts"),
+                        F.count_if(F.col("has_hashtags")).alias("posts_with_hash"),
+                        F.count_if(F.size("hashtags") > 0).alias("posts_with_tags")).first().asDict()
     v, e = vertices_of(tagged), edges_of(tagged, keys="auto")
     vpath, epath = write_graph(v, e, out_dir, out_format)
     top = None
     if top_n:
         sv, se = spark.read.format(out_format).load(vpath), spark.read.format(out_format).load(epath)
         top = export_top_json(sv, se, out_dir, top_n)
-    return BatchResult(vpath, epath, tagged_path, top, sentiment_distribution(scored), dict(loaded.get))
+    return BatchResult(vpath, epath, tagged_path, top, sentiment_distribution(tagged), counts)
