@@ -88,7 +88,9 @@ def pagerank(v: DataFrame, e: DataFrame, max_iter: int = 20, tol: float | None =
     key = (lambda c: F.xxhash64(c)) if use_hash else (lambda c: F.col(c))
     adj = _undirected(e).select(key("id").alias("src"), key("nbr").alias("dst"))
     if materialize:
-        adj = write_table(adj, "pagerank-adjacency", bucket_by="src", buckets=parts)
+        # bucketing only pays off for the sort-merge join; a broadcast vector needs none
+        adj = (write_table(adj, "pagerank-adjacency") if small_vector else
+               write_table(adj, "pagerank-adjacency", bucket_by="src", buckets=parts))
     # out-degree lives with the (small) rank vector, not on every adjacency row
     deg = adj.groupBy(F.col("src").alias("_k")).agg(F.count(F.lit(1)).alias("_deg"))
     if materialize:
