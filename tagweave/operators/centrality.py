@@ -54,7 +54,7 @@ def _vertex_key_stats(v: DataFrame) -> tuple[int, bool]:
 
 def pagerank(v: DataFrame, e: DataFrame, max_iter: int = 20, tol: float | None = 0.01,
              reset: float = 0.15, checkpoint_every: int | None = 5,
-             num_partitions: int | None = None, materialize: bool = True) -> DataFrame:
+             materialize: bool = True) -> DataFrame:
     """``(id, rank)``: PageRank with reset probability ``reset``.
 
     Ranks start at 1.0 and follow ``rank(v) = reset + (1 - reset) * sum(rank(u) / deg(u))``
@@ -67,30 +67,28 @@ def pagerank(v: DataFrame, e: DataFrame, max_iter: int = 20, tol: float | None =
     Plan (``materialize=True``): vertices are keyed by ``xxhash64(id)`` when one
     small job shows the hashes collision-free (else by the string id), so
     the loop joins and sums fixed-width keys. The adjacency list
-    ``(src, dst)`` is written once as a Parquet table bucketed by
-    source in the shared checkpoint directory (survives executor loss,
-    columnar re-reads, no re-shuffle of the adjacency when the rank vector is
-    too large to broadcast). The loop runs over vertices with neighbours
-    only -- each of them receives a contribution every iteration -- so an
-    iteration is one join of the adjacency with the rank shares
-    ``rank / deg`` (a vertex-sized vector, broadcast when the vertex count
-    proves it under ``SHARE_BROADCAST_BYTES``, else a sort-merge join against
-    the bucketed adjacency) and one aggregate; isolated vertices are joined
-    back once at the end. Every ``checkpoint_every`` iterations the rank
-    vector is written out too, which keeps the lineage short.
+    ``(src, dst)`` is written once as a Parquet table in the shared
+    checkpoint directory (cuts the lineage, survives executor loss, columnar
+    re-reads). The loop runs over vertices with neighbours only -- each of
+    them receives a contribution every iteration -- so an iteration is one
+    join of the adjacency with the rank shares ``rank / deg`` and one
+    aggregate. The share vector is vertex-sized: it is broadcast when the
+    vertex count proves it under ``SHARE_BROADCAST_BYTES``; otherwise both
+    sides are shuffled on the source, which lets adaptive execution split
+    the partition of a hub vertex (a bucketed adjacency would avoid that
+    shuffle but pin a hub to one task). Isolated vertices are joined back
+    once at the end. Every ``checkpoint_every`` iterations the rank vector
+    is written out too, which keeps the lineage short.
     ``materialize=False`` keeps everything one lazy plan on string keys.
     """
     spark = v.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     n_vertices, unique = _vertex_key_stats(v) if materialize else (None, False)
     use_hash = materialize and unique
     small_vector = use_hash and n_vertices * SHARE_ROW_BYTES <= SHARE_BROADCAST_BYTES
     key = (lambda c: F.xxhash64(c)) if use_hash else (lambda c: F.col(c))
     adj = _undirected(e).select(key("id").alias("src"), key("nbr").alias("dst"))
     if materialize:
-        # bucketing only pays off for the sort-merge join; a broadcast vector needs none
-        adj = (write_table(adj, "pagerank-adjacency") if small_vector else
-               write_table(adj, "pagerank-adjacency", bucket_by="src", buckets=parts))
+        adj = write_table(adj, "pagerank-adjacency")
     # out-degree lives with the (small) rank vector, not on every adjacency row
     deg = adj.groupBy(F.col("src").alias("_k")).agg(F.count(F.lit(1)).alias("_deg"))
     if materialize:

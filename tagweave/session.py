@@ -84,21 +84,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "tagweave-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df, name: str, bucket_by: str | None = None, buckets: int | None = None):
+def materialize(df, name: str):
     """Write ``df`` as a Parquet table in the shared checkpoint directory and read it back.
 
     Cuts the lineage like a checkpoint, but the result is columnar (fast to
-    re-read every iteration). With ``bucket_by`` the table is bucketed on that
-    column, so joins on it that see the same number of partitions on the
-    other side do not shuffle the table again.
+    re-read, e.g. every iteration) and survives executor loss.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    if bucket_by is None:
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"tagweave_{os.path.basename(path).replace('-', '_')}"
-    (df.write.mode("overwrite").format("parquet").bucketBy(n, bucket_by)
-     .option("path", path).saveAsTable(table))
-    return spark.table(table)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
