@@ -39,3 +39,11 @@ def test_scan_prunes_columns(spark):
     p = df._jdf.queryExecution().executedPlan().toString()
     # orders scan reads only the columns the post view needs
     assert "o_totalprice" not in p and "o_orderpriority" not in p
+
+
+def test_long_posts_are_spread_by_an_explicit_repartition(spark):
+    df = spark.createDataFrame([([f"t{i}" for i in range(300)], "neutral")],
+                               "hashtags array<string>, sentiment string")
+    p = plan_of(graph.edges(df, method="blocks"))
+    # an explicit partition count: adaptive execution must not coalesce the blocks back together
+    assert "REPARTITION_BY_NUM" in p and "_fp" in p and "_b" in p
