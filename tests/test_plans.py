@@ -47,3 +47,9 @@ def test_long_posts_are_spread_by_an_explicit_repartition(spark):
     p = plan_of(graph.edges(df, method="blocks"))
     # an explicit partition count: adaptive execution must not coalesce the blocks back together
     assert "REPARTITION_BY_NUM" in p and "_fp" in p and "_b" in p
+
+
+def test_tag_regex_runs_once_per_row(spark):
+    for name in ("vertices", "tag_counts"):
+        p = plan_of(QUERIES[name](spark, SF_SMALL))
+        assert p.count("regexp_extract_all") == 1, name
