@@ -255,6 +255,16 @@ def q_sentiment_model(spark, sf_dir):
     return model.transform(docs).select("doc_id", "sentiment")
 
 
+def q_model_confusion(spark, sf_dir):
+    """Agreement of labels and model predictions on the labelled documents."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select(
+        "doc_id", F.when(F.col("quality") == 1, "positive").otherwise("negative").alias("original_sentiment"))
+    labelled = docs.join(labels, "doc_id")
+    model = train_sentiment_model(labelled.withColumnRenamed("original_sentiment", "sentiment"))
+    return sentiment.confusion_counts(model.transform(labelled))
+
+
 def q_to_wire(spark, sf_dir):
     return to_wire(raw_view(spark, sf_dir, "posts"))
 
@@ -344,6 +354,7 @@ QUERIES: dict[str, Query] = {
     "graph_roundtrip_edges": q_graph_roundtrip_edges,
     "token_spans": q_token_spans,
     "sentiment_model": q_sentiment_model,
+    "model_confusion": q_model_confusion,
     "to_wire": q_to_wire,
     "stream_posts": q_stream_posts,
     "stream_graph_vertices": q_stream_graph_vertices,
