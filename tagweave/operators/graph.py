@@ -121,21 +121,30 @@ def _sorted(posts: DataFrame, presorted: bool, *extra: str) -> DataFrame:
     return posts.select(tags.alias("_s"), *extra)
 
 
-def _array_pairs(posts: DataFrame, *extra: str, presorted: bool = False) -> DataFrame:
-    """Row-local pairs: ``combinations(sorted(tags), 2)``, weight 1 per occurrence."""
+def _array_pairs(posts: DataFrame, *extra: str, presorted: bool = False,
+                 max_tags: int | None = None) -> DataFrame:
+    """Row-local pairs: ``combinations(sorted(tags), 2)``, weight 1 per occurrence.
+
+    Rows with more than ``max_tags`` tags are skipped inside the generator
+    (a ``when``), not by a filter: a filter would be pushed below the
+    projection and evaluate the tag regex a second time.
+    """
     s = _sorted(posts, presorted, *extra)
     sorted_tags = F.col("_s")
     pairs = F.flatten(F.transform(
         sorted_tags,
         lambda x, i: F.transform(F.slice(sorted_tags, i + 2, F.size(sorted_tags)),
                                  lambda y: F.struct(x.alias("src"), y.alias("dst")))))
-    return (s.select(F.explode(pairs).alias("_p"), *extra)
+    if max_tags is not None:
+        pairs = F.when(F.size(sorted_tags) <= max_tags, pairs)
+    return (s.select(F.explode_outer(pairs).alias("_p"), *extra)
+            .where(F.col("_p").isNotNull())
             .select(F.col("_p.src").alias("src"), F.col("_p.dst").alias("dst"),
                     F.lit(1).cast("long").alias("weight"), *extra))
 
 
 def _block_pairs(posts: DataFrame, block: int = SALT_BLOCK, partitions: int | None = None,
-                 presorted: bool = False) -> DataFrame:
+                 presorted: bool = False, min_tags: int = 2) -> DataFrame:
     """Pairs of long posts over distinct tags with multiplicities, split into blocks.
 
     Row-local and join-free: the sorted tag array gives its distinct tags ``d``
@@ -145,6 +154,8 @@ def _block_pairs(posts: DataFrame, block: int = SALT_BLOCK, partitions: int | No
     it needs. A hash repartition on (post fingerprint, block) with an
     explicit partition count (which adaptive execution leaves as is) spreads
     the blocks of one hot post over many tasks before the pairs are exploded.
+    Posts with fewer than ``min_tags`` tags make no block (a ``when`` inside
+    the expressions, not a filter, so the tag regex runs once per row).
     """
     spark = posts.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -153,7 +164,7 @@ def _block_pairs(posts: DataFrame, block: int = SALT_BLOCK, partitions: int | No
     k = F.size(srt)
     starts = F.filter(F.sequence(F.lit(0), k - 1),
                       lambda i: (i == 0) | (F.get(srt, i) != F.get(srt, i - 1)))
-    runs = s.select("_s", starts.alias("_st"))
+    runs = s.select("_s", F.when(k >= min_tags, starts).alias("_st"))
     st = F.col("_st")
     # distinct tags with their multiplicity, as one sorted array of structs
     dm = runs.select(
@@ -163,7 +174,9 @@ def _block_pairs(posts: DataFrame, block: int = SALT_BLOCK, partitions: int | No
             (F.coalesce(F.get(st, j + 1), k) - p).cast("long").alias("m"))).alias("_dm"))
     n = F.size("_dm")
     nblocks = F.greatest(F.lit(1), F.ceil(n / F.lit(block))).cast("int")
-    blocks = dm.select("_fp", "_dm", F.explode(F.sequence(F.lit(0), nblocks - 1)).alias("_b"))
+    block_ids = F.when(F.col("_dm").isNotNull(), F.sequence(F.lit(0), nblocks - 1))
+    blocks = (dm.select("_fp", "_dm", F.explode_outer(block_ids).alias("_b"))
+              .where(F.col("_b").isNotNull()))
     lo = F.col("_b") * F.lit(block)
     blocks = blocks.select("_fp", "_b", F.slice("_dm", lo + 1, n).alias("_sfx"),
                            F.least(F.lit(block), n - lo).alias("_cnt"))
@@ -194,12 +207,11 @@ def post_pairs(posts: DataFrame, method: str = "auto", array_pair_limit: int = A
     if method == "array":
         return _array_pairs(tagged, presorted=presorted)
     if method == "blocks":
-        return _block_pairs(tagged.where(F.size("hashtags") >= 2), salt_block, presorted=presorted)
+        return _block_pairs(tagged, salt_block, presorted=presorted)
     if method != "auto":
         raise ValueError(f"Unknown pair method: {method}")
-    k = F.size("hashtags")
-    return _array_pairs(tagged.where(k <= array_pair_limit), presorted=presorted).unionByName(
-        _block_pairs(tagged.where(k > array_pair_limit), salt_block, presorted=presorted))
+    return _array_pairs(tagged, presorted=presorted, max_tags=array_pair_limit).unionByName(
+        _block_pairs(tagged, salt_block, presorted=presorted, min_tags=array_pair_limit + 1))
 
 
 def pair_occurrences(posts: DataFrame) -> DataFrame:
@@ -208,8 +220,7 @@ def pair_occurrences(posts: DataFrame) -> DataFrame:
     The unaggregated pair list of short posts; for long texts use
     :func:`edges`, which never lists occurrences one by one.
     """
-    tagged = posts.select("hashtags", "sentiment").where(F.size("hashtags") >= 2)
-    return _array_pairs(tagged, "sentiment").select("src", "dst", "sentiment")
+    return _array_pairs(posts.select("hashtags", "sentiment"), "sentiment").select("src", "dst", "sentiment")
 
 
 def tag_keys(posts: DataFrame) -> DataFrame:

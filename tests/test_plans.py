@@ -50,6 +50,8 @@ def test_long_posts_are_spread_by_an_explicit_repartition(spark):
 
 
 def test_tag_regex_runs_once_per_row(spark):
-    for name in ("vertices", "tag_counts"):
+    for name in ("vertices", "tag_counts", "pairs", "edges_by_multiplicity"):
         p = plan_of(QUERIES[name](spark, SF_SMALL))
         assert p.count("regexp_extract_all") == 1, name
+    # edges over raw text: one evaluation in each of its two branches (short / long posts)
+    assert plan_of(QUERIES["edges"](spark, SF_SMALL)).count("regexp_extract_all") == 2
