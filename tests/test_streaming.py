@@ -64,3 +64,18 @@ def test_live_graph_equals_batch(spark, scratch):
 def test_live_graph_empty_state(spark, scratch):
     assert live_vertices(spark, os.path.join(scratch, "none")).count() == 0
     assert live_edges(spark, os.path.join(scratch, "none")).count() == 0
+
+
+def test_processing_time_trigger_picks_up_new_files(spark, scratch):
+    parts = wire_batches(spark)
+    flat, out, ckpt = (os.path.join(scratch, d) for d in ("flat", "out", "ckpt"))
+    parts[0].write.mode("append").json(flat)
+    q = start_stream(spark, flat, out, ckpt, trigger="1 second")
+    try:
+        q.processAllAvailable()
+        parts[1].write.mode("append").json(flat)
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    assert read_out(spark, out).count() == parts[0].count() + parts[1].count()
