@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from ..functions.dates import constant_created_at, parse_post_date
 from ..functions.labels import label_to_sentiment
@@ -72,7 +73,11 @@ def normalize_posts(df: DataFrame, created_at_mode: str = "parse") -> DataFrame:
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast("string"))
     if created_at_mode == "parse":
-        created = parse_post_date(F.col("date").cast("string"))
+        date_type = df.schema["date"].dataType
+        if isinstance(date_type, (TimestampType, TimestampNTZType, DateType)):
+            created = F.col("date").cast("timestamp")  # already typed (e.g. Parquet)
+        else:
+            created = parse_post_date(F.col("date").cast("string"))
     elif created_at_mode == "constant":
         created = constant_created_at()
     else:

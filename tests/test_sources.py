@@ -95,3 +95,10 @@ def test_posts_with_hashtags_filter(spark):
                                "id string, text string")
     got = sorted(r["id"] for r in posts_with_hashtags(normalize_posts(df)).collect())
     assert got == ["1", "2"]
+
+
+def test_typed_date_column_is_kept(spark):
+    import datetime as dt
+    df = spark.createDataFrame([("1", "#a", dt.datetime(2009, 4, 7, 5, 19, 45))],
+                               "id string, text string, date timestamp")
+    assert normalize_posts(df).first()["created_at"] == dt.datetime(2009, 4, 7, 5, 19, 45)
