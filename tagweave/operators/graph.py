@@ -281,10 +281,12 @@ def edges(posts: DataFrame, method: str = "auto", array_pair_limit: int = ARRAY_
     summed = (post_pairs(encoded, method, array_pair_limit, salt_block, presorted=True)
               .groupBy(F.col("src").alias("_hs"), F.col("dst").alias("_hd"))
               .agg(F.sum("weight").cast("long").alias("weight")))
+    # one dictionary under two aliases: identical subtrees, so its exchange is reused
     dictionary = tag_keys(posts)
-    src = F.broadcast(dictionary.select(F.col("key").alias("_hs"), F.col("tag").alias("src")))
-    dst = F.broadcast(dictionary.select(F.col("key").alias("_hd"), F.col("tag").alias("dst")))
-    return summed.join(src, "_hs").join(dst, "_hd").select("src", "dst", "weight")
+    s_side, d_side = F.broadcast(dictionary.alias("_s")), F.broadcast(dictionary.alias("_d"))
+    return (summed.join(s_side, F.col("_hs") == F.col("_s.key"))
+            .join(d_side, F.col("_hd") == F.col("_d.key"))
+            .select(F.col("_s.tag").alias("src"), F.col("_d.tag").alias("dst"), "weight"))
 
 
 def graph_summary(v: DataFrame, e: DataFrame) -> DataFrame:
