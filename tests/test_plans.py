@@ -55,3 +55,23 @@ def test_tag_regex_runs_once_per_row(spark):
         assert p.count("regexp_extract_all") == 1, name
     # edges over raw text: one evaluation in each of its two branches (short / long posts)
     assert plan_of(QUERIES["edges"](spark, SF_SMALL)).count("regexp_extract_all") == 2
+
+
+def test_hot_tag_is_combined_before_the_shuffle(spark):
+    # one tag in every post: the vertex aggregate must be partial before its exchange
+    df = spark.createDataFrame([(["hot", f"t{i % 50}"], "neutral") for i in range(3000)],
+                               "hashtags array<string>, sentiment string").repartition(8)
+    v = graph.vertices(df)
+    p = plan_of(v)
+    assert "partial_count" in p and p.index("partial_count") > p.index("Exchange")  # partial sits below
+    assert {r["id"]: r["degree"] for r in v.where("id = 'hot'").collect()} == {"hot": 3000}
+
+
+def test_hot_post_is_spread_over_tasks(spark):
+    from pyspark.sql import functions as F
+    from tagweave.operators.graph import _block_pairs
+    one = spark.createDataFrame([([f"w{i:04d}" for i in range(3000)],)], "hashtags array<string>")
+    pairs = _block_pairs(one, block=100, partitions=8)
+    parts = pairs.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts >= 6                       # 30 blocks of one post land in most of the 8 tasks
+    assert pairs.count() == 3000 * 2999 // 2
