@@ -79,3 +79,16 @@ def test_processing_time_trigger_picks_up_new_files(spark, scratch):
     finally:
         q.stop()
     assert read_out(spark, out).count() == parts[0].count() + parts[1].count()
+
+
+def test_replayed_batch_does_not_double_count(spark, scratch):
+    from tagweave.streaming import write_deltas
+    posts = spark.createDataFrame([(["a", "b"], "positive"), (["a"], "negative")],
+                                  "hashtags array<string>, sentiment string")
+    state = os.path.join(scratch, "state")
+    write_deltas(posts, state, 0)
+    write_deltas(posts, state, 1)
+    write_deltas(posts, state, 1)  # a retry of batch 1 overwrites its own partition
+    v = {r["id"]: (r["degree"], r["dominant_sentiment"]) for r in live_vertices(spark, state).collect()}
+    assert v == {"a": (4, "negative"), "b": (2, "positive")}
+    assert {tuple(r) for r in live_edges(spark, state).collect()} == {("a", "b", 2)}
