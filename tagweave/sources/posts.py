@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
@@ -54,7 +56,8 @@ def hash_sample(df: DataFrame, fraction: float, key: str = "id") -> DataFrame:
     """
     if not 0 < fraction < 1:
         raise ValueError("fraction must lie strictly between 0 and 1")
-    bound = format(int(fraction * (1 << 32)), "08x")
+    # first 32 bits h (an integer) < fraction * 2^32  <=>  h < ceil(fraction * 2^32)
+    bound = format(math.ceil(fraction * (1 << 32)), "08x")
     return df.where(F.substring(F.md5(F.col(key).cast("string")), 1, 8) < F.lit(bound))
 
 
