@@ -133,6 +133,12 @@ def q_has_hashtags_vs_tags(spark, sf_dir):
                     F.size(hashtags("text")).alias("n_tags"))
 
 
+def q_pages_has_hashtags(spark, sf_dir):
+    p = read_table(spark, sf_dir, "pages")
+    return p.select("page_id", has_hash("html").alias("has_hashtags"),
+                    F.size(hashtags("html")).alias("n_tags"))
+
+
 def q_text_shrink(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents")
     return d.select("doc_id", shrink("text").alias("text"))
@@ -327,6 +333,7 @@ QUERIES: dict[str, Query] = {
     "sentiment_distribution": q_sentiment_distribution,
     "confusion_counts": q_confusion_counts,
     "has_hashtags_vs_tags": q_has_hashtags_vs_tags,
+    "pages_has_hashtags": q_pages_has_hashtags,
     "text_shrink": q_text_shrink,
     "token_counts": q_token_counts,
     "tag_counts": q_tag_counts,

@@ -168,6 +168,10 @@ FROM (SELECT sentiment, count(*) AS count FROM sp GROUP BY sentiment) g"""),
 SELECT doc_id, coalesce(contains(text, '#'), false) AS has_hashtags,
        len(regexp_extract_all(lower(coalesce(text, '')), '{TAG_PATTERN}', 1)) AS n_tags
 FROM documents""",
+    "pages_has_hashtags": f"""
+SELECT page_id, coalesce(contains(html, '#'), false) AS has_hashtags,
+       len(regexp_extract_all(lower(coalesce(html, '')), '{TAG_PATTERN}', 1)) AS n_tags
+FROM pages""",
     "text_shrink": f"SELECT doc_id, trim(regexp_replace(text, '{SPACE_RUN_PATTERN}', ' ', 'g')) AS text FROM documents",
     "token_counts": f"""
 SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '{TOKEN_PATTERN.replace("'", "''")}', 0)) AS n_tokens
