@@ -45,13 +45,25 @@ def build_session(master: str | None = None, app_name: str = "tagweave",
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a session without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    sc = _context(spark)
+    master = sc.master if sc is not None else (spark.conf.get("spark.master", "") or "")
+    return master.startswith("local")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -60,20 +72,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Read from the context first, then from ``spark.checkpoint.dir``. Only a
     local-mode session (tests, single-box runs) gets a directory of its own
     when none is configured; on a cluster an unset directory is an error,
-    because a machine-local folder does not survive executor loss.
+    because a machine-local folder does not survive executor loss. A session
+    without a SparkContext (Spark Connect) uses the configured path as is.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
         if not _is_local(spark):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS/S3/ABFS) before running iterative or streaming jobs")
         conf_dir = tempfile.mkdtemp(prefix="tagweave-ckpt-")
+    if sc is None:
+        return conf_dir
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
 

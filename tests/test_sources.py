@@ -102,3 +102,15 @@ def test_typed_date_column_is_kept(spark):
     df = spark.createDataFrame([("1", "#a", dt.datetime(2009, 4, 7, 5, 19, 45))],
                                "id string, text string, date timestamp")
     assert normalize_posts(df).first()["created_at"] == dt.datetime(2009, 4, 7, 5, 19, 45)
+
+
+def test_checkpoint_dir_from_session(spark):
+    from tagweave.session import ensure_checkpoint_dir, scratch_path
+    root = ensure_checkpoint_dir(spark)
+    assert root and scratch_path(spark, "x").startswith(root)
+
+
+def test_checkpoint_dir_without_context(spark, monkeypatch):
+    import tagweave.session as session
+    monkeypatch.setattr(session, "_context", lambda s: None)
+    assert session.ensure_checkpoint_dir(spark)
