@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import sysconfig
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
@@ -45,8 +50,28 @@ def null_safe(a: DataFrame, b: DataFrame, left: str, right: str) -> Column:
     return a[left].eqNullSafe(b[right])
 
 
+PACKAGE = Path(__file__).resolve().parents[1]
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, unless they find it by PYTHONPATH or as an installed one."""
+    paths = [os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or str(PACKAGE.parent) in [*paths, sysconfig.get_path("purelib")]:
+        return
+    to = Path(tempfile.mkdtemp(prefix="package-")) / f"{PACKAGE.name}.zip"
+    with zipfile.ZipFile(to, "w") as z:
+        for f in sorted(PACKAGE.rglob("*.py")):
+            z.write(f, f.relative_to(PACKAGE.parent))
+    spark.sparkContext.addPyFile(str(to))
+    _SHIPPED.add(app)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` for functions of one batch; empty batches are skipped."""
+    ship_package(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import mixing, substring
 from .common import table
 
 
@@ -12,7 +12,15 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_mix_sources,)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(substring.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (
+    op8_mix_sources,
+    op10_substring_dedup,
+)}
 ORACLE = {
     "op8_mix_sources": mixing.MIX_SQL.format(docs="documents", temperature=0.7, seed="mix-1"),
+    "op10_substring_dedup": substring.SUBSTRING_SQL,
 }

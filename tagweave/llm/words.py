@@ -129,4 +129,4 @@ class Windows:
         n = len(self.total) - k
         if n <= 0:
             return np.zeros(0, np.uint64)
-        return mix((self.total[k:] - self.total[:n]) * self.inverse[:n] + np.uint64(k) * _BYTE_BASE)
+        return mix((self.total[k:] - self.total[:n]) * self.inverse[:n] + np.uint64(k * int(_BYTE_BASE) % (1 << 64)))
