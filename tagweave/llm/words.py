@@ -130,3 +130,25 @@ class Windows:
         if n <= 0:
             return np.zeros(0, np.uint64)
         return mix((self.total[k:] - self.total[:n]) * self.inverse[:n] + np.uint64(k * int(_BYTE_BASE) % (1 << 64)))
+
+
+def folded(texts: list[str | None]) -> list[bytes]:
+    """Lower-cased UTF-8 of each text, null as empty."""
+    return [t.lower().encode("utf-8", "replace") if t else b"" for t in texts]
+
+
+class Shingles:
+    """Hashes of the ``k``-word shingles of each text, in order, with repeats.
+
+    Words are runs of letters and digits, case folded. A text of 1 to k-1 words has one
+    shingle, all its words; a text without words has none.
+    """
+
+    def __init__(self, texts: list[str | None], k: int):
+        self.words, self.word_offsets = hash_words(folded(texts), plain=False)
+        self.windows = Windows(self.words)
+        n = np.diff(self.word_offsets)
+        count = np.where(n >= k, n - k + 1, n > 0)
+        self.offsets = np.r_[0, np.cumsum(count)]
+        start = np.repeat(self.word_offsets[:-1] - self.offsets[:-1], count) + np.arange(self.offsets[-1])
+        self.hashes = self.windows.spans(start, start + np.repeat(np.minimum(n, k), count))
