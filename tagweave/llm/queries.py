@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dartminhash, mixing, substring
+from . import dartminhash, decontaminate, mixing, substring
 from .common import table
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -21,6 +25,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op4_decontaminate,
     op5_near_dedup,
     op8_mix_sources,
     op10_substring_dedup,
