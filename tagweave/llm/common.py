@@ -20,6 +20,8 @@ __all__ = ["materialize", "scratch_path", "table", "without", "fresh", "held_out
            "text_slices", "null_safe"]
 
 FOLDS = 5
+#: Bytes of an Arrow batch that a Python worker gets at once (a longer row comes alone).
+BATCH_BYTES = "4m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,18 +70,25 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` for functions of one batch; empty batches are skipped."""
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` for functions of one batch; empty batches are skipped.
+
+    Batches are limited by bytes (session setting ``maxBytesPerBatch``, set here), as
+    10,000 long texts at once would not fit beside the JVM in an executor.
+    """
     ship_package(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 yield from fn(batch)
+            del batch
+            pa.default_memory_pool().release_unused()  # workers live on between tasks
     return df.mapInArrow(run, schema)
 
 
-def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about ``most_bytes`` of text (one row at least)."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start, total = 0, 0

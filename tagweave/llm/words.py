@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes hashed at once; longer buffers are cut between two words.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
