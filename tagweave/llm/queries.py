@@ -3,9 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import dartminhash, decontaminate, mixing, substring
-from .common import table
+from . import dartminhash, decontaminate, mixing, substring, toxicity
+from .common import held_out, table
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
+    return toxicity.score_documents(docs, model)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +32,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_toxicity,
     op4_decontaminate,
     op5_near_dedup,
     op8_mix_sources,
