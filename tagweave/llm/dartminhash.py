@@ -12,8 +12,8 @@ a shingle plus about ``k ln k`` darts, whatever its length.
 
 Groups: identical word sequences collapse first (map-side combine); signatures of the
 representatives are cut into bands; inside a bucket all members are compared to one
-hub, not to each other, and only members that no link has joined yet
-meet in pairs. Pairs are verified on the exact shingle sets.
+hub, not to each other. Members of buckets that no link has joined yet are paired by a prefix
+filter on their rarest shingles. Pairs are verified on the exact shingle sets.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_arrow, materialize, text_slices
@@ -118,29 +118,28 @@ def _strip_sets(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         s = Shingles(part.column("text").to_pylist(), SHINGLE)
         sets = [np.unique(strips(h, np.zeros(len(h), np.int64))[0]).tobytes()
                 for h in (s.hashes[a:b] for a, b in zip(s.offsets[:-1], s.offsets[1:]))]
-        yield pa.record_batch([part.column("doc_id"), pa.array(sets, pa.binary())], names=["node", "strips"])
+        yield pa.record_batch([part.column("doc_id"), pa.array([len(x) // 8 for x in sets], pa.int32()),
+                               pa.array(sets, pa.binary())], names=["node", "size", "strips"])
+
+
+def _single_strips(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for i in range(batch.num_rows):
+        x = np.frombuffer(batch.column("strips")[i].as_buffer(), np.int64)
+        yield pa.record_batch([pa.array(x), pa.array(np.full(len(x), batch.column("node")[i].as_py()))],
+                              names=["strip", "node"])
 
 
 def _verify(threshold: float):
     def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         keep = np.zeros(batch.num_rows, bool)
         for i, (x, y) in enumerate(zip(batch.column("strips_a"), batch.column("strips_b"))):
-            a, b = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
-            if min(len(a), len(b)) >= threshold * max(len(a), len(b)) and len(a):
-                both = np.sort(np.concatenate([a, b]))
-                shared = int((both[1:] == both[:-1]).sum())
-                keep[i] = shared >= threshold * (len(both) - shared)
+            both = np.sort(np.concatenate([np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y)]))
+            shared = int((both[1:] == both[:-1]).sum())
+            keep[i] = shared >= threshold * (len(both) - shared)
         yield pa.record_batch([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
     return rows
 
 
-def _links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``(a, b)`` whose weighted Jaccard similarity reaches the threshold, written out."""
-    pairs = materialize(pairs.distinct(), "pairs")
-    side = [sets.select(F.col("node").alias(n), F.col("strips").alias(f"strips_{n}")) for n in "ab"]
-    return materialize(map_arrow(pairs.join(side[0], "a").join(side[1], "b"), _verify(threshold), "a long, b long"), "links")
-
-
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, copy_id, class_id, kept)`` for each row of ``docs(doc_id, text)``.
 
@@ -162,28 +161,23 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     copies = materialize(signed.groupBy(*copy).agg(F.min("doc_id").alias("copy_id")), "copies")
     banded = (signed.join(copies, copy).where("doc_id = copy_id")
               .select(F.explode("bands").alias("band"), F.col("doc_id").alias("node")))
-    shared = materialize(banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-                         .where("hub < last").select("band", "hub"), "shared-bands")
+    shared = materialize(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("x"), F.max("node").alias("y"))
+                         .where("x < y").select("band", "n"), "shared-bands")
     buckets = materialize(banded.join(shared, "band"), "buckets")
+    # the hub of a bucket is its member that shares the most bands with others: the source of edited copies, if it is there
+    popular = materialize(buckets.groupBy("node").agg(F.sum("n").alias("popularity")), "popularity")
+    hubs = buckets.join(popular, "node").groupBy("band").agg(
+        F.min(F.struct(-F.col("popularity"), "node")).alias("h")).select("band", F.col("h.node").alias("hub"))
+    buckets = materialize(buckets.select("band", "node").join(materialize(hubs, "hubs"), "band"), "buckets")
     involved = buckets.select("node").distinct()
     sets = materialize(map_arrow(named.join(involved, named["doc_id"] == involved["node"], "left_semi"),
-                                 _strip_sets, "node long, strips binary").dropDuplicates(["node"]), "strip-sets")
+                                 _strip_sets, "node long, size int, strips binary").dropDuplicates(["node"]), "strip-sets")
 
     links = _links(buckets.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")), sets, threshold)
-    members, joined = _open_buckets(buckets, connected_components(links))
-    # a second hub: the smallest of the members by hash
-    hubs = members.groupBy("band").agg(F.min(F.struct(F.xxhash64("node"), "node", "component")).alias("h"))
-    hubs = materialize(hubs.select("band", F.col("h.node").alias("hub"), F.col("h.component").alias("hub_component")), "hubs")
-    pairs = members.join(hubs, "band").where("component <> hub_component")
-    links = _links(pairs.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")), sets, threshold)
-    members, joined = _open_buckets(buckets, connected_components(
-        links.unionByName(joined.select(F.col("node").alias("a"), F.col("component").alias("b")))))
-    # what no hub has joined: members of different components that share a bucket
-    other = members.select("band", F.col("node").alias("b"), F.col("component").alias("other"))
-    pairs = members.join(other, "band").where((F.col("node") < F.col("b")) & (F.col("component") != F.col("other")))
-    links = _links(pairs.select(F.col("node").alias("a"), "b"), sets, threshold)
-    joined = connected_components(
-        links.unionByName(joined.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    joined = connected_components(links)
+    links = _links(_prefix_pairs(_open_nodes(buckets, joined), sets, threshold), sets, threshold)
+    joined = connected_components(links.unionByName(
+        joined.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     classes = materialize(copies.join(joined.withColumnRenamed("node", "copy_id"), "copy_id", "left")
                           .select(*copy, "copy_id", F.coalesce("component", "copy_id").alias("class_id")), "classes")
@@ -195,10 +189,46 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return out.unionByName(unnamed)
 
 
-def _open_buckets(buckets: DataFrame, joined: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members ``(band, node, component)`` of the buckets that still hold several components."""
+def _links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose weighted Jaccard similarity reaches the threshold, written out."""
+    pairs = materialize(pairs.distinct(), "pairs")
+    side = [sets.select(*[F.col(c).alias(n if c == "node" else f"{c}_{n}") for c in sets.columns]) for n in "ab"]
+    fits = F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b")
+    both = pairs.join(side[0], "a").join(side[1], "b").where(fits).select("a", "b", "strips_a", "strips_b")
+    return materialize(map_arrow(both, _verify(threshold), "a long, b long"), "links")
+
+
+def _open_nodes(buckets: DataFrame, joined: DataFrame) -> DataFrame:
+    """``(node, component)`` of the members of buckets that still hold several components, written out."""
     members = materialize(buckets.select("band", "node").join(joined, "node", "left")
-                          .select("band", "node", F.coalesce("component", "node").alias("component")), "members")
+                          .withColumn("component", F.coalesce("component", "node")), "members")
     mixed = materialize(members.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"))
                         .where("x < y").select("band"), "open-bands")
-    return materialize(members.join(mixed, "band"), "open-members"), joined
+    return materialize(members.join(mixed, "band").select("node", "component").distinct(), "open-nodes")
+
+
+def _prefix_pairs(nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of different components that may reach the threshold, by prefix filtering on shingles in order of rarity.
+
+    Two sets that share ``o`` elements also share one among the ``size - o + 1`` that come first in any common order, and
+    their first common element leaves room for ``o - 1`` more behind it in both. Shingles that no other open text
+    has come first and match nothing, shingles of a large group's source come last: an edited copy that went too far from
+    its source has no room left, and the members of the group are not listed with every straggler.
+    """
+    known = sets.join(nodes, "node")
+    single = materialize(map_arrow(known.select("node", "strips"), _single_strips, "strip long, node long"), "strips")
+    shared = materialize(single.groupBy("strip").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-strips")
+    common = single.join(shared, "strip")
+    attributes = materialize(
+        known.select("node", "component", "size")
+        .join(common.groupBy("node").agg(F.count(F.lit(1)).alias("common")), "node")
+        .withColumn("prefix", F.col("size") - F.ceil(threshold * F.col("size") - 1e-9) + 1 - (F.col("size") - F.col("common")))
+        .where("prefix > 0"), "open-texts")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("n", "strip"))
+    x = materialize(common.join(attributes, "node").withColumn("place", rank).where("place <= prefix").select(
+        "strip", "node", "component", "size", (F.col("common") - F.col("place") + 1).alias("room")), "prefixes")
+    y = x.select("strip", *[F.col(c).alias(f"y_{c}") for c in x.columns[1:]])
+    fits = F.least("room", "y_room") >= threshold / (1 + threshold) * (F.col("size") + F.col("y_size")) - 1e-9
+    pairs = x.join(y, (x["strip"] == y["strip"]) & (F.col("component") != F.col("y_component"))
+                   & (F.col("node") < F.col("y_node")) & fits)
+    return pairs.select(F.col("node").alias("a"), F.col("y_node").alias("b"))
