@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path
 
-__all__ = ["materialize", "scratch_path", "table", "without", "fresh", "held_out", "map_arrow",
+__all__ = ["materialize", "scratch_path", "table", "without", "fresh", "held_out", "map_arrow", "map_partitions",
            "text_slices", "null_safe"]
 
 FOLDS = 5
@@ -70,22 +70,26 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` for functions of one batch; empty batches are skipped.
+def map_partitions(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with the package sent along and batches limited by bytes.
 
-    Batches are limited by bytes (session setting ``maxBytesPerBatch``, set here), as
-    10,000 long texts at once would not fit beside the JVM in an executor.
+    The limit is the session setting ``maxBytesPerBatch``, set here: 10,000 long texts at once
+    would not fit beside the JVM in an executor.
     """
     ship_package(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df.mapInArrow(fn, schema)
+
 
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema) -> DataFrame:
+    """``map_partitions`` for functions of one batch; empty batches are skipped."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 yield from fn(batch)
             del batch
             pa.default_memory_pool().release_unused()  # workers live on between tasks
-    return df.mapInArrow(run, schema)
+    return map_partitions(df, run, schema)
 
 
 def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 18) -> Iterator[pa.RecordBatch]:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dartminhash, decontaminate, mixing, substring, toxicity
-from .common import held_out, table
+from . import dartminhash, decontaminate, mixing, substring, toxicity, wavelet
+from .common import held_out, scratch_path, table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,21 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, model)
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def encode_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Write the token shards of ``docs`` to the shared folder and read them back."""
+    folder = scratch_path(spark, "token-shards")
+    return wavelet.read_shards(wavelet.write_shards(docs, folder, tokenizer_path()), folder)
+
+
+def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(spark, table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -33,6 +48,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity,
+    op3_token_shards,
     op4_decontaminate,
     op5_near_dedup,
     op8_mix_sources,
