@@ -16,12 +16,14 @@ import re
 import numpy as np
 
 #: Words in each of the cache's two generations (about 200 bytes a word).
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
 #: Words encoded in one call.
 CALL_WORDS = 1000
 
 _OTHER_SPACE = [chr(c) for c in (9, 11, 12, 13, 28, 29, 30, 31)]
 _WIDE_SPACE = [chr(c) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+#: A word whose last letter is followed by ASCII punctuation alone; no piece holds a letter and punctuation, but for apostrophes.
+_TAIL = re.compile(r"([^']*[A-Za-zÀ-ÖØ-öø-ɏ])([!-&(-/:-@\[-`{-~]+)")
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
 
@@ -56,25 +58,38 @@ class Encoder:
         return keys
 
     def _learn(self, keys: set[str]) -> None:
+        """Put the ids of all keys into the young generation."""
         if len(self.young) + len(keys) > CACHE_WORDS:
             self.old, self.young = self.young, {}
-        new = []
+        young, old = self.young, self.old
+        new, tailed = set(), []
         for k in keys:
-            known = self.old.get(k)
-            if known is None:
-                new.append(k)
-            else:
-                self.young[k] = known
+            known = old.get(k)
+            if known is not None:
+                young[k] = known
+            elif (cut := _TAIL.fullmatch(k)) is None:
+                new.add(k)
+            else:  # the word without its punctuation is often known
+                word, tail = cut[1], "\0" + cut[2]
+                tailed.append((k, word, tail))
+                for part in (word, tail):
+                    if part not in young:
+                        if part in old:
+                            young[part] = old[part]
+                        else:
+                            new.add(part)
         chunks = [k for k in new if k[0] == "\0"]
-        self.young.update(zip(chunks, self._ids([k[1:] for k in chunks])))
+        young.update(zip(chunks, self._ids([k[1:] for k in chunks])))
         words = [k for k in new if k[0] != "\0"]
         for i in range(0, len(words), CALL_WORDS):  # many words in one text, cut at the line ends between them
             part = words[i:i + CALL_WORDS]
             ids = np.array(self.tokenizer.encode(" " + "\n ".join(part), add_special_tokens=False).ids, self.dtype)
-            data, start = ids.tobytes(), 0
-            for w, end in zip(part, [*(np.flatnonzero(ids == self.line_end) * self.dtype.itemsize).tolist(), len(data)]):
-                self.young[w] = data[start:end]
-                start = end + self.dtype.itemsize
+            data, start, step = ids.tobytes(), 0, self.dtype.itemsize
+            for w, end in zip(part, [*(np.flatnonzero(ids == self.line_end) * step).tolist(), len(data)]):
+                young[w] = data[start:end]
+                start = end + step
+        for k, word, tail in tailed:
+            young[k] = young[word] + young[tail]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, without special tokens, as little-endian integers of ``dtype``; null is an empty text."""
@@ -87,11 +102,13 @@ class Encoder:
             out[i] = ids
             del keys[i]
         found = {i: list(map(self.young.get, k)) for i, k in keys.items()}
-        missing = {i: set(itertools.compress(keys[i], map(operator.not_, g))) for i, g in found.items()}
-        self._learn(set().union(*missing.values()))
-        get, old = self.young.get, self.old.get
+        missing = {i: list(itertools.compress(range(len(g)), map(operator.not_, g))) for i, g in found.items()}
+        self._learn({keys[i][j] for i, places in missing.items() for j in places})
         for i, g in found.items():
-            out[i] = b"".join([v or get(w) or old(w) for v, w in zip(g, keys[i])] if missing[i] else g)
+            k = keys[i]
+            for j in missing[i]:
+                g[j] = self.young[k[j]]
+            out[i] = b"".join(g)
         return out
 
 
