@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dartminhash, decontaminate, mixing, substring, toxicity, wavelet
+from . import dartminhash, decontaminate, language, mixing, substring, toxicity, wavelet
 from .common import held_out, scratch_path, table
 
 
@@ -15,6 +15,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, model)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.train(docs, ~held_out(F.col("doc_id"))))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -48,6 +53,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity,
+    op2_language_id,
     op3_token_shards,
     op4_decontaminate,
     op5_near_dedup,
