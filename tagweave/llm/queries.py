@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dartminhash, decontaminate, language, mixing, substring, toxicity, wavelet
+from . import dartminhash, decontaminate, language, mixing, multiindex, substring, toxicity, wavelet
 from .common import held_out, scratch_path, table
 
 
@@ -43,6 +43,10 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES = {f.__name__: f for f in (
     op3_token_shards,
     op4_decontaminate,
     op5_near_dedup,
+    op6_embedding_dedup,
     op8_mix_sources,
     op10_substring_dedup,
 )}
