@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dartminhash, decontaminate, language, mixing, multiindex, substring, toxicity, wavelet
+from . import dartminhash, decontaminate, html_text, language, mixing, multiindex, substring, toxicity, wavelet
 from .common import held_out, scratch_path, table
 
 
@@ -47,6 +47,10 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiindex.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES = {f.__name__: f for f in (
     op4_decontaminate,
     op5_near_dedup,
     op6_embedding_dedup,
+    op7_html_text,
     op8_mix_sources,
     op10_substring_dedup,
 )}
