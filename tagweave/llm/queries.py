@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dartminhash, decontaminate, html_text, language, mixing, multiindex, substring, toxicity, wavelet
+from . import dartminhash, decontaminate, html_text, language, mixing, multiindex, substring, toxicity, url_templates, wavelet
 from .common import held_out, scratch_path, table
 
 
@@ -55,6 +55,10 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge(table(spark, sf_dir, "pages"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.remove_repeats(table(spark, sf_dir, "documents")))
 
@@ -68,6 +72,7 @@ QUERIES = {f.__name__: f for f in (
     op6_embedding_dedup,
     op7_html_text,
     op8_mix_sources,
+    op9_url_filter,
     op10_substring_dedup,
 )}
 ORACLE = {
