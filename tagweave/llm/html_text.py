@@ -40,6 +40,8 @@ CLOSES = {"li": (frozenset(["li"]), frozenset("ol ul menu".split())),
 _ENDS_P = frozenset(GAP) - {"html", "body", "option", "optgroup", "legend"}
 _P_SCOPE = frozenset("button caption html object table td th template".split())
 _TABLE_PARTS = frozenset("tr td th thead tbody tfoot".split())
+#: A tag that the page's end cuts is no text.
+_CUT_TAG = re.compile(r"<[A-Za-z/][^<>]*\Z")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _RULE = re.compile(r"([^{}@]+)\{([^{}]*)\}")
 _SIMPLE = re.compile(r"([a-z][a-z0-9]*)?((?:[.#][\w-]+)*)", re.I)
@@ -339,8 +341,9 @@ class Renderer:
 
 def visible_text(html: str | None) -> str:
     """The visible text of a page; an empty text for null."""
+    page = _CUT_TAG.sub("", (html or "").replace("\0", "�"))
     builder = Builder()
-    builder.feed((html or "").replace("\0", "�"))
+    builder.feed(page)
     builder.close()
     return Renderer(builder.hiding_rules()).render(builder.root)
 

@@ -42,7 +42,7 @@ def source_rates(docs: DataFrame, weights: DataFrame | None = None, temperature:
     """``(source, n_rows, rate)`` for each source, and the number of sources.
 
     ``weights``: ``(source, weight)``, one row for each source; sources
-    that it does not name get rate 0. Without it, a source's weight is its row
+    that it does not name get rate 0, weights of sources without rows are left out. Without it, a source's weight is its row
     count to the power ``temperature``, which flattens the mixture. The rates
     add up to ``total_rows`` expected rows (default: as many as come in).
     """

@@ -63,6 +63,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it builds on this module
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity,
     op2_language_id,
@@ -74,6 +79,7 @@ QUERIES = {f.__name__: f for f in (
     op8_mix_sources,
     op9_url_filter,
     op10_substring_dedup,
+    pipeline,
 )}
 ORACLE = {
     "op8_mix_sources": mixing.MIX_SQL.format(docs="documents", temperature=0.7, seed="mix-1"),

@@ -8,6 +8,7 @@ slower ways to the same ids; files of other kinds of tokenizers always encode wh
 
 from __future__ import annotations
 
+import array
 import itertools
 import operator
 import os
@@ -16,7 +17,7 @@ import re
 import numpy as np
 
 #: Words in each of the cache's two generations (about 200 bytes a word).
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
 #: Words encoded in one call.
 CALL_WORDS = 1000
 
@@ -24,9 +25,18 @@ _OTHER_SPACE = [chr(c) for c in (9, 11, 12, 13, 28, 29, 30, 31)]
 _WIDE_SPACE = [chr(c) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 #: A word whose last letter is followed by ASCII punctuation alone; no piece holds a letter and punctuation, but for apostrophes.
 _TAIL = re.compile(r"([^']*[A-Za-zÀ-ÖØ-öø-ɏ])([!-&(-/:-@\[-`{-~]+)")
+#: A word of letters alone is one piece, whatever stands around it.
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+")
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
 
+def byte_characters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes of Latin-1 stand for themselves, the others for code points from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: chr(b if b in own else next(others)) for b in range(256)}
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -41,6 +51,8 @@ class Encoder:
         line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids if self.by_word else []
         self.line_end = line_end[0] if len(line_end) == 1 else None
         self.by_word &= self.line_end is not None
+        self.byte_characters = byte_characters()
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes()
@@ -57,7 +69,7 @@ class Encoder:
         keys[0] = "\0" + keys[0]
         return keys
 
-    def _learn(self, keys: set[str]) -> None:
+    def _learn(self, keys: list[str]) -> None:
         """Put the ids of all keys into the young generation."""
         if len(self.young) + len(keys) > CACHE_WORDS:
             self.old, self.young = self.young, {}
@@ -80,10 +92,18 @@ class Encoder:
                             new.add(part)
         chunks = [k for k in new if k[0] == "\0"]
         young.update(zip(chunks, self._ids([k[1:] for k in chunks])))
-        words = [k for k in new if k[0] != "\0"]
+        words, model = [], self.tokenizer.model
+        for k in new:
+            if k[0] == "\0":
+                continue
+            if _LETTERS.fullmatch(k):  # one piece: straight to the merges
+                piece = (" " + k).encode().decode("latin-1").translate(self.byte_characters)
+                young[k] = array.array(self.code, [t.id for t in model.tokenize(piece)]).tobytes()
+            else:
+                words.append(k)
         for i in range(0, len(words), CALL_WORDS):  # many words in one text, cut at the line ends between them
             part = words[i:i + CALL_WORDS]
-            ids = np.array(self.tokenizer.encode(" " + "\n ".join(part), add_special_tokens=False).ids, self.dtype)
+            ids = np.frombuffer(self._ids([" " + "\n ".join(part)])[0], self.dtype)
             data, start, step = ids.tobytes(), 0, self.dtype.itemsize
             for w, end in zip(part, [*(np.flatnonzero(ids == self.line_end) * step).tolist(), len(data)]):
                 young[w] = data[start:end]
@@ -101,14 +121,15 @@ class Encoder:
         for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
             out[i] = ids
             del keys[i]
-        found = {i: list(map(self.young.get, k)) for i, k in keys.items()}
-        missing = {i: list(itertools.compress(range(len(g)), map(operator.not_, g))) for i, g in found.items()}
-        self._learn({keys[i][j] for i, places in missing.items() for j in places})
-        for i, g in found.items():
-            k = keys[i]
-            for j in missing[i]:
-                g[j] = self.young[k[j]]
-            out[i] = b"".join(g)
+        # each distinct word of these texts is looked up once in the large cache
+        distinct = dict.fromkeys(itertools.chain.from_iterable(keys.values()))
+        found = list(map(self.young.get, distinct))
+        missing = list(itertools.compress(distinct, map(operator.not_, found)))
+        self._learn(missing)
+        words = dict(zip(distinct, found))
+        words.update((k, self.young[k]) for k in missing)
+        for i, k in keys.items():
+            out[i] = b"".join(map(words.__getitem__, k))
         return out
 
 
