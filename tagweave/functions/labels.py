@@ -18,9 +18,10 @@ EDGE_COLOR = "#666"
 def label_to_sentiment(label) -> Column:
     """0 -> negative, 4 -> positive, anything else (null, junk) -> neutral.
 
-    ``try_cast`` keeps a junk label from raising under ANSI mode.
+    Labels compare by value: ``"4.0"`` is positive, 0.5 is neutral. ``try_cast``
+    keeps a junk label from raising under ANSI mode.
     """
-    code = as_col(label).try_cast("int")
+    code = as_col(label).try_cast("double")
     return (F.when(code == NEGATIVE_CODE, "negative")
             .when(code == POSITIVE_CODE, "positive")
             .otherwise("neutral"))

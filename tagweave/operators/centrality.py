@@ -37,7 +37,7 @@ def degree_centrality(v: DataFrame, e: DataFrame) -> DataFrame:
         F.coalesce("weighted_degree", F.lit(0)).cast("long").alias("weighted_degree"))
     return out.withColumn(
         "centrality",
-        F.try_divide(F.col("neighbor_degree").cast("double"), (n_vertices - 1).cast("double")))
+        F.coalesce(F.try_divide(F.col("neighbor_degree").cast("double"), (n_vertices - 1).cast("double")), F.lit(0.0)))
 
 
 # A rank-share row is (long key, double share); broadcast the share vector
@@ -52,7 +52,15 @@ def _vertex_key_stats(v: DataFrame) -> tuple[int, bool]:
     return row["n"], row["n"] == row["h"]
 
 
-def pagerank(v: DataFrame, e: DataFrame, max_iter: int = 20, tol: float | None = 0.01,
+class NotConverged(RuntimeError):
+    """A tolerance run used up its iterations; ``ranks`` holds the last vector, ``moved`` its largest step."""
+
+    def __init__(self, ranks: DataFrame, moved: float, iterations: int):
+        super().__init__(f"ranks still move by {moved} after {iterations} iterations")
+        self.ranks, self.moved = ranks, moved
+
+
+def pagerank(v: DataFrame, e: DataFrame, max_iter: int | None = None, tol: float | None = 0.01,
              reset: float = 0.15, checkpoint_every: int | None = 5,
              materialize: bool = True) -> DataFrame:
     """``(id, rank)``: PageRank with reset probability ``reset``.
@@ -60,9 +68,9 @@ def pagerank(v: DataFrame, e: DataFrame, max_iter: int = 20, tol: float | None =
     Ranks start at 1.0 and follow ``rank(v) = reset + (1 - reset) * sum(rank(u) / deg(u))``
     over neighbours u (unweighted, undirected, no self-loops); a vertex
     without neighbours settles at ``reset`` after the first iteration. Edge
-    ends must be vertices. Runs ``max_iter`` iterations, or stops earlier
-    when ``tol`` is given and no rank moved more than ``tol`` (one scalar
-    action per iteration).
+    ends must be vertices. With ``tol`` it runs until no rank moves more than
+    ``tol`` (one scalar action per iteration; the ranks converge geometrically, by ``1 - reset`` an iteration); a
+    ``max_iter`` that is used up before raises :class:`NotConverged`. With ``tol=None`` it runs exactly ``max_iter`` iterations.
 
     Plan (``materialize=True``): vertices are keyed by ``xxhash64(id)`` when one
     small job shows the hashes collision-free (else by the string id), so
@@ -77,8 +85,9 @@ def pagerank(v: DataFrame, e: DataFrame, max_iter: int = 20, tol: float | None =
     sides are shuffled on the source, which lets adaptive execution split
     the partition of a hub vertex (a bucketed adjacency would avoid that
     shuffle but pin a hub to one task). Isolated vertices are joined back
-    once at the end. Every ``checkpoint_every`` iterations the rank vector
-    is written out too, which keeps the lineage short.
+    once at the end. The rank vector is written out every iteration of a tolerance run (it is read by the
+    step's action and by the next iteration), else every ``checkpoint_every``
+    iterations, which keeps the lineage short.
     ``materialize=False`` keeps everything one lazy plan on string keys.
     """
     spark = v.sparkSession
@@ -94,25 +103,28 @@ def pagerank(v: DataFrame, e: DataFrame, max_iter: int = 20, tol: float | None =
     if materialize:
         deg = write_table(deg, "pagerank-degree")
     ranks = deg.select("_k", F.lit(1.0).alias("rank"))
-    done = 0
-    for it in range(int(max_iter)):
+    if tol is None and max_iter is None:
+        raise ValueError("pagerank needs max_iter or tol")
+    done, moved = 0, None
+    while max_iter is None or done < int(max_iter):
         share = ranks.join(deg, "_k").select(F.col("_k").alias("_u"), (F.col("rank") / F.col("_deg")).alias("_c"))
         if small_vector:
             share = F.broadcast(share)
         new = (adj.join(share, adj["src"] == share["_u"])
                .groupBy(F.col("dst").alias("_k"))
                .agg((F.lit(reset) + F.lit(1.0 - reset) * F.sum("_c")).alias("rank")))
-        if materialize and checkpoint_every and (it + 1) % checkpoint_every == 0 and it + 1 < max_iter:
+        done += 1
+        if materialize and (tol is not None or checkpoint_every and done % checkpoint_every == 0 and done < max_iter):
             new = write_table(new, "pagerank-ranks")
-        done = it + 1
         if tol is not None:
-            delta = (new.alias("n").join(ranks.alias("o"), "_k")
-                     .agg(F.max(F.abs(F.col("n.rank") - F.col("o.rank"))).alias("d")).first()["d"])
-            ranks = new
-            if delta is None or delta < tol:
-                break
-        else:
-            ranks = new
+            moved = (new.alias("n").join(ranks.alias("o"), "_k")
+                     .agg(F.max(F.abs(F.col("n.rank") - F.col("o.rank"))).alias("d")).first()["d"]) or 0.0
+        ranks = new
+        if moved is not None and moved < tol:
+            break
     lone = F.lit(reset if done > 0 else 1.0)
-    return (v.select("id", key("id").alias("_k")).join(ranks, "_k", "left")
-            .select("id", F.coalesce(F.col("rank"), lone).alias("rank")))
+    out = (v.select("id", key("id").alias("_k")).join(ranks, "_k", "left")
+           .select("id", F.coalesce(F.col("rank"), lone).alias("rank")))
+    if moved is not None and moved >= tol:
+        raise NotConverged(out, moved, done)
+    return out

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import SENTIMENTS
+from ..session import materialize as write_table
 
 # Tunables (not semantics): posts with more tag occurrences than this use the
 # block plan; each block of such a post owns this many distinct left tags.
@@ -147,7 +148,7 @@ def _block_pairs(posts: DataFrame, block: int = SALT_BLOCK, partitions: int | No
                  presorted: bool = False, min_tags: int = 2) -> DataFrame:
     """Pairs of long posts over distinct tags with multiplicities, split into blocks.
 
-    Row-local and join-free: the sorted tag array gives its distinct tags ``d``
+    Copies of a post are collapsed first, with map-side combine. The sorted tag array gives its distinct tags ``d``
     and multiplicities ``m`` from run lengths (linear in the post). The post
     then becomes ``ceil(n / block)`` block rows; block ``b`` owns the left
     tags ``d[b*block : (b+1)*block]`` and carries only the suffix of ``d``/``m``
@@ -164,30 +165,33 @@ def _block_pairs(posts: DataFrame, block: int = SALT_BLOCK, partitions: int | No
     k = F.size(srt)
     starts = F.filter(F.sequence(F.lit(0), k - 1),
                       lambda i: (i == 0) | (F.get(srt, i) != F.get(srt, i - 1)))
-    runs = s.select("_s", F.when(k >= min_tags, starts).alias("_st"))
+    # copies of a post are one row with a count: a post that was shared ten thousand times is paired once
+    long_posts = s.select(F.when(k >= min_tags, srt).alias("_s"))
+    same = long_posts.groupBy("_s").agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_s").isNotNull())
+    runs = same.select("_s", "_copies", starts.alias("_st"))
     st = F.col("_st")
     # distinct tags with their multiplicity, as one sorted array of structs
     dm = runs.select(
-        F.xxhash64("_s").alias("_fp"),
+        F.xxhash64("_s").alias("_fp"), "_copies",
         F.transform(st, lambda p, j: F.struct(
             F.get(srt, p).alias("tag"),
             (F.coalesce(F.get(st, j + 1), k) - p).cast("long").alias("m"))).alias("_dm"))
     n = F.size("_dm")
     nblocks = F.greatest(F.lit(1), F.ceil(n / F.lit(block))).cast("int")
     block_ids = F.when(F.col("_dm").isNotNull(), F.sequence(F.lit(0), nblocks - 1))
-    blocks = (dm.select("_fp", "_dm", F.explode_outer(block_ids).alias("_b"))
+    blocks = (dm.select("_fp", "_copies", "_dm", F.explode_outer(block_ids).alias("_b"))
               .where(F.col("_b").isNotNull()))
     lo = F.col("_b") * F.lit(block)
-    blocks = blocks.select("_fp", "_b", F.slice("_dm", lo + 1, n).alias("_sfx"),
+    blocks = blocks.select("_fp", "_copies", "_b", F.slice("_dm", lo + 1, n).alias("_sfx"),
                            F.least(F.lit(block), n - lo).alias("_cnt"))
     spread = blocks.repartition(parts, "_fp", "_b")
-    left = spread.select("_sfx", F.posexplode(F.slice("_sfx", F.lit(1), F.col("_cnt"))).alias("_i", "_a"))
+    left = spread.select("_copies", "_sfx", F.posexplode(F.slice("_sfx", F.lit(1), F.col("_cnt"))).alias("_i", "_a"))
     tail = F.slice("_sfx", F.col("_i") + 1, F.size("_sfx") - F.col("_i"))
-    pairs = left.select("_a", F.posexplode(tail).alias("_j", "_z"))
+    pairs = left.select("_copies", "_a", F.posexplode(tail).alias("_j", "_z"))
     ma, mb = F.col("_a.m"), F.col("_z.m")
     weight = F.when(F.col("_j") == 0, F.floor(ma * (ma - 1) / 2)).otherwise(ma * mb)
     return (pairs.select(F.col("_a.tag").alias("src"), F.col("_z.tag").alias("dst"),
-                         weight.cast("long").alias("weight"))
+                         (weight * F.col("_copies")).cast("long").alias("weight"))
             .where(F.col("weight") > 0))
 
 
@@ -236,12 +240,6 @@ def key_stats(posts: DataFrame) -> dict:
     return row.asDict()
 
 
-def keys_are_unique(posts: DataFrame) -> bool:
-    """True when no two distinct tags of ``posts`` share a key."""
-    st = key_stats(posts)
-    return st["tags"] == st["keys"]
-
-
 def _hash_plan_ok(st: dict) -> bool:
     return (st["tags"] == st["keys"] and st["tags"] >= HASH_MIN_TAGS
             and st["bytes"] <= DICT_BROADCAST_BYTES)
@@ -281,14 +279,31 @@ def edges(posts: DataFrame, method: str = "auto", array_pair_limit: int = ARRAY_
     summed = (post_pairs(encoded, method, array_pair_limit, salt_block, presorted=True)
               .groupBy(F.col("src").alias("_hs"), F.col("dst").alias("_hd"))
               .agg(F.sum("weight").cast("long").alias("weight")))
-    # one dictionary under two aliases: identical subtrees, so its exchange is reused
-    dictionary = tag_keys(posts)
+    # written once: both sides read the same rows, however often a job recomputes its input
+    dictionary = write_table(tag_keys(posts), "tag-dictionary")
     s_side, d_side = F.broadcast(dictionary.alias("_s")), F.broadcast(dictionary.alias("_d"))
     return (summed.join(s_side, F.col("_hs") == F.col("_s.key"))
             .join(d_side, F.col("_hd") == F.col("_d.key"))
             .select(F.col("_s.tag").alias("src"), F.col("_d.tag").alias("dst"), "weight"))
 
 
+def pair_totals(posts: DataFrame) -> DataFrame:
+    """One row: ``posts, tag_occurrences, total_pairs, self_loops``, without making a pair.
+
+    A post with k tags has k(k-1)/2 pairs, and a tag that occurs twice in a post makes a
+    self-loop, so both follow from the posts' own tag arrays.
+    """
+    tags = F.array_sort("hashtags")
+    rows = posts.select(F.size("hashtags").cast("long").alias("k"),
+                        F.array_distinct(F.filter(tags, lambda t, i: (i > 0) & (t == F.get(tags, i - 1)))).alias("twice"))
+    sums = rows.agg(F.count_if(F.col("k") > 0).alias("posts"),
+                    F.coalesce(F.sum("k"), F.lit(0)).alias("tag_occurrences"),
+                    F.coalesce(F.sum(F.floor(F.col("k") * (F.col("k") - 1) / 2)), F.lit(0)).cast("long").alias("total_pairs"))
+    loops = rows.select(F.explode("twice").alias("tag")).agg(F.count_distinct("tag").alias("self_loops"))
+    cols = ["posts", "tag_occurrences", "total_pairs", "self_loops"]
+    return sums.unionByName(loops, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in cols])
+
+
 def graph_summary(v: DataFrame, e: DataFrame) -> DataFrame:
     """One row: ``vertices, tag_occurrences, edges, total_pairs, self_loops``.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions._util import as_col
@@ -23,26 +23,31 @@ def assemble(df: DataFrame, text_col: str = "text", cleanup: str = "shrink") ->
     return df.withColumn("document", doc)
 
 
+# Pieces whose lengths are added up one by one; the blocks' totals are added up after them.
+_BLOCK = 32
+
+
 def token_spans(df: DataFrame, id_col: str, text_col: str = "document") -> DataFrame:
     """One row per token: ``(id, pos, begin, end, token)``, offsets 0-based, end inclusive.
 
     The text is cut into pieces that tile it (tokens and white-space runs);
-    a token begins where the lengths of the pieces before it add up to. The
-    running sum is a window within one text, ordered by piece position.
+    a token begins where the lengths of the pieces before it add up to. The sum is made inside the
+    row in two levels, blocks of pieces and pieces of a block, so nothing shuffles and
+    rows with the same id are kept apart.
     """
-    pieces = df.select(F.col(id_col).alias("id"),
-                       F.posexplode(F.regexp_extract_all(text_or_empty(text_col),
-                                                         F.lit(PIECE_PATTERN), F.lit(0)))
-                       .alias("_k", "_piece"))
-    w = Window.partitionBy("id").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
-    is_tok = (~F.col("_piece").rlike(r"^[\t\n\x0B\f\r ]+$")).cast("int")
-    spans = pieces.select(
-        "id", "_piece", is_tok.alias("_tok"),
-        F.coalesce(F.sum(F.length("_piece")).over(w), F.lit(0)).alias("begin"),
-        F.coalesce(F.sum(is_tok).over(w), F.lit(0)).alias("pos"))
-    return spans.where(F.col("_tok") == 1).select(
-        "id", "pos", "begin", (F.col("begin") + F.length("_piece") - 1).alias("end"),
-        F.col("_piece").alias("token"))
+    pieces = F.regexp_extract_all(text_or_empty(text_col), F.lit(PIECE_PATTERN), F.lit(0))
+    total = lambda xs, size: F.aggregate(xs, F.lit(0), lambda a, x: a + size(x))
+    n_blocks = F.ceil(F.size("_p") / _BLOCK).cast("int")
+    blocks = F.when(F.size("_p") > 0, F.transform(F.sequence(F.lit(0), n_blocks - 1),
+                                                  lambda j: F.slice("_p", j * _BLOCK + 1, _BLOCK)))
+    rows = df.select(F.col(id_col).alias("id"), pieces.alias("_p")).select("id", blocks.alias("_b"))
+    rows = rows.select("id", "_b", F.transform("_b", lambda b: total(b, F.length)).alias("_n"))
+    spans = F.flatten(F.transform("_b", lambda b, j: F.transform(b, lambda x, i: F.struct(
+        (total(F.slice("_n", 1, j), lambda n: n) + total(F.slice(b, 1, i), F.length)).alias("begin"), x.alias("token")))))
+    tokens = F.filter(spans, lambda s: ~s["token"].rlike(r"^[\t\n\x0B\f\r ]"))
+    out = rows.select("id", F.posexplode(tokens).alias("pos", "_t"))
+    return out.select("id", "pos", F.col("_t.begin").alias("begin"),
+                      (F.col("_t.begin") + F.length("_t.token") - 1).alias("end"), F.col("_t.token").alias("token"))
 
 
 def finish(annotations) -> Column:

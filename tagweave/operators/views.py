@@ -1,7 +1,7 @@
 """Dashboard data as DataFrames: top-N vertices, top-N subgraph, splits.
 
-The top-N set holds at most ``top_n`` rows, so broadcasting it to the edge
-semi-joins is size-proven whatever the graph size.
+The top-N set holds at most ``top_n`` rows: up to ``BROADCAST_TOP_N`` its ids are
+broadcast to the edge semi-joins, a larger set is joined without a hint.
 """
 
 from __future__ import annotations
@@ -13,13 +13,14 @@ from ..functions.labels import EDGE_COLOR, edge_width, node_size, sentiment_colo
 from ..functions.text import display_label
 
 DEFAULT_TOP_N = 20
-MAX_TOP_N = 10_000
+# Ids of the top-N set that may be broadcast.
+BROADCAST_TOP_N = 10_000
 
 
 def _check_n(top_n: int) -> int:
     n = int(top_n)
-    if not 0 < n <= MAX_TOP_N:
-        raise ValueError(f"top_n must be in 1..{MAX_TOP_N}")
+    if n <= 0:
+        raise ValueError("top_n must be positive")
     return n
 
 
@@ -47,13 +48,27 @@ def top_subgraph_nodes(v: DataFrame, e: DataFrame, top_n: int = DEFAULT_TOP_N) -
 
 def top_subgraph_edges(v: DataFrame, e: DataFrame, top_n: int = DEFAULT_TOP_N) -> DataFrame:
     """Edges with both ends in the top-N set: ``source, target, weight, width, color``."""
-    ids = F.broadcast(top_vertices(v, top_n).select(F.col("id").alias("_id")))
+    ids = top_vertices(v, top_n).select(F.col("id").alias("_id"))
+    if _check_n(top_n) <= BROADCAST_TOP_N:
+        ids = F.broadcast(ids)
     kept = (e.join(ids, F.col("src") == F.col("_id"), "left_semi")
             .join(ids, F.col("dst") == F.col("_id"), "left_semi"))
     return kept.select(F.col("src").alias("source"), F.col("dst").alias("target"), "weight",
                        edge_width("weight").alias("width"), F.lit(EDGE_COLOR).alias("color"))
 
 
+def posts_in_top(posts: DataFrame, v: DataFrame, top_n: int = DEFAULT_TOP_N) -> DataFrame:
+    """Posts with their tags cut down to the top-N set, before any pair is made.
+
+    Edges of these posts are the edges with both ends in the set. The ids, ``top_n`` strings, are
+    one scalar subquery; posts with fewer than two such tags go.
+    """
+    ids = top_vertices(v, top_n).agg(F.collect_list("id")).scalar()
+    kept = posts.withColumn("_top", ids).withColumn(
+        "hashtags", F.filter("hashtags", lambda t: F.array_contains("_top", t))).drop("_top")
+    return kept.where(F.size("hashtags") > 1)
+
+
 def top_subgraph(v: DataFrame, e: DataFrame, top_n: int = DEFAULT_TOP_N) -> tuple[DataFrame, DataFrame]:
     return top_subgraph_nodes(v, e, top_n), top_subgraph_edges(v, e, top_n)
 

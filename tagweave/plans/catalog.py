@@ -15,19 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import strip_zone
-from ..functions.labels import sentiment_from_text
+from ..functions.labels import label_to_sentiment, sentiment_from_text
 from ..functions.text import distinct_hashtags, has_hash, hashtags, shrink, tokens
 from ..operators import centrality, graph, sentiment, views
 from ..operators.model import train_sentiment_model
-from ..operators.tokens import token_spans
+from ..operators.tokens import finish, token_spans
 from ..session import materialize, scratch_path
-from .batch import tagged_posts
+from .batch import run_batch, tagged_posts
 from ..sinks.graph import write_chunks, write_graph
 from ..sources.fixtures import raw_view, read_table, scored_view
 from ..sources.graph_files import read_graph
-from ..sources.posts import hash_sample, normalize_posts
+from ..sources.posts import hash_sample, load_posts, normalize_posts, posts_with_hashtags
 from ..streaming.files import start_stream
-from ..streaming.live_graph import live_edges, live_vertices, start_graph_stream
+from ..streaming.live_graph import compact, live_edges, live_vertices, start_graph_stream
 from ..streaming.wire import to_wire
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,13 +59,87 @@ def _graph(spark, sf_dir, view="posts", method="auto"):
 
 # --- loading and scalar functions -------------------------------------------
 
-def q_load_normalized(spark, sf_dir):
-    p = normalize_posts(raw_view(spark, sf_dir, "posts"))
+def _loaded(p):
     return p.select("id", "text", F.array_join("hashtags", " ").alias("hashtags"),
                     _epoch("created_at").alias("created_at_epoch"),
                     "original_sentiment", "has_hashtags")
 
 
+def q_load_normalized(spark, sf_dir):
+    return _loaded(normalize_posts(raw_view(spark, sf_dir, "posts")))
+
+
+def _csv_lines(raw, *more):
+    """Headerless CSV lines of raw posts, every field quoted."""
+    quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+              for c in ("sentiment_label", "id", "date", "query", "user", "text")]
+    return raw.select(F.concat_ws(",", *quoted, *more).alias("value"))
+
+
+def _lined(spark, sf_dir):
+    """The posts view with a line end in place of every blank of a text."""
+    return raw_view(spark, sf_dir, "posts").withColumn("text", F.replace("text", F.lit(" "), F.lit("\n")))
+
+
+def q_load_csv(spark, sf_dir):
+    """CSV whose texts hold line ends, through the loader."""
+    path = scratch_path(spark, "posts-csv")
+    _csv_lines(_lined(spark, sf_dir)).write.text(path)
+    return _loaded(load_posts(spark, path, "csv"))
+
+
+def q_load_csv_latin1(spark, sf_dir):
+    """CSV in ISO-8859-1, split at line ends; every text with a letter beyond ASCII."""
+    path = scratch_path(spark, "posts-latin1")
+    raw = raw_view(spark, sf_dir, "posts").withColumn("text", F.concat(F.lit("café #é "), "text"))
+    _csv_lines(raw).write.option("encoding", "ISO-8859-1").text(path)
+    return _loaded(load_posts(spark, path, "csv", encoding="ISO-8859-1", multiline=False))
+
+
+def q_load_dropmalformed(spark, sf_dir):
+    """Posts without a label get a seventh field in the file; the loader skips these records."""
+    path = scratch_path(spark, "posts-malformed")
+    _csv_lines(raw_view(spark, sf_dir, "posts"), F.when(F.col("sentiment_label") == 2, "more")).write.text(path)
+    return _loaded(load_posts(spark, path, "csv", mode="DROPMALFORMED"))
+
+
+def q_load_json(spark, sf_dir):
+    path = scratch_path(spark, "posts-json")
+    _lined(spark, sf_dir).write.json(path)
+    return _loaded(load_posts(spark, path, "json"))
+
+
+def q_load_sampled(spark, sf_dir):
+    """Hash sample and row cap through the loader."""
+    path = scratch_path(spark, "posts-parquet")
+    raw_view(spark, sf_dir, "posts").write.parquet(path)
+    return load_posts(spark, path, "parquet", sample_fraction=0.999, sample_method="hash", max_rows=MAX_ROWS).select("id")
+
+
+def q_hash_sample_edges(spark, sf_dir):
+    """Sizes of hash samples up to the edge where every row is kept."""
+    raw = raw_view(spark, sf_dir, "posts").select("id")
+    sizes = [hash_sample(raw, f).agg(F.count(F.lit(1)).alias("n")).select(F.lit(str(f)).alias("fraction"), "n")
+             for f in (0.1, 0.999, 1 - 1e-10)]
+    return sizes[0].unionByName(sizes[1]).unionByName(sizes[2])
+
+
+def q_label_by_value(spark, sf_dir):
+    """Labels as whole numbers, fractions, text and null: quantities and discounts of all lines."""
+    lines = read_table(spark, sf_dir, "lineitem")
+    q, d = F.col("l_quantity"), F.col("l_discount")
+    return lines.select("l_orderkey", "l_linenumber", label_to_sentiment(q).alias("by_quantity"),
+                        label_to_sentiment(d * 100).alias("by_discount"),
+                        label_to_sentiment(F.concat(q.cast("int").cast("string"), F.lit(".0"))).alias("by_text"),
+                        label_to_sentiment(F.when(q > 25, "junk")).alias("by_junk"))
+
+
+def q_posts_with_hashtags(spark, sf_dir):
+    """F1 on whole documents: texts with a '#', tags or not."""
+    d = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return posts_with_hashtags(normalize_posts(d)).select("id", F.size("hashtags").alias("n_tags"))
+
+
 def q_hash_sample(spark, sf_dir):
     return hash_sample(raw_view(spark, sf_dir, "posts"), SAMPLE_FRACTION).select("id")
 
@@ -187,27 +261,33 @@ def q_graph_summary(spark, sf_dir):
     return graph.graph_summary(*_graph(spark, sf_dir, "posts"))
 
 
+def _vertices(spark, sf_dir, view="posts"):
+    return graph.vertices(scored_view(spark, sf_dir, view))
+
+
 def q_top_vertices(spark, sf_dir):
-    v, _ = _graph(spark, sf_dir, "posts")
-    return views.top_vertices(v, TOP_N)
+    return views.top_vertices(_vertices(spark, sf_dir), TOP_N)
 
 
 def q_top_subgraph_nodes(spark, sf_dir):
     return views.top_subgraph_nodes(*_graph(spark, sf_dir, "posts"), top_n=TOP_N)
 
 
-def q_top_subgraph_edges(spark, sf_dir):
-    return views.top_subgraph_edges(*_graph(spark, sf_dir, "posts"), top_n=TOP_N)
+def _top_edges(view):
+    """Tags are cut down to the top-N before any pair is made."""
+    def q(spark, sf_dir):
+        posts = _tagged(spark, sf_dir, view)
+        v = materialize(graph.vertices(posts), "vertices")
+        return views.top_subgraph_edges(v, graph.edges(views.posts_in_top(posts, v, TOP_N)), top_n=TOP_N)
+    return q
 
 
 def q_top_bar(spark, sf_dir):
-    v, _ = _graph(spark, sf_dir, "posts")
-    return views.top_bar(v, TOP_N)
+    return views.top_bar(_vertices(spark, sf_dir), TOP_N)
 
 
 def q_vertex_sentiment_split(spark, sf_dir):
-    v, _ = _graph(spark, sf_dir, "posts")
-    return views.vertex_sentiment_split(v)
+    return views.vertex_sentiment_split(_vertices(spark, sf_dir))
 
 
 def _centrality(view):
@@ -237,10 +317,6 @@ def q_turn_graph_summary(spark, sf_dir):
     return graph.graph_summary(*_graph(spark, sf_dir, "turn_posts"))
 
 
-def q_turn_top_subgraph_edges(spark, sf_dir):
-    return views.top_subgraph_edges(*_graph(spark, sf_dir, "turn_posts"), top_n=TOP_N)
-
-
 def q_graph_roundtrip_edges(spark, sf_dir):
     v, e = _graph(spark, sf_dir, "posts")
     out = scratch_path(spark, "graph")
@@ -248,6 +324,60 @@ def q_graph_roundtrip_edges(spark, sf_dir):
     return read_graph(spark, out, "parquet")[1]
 
 
+def q_graph_roundtrip_vertices(spark, sf_dir):
+    """The complete graph as JSON directories, read back: its vertices."""
+    v, e = _graph(spark, sf_dir, "posts")
+    out = scratch_path(spark, "graph")
+    write_graph(v, e, out, "json")
+    return read_graph(spark, out, "json")[0].select("id", F.col("degree").cast("long").alias("degree"), "dominant_sentiment")
+
+
+def _batch_job(spark, sf_dir):
+    """The batch job on one CSV input."""
+    path = scratch_path(spark, "batch-csv")
+    _csv_lines(_lined(spark, sf_dir)).write.text(path)
+    return run_batch(spark, path, "csv", scratch_path(spark, "batch-graph"))
+
+
+def q_batch_counts(spark, sf_dir):
+    counts = _batch_job(spark, sf_dir).counts
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+
+
+def q_batch_edges(spark, sf_dir):
+    return spark.read.parquet(_batch_job(spark, sf_dir).edges_path)
+
+
+def q_pagerank_tol(spark, sf_dir):
+    """Run until no rank moves by 1e-9: equal to any longer run at six digits."""
+    v, e = _graph(spark, sf_dir, "posts")
+    return centrality.pagerank(v, e, tol=1e-9).select("id", F.round("rank", 6).alias("rank"))
+
+
+def q_finisher(spark, sf_dir):
+    """Token annotations of whole documents joined to one string, and its sentiment reading (N4, P13)."""
+    spans = F.transform(tokens("text"), lambda t: F.struct(t.alias("result")))
+    d = read_table(spark, sf_dir, "documents").select("doc_id", finish(spans).alias("finished"))
+    return d.withColumn("sentiment", sentiment_from_text("finished"))
+
+
+def q_model_invariants(spark, sf_dir):
+    """The model chain checked by what must hold: rows kept, labels in their domain, sub-threshold rows neutral, one answer after save and load."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select(
+        "doc_id", F.when(F.col("quality") == 1, "positive").otherwise("negative").alias("sentiment"))
+    model = train_sentiment_model(docs.join(labels, "doc_id"))
+    path = scratch_path(spark, "model")
+    model.save(path)
+    again = type(model).load(path)
+    strict = type(model).load(path, threshold=1.1)  # no probability reaches it
+    out = (model.transform(docs).join(again.transform(docs).select("doc_id", F.col("sentiment").alias("again")), "doc_id")
+           .join(strict.transform(docs).select("doc_id", F.col("sentiment").alias("strict")), "doc_id"))
+    return out.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("sentiment").isin("positive", "negative", "neutral")).alias("in_domain"),
+                   F.count_if(F.col("sentiment") == F.col("again")).alias("same_after_load"),
+                   F.count_if(F.col("strict") == "neutral").alias("neutral_below_threshold"))
+
+
 def q_token_spans(spark, sf_dir):
     return token_spans(read_table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -292,6 +422,37 @@ def q_stream_posts(spark, sf_dir):
     return out.select("id", "text", F.array_join("hashtags", " ").alias("hashtags"), "sentiment")
 
 
+def _restarted(spark, sf_dir, start):
+    """Two ``availableNow`` runs on one checkpoint, the second half of the files arriving between them."""
+    base = scratch_path(spark, "stream-restart")
+    wire = to_wire(raw_view(spark, sf_dir, "posts"))
+    half = F.pmod(F.xxhash64("id"), F.lit(2))
+    for part in (0, 1):
+        write_chunks(wire.where(half == part), f"{base}/in", chunk_size=1000)
+        start(base).awaitTermination()
+    return base
+
+
+def q_stream_restart_posts(spark, sf_dir):
+    base = _restarted(spark, sf_dir, lambda b: start_stream(spark, f"{b}/in", f"{b}/out", f"{b}/ckpt", trigger="available_now"))
+    return spark.read.schema("id string, text string, sentiment string").json(f"{base}/out")
+
+
+def _restarted_graph(spark, sf_dir):
+    base = _restarted(spark, sf_dir, lambda b: start_graph_stream(
+        spark, f"{b}/in", f"{b}/state", f"{b}/ckpt", trigger="available_now", max_files_per_trigger=4))
+    compact(spark, f"{base}/state")
+    return f"{base}/state"
+
+
+def q_stream_restart_vertices(spark, sf_dir):
+    return live_vertices(spark, _restarted_graph(spark, sf_dir))
+
+
+def q_stream_restart_edges(spark, sf_dir):
+    return live_edges(spark, _restarted_graph(spark, sf_dir))
+
+
 def _stream_graph(spark, sf_dir):
     base = _wire_files(spark, sf_dir, "stream-graph")
     q = start_graph_stream(spark, f"{base}/in", f"{base}/state", f"{base}/ckpt",
@@ -312,6 +473,11 @@ def q_doc_graph_summary(spark, sf_dir):
     return graph.graph_summary(*_graph(spark, sf_dir, "doc_posts"))
 
 
+def q_doc_pair_totals(spark, sf_dir):
+    """Pairs and self-loops of whole documents, every word a tag, in closed form."""
+    return graph.pair_totals(scored_view(spark, sf_dir, "doc_posts"))
+
+
 def q_doc_top_vertices(spark, sf_dir):
     v = graph.vertices(_tagged(spark, sf_dir, "doc_posts"))
     return views.top_vertices(v, TOP_N)
@@ -347,7 +513,7 @@ QUERIES: dict[str, Query] = {
     "graph_summary": q_graph_summary,
     "top_vertices": q_top_vertices,
     "top_subgraph_nodes": q_top_subgraph_nodes,
-    "top_subgraph_edges": q_top_subgraph_edges,
+    "top_subgraph_edges": _top_edges("posts"),
     "top_bar": q_top_bar,
     "vertex_sentiment_split": q_vertex_sentiment_split,
     "degree_centrality": _centrality("posts"),
@@ -355,7 +521,7 @@ QUERIES: dict[str, Query] = {
     "turn_vertices": q_turn_vertices,
     "turn_edges": q_turn_edges,
     "turn_graph_summary": q_turn_graph_summary,
-    "turn_top_subgraph_edges": q_turn_top_subgraph_edges,
+    "turn_top_subgraph_edges": _top_edges("turn_posts"),
     "turn_degree_centrality": _centrality("turn_posts"),
     "turn_pagerank_5": _pagerank("turn_posts"),
     "graph_roundtrip_edges": q_graph_roundtrip_edges,
@@ -366,6 +532,24 @@ QUERIES: dict[str, Query] = {
     "stream_posts": q_stream_posts,
     "stream_graph_vertices": q_stream_graph_vertices,
     "stream_graph_edges": q_stream_graph_edges,
+    "load_csv": q_load_csv,
+    "load_csv_latin1": q_load_csv_latin1,
+    "load_dropmalformed": q_load_dropmalformed,
+    "load_json": q_load_json,
+    "load_sampled": q_load_sampled,
+    "hash_sample_edges": q_hash_sample_edges,
+    "label_by_value": q_label_by_value,
+    "posts_with_hashtags": q_posts_with_hashtags,
+    "graph_roundtrip_vertices": q_graph_roundtrip_vertices,
+    "batch_counts": q_batch_counts,
+    "batch_edges": q_batch_edges,
+    "pagerank_tol": q_pagerank_tol,
+    "finisher": q_finisher,
+    "model_invariants": q_model_invariants,
+    "stream_restart_posts": q_stream_restart_posts,
+    "stream_restart_vertices": q_stream_restart_vertices,
+    "stream_restart_edges": q_stream_restart_edges,
+    "doc_pair_totals": q_doc_pair_totals,
     # whole documents, every word a tag: the heaviest queries, kept last
     "doc_graph_summary": q_doc_graph_summary,
     "doc_top_vertices": q_doc_top_vertices,

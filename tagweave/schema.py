@@ -1,7 +1,7 @@
 """Fixed schemas of the data this package reads and writes."""
 
-from pyspark.sql.types import (ArrayType, BooleanType, LongType, StringType,
-                               StructField, StructType, TimestampType)
+from pyspark.sql.types import (ArrayType, LongType, StringType, StructField, StructType,
+                               TimestampType)
 
 # Raw post, positional CSV (no header) and JSON/Parquet by name. All strings:
 # a junk label must stay a row (it maps to neutral), ids keep leading zeros,
@@ -19,15 +19,6 @@ RAW_COLUMNS = [f.name for f in RAW_POST.fields]
 REQUIRED_COLUMNS = ("id", "text")
 OPTIONAL_COLUMNS = ("date", "sentiment_label")
 
-POST = StructType([
-    StructField("id", StringType(), True),
-    StructField("text", StringType(), True),
-    StructField("hashtags", ArrayType(StringType(), True), True),
-    StructField("created_at", TimestampType(), True),
-    StructField("original_sentiment", StringType(), False),
-    StructField("has_hashtags", BooleanType(), False),
-])
-
 # Stream wire record: hashtags travel as a JSON array inside a string.
 WIRE = StructType([
     StructField("id", StringType(), True),

@@ -23,6 +23,10 @@ def write_graph(v: DataFrame, e: DataFrame, out_dir: str, fmt: str = "parquet",
     return vpath, epath
 
 
+# Nodes in a JSON array document: its edges grow with the square.
+MAX_JSON_N = 1000
+
+
 def json_array_document(df: DataFrame) -> DataFrame:
     """One row, one column ``value``: the rows of ``df`` as a JSON array.
 
@@ -33,13 +37,16 @@ def json_array_document(df: DataFrame) -> DataFrame:
 
 
 def export_top_json(v: DataFrame, e: DataFrame, out_dir: str, top_n: int = DEFAULT_TOP_N) -> tuple[str, str]:
-    """The top-N subgraph as two JSON array documents (``vertices.json``, ``edges.json``).
+    """The top-N subgraph as two JSON array documents (``top_vertices.json``, ``top_edges.json``).
 
-    Bounded by ``top_n`` nodes and at most ``top_n^2/2`` edges, so the single
-    value per file is size-proven. Written as a one-partition text output.
+    The complete graph is what ``write_graph`` writes; these two are its top-N excerpt for a dashboard, one value a
+    file: ``top_n`` nodes and at most ``top_n^2/2`` edges, so ``top_n`` may be at most ``MAX_JSON_N`` here
+    (about 100 MB of JSON). Written as a one-partition text output.
     """
+    if top_n > MAX_JSON_N:
+        raise ValueError(f"a JSON document holds at most the top {MAX_JSON_N}; write_graph writes any size")
     nodes, edges = top_subgraph(v, e, top_n)
-    npath, epath = os.path.join(out_dir, "vertices.json"), os.path.join(out_dir, "edges.json")
+    npath, epath = os.path.join(out_dir, "top_vertices.json"), os.path.join(out_dir, "top_edges.json")
     json_array_document(nodes.select("id", "degree", F.col("sentiment").alias("dominant_sentiment"))) \
         .coalesce(1).write.mode("overwrite").text(npath)
     json_array_document(edges.select(F.col("source").alias("src"), F.col("target").alias("dst"), "weight")) \

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schema import EDGE, VERTEX
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -23,7 +23,7 @@ def read_graph(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> tuple
     other read error is raised, not hidden.
     """
     vpath, epath = os.path.join(out_dir, "vertices"), os.path.join(out_dir, "edges")
-    if not (_exists(spark, vpath) and _exists(spark, epath)):
+    if not (path_exists(spark, vpath) and path_exists(spark, epath)):
         return (spark.createDataFrame([], VERTEX), spark.createDataFrame([], EDGE))
     reader = spark.read.format(fmt)
     if fmt != "parquet":

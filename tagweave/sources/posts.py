@@ -19,33 +19,45 @@ SAMPLE_SEED = 42
 
 
 def read_raw(spark: SparkSession, path, fmt: str = "csv", *, encoding: str = "UTF-8",
-             multiline: bool = False, mode: str = "PERMISSIVE") -> DataFrame:
+             multiline: bool | None = None, mode: str | None = None) -> DataFrame:
     """Scan raw posts with a fixed schema (no inference pass).
 
     CSV is headerless and positional (``sentiment_label,id,date,query,user,text``),
-    quoted with ``"`` and doubled quotes inside. ``multiline=True`` allows
-    records spanning lines but makes every file a single task; prefer JSON
-    Lines or Parquet for large inputs. ``encoding`` matters for non-UTF-8
-    files (e.g. ``ISO-8859-1``); ``mode="DROPMALFORMED"`` skips bad lines.
-    Spark parses only the CSV columns a query reads, so a line with the wrong
-    number of fields counts as malformed only when all six are read (or the
-    session sets ``spark.sql.csv.parser.columnPruning.enabled=false``).
+    quoted with ``"`` and doubled quotes inside. A quoted text may hold line
+    ends, so CSV is read ``multiline`` by default; that makes every file one
+    task, so write large inputs as many files, or as JSON Lines or Parquet.
+    ``multiline=False`` splits files at line ends; it is checked, not trusted: a
+    line that does not have six fields fails the job, unless ``mode``
+    says otherwise. ``encoding`` matters for non-UTF-8 files (e.g.
+    ``ISO-8859-1``); ``mode="DROPMALFORMED"`` skips records with a wrong number of fields.
+    All six CSV fields are parsed whatever a query reads, so that records are checked alike.
+
+    A CSV file whose first record has another number of fields, and JSON in
+    which no record has a required field, raise ``ValueError`` here.
     """
     kind = fmt.lower()
-    if kind == "csv":
-        return (spark.read.schema(RAW_POST)
-                .option("header", "false").option("quote", '"').option("escape", '"')
-                .option("multiLine", str(bool(multiline)).lower())
-                .option("encoding", encoding).option("mode", mode)
-                .csv(path))
-    if kind == "json":
-        return (spark.read.schema(RAW_POST)
-                .option("multiLine", str(bool(multiline)).lower())
-                .option("encoding", encoding).option("mode", mode)
-                .json(path))
+    if kind not in SUPPORTED_FORMATS:
+        raise ValueError(f"Unsupported data format: {fmt}")
     if kind == "parquet":
         return spark.read.parquet(path)
-    raise ValueError(f"Unsupported data format: {fmt}")
+    lines = kind == "json" if multiline is None else not multiline
+    reader = spark.read.option("multiLine", str(not lines).lower()).option("encoding", encoding)
+    if kind == "json":
+        df = reader.schema(RAW_POST).option("mode", mode or "PERMISSIVE").json(path)
+        missing = [c for c in REQUIRED_COLUMNS if df.where(F.col(c).isNotNull()).isEmpty()]
+        if missing and not df.isEmpty():
+            raise _missing(missing, [c for c in RAW_COLUMNS if not df.where(F.col(c).isNotNull()).isEmpty()])
+        return df
+    reader = reader.option("header", "false").option("quote", '"').option("escape", '"')
+    first = reader.csv(path).columns  # reads one record
+    if first and len(first) != len(RAW_COLUMNS):
+        raise _missing(REQUIRED_COLUMNS, [f"{len(first)} unnamed fields, not {len(RAW_COLUMNS)}"])
+    return (reader.schema(RAW_POST).option("columnPruning", "false")
+            .option("mode", mode or ("FAILFAST" if lines else "PERMISSIVE")).csv(path))
+
+
+def _missing(names, found) -> ValueError:
+    return ValueError(f"posts need the columns {', '.join(map(repr, names))}; found: {', '.join(found) or 'none'}")
 
 
 def hash_sample(df: DataFrame, fraction: float, key: str = "id") -> DataFrame:
@@ -57,21 +69,20 @@ def hash_sample(df: DataFrame, fraction: float, key: str = "id") -> DataFrame:
     if not 0 < fraction < 1:
         raise ValueError("fraction must lie strictly between 0 and 1")
     # first 32 bits h (an integer) < fraction * 2^32  <=>  h < ceil(fraction * 2^32)
-    bound = format(math.ceil(fraction * (1 << 32)), "08x")
-    return df.where(F.substring(F.md5(F.col(key).cast("string")), 1, 8) < F.lit(bound))
+    first = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long")
+    return df.where(first < F.lit(math.ceil(fraction * (1 << 32))))
 
 
 def normalize_posts(df: DataFrame, created_at_mode: str = "parse") -> DataFrame:
     """Project raw posts to ``id, text, hashtags, created_at, original_sentiment, has_hashtags``.
 
-    ``id`` and ``text`` are required (``ValueError`` names the missing one);
+    ``id`` and ``text`` are required (``ValueError`` names the missing and the found ones);
     ``date`` and ``sentiment_label`` are optional and read as null when absent.
     ``created_at_mode``: ``parse`` (default) or ``constant`` (the legacy fixed
     instant). Analysis only; no job runs here.
     """
-    for name in REQUIRED_COLUMNS:
-        if name not in df.columns:
-            raise ValueError(f"Required column '{name}' not found in data")
+    if missing := [c for c in REQUIRED_COLUMNS if c not in df.columns]:
+        raise _missing(missing, df.columns)
     for name in OPTIONAL_COLUMNS:
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast("string"))
@@ -102,15 +113,16 @@ def posts_with_hashtags(posts: DataFrame) -> DataFrame:
 
 
 def load_posts(spark: SparkSession, path, fmt: str = "csv", *, sample_fraction: float | None = None,
-               max_rows: int | None = None, encoding: str = "UTF-8", multiline: bool = False,
-               mode: str = "PERMISSIVE", created_at_mode: str = "parse",
+               max_rows: int | None = None, encoding: str = "UTF-8", multiline: bool | None = None,
+               mode: str | None = None, created_at_mode: str = "parse",
                sample_method: str = "bernoulli") -> DataFrame:
-    """Load and normalise posts (lazy: no count, no job).
+    """Load and normalise posts (lazy, but for the first records that ``read_raw`` checks).
 
     ``sample_fraction`` in (0, 1) samples before normalisation (a value outside
     is ignored, as in the legacy loader); ``sample_method`` is ``bernoulli``
     (``DataFrame.sample``, seed 42) or ``hash`` (layout independent).
-    ``max_rows > 0`` keeps the first rows by ``id`` (a deterministic cap).
+    ``max_rows > 0`` keeps the first rows by ``id`` (a deterministic cap; those rows
+    pass through one task, so it is for previews).
     """
     df = read_raw(spark, path, fmt, encoding=encoding, multiline=multiline, mode=mode)
     if sample_fraction and 0 < sample_fraction < 1:

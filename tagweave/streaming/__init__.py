@@ -1,8 +1,8 @@
 """Structured Streaming: wire format, file stream, live graph."""
 
 from .files import read_wire_stream, start_stream
-from .live_graph import live_edges, live_vertices, start_graph_stream, write_deltas
+from .live_graph import compact, live_edges, live_vertices, start_graph_stream, write_deltas
 from .wire import decode_wire, to_wire
 
 __all__ = ["read_wire_stream", "start_stream", "live_edges", "live_vertices",
-           "start_graph_stream", "write_deltas", "decode_wire", "to_wire"]
+           "start_graph_stream", "write_deltas", "compact", "decode_wire", "to_wire"]

@@ -1,17 +1,22 @@
 """The co-occurrence graph kept current from the post stream.
 
 Each micro-batch is reduced to two small additive deltas -- the tag
-sentiment profile and the pair weights of that batch -- and written to
-``<state_dir>/profile/batch_id=N`` and ``<state_dir>/pairs/batch_id=N``.
-A replayed batch overwrites its own partition, so the state is exactly-once
-without a transactional table. ``live_vertices`` / ``live_edges`` sum the
-deltas (a batch aggregate, partial sums before the shuffle). Nothing is
+sentiment profile and the pair weights of that batch. Both are written to
+folders of their own (a new name for every attempt), then one manifest row
+``<state_dir>/manifest/batch_id=N`` names them: a reader sees both
+deltas of a batch or neither, and no file that it reads is overwritten. A replayed batch replaces its manifest
+row, so the state is exactly-once without a transactional table. ``live_vertices`` / ``live_edges`` sum the
+deltas (a batch aggregate, partial sums before the shuffle); ``compact`` sums all batches so far into one. Nothing is
 kept in streaming state and no aggregate is chained in update mode.
+
+Batch ids belong to one checkpoint. A stream with a new checkpoint may not
+write to a state folder that holds batches: they would be overwritten or counted twice.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +26,7 @@ from ..functions.labels import normalize_sentiment
 from ..functions.text import hashtags
 from ..operators.graph import post_pairs, sentiment_profile, vertices_from_profile
 from ..schema import SENTIMENTS
+from ..sources.graph_files import path_exists
 from .files import _apply_trigger, read_wire_stream
 from .wire import decode_wire
 
@@ -31,13 +37,46 @@ def _posts_of(decoded: DataFrame, dedupe: bool) -> DataFrame:
                           normalize_sentiment(F.col("sentiment")).alias("sentiment"))
 
 
+_MANIFEST = "profile string, pairs string, upto long"
+
+
 def write_deltas(posts: DataFrame, state_dir: str, batch_id: int) -> None:
-    """Write the profile and pair deltas of one batch (idempotent per batch id)."""
-    profile = sentiment_profile(posts)
+    """Write the profile and pair deltas of one batch, then its manifest row."""
     pairs = (post_pairs(posts).groupBy("src", "dst")
              .agg(F.sum("weight").cast("long").alias("weight")))
-    profile.write.mode("overwrite").parquet(os.path.join(state_dir, "profile", f"batch_id={batch_id}"))
-    pairs.write.mode("overwrite").parquet(os.path.join(state_dir, "pairs", f"batch_id={batch_id}"))
+    _publish(posts.sparkSession, state_dir, batch_id, batch_id, sentiment_profile(posts), pairs)
+
+
+def _publish(spark: SparkSession, state_dir: str, batch_id: int, upto: int, profile: DataFrame, pairs: DataFrame) -> None:
+    folder = os.path.join(state_dir, "data", f"{batch_id:012d}-{uuid.uuid4().hex[:12]}")
+    paths = [os.path.join(folder, name) for name in ("profile", "pairs")]
+    profile.write.parquet(paths[0])
+    pairs.write.parquet(paths[1])
+    (spark.createDataFrame([(*paths, upto)], _MANIFEST).coalesce(1)
+     .write.mode("overwrite").parquet(os.path.join(state_dir, "manifest", f"batch_id={batch_id}")))
+
+
+def _batches(spark: SparkSession, state_dir: str) -> list:
+    """Manifest rows of the batches that count: one row a batch, or a compacted row for all up to it (one row of a few paths each)."""
+    path = os.path.join(state_dir, "manifest")
+    if not path_exists(spark, path):
+        return []
+    rows = spark.read.schema(_MANIFEST + ", batch_id long").parquet(path).collect()
+    base = max((r for r in rows if r.batch_id < 0), key=lambda r: r.upto, default=None)
+    tail = [r for r in rows if r.batch_id >= 0 and (base is None or r.batch_id > base.upto)]
+    return ([base] if base else []) + tail
+
+
+def compact(spark: SparkSession, state_dir: str) -> None:
+    """Sum all batches published so far into one, which readers take in their place.
+
+    Run it between batches now and then, so that reads do not grow with the age of the stream. The batches' own
+    files stay for readers that have begun; delete folders under ``data`` that are older than any reader.
+    """
+    rows = _batches(spark, state_dir)
+    if len(rows) > 1:
+        upto = max(r.upto for r in rows)
+        _publish(spark, state_dir, -1 - upto, upto, _sum_profile(spark, rows), _sum_pairs(spark, rows))
 
 
 def start_graph_stream(spark: SparkSession, input_dir: str, state_dir: str, checkpoint_dir: str,
@@ -47,8 +86,10 @@ def start_graph_stream(spark: SparkSession, input_dir: str, state_dir: str, chec
 
     ``dedupe=True`` uses the wire's (distinct) tags; ``dedupe=False``
     re-extracts tags from the text, so the graph equals the batch graph of
-    the same posts.
+    the same posts. Raises ``ValueError`` for a new checkpoint on a state folder that holds batches.
     """
+    if _batches(spark, state_dir) and not path_exists(spark, os.path.join(checkpoint_dir, "metadata")):
+        raise ValueError(f"{state_dir} holds batches of another checkpoint; start with an empty state folder")
     decoded = decode_wire(read_wire_stream(spark, input_dir, max_files_per_trigger))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -64,25 +105,25 @@ def start_graph_stream(spark: SparkSession, input_dir: str, state_dir: str, chec
     return _apply_trigger(writer, trigger).start()
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.parquet(path)
-    except Exception as ex:  # no batch written yet
-        if "PATH_NOT_FOUND" in str(ex) or "UNABLE_TO_INFER_SCHEMA" in str(ex):
-            return spark.createDataFrame([], schema)
-        raise
+def _sum_profile(spark: SparkSession, rows: list) -> DataFrame:
+    if not rows:
+        return spark.createDataFrame([], "id string, degree long, " + ", ".join(f"{s} long" for s in SENTIMENTS))
+    prof = spark.read.parquet(*[r.profile for r in rows])
+    return prof.groupBy("id").agg(F.sum("degree").alias("degree"), *[F.sum(s).alias(s) for s in SENTIMENTS])
+
+
+def _sum_pairs(spark: SparkSession, rows: list) -> DataFrame:
+    if not rows:
+        return spark.createDataFrame([], "src string, dst string, weight long")
+    pairs = spark.read.parquet(*[r.pairs for r in rows])
+    return pairs.groupBy("src", "dst").agg(F.sum("weight").cast("long").alias("weight"))
 
 
 def live_vertices(spark: SparkSession, state_dir: str) -> DataFrame:
     """Current vertices ``(id, degree, dominant_sentiment)`` from the deltas."""
-    schema = "id string, degree long, " + ", ".join(f"{s} long" for s in SENTIMENTS)
-    prof = _read_or_empty(spark, os.path.join(state_dir, "profile"), schema)
-    summed = prof.groupBy("id").agg(F.sum("degree").alias("degree"),
-                                    *[F.sum(s).alias(s) for s in SENTIMENTS])
-    return vertices_from_profile(summed)
+    return vertices_from_profile(_sum_profile(spark, _batches(spark, state_dir)))
 
 
 def live_edges(spark: SparkSession, state_dir: str) -> DataFrame:
     """Current edges ``(src, dst, weight)`` from the deltas."""
-    pairs = _read_or_empty(spark, os.path.join(state_dir, "pairs"), "src string, dst string, weight long")
-    return pairs.groupBy("src", "dst").agg(F.sum("weight").cast("long").alias("weight"))
+    return _sum_pairs(spark, _batches(spark, state_dir))

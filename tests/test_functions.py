@@ -87,3 +87,10 @@ def test_display_values(spark):
                      edge_width("w").alias("w")).collect()
     assert (rows[0]["c"], rows[0]["n"], rows[0]["w"]) == ("#4CAF50", 20, 1.0)
     assert (rows[1]["c"], rows[1]["n"], rows[1]["w"]) == ("#9E9E9E", 80, 10.0)
+
+
+def test_labels_compare_by_value(spark):
+    from tagweave.functions.labels import label_to_sentiment
+    df = spark.createDataFrame([("0", "negative"), ("0.0", "negative"), ("4.0", "positive"), ("0.5", "neutral"), ("-0.3", "neutral"),
+                                ("4.7", "neutral"), ("junk", "neutral"), (None, "neutral")], "label string, want string")
+    assert all(r["got"] == r["want"] for r in df.withColumn("got", label_to_sentiment("label")).collect())

@@ -94,7 +94,8 @@ def test_hash_keys_equal_brute_force(spark):
     for method in ("auto", "array", "blocks"):
         assert collect_edges(graph.edges(df, method, keys="hash")) == exp_e, method
     assert collect_edges(graph.edges(df, keys="string")) == exp_e
-    assert graph.keys_are_unique(df)
+    st = graph.key_stats(df)
+    assert st["tags"] == st["keys"]
 
 
 def test_hash_plan_gate():
@@ -103,3 +104,21 @@ def test_hash_plan_gate():
     assert not ok({"tags": 5000, "keys": 4999, "bytes": 1000})       # a collision: strings
     assert not ok({"tags": 10, "keys": 10, "bytes": 100})            # small vocabulary
     assert not ok({"tags": 5000, "keys": 5000, "bytes": 1 << 40})    # dictionary too large to broadcast
+
+
+def test_copies_of_a_long_post_are_paired_once(spark):
+    tags = [f"t{i:03d}" for i in range(100)]
+    df = posts_df(spark, [(tags, "neutral")] * 400 + [(["a", "a", "b"], "neutral")])
+    got = collect_edges(graph.edges(df))
+    assert len(got) == 4950 + 2 and got["t000", "t099"] == 400 and got["a", "a"] == 1 and got["a", "b"] == 2
+    assert graph.post_pairs(df).count() == 4950 + 3
+
+
+def test_pair_totals_equal_the_graph(spark):
+    posts = random_posts(6) + [([], "neutral")]
+    df = posts_df(spark, posts)
+    _, exp_e = brute.graph(posts)
+    row = graph.pair_totals(df).first()
+    assert row["total_pairs"] == sum(exp_e.values())
+    assert row["self_loops"] == sum(a == b for a, b in exp_e)
+    assert row["posts"] == sum(bool(t) for t, _ in posts) and row["tag_occurrences"] == sum(len(t) for t, _ in posts)

@@ -19,7 +19,7 @@ def test_csv_quotes_commas_newlines(spark, scratch):
     p = write(os.path.join(scratch, "a.csv"),
               '0,"1","Mon Apr 06 22:19:45 PDT 2009","NO_QUERY","u","say ""hi"", #Tag\nnext line"\n'
               '4,"2","Mon Apr 06 22:19:45 PDT 2009","NO_QUERY","v","plain #x"\n')
-    rows = {r["id"]: r for r in load_posts(spark, p, "csv", multiline=True).collect()}
+    rows = {r["id"]: r for r in load_posts(spark, p, "csv").collect()}
     assert rows["1"]["text"] == 'say "hi", #Tag\nnext line'
     assert rows["1"]["hashtags"] == ["tag"]
     assert rows["1"]["original_sentiment"] == "negative"
@@ -86,9 +86,34 @@ def test_dropmalformed_skips_bad_lines(spark, scratch):
     from tagweave.sources.posts import read_raw
     raw = read_raw(spark, p, "csv", encoding="ISO-8859-1", mode="DROPMALFORMED")
     assert {r["id"] for r in raw.collect()} == {"1", "3"}       # all columns read: checked
+    assert read_raw(spark, p, "csv", encoding="ISO-8859-1", mode="DROPMALFORMED").count() == 2   # whatever is read
     assert read_raw(spark, p, "csv").count() == 3                 # permissive keeps it
 
 
+def test_split_lines_are_checked(spark, scratch):
+    p = write(os.path.join(scratch, "nl.csv"), '0,"1","d","q","u","#a"\n4,"2","d","q","u","two\nlines #b"\n')
+    assert load_posts(spark, p, "csv").count() == 2
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        load_posts(spark, p, "csv", multiline=False).collect()
+
+
+def test_files_without_required_fields(spark, scratch):
+    p = write(os.path.join(scratch, "five.csv"), '0,"1","d","u","#a"\n')
+    with pytest.raises(ValueError, match="5 unnamed fields"):
+        load_posts(spark, p, "csv")
+    p = write(os.path.join(scratch, "no_text.json"), '{"id": 1, "body": "#a"}\n{"id": 2}\n')
+    with pytest.raises(ValueError, match="'text'.*found: id"):
+        load_posts(spark, p, "json")
+    p = write(os.path.join(scratch, "empty.json"), "")
+    assert load_posts(spark, p, "json").count() == 0
+
+
+def test_hash_sample_near_one_keeps_all(spark):
+    df = spark.range(0, 2000).select(F.col("id").cast("string").alias("id"))
+    assert hash_sample(df, 1 - 1e-10).count() == 2000
+    assert hash_sample(df, 0.999).count() > 1950
+
+
 def test_posts_with_hashtags_filter(spark):
     from tagweave.sources.posts import posts_with_hashtags
     df = spark.createDataFrame([("1", "#a"), ("2", "# x"), ("3", "none"), ("4", None)],

@@ -92,3 +92,20 @@ def test_replayed_batch_does_not_double_count(spark, scratch):
     v = {r["id"]: (r["degree"], r["dominant_sentiment"]) for r in live_vertices(spark, state).collect()}
     assert v == {"a": (4, "negative"), "b": (2, "positive")}
     assert {tuple(r) for r in live_edges(spark, state).collect()} == {("a", "b", 2)}
+
+
+def test_compacted_state_and_a_foreign_checkpoint(spark, scratch):
+    import pytest
+    from tagweave.streaming import compact, write_deltas
+    posts = spark.createDataFrame([(["a", "b"], "positive")], "hashtags array<string>, sentiment string")
+    state = os.path.join(scratch, "state")
+    for batch in range(3):
+        write_deltas(posts, state, batch)
+    compact(spark, state)
+    write_deltas(posts, state, 3)
+    for _ in range(2):
+        assert {tuple(r) for r in live_edges(spark, state).collect()} == {("a", "b", 4)}
+        assert {r["id"]: r["degree"] for r in live_vertices(spark, state).collect()} == {"a": 4, "b": 4}
+        compact(spark, state)
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start_graph_stream(spark, os.path.join(scratch, "in"), state, os.path.join(scratch, "new"))

@@ -64,3 +64,39 @@ def test_pagerank_converges(spark, small_graph):
     _, v, e = small_graph
     r = {x["id"]: x["rank"] for x in centrality.pagerank(v, e, max_iter=100, tol=1e-6).collect()}
     assert abs(r["e"] - 0.15) < 1e-12 and r["a"] > r["d"]
+
+
+def path_graph(spark, n):
+    v = spark.createDataFrame([(f"{i:03d}", 1, "neutral") for i in range(n)], "id string, degree long, dominant_sentiment string")
+    e = spark.createDataFrame([(f"{i:03d}", f"{i + 1:03d}", 1) for i in range(n - 1)], "src string, dst string, weight long")
+    return v, e
+
+
+def test_pagerank_runs_to_its_tolerance(spark):
+    import pytest
+    from tagweave.operators.centrality import NotConverged, pagerank
+    v, e = path_graph(spark, 60)
+    done = {r["id"]: r["rank"] for r in pagerank(v, e, tol=1e-4).collect()}
+    long = {r["id"]: r["rank"] for r in pagerank(v, e, max_iter=80, tol=None).collect()}
+    assert max(abs(done[k] - long[k]) for k in long) < 1e-3
+    with pytest.raises(NotConverged) as error:
+        pagerank(v, e, max_iter=3, tol=1e-6)
+    assert error.value.moved > 1e-6 and error.value.ranks.count() == 60
+
+
+def test_one_vertex_has_centrality_zero(spark):
+    from tagweave.operators.centrality import degree_centrality
+    v, e = path_graph(spark, 1)
+    assert degree_centrality(v, e).first()["centrality"] == 0.0
+
+
+def test_large_top_n_and_posts_in_top(spark):
+    from tagweave.operators import graph, views
+    v, e = path_graph(spark, 50)
+    assert views.top_vertices(v, 20_000).count() == 50 and views.top_subgraph_edges(v, e, 20_000).count() == 49
+    posts = spark.createDataFrame([(["a", "b", "c"], "neutral")] * 3 + [(["a", "z"], "neutral"), (["b", "b"], "neutral")],
+                                  "hashtags array<string>, sentiment string")
+    v = graph.vertices(posts)
+    want = {tuple(r) for r in views.top_subgraph_edges(v, graph.edges(posts), 2).collect()}
+    got = {tuple(r) for r in views.top_subgraph_edges(v, graph.edges(views.posts_in_top(posts, v, 2)), 2).collect()}
+    assert got == want and len(got) == 2
