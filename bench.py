@@ -7,7 +7,7 @@ top-N JSON export are written (``plans.batch.run_batch``).
 
 ``queries``: the job plus per-query wall times of registered queries, each
 run as a full ``noop`` write (the whole plan executes, nothing is collected
-to the driver). ``turn_*`` and ``doc_graph_summary`` are stress cases beyond
+to the driver). ``turn_*`` and ``doc_*`` are stress cases beyond
 the reference's workload (every word of whole texts as a tag).
 """
 
@@ -35,7 +35,9 @@ HEADLINE = [
     "to_wire",                   # ST7
     "turn_edges",                # G2 on conversation turns (large vocabulary)
     "turn_pagerank_5",           # G4, 5 iterations
-    "doc_graph_summary",         # whole documents, every word a tag (hot rows)
+    "doc_pair_totals",           # whole documents, every word a tag (hot rows), closed form
+    "token_spans",               # tokens with offsets of whole documents
+    "stream_graph_edges",        # live graph: availableNow stream, then the current edges
 ]
 
 
@@ -55,7 +57,8 @@ def main() -> None:
     csv_path = scratch_path(spark, "bench-posts-csv")
     raw_view(spark, sf_dir, "posts").write.option("header", "false").csv(csv_path)
     t0 = time.perf_counter()
-    res = run_batch(spark, csv_path, "csv", scratch_path(spark, "bench-graph"), top_n=20)
+    res = run_batch(spark, csv_path, "csv", scratch_path(spark, "bench-graph"), top_n=20,
+                    multiline=False)  # no text holds a line end
     job = round(time.perf_counter() - t0, 3)
     times["batch_job_csv"] = job
     for name in names:
