@@ -15,6 +15,7 @@ import numpy as np
 CHUNK = 1 << 18
 
 _BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BYTE_BASE_2 = np.uint64(0xE7037ED1A0B428DB)
 _WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
 _WORD_BASE_2 = np.uint64(0xA0761D6478BD642F)
 
@@ -64,6 +65,7 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 #: Everything but ASCII letters, digits and the bytes of other characters.
 _NOT_ALNUM = np.ones(256, bool)
 _NOT_ALNUM[48:58] = _NOT_ALNUM[65:91] = _NOT_ALNUM[97:123] = _NOT_ALNUM[128:] = False
+_VALUES_2 = mix(np.arange(1, 257, dtype=np.uint64) * _BYTE_BASE_2) | np.uint64(1)
 _VALUES = {False: _byte_values(False), True: _byte_values(True)}
 
 
@@ -79,6 +81,19 @@ def _hash_chunk(data: np.ndarray, separator: np.ndarray, fold: bool) -> tuple[np
     return starts, mix(h ^ (ends - starts).astype(np.uint64) * _WORD_BASE)
 
 
+def word_hashes(data: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and two independent hashes of each word of a buffer."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], separator[data], [True]])))
+    starts, ends = edge[::2], edge[1::2]
+    hashes = []
+    for base, values in ((_BYTE_BASE, _VALUES[False]), (_BYTE_BASE_2, _VALUES_2)):
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(values[data] * powers(base, len(data)), out=total[1:])
+        h = (total[ends] - total[starts]) * powers(_inverse(base), len(data) + 1)[starts]
+        hashes.append(mix(h ^ (ends - starts).astype(np.uint64) * _WORD_BASE))
+    return starts, ends, *hashes
+
+
 def hash_words(texts: list[bytes], plain: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts, one after the other, and the texts' offsets into them.
 

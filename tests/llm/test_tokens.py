@@ -17,7 +17,8 @@ PIECES = ["a", "the", "Ünï", "'s", "can't", " ", "  ", "\n", "\n\n", " \n", "\
 def test_encoder_equals_the_library_on_whole_texts(monkeypatch):
     rng = random.Random(3)
     texts = ["".join(rng.choices(PIECES, k=rng.randrange(14))) for _ in range(4000)] + [None, ""]
-    monkeypatch.setattr(tokens, "CACHE_WORDS", 500)  # both generations turn over
+    texts += [sep.join(rng.choices(["word,", "l.", "é!", "it'.", "the", "Ünï", "日本", "a1,"], k=20)) for sep in " \n" for _ in range(1000)]
+    monkeypatch.setattr(tokens, "TABLE_BITS", 12)  # the table is emptied now and then
     e = tokens.Encoder(tokenizer_path())
     assert e.by_word
     want = [np.array(x.ids, e.dtype).tobytes() for x in e.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
