@@ -14,9 +14,9 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize, scratch_path
+from ..session import scratch_path
 
-__all__ = ["materialize", "scratch_path", "table", "without", "fresh", "held_out", "map_arrow", "map_partitions",
+__all__ = ["materialize", "discard", "scratch_path", "table", "without", "fresh", "held_out", "map_arrow", "map_partitions",
            "text_slices", "null_safe"]
 
 FOLDS = 5
@@ -24,6 +24,23 @@ FOLDS = 5
 BATCH_BYTES = "4m"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back: cuts lineage, survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote and that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def connected_components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -24,19 +24,22 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), name)
-        large = _canonical(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        edges = materialize(large, name)
-        least = materialize(edges.groupBy("u").agg(F.min("v").alias("m")), name)
-        hung = edges.join(least, "u")
-        small = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+        large = materialize(_canonical(both.where("v > u").join(least, "u").select(
+            F.col("v").alias("u"), F.col("m").alias("v"))), name)
+        discard(edges, least)
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), name)
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v")))
         edges = materialize(_canonical(small), name)
+        discard(large, least)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
         state = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return materialize(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots), name)
+    out = materialize(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots), name)
+    discard(edges)
+    return out
 
 
 def _canonical(edges: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, materialize, text_slices
+from .common import discard, map_arrow, materialize, text_slices
 from .components import connected_components
 from .words import Shingles, Windows, mix
 
@@ -163,24 +163,27 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
               .select(F.explode("bands").alias("band"), F.col("doc_id").alias("node")))
     shared = materialize(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("x"), F.max("node").alias("y"))
                          .where("x < y").select("band", "n"), "shared-bands")
-    buckets = materialize(banded.join(shared, "band"), "buckets")
+    members = materialize(banded.join(shared, "band"), "buckets")
     # the hub of a bucket is its member that shares the most bands with others: the source of edited copies, if it is there
-    popular = materialize(buckets.groupBy("node").agg(F.sum("n").alias("popularity")), "popularity")
-    hubs = buckets.join(popular, "node").groupBy("band").agg(
-        F.min(F.struct(-F.col("popularity"), "node")).alias("h")).select("band", F.col("h.node").alias("hub"))
-    buckets = materialize(buckets.select("band", "node").join(materialize(hubs, "hubs"), "band"), "buckets")
+    popular = materialize(members.groupBy("node").agg(F.sum("n").alias("popularity")), "popularity")
+    hubs = materialize(members.join(popular, "node").groupBy("band").agg(
+        F.min(F.struct(-F.col("popularity"), "node")).alias("h")).select("band", F.col("h.node").alias("hub")), "hubs")
+    buckets = materialize(members.select("band", "node").join(hubs, "band"), "buckets")
+    discard(shared, members, popular, hubs)
     involved = buckets.select("node").distinct()
     sets = materialize(map_arrow(named.join(involved, named["doc_id"] == involved["node"], "left_semi"),
                                  _strip_sets, "node long, size int, strips binary").dropDuplicates(["node"]), "strip-sets")
 
     links = _links(buckets.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")), sets, threshold)
-    joined = connected_components(links)
-    links = _links(_prefix_pairs(_open_nodes(buckets, joined), sets, threshold), sets, threshold)
+    by_hubs = connected_components(links)
+    discard(links)
+    links = _later_links(buckets, by_hubs, sets, threshold)
     joined = connected_components(links.unionByName(
-        joined.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        by_hubs.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     classes = materialize(copies.join(joined.withColumnRenamed("node", "copy_id"), "copy_id", "left")
                           .select(*copy, "copy_id", F.coalesce("component", "copy_id").alias("class_id")), "classes")
+    discard(copies, buckets, sets, links, by_hubs, joined)
     out = signed.select("doc_id", *copy).join(classes, copy).select(
         "doc_id", "copy_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
     unnamed = docs.where(F.col("doc_id").isNull()).select(
@@ -195,7 +198,18 @@ def _links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     side = [sets.select(*[F.col(c).alias(n if c == "node" else f"{c}_{n}") for c in sets.columns]) for n in "ab"]
     fits = F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b")
     both = pairs.join(side[0], "a").join(side[1], "b").where(fits).select("a", "b", "strips_a", "strips_b")
-    return materialize(map_arrow(both, _verify(threshold), "a long, b long"), "links")
+    links = materialize(map_arrow(both, _verify(threshold), "a long, b long"), "links")
+    discard(pairs)
+    return links
+
+
+def _later_links(buckets: DataFrame, joined: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links between components that share a bucket and that no hub has joined."""
+    nodes = _open_nodes(buckets, joined)
+    pairs, used = _prefix_pairs(nodes, sets, threshold)
+    links = _links(pairs, sets, threshold)
+    discard(nodes, *used)
+    return links
 
 
 def _open_nodes(buckets: DataFrame, joined: DataFrame) -> DataFrame:
@@ -204,11 +218,15 @@ def _open_nodes(buckets: DataFrame, joined: DataFrame) -> DataFrame:
                           .withColumn("component", F.coalesce("component", "node")), "members")
     mixed = materialize(members.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"))
                         .where("x < y").select("band"), "open-bands")
-    return materialize(members.join(mixed, "band").select("node", "component").distinct(), "open-nodes")
+    nodes = materialize(members.join(mixed, "band").select("node", "component").distinct(), "open-nodes")
+    discard(members, mixed)
+    return nodes
+
 
+def _prefix_pairs(nodes: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
+    """Pairs of different components that may reach the threshold, and the tables that they are read from.
 
-def _prefix_pairs(nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of different components that may reach the threshold, by prefix filtering on shingles in order of rarity.
+    Prefix filtering on shingles in order of rarity:
 
     Two sets that share ``o`` elements also share one among the ``size - o + 1`` that come first in any common order, and
     their first common element leaves room for ``o - 1`` more behind it in both. Shingles that no other open text
@@ -231,4 +249,4 @@ def _prefix_pairs(nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFr
     fits = F.least("room", "y_room") >= threshold / (1 + threshold) * (F.col("size") + F.col("y_size")) - 1e-9
     pairs = x.join(y, (x["strip"] == y["strip"]) & (F.col("component") != F.col("y_component"))
                    & (F.col("node") < F.col("y_node")) & fits)
-    return pairs.select(F.col("node").alias("a"), F.col("y_node").alias("b"))
+    return pairs.select(F.col("node").alias("a"), F.col("y_node").alias("b")), [single, shared, attributes, x]

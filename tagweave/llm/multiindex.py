@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
-from .common import map_arrow, materialize
+from .common import discard, map_arrow, materialize
 from .components import connected_components
 
 THRESHOLD = 0.95
@@ -217,6 +217,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
         copies.select("key", "node", "copies").join(links, "node", "left").join(joined, "node", "left")
         .select("key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                 F.coalesce("component", "node").alias("component_id")), "classes")
+    discard(copies, joined, *([found] if hasattr(found, "_scratch") else []))
     out = keyed.select("vec_id", "key").join(classes, "key", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
@@ -239,4 +240,6 @@ def _found(nodes: DataFrame, grid: Grid, kind: str, dimension: int, threshold: f
         F.when(F.col("query"), F.col("own")).otherwise(F.col("other")).alias("query_block"))
     found = dealt.groupBy("code", "index_block", "query_block").applyInArrow(
         _search(kind, dimension, threshold), "node long, links long, least long")
-    return materialize(found, "found")
+    found = materialize(found, "found")
+    discard(routes)
+    return found

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, materialize, text_slices
+from .common import discard, map_arrow, materialize, text_slices
 from .words import Windows, hash_words, mix
 
 WINDOW = 50
@@ -204,6 +204,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
     paths = (anchors.select("k_hash", *key, "pos").join(repeated, "k_hash").groupBy(*key)
              .agg(F.collect_list(F.struct("pos", "least_doc", "same_prev", "same_next")).alias("anchors")))
     decided = materialize(map_arrow(_on_document(docs, paths), _decide(window, k), _DECIDED), "decided")
+    discard(anchors, repeated)
     pending = decided.where(F.col("start").isNotNull())
     windows = (pending.select(*key, F.explode(F.arrays_zip("h1", "h2", "start")).alias("w"))
                .select(*key, "w.h1", "w.h2", "w.start"))

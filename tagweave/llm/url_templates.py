@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 #: (verdict, host, path): the host and all its subdomains, paths that start so.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -89,10 +89,13 @@ def _grow(paths: DataFrame, level: int) -> DataFrame:
     merged = literal & (F.col("alike") > 1) & (apart <= ALIKE)
     general = child.join(parent, ["host", "template"]).join(group, ["host", "template", "like"]).select(
         *key, F.when(variable, "*").when(merged, F.concat(F.lit("<"), "like", F.lit(">"))).otherwise(F.col("segment")).alias("general"))
-    out = rows.join(materialize(general, "general"), key)
+    general = materialize(general, "general")
+    out = rows.join(general, key)
     more = F.size(F.split("typed", "/")) > level
-    return materialize(out.select("host", "typed", "n", "bad", F.when(
+    grown = materialize(out.select("host", "typed", "n", "bad", F.when(
         more, F.concat("template", F.lit("/"), "general")).otherwise(F.col("template")).alias("template")), "paths")
+    discard(paths, child, parent, group, general)
+    return grown
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, threshold: float = THRESHOLD) -> DataFrame:
@@ -120,6 +123,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, thres
     templates = materialize(templates.select("host", "template", ((F.col("bad") + PRIOR * F.col("host_share"))
                                                                   / (F.col("n") + PRIOR)).alias("blocked_share")), "templates")
     known = materialize(paths.select("host", "typed", "template").join(templates, ["host", "template"]), "judged-paths")
+    discard(paths, hosts, templates)
     return urls.join(known, ["host", "typed"]).select(
         "page_id", "host", "path", "rule",
         F.coalesce("rule_verdict", F.when(F.col("blocked_share") >= threshold, "block").otherwise("allow")).alias("verdict"),
