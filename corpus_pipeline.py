@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.llm import dartminhash, decontaminate, mixing, toxicity
-from tagweave.llm.common import materialize, table
+from tagweave.llm.common import fresh, materialize, table
 from tagweave.llm.queries import encode_documents
 
 
@@ -31,9 +31,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows with the same doc_id are one document and stay or go together.
     """
+    key = fresh(docs, "gone")
     gone = materialize(dartminhash.near_duplicates(docs).where(~F.col("kept")).select(
-        F.col("doc_id").alias("_gone")).distinct(), "near-duplicates")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+        F.col("doc_id").alias(key)).distinct(), "near-duplicates")
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(key), "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +44,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows repeated to the target mixture of sources, in shuffled order."""
-    return mixing.mix_sources(docs).select(*docs.columns)
+    number = fresh(docs, "copy_no")
+    return mixing.mix_sources(docs, copy_column=number).drop(number)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,10 +60,10 @@ def source_rates(docs: DataFrame, weights: DataFrame | None = None, temperature:
 
 
 def mix_sources(docs: DataFrame, weights: DataFrame | None = None, temperature: float = 0.7,
-                total_rows: int | None = None, seed: str = "mix-1") -> DataFrame:
+                total_rows: int | None = None, seed: str = "mix-1", copy_column: str = "copy_no") -> DataFrame:
     """Documents repeated to the target mixture, in shuffled order.
 
-    All columns of ``docs`` plus ``copy_no`` (1, 2, ...; an input column of
+    All columns of ``docs`` plus ``copy_column`` (1, 2, ...; an input column of
     that name is replaced). A null source is a source of its own; null or empty
     texts are rows like any other; rows with the same doc_id get the same
     number of copies; a null doc_id draws as the word ``null``; no rows in, no rows out.
@@ -74,7 +74,7 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, temperature:
     a partition rows are sorted by the same hash, so the order of
     the output is a pseudo-random permutation.
     """
-    docs = without(docs, "copy_no")
+    docs = without(docs, copy_column)
     rates, n_sources = source_rates(docs, weights, temperature, total_rows)
     source, cdf, key = fresh(docs, "rate_source"), fresh(docs, "cdf"), fresh(docs, "shuffle_key")
     rates = rates.select(F.col("source").alias(source), poisson_cdf(F.col("rate")).alias(cdf))
@@ -83,9 +83,9 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, temperature:
     u = uniform(seed, F.col("doc_id"))
     copies = F.when(F.col(cdf).isNull(), 0).otherwise(F.size(F.filter(cdf, lambda c: c <= u)))
     out = docs.join(rates, F.col("source").eqNullSafe(F.col(source)), "inner").withColumn(cdf, copies)
-    out = out.where(F.col(cdf) > 0).withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col(cdf))))
-    out = out.withColumn(key, F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("copy_no")))
-    return out.repartition(F.col(key)).sortWithinPartitions(key).select(*docs.columns, "copy_no")
+    out = out.where(F.col(cdf) > 0).withColumn(copy_column, F.explode(F.sequence(F.lit(1), F.col(cdf))))
+    out = out.withColumn(key, F.xxhash64(F.lit(seed), F.col("doc_id"), F.col(copy_column)))
+    return out.repartition(F.col(key)).sortWithinPartitions(key).select(*docs.columns, copy_column)
 
 
 #: DuckDB twin of ``mix_sources(docs)`` over a relation ``{docs}`` with the columns of documents.
