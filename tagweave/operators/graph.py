@@ -293,7 +293,9 @@ def pair_totals(posts: DataFrame) -> DataFrame:
     A post with k tags has k(k-1)/2 pairs, and a tag that occurs twice in a post makes a
     self-loop, so both follow from the posts' own tag arrays.
     """
-    tags = F.array_sort("hashtags")
+    # sorted once a row: an expression is evaluated again for every element of a lambda, a generated column is not
+    posts = posts.select(F.explode_outer(F.array(F.array_sort("hashtags"))).alias("hashtags"))
+    tags = F.col("hashtags")
     rows = posts.select(F.size("hashtags").cast("long").alias("k"),
                         F.array_distinct(F.filter(tags, lambda t, i: (i > 0) & (t == F.get(tags, i - 1)))).alias("twice"))
     sums = rows.agg(F.count_if(F.col("k") > 0).alias("posts"),

@@ -40,8 +40,9 @@ def token_spans(df: DataFrame, id_col: str, text_col: str = "document") -> DataF
     n_blocks = F.ceil(F.size("_p") / _BLOCK).cast("int")
     blocks = F.when(F.size("_p") > 0, F.transform(F.sequence(F.lit(0), n_blocks - 1),
                                                   lambda j: F.slice("_p", j * _BLOCK + 1, _BLOCK)))
-    rows = df.select(F.col(id_col).alias("id"), pieces.alias("_p")).select("id", blocks.alias("_b"))
-    rows = rows.select("id", "_b", F.transform("_b", lambda b: total(b, F.length)).alias("_n"))
+    once = lambda c: F.explode_outer(F.array(c))  # noqa: E731  a generated column is evaluated once, not in every lambda call
+    rows = df.select(F.col(id_col).alias("id"), once(pieces).alias("_p")).select("id", once(blocks).alias("_b"))
+    rows = rows.select("id", "_b", once(F.transform("_b", lambda b: total(b, F.length))).alias("_n"))
     spans = F.flatten(F.transform("_b", lambda b, j: F.transform(b, lambda x, i: F.struct(
         (total(F.slice("_n", 1, j), lambda n: n) + total(F.slice(b, 1, i), F.length)).alias("begin"), x.alias("token")))))
     tokens = F.filter(spans, lambda s: ~s["token"].rlike(r"^[\t\n\x0B\f\r ]"))

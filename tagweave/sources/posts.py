@@ -49,7 +49,7 @@ def read_raw(spark: SparkSession, path, fmt: str = "csv", *, encoding: str = "UT
             raise _missing(missing, [c for c in RAW_COLUMNS if not df.where(F.col(c).isNotNull()).isEmpty()])
         return df
     reader = reader.option("header", "false").option("quote", '"').option("escape", '"')
-    first = reader.csv(path).columns  # reads one record
+    first = reader.csv(path).columns if mode is None else []  # reads one record; a mode says what to do with odd ones
     if first and len(first) != len(RAW_COLUMNS):
         raise _missing(REQUIRED_COLUMNS, [f"{len(first)} unnamed fields, not {len(RAW_COLUMNS)}"])
     return (reader.schema(RAW_POST).option("columnPruning", "false")

@@ -26,7 +26,7 @@ def test_query_matches_duckdb(spark, con, name):
 def test_every_query_is_registered_with_a_callable():
     assert set(ORACLE) <= set(QUERIES)
     missing = sorted(set(CATALOG) - set(ORACLE))
-    assert missing == ["model_confusion", "sample_bernoulli", "sentiment_model"]
+    assert missing == ["model_confusion", "pagerank_tol", "sample_bernoulli", "sentiment_model"]
 
 
 def test_entry_smoke(spark):
