@@ -166,7 +166,8 @@ def _block_pairs(posts: DataFrame, block: int = SALT_BLOCK, partitions: int | No
     starts = F.filter(F.sequence(F.lit(0), k - 1),
                       lambda i: (i == 0) | (F.get(srt, i) != F.get(srt, i - 1)))
     # copies of a post are one row with a count: a post that was shared ten thousand times is paired once
-    long_posts = s.select(F.when(k >= min_tags, srt).alias("_s"))
+    # (a generated column: the null filter is not pushed below it, so the tag regex runs once per row)
+    long_posts = s.select(F.explode_outer(F.array(F.when(k >= min_tags, srt))).alias("_s"))
     same = long_posts.groupBy("_s").agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_s").isNotNull())
     runs = same.select("_s", "_copies", starts.alias("_st"))
     st = F.col("_st")

@@ -50,12 +50,14 @@ def test_long_posts_are_spread_by_an_explicit_repartition(spark):
 
 
 def test_tag_regex_runs_once_per_row(spark):
-    for name in ("vertices", "tag_counts", "pairs", "edges_by_multiplicity", "doc_pair_totals"):
+    for name in ("vertices", "tag_counts", "pairs", "edges_by_multiplicity"):
         p = plan_of(QUERIES[name](spark, SF_SMALL))
         assert p.count("regexp_extract_all") == 1, name
     from tagweave.plans.batch import tagged_posts
     assert plan_of(tagged_posts(scored_view(spark, SF_SMALL, "posts"))).count("regexp_extract_all(lower") == 1
     assert plan_of(QUERIES["to_wire"](spark, SF_SMALL)).count("regexp_extract_all(lower") == 1
+    # totals and self-loops read the posts in a branch each
+    assert plan_of(QUERIES["doc_pair_totals"](spark, SF_SMALL)).count("regexp_extract_all") == 2
     # edges over raw text: one evaluation in each of its two branches (short / long posts)
     assert plan_of(QUERIES["edges"](spark, SF_SMALL)).count("regexp_extract_all") == 2
 
