@@ -2,9 +2,9 @@
 
 Unit vectors are cut into two halves, each with its own codebook; a vector's two codes are its cell in the product
 grid. A query visits cells in the order of their distance (the sum of its distances to both codewords: the multi-sequence
-order of Babenko and Lempitsky) and stops after as many as the target recall needs: measured on the cells of neighbours
-planted at exactly the threshold around sampled vectors, the hardest that may be linked. What it finds
-is verified by its cosine in double precision.
+order of Babenko and Lempitsky) and stops after as many as the target recall needs: the most that is needed by neighbours
+planted at exactly the threshold around sampled vectors, in all directions and along the data's own, and by the true links
+of sampled vectors, found by comparing them with all vectors. What it finds is verified by its cosine in double precision.
 
 Work is dealt out in units of one first code: the index vectors with that code and the queries that visit some of its
 cells, each in blocks of bounded size, so a query's vector travels once for all cells of a row of the grid.
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
@@ -31,6 +31,8 @@ TARGET_RECALL = 0.995
 #: Vectors on which the codebooks and the number of visited cells are fitted.
 SAMPLE = 20_000
 MOST_CODES = 1024
+#: Vectors around which neighbours are planted, and those that are compared with all vectors.
+PLANTED, COMPARED = 1000, 512
 #: Vectors of a unit's two sides.
 BLOCK_INDEX, BLOCK_QUERIES = 16_384, 2048
 
@@ -86,19 +88,67 @@ def fit(sample: np.ndarray, n_vectors: int, threshold: float = THRESHOLD, recall
     half = sample.shape[1] // 2
     grid = Grid(_codebook(sample[:, :half], k), _codebook(sample[:, half:], k, seed=8))
     rng = np.random.default_rng(9)
-    x = sample[rng.choice(len(sample), min(1000, len(sample)), replace=False)]
-    away = rng.standard_normal(x.shape)
-    away -= (away * x).sum(axis=1, keepdims=True) * x
-    away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-12)
-    planted = threshold * x + np.sqrt(1 - threshold**2) * away
+    x = sample[rng.choice(len(sample), min(PLANTED, len(sample)), replace=False)]
     d1, d2 = grid.distances(x)
-    p1, p2 = (d.argmin(axis=1) for d in grid.distances(planted))
-    own = d1[np.arange(len(x)), p1] + d2[np.arange(len(x)), p2]
-    ranks = [(d1[i][:, None] + d2[i][None] <= own[i]).sum() for i in range(len(x))]
-    grid.visited = int(np.quantile(ranks, recall, method="higher"))
+    for away in _directions(x, sample, rng):
+        away -= (away * x).sum(axis=1, keepdims=True) * x
+        size = np.linalg.norm(away, axis=1, keepdims=True)
+        planted = threshold * x + np.sqrt(1 - threshold**2) * away / np.maximum(size, 1e-12)
+        p1, p2 = (d.argmin(axis=1) for d in grid.distances(planted))
+        ranks = [rank(d1[i], d2[i], p1[i], p2[i]) for i in np.flatnonzero(size[:, 0] > 1e-9)]
+        if ranks:
+            grid.visited = max(grid.visited, int(np.quantile(ranks, recall, method="higher")))
     return grid
 
 
+def _directions(x: np.ndarray, sample: np.ndarray, rng: np.random.Generator) -> Iterator[np.ndarray]:
+    """Where neighbours of ``x`` may lie: anywhere; as the sample spreads; towards sampled vectors; towards the nearest ones."""
+    yield rng.standard_normal(x.shape)
+    yield rng.standard_normal((len(x), len(sample))) @ (sample - sample.mean(axis=0))
+    yield sample[rng.integers(len(sample), size=len(x))] - sample[rng.integers(len(sample), size=len(x))]
+    cosine = x @ sample.T
+    cosine[cosine > 1 - 1e-9] = -2  # itself
+    nearest = np.argpartition(-cosine, min(9, len(sample) - 1), axis=1)[:, :10]
+    yield sample[nearest[np.arange(len(x)), rng.integers(nearest.shape[1], size=len(x))]] - x
+
+
+def rank(d1: np.ndarray, d2: np.ndarray, i: int, j: int) -> int:
+    """The number of cells that a query at distances ``d1`` and ``d2`` visits up to the cell (i, j)."""
+    return int((d1[:, None] + d2[None] <= d1[i] + d2[j]).sum())
+
+
+def _true_ranks(grid: Grid, queries: np.ndarray, query_nodes: np.ndarray, kind: str, dimension: int, threshold: float):
+    """For each rank at which a query meets vectors that it is linked with: their number, and their share of the query's links."""
+    def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        d1, d2 = grid.distances(queries)
+        for start in range(0, batch.num_rows, 4096):
+            part = batch.slice(start, 4096)
+            x, node = _unit(part, kind, dimension), part.column("node").to_numpy()
+            q, y = np.nonzero((queries @ x.T >= threshold) & (query_nodes[:, None] != node[None]))
+            if not len(q):
+                continue
+            p1, p2 = (d.argmin(axis=1) for d in grid.distances(x[y]))
+            cells, pairs = np.unique(np.c_[q, p1, p2], axis=0, return_counts=True)
+            yield pa.record_batch([pa.array(cells[:, 0], pa.int64()), pa.array([rank(d1[i], d2[i], a, b) for i, a, b in cells], pa.int64()),
+                                   pa.array(pairs, pa.int64())], names=["query", "rank", "pairs"])
+    return rows
+
+
+def fit_true(grid: Grid, nodes: DataFrame, sample: np.ndarray, sample_nodes: np.ndarray, kind: str, dimension: int,
+             threshold: float, recall: float) -> None:
+    """Raise the visited cells to what the links of sampled vectors with all of ``nodes`` need, as pairs and as an average of the vectors."""
+    found = map_arrow(nodes.select("node", "vector"), _true_ranks(grid, sample[:COMPARED], sample_nodes[:COMPARED], kind, dimension, threshold),
+                      "query long, rank long, pairs long")
+    found = found.groupBy("query", "rank").agg(F.sum("pairs").alias("pairs"))
+    found = found.withColumn("share", F.col("pairs") / F.sum("pairs").over(Window.partitionBy("query")))
+    ranks = found.groupBy("rank").agg(F.sum("pairs").alias("pairs"), F.sum("share").alias("share")).orderBy("rank").toArrow()
+    for weight in ("pairs", "share"):
+        total = np.cumsum(ranks.column(weight).to_numpy())
+        if len(total):
+            at = min(np.searchsorted(total, recall * total[-1]), len(total) - 1)
+            grid.visited = max(grid.visited, int(ranks.column("rank")[int(at)].as_py()))
+
+
 def _unit(batch: pa.RecordBatch, kind: str, dimension: int) -> np.ndarray:
     raw = b"".join(batch.column("vector").to_pylist())
     x = np.frombuffer(raw, kind).reshape(-1, dimension).astype(np.float64)
@@ -206,8 +256,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
     n = nodes.count()
     dimension = size // np.dtype(kind).itemsize
     if n > 1 and dimension > 1:
-        sample = nodes.orderBy(F.xxhash64("vector"), "node").limit(SAMPLE).select("vector").toArrow().combine_chunks().to_batches()[0]
-        grid = fit(_unit(sample, kind, dimension), n, threshold, recall)
+        sample = nodes.orderBy(F.xxhash64("vector"), "node").limit(SAMPLE).select("node", "vector").toArrow().combine_chunks().to_batches()[0]
+        units = _unit(sample, kind, dimension)
+        grid = fit(units, n, threshold, recall)
+        fit_true(grid, nodes, units, sample.column("node").to_numpy(), kind, dimension, threshold, recall)
         found = _found(nodes, grid, kind, dimension, threshold)
     else:
         found = spark.createDataFrame([], "node long, links long, least long")

@@ -111,6 +111,34 @@ def test_embeddings_against_all_pairs(spark, monkeypatch):
     assert all(got[i] == (0, i, True) for i in range(535, 542)) and got[None] == (0, None, True)
 
 
+def low_rank_pairs(n, rank, dimension, cosine):
+    """Unit vectors of a subspace, each followed by a neighbour inside the subspace."""
+    rng = np.random.default_rng(12)
+    basis = np.linalg.qr(rng.standard_normal((dimension, rank)))[0].T
+    x, away = rng.standard_normal((2, n, rank))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away -= (away * x).sum(axis=1, keepdims=True) * x
+    near = cosine * x + np.sqrt(1 - cosine**2) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    return np.stack([x, near], axis=1).reshape(2 * n, rank) @ basis
+
+
+def test_embeddings_of_low_rank_keep_their_links(spark):
+    x = low_rank_pairs(3000, 6, 64, 0.9505)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in multiindex.near_duplicates(df).collect()}
+    n = (x @ x.T >= 0.95).sum(axis=1) - 1
+    found = np.array([got[i] for i in range(len(x))])
+    assert (found <= n).all() and found.sum() >= 0.99 * n.sum()
+
+
+def test_visits_are_fitted_to_true_links(spark, monkeypatch):
+    monkeypatch.setattr(multiindex, "_directions", lambda x, sample, rng: iter(()))
+    x = low_rank_pairs(1000, 6, 64, 0.9505)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = sum(r.n_links for r in multiindex.near_duplicates(df).collect())
+    assert found >= 0.98 * ((x @ x.T >= 0.95).sum() - len(x))
+
+
 def test_cells_come_in_order_of_distance():
     rng = np.random.default_rng(1)
     a, b = rng.random(7), rng.random(9)
