@@ -8,13 +8,16 @@ gets shorter. A window counts as toxic from a calibrated number of saved bytes o
 logistic curve, calibrated on rows that its dictionaries have not seen, turns the windows of a
 whole text into a score.
 
-The model (about 44 KB) is fitted on the driver from a bounded sample: at most
-``SAMPLE_ROWS`` labelled rows of each class and ``SAMPLE_CHARS`` characters of each. Scoring is one map over all documents and all of their text, without a shuffle.
+The model (about 44 KB) is fitted on a bounded sample of labelled rows, ``SAMPLE_ROWS`` of each class at most, and on
+their whole texts: Spark tasks count the segments and the saved bytes of all windows; the driver gets, for each row, at most
+``DRAWN`` windows or words, drawn by hash from all of them, and one histogram. Scoring is one map over all documents and all of their text, without a shuffle.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,20 +28,25 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, map_arrow, text_slices
+from .common import discard, held_out, map_arrow, materialize, text_slices
 
 WINDOW = 64
 #: The level's search is thorough enough that both compressors find the same matches in B.
 LEVEL = 9
 BASE_BYTES, TOXIC_BYTES, HARD_BYTES = 32 << 10, 4 << 10, 8 << 10
 SAMPLE_ROWS = 3000
-SAMPLE_CHARS = 10_000
+#: Windows, and words with a toxic segment, that a sampled row sends to the driver to train the dictionaries.
+DRAWN = 160
+#: Toxic segments of a model, the strongest ones.
+MOST_SEGMENTS = 1 << 18
 #: Length in bytes of the segments whose document frequencies are compared, and how many times as frequent they must be.
 GRAM, LIFT = 5, 4
 #: Least correlation of a segment's presence with the label; keeps weak evidence out however large the sample.
 LEAST_PHI = 0.1
 #: A text's features: the shares of windows that save so many bytes at least, or at most, and four more.
 MORE, LESS = (1, 2, 3, 4, 5, 6, 8), (-1, -2)
+#: Saved bytes of a window are told apart in this range.
+LEAST_SAVED, MOST_SAVED = -3, 10
 FEATURES = len(MORE) + len(LESS) + 4
 #: Share of ordinary windows that may count as toxic.
 FALSE_WINDOWS = 0.01
@@ -85,22 +93,28 @@ class Scorer:
         a, b = self.plain.compress, self.with_toxic.compress
         return np.array([len(a(w)) - len(b(w)) for w in windows(text)], np.int64)
 
-    def features(self, text: str | None) -> tuple[list[float], int]:
-        """What the logistic curve sees, and the number of toxic windows."""
-        saved = np.clip(self.saved(text), -3, 10)
-        n, hits = len(saved), int((saved >= self.model.threshold).sum())
-        if not n:
-            return [0.0] * FEATURES, 0
-        return [float(saved.mean()), math.log1p(hits), math.log1p((saved >= 2 * self.model.threshold).sum()), math.log1p(n),
-                *((saved >= t).sum() / n for t in MORE), *((saved <= t).sum() / n for t in LESS)], hits
+    def histogram(self, text: str | None) -> np.ndarray:
+        """The number of windows by saved bytes."""
+        saved = np.clip(self.saved(text), LEAST_SAVED, MOST_SAVED)
+        return np.bincount(saved - LEAST_SAVED, minlength=MOST_SAVED - LEAST_SAVED + 1)
 
     def score(self, text: str | None) -> tuple[float, int]:
-        x, hits = self.features(text)
         m = self.model
+        x, hits = _features(self.histogram(text), m.threshold)
         z = float(((np.array(x) - m.center) / m.scale) @ m.weights[:-1] + m.weights[-1])
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, z)))), hits
 
 
+def _features(histogram: np.ndarray, threshold: int) -> tuple[list[float], int]:
+    """What the logistic curve sees, and the number of toxic windows."""
+    saved, n = np.arange(LEAST_SAVED, MOST_SAVED + 1), int(histogram.sum())
+    hits = int(histogram[saved >= threshold].sum())
+    if not n:
+        return [0.0] * FEATURES, 0
+    return [float((histogram * saved).sum() / n), math.log1p(hits), math.log1p(histogram[saved >= 2 * threshold].sum()), math.log1p(n),
+            *(histogram[saved >= t].sum() / n for t in MORE), *(histogram[saved <= t].sum() / n for t in LESS)], hits
+
+
 def _train(size: int, samples: list[bytes]) -> bytes:
     """zstandard's trainer; where it has too few samples, the samples themselves."""
     try:
@@ -114,36 +128,87 @@ def _grams(word: bytes) -> list[bytes]:
     return [w[i:i + GRAM] for i in range(max(1, len(w) - GRAM + 1))]
 
 
-def _toxic_segments(toxic: list[str], ordinary: list[str]) -> list[bytes]:
-    """The words of toxic texts that hold a segment which toxic texts hold much more often."""
-    counts = []
-    for texts in (ordinary, toxic):
-        c: Counter[bytes] = Counter()
-        for t in texts:
-            c.update({g for w in set(t.lower().encode("utf-8", "replace").split()) for g in _grams(w)})
-        counts.append(c)
-    n0, n1, z = max(1, len(ordinary)), max(1, len(toxic)), {}
-    for g, k in counts[1].items():
-        k0 = counts[0][g]
-        if k > 1 and k / n1 >= LIFT * (k0 + 0.5) / n0:
-            p = (k + k0) / (n0 + n1)
-            z[g] = (k / n1 - k0 / n0) / math.sqrt(max(p * (1 - p), 1e-9) * (1 / n0 + 1 / n1))
-    marked: set[bytes] = set()
-    for least in (6, 4, 2):  # small samples have no strong evidence
-        marked = marked or {g for g, v in z.items() if v >= max(least, LEAST_PHI * math.sqrt(n0 + n1))}
-    return [b" " + w + b" " for t in toxic for w in t.lower().encode("utf-8", "replace").split()
-            if not marked.isdisjoint(_grams(w))]
-
-
-def _dictionaries(rows: list[tuple[str, int]]) -> Model:
+def _words(text: str | None) -> list[bytes]:
+    return (text or "").lower().encode("utf-8", "replace").split()
+
+
+def _draw(pieces: list[bytes]) -> list[bytes]:
+    """At most ``DRAWN`` of the pieces, by hash, in their order."""
+    if len(pieces) <= DRAWN:
+        return pieces
+    return [pieces[i] for _, i in sorted(heapq.nsmallest(DRAWN, ((zlib.crc32(b"%d " % i + w), i) for i, w in enumerate(pieces))),
+                                         key=lambda x: x[1])]
+
+
+def _drawn_windows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for part in text_slices(batch, "text"):
+        drawn = [_draw(windows(t)) for t in part.column("text").to_pylist()]
+        yield pa.record_batch([part.column("_id"), part.column("half"), pa.array(drawn, pa.list_(pa.binary()))], names=["_id", "half", "pieces"])
+
+
+#: The training sets of the three models: all rows, those outside the half and those inside it.
+SETS = (None, False, True)
+
+
+def _gram_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The number of rows that hold a segment anywhere in their text, by class and half."""
+    for part in text_slices(batch, "text", 1 << 20):
+        counts: dict[tuple[int, bool], Counter[bytes]] = {(y, h): Counter() for y in (0, 1) for h in (False, True)}
+        for text, y, h in zip(*(part.column(c).to_pylist() for c in ("text", "toxic", "half"))):
+            counts[y, h].update({g for w in set(_words(text)) for g in _grams(w)})
+        grams = sorted(set().union(*counts.values()))
+        yield pa.record_batch([pa.array(grams, pa.binary()), *(pa.array([c[g] for g in grams], pa.int64()) for c in counts.values())],
+                              names=["gram", *(f"n{y}{int(h)}" for y, h in counts)])
+
+
+def _toxic_grams(sample: DataFrame, sizes: dict[tuple[int, bool], int]) -> list[set[bytes]]:
+    """For each training set the segments that toxic texts hold much more often."""
+    names = [f"n{y}{h}" for y in (0, 1) for h in (0, 1)]
+    counts = map_arrow(sample.select("text", "toxic", "half"), _gram_rows, "gram binary, " + ", ".join(f"{n} long" for n in names))
+    counts = counts.groupBy("gram").agg(*[F.sum(n).alias(n) for n in names])
+    z, phi = [], []
+    for i, half in enumerate(SETS):
+        inside = [h for h in (False, True) if half is None or h == half]
+        n0, n1 = (max(1, sum(sizes.get((y, h), 0) for h in inside)) for y in (0, 1))
+        k0, k = (sum((F.col(f"n{y}{int(h)}") for h in inside), F.lit(0)) for y in (0, 1))
+        p = (k + k0) / F.lit(n0 + n1)
+        spread = F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / n0 + 1 / n1))
+        z.append(F.when((k > 1) & (k / n1 >= LIFT * (k0 + 0.5) / n0), (k / n1 - k0 / n0) / spread).alias(f"z{i}"))
+        phi.append(LEAST_PHI * math.sqrt(n0 + n1))
+    counts = counts.select("gram", *z)
+    counts = materialize(counts.where(F.coalesce(*[F.col(f"z{i}") for i in range(len(SETS))]) > 0), "toxicity-segments")
+    most = counts.agg(*[F.max(f"z{i}").alias(f"z{i}") for i in range(len(SETS))]).first()
+    marked = []
+    for i in range(len(SETS)):
+        least = next((max(x, phi[i]) for x in (6, 4, 2) if (most[i] or 0) >= max(x, phi[i])), None)  # small samples have no strong evidence
+        rows = counts.where(F.col(f"z{i}") >= least).orderBy(F.desc(f"z{i}"), "gram").limit(MOST_SEGMENTS).select("gram").collect() if least else []
+        marked.append({bytes(r.gram) for r in rows})
+    discard(counts)
+    return marked
+
+
+def _toxic_words(marked: list[set[bytes]]):
+    """The words of each text that hold a segment marked for all rows, and for the row's own half."""
+    def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batch, "text"):
+            out: list[list[list[bytes]]] = [[], []]
+            for text, h in zip(part.column("text").to_pylist(), part.column("half").to_pylist()):
+                words = _words(text)
+                for to, marks in zip(out, (marked[0], marked[SETS.index(h)])):
+                    known = {w: not marks.isdisjoint(_grams(w)) for w in set(words)}
+                    to.append(_draw([b" " + w + b" " for w in words if known[w]]))
+            yield pa.record_batch([part.column("_id"), part.column("half"), *(pa.array(o, pa.list_(pa.binary())) for o in out)],
+                                  names=["_id", "half", "pieces", "half_pieces"])
+    return rows
+
+
+def _dictionaries(texts: list[list[bytes]], segments: list[list[bytes]]) -> Model:
     """Both dictionaries; ordinary windows that the toxic one shortens by chance are then learned as ordinary, too."""
-    toxic, ordinary = ([t for t, y in rows if y == label] for label in (1, 0))
-    pieces = [w for t in ordinary for w in windows(t)]
-    segments = _toxic_segments(toxic, ordinary)
+    pieces, segments = ([w for t in x for w in t] for x in (texts, segments))
     none = np.zeros(FEATURES)
     model = Model(_train(BASE_BYTES, pieces or [b" "]), _train(TOXIC_BYTES, segments) if segments else b"", 1, none, none + 1, np.zeros(FEATURES + 1))
     scorer = model.scorer()
-    hard = [w for t in ordinary for w, d in zip(windows(t), scorer.saved(t)) if d >= 2]
+    hard = [w for w in pieces if len(scorer.plain.compress(w)) - len(scorer.with_toxic.compress(w)) >= 2]
     if len(hard) > 20:
         model.base = _train(HARD_BYTES, hard) + model.base
     return model
@@ -163,26 +228,49 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return b
 
 
-def fit(rows: list[tuple[str | None, int, bool]], share: float) -> Model:
-    """Fit on ``(text, toxic, half)``; ``share`` is the share of toxic rows to calibrate for.
+def _histograms(models: dict[bool, Model]):
+    """Each text's windows by the bytes saved under the dictionaries of the other half."""
+    def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        scorers = {h: m.scorer() for h, m in models.items()}
+        for part in text_slices(batch, "text"):
+            got = [scorers[not h].histogram(t).tolist() for t, h in zip(part.column("text").to_pylist(), part.column("half").to_pylist())]
+            yield pa.record_batch([part.column("_id"), part.column("toxic"), pa.array(got, pa.list_(pa.int64()))], names=["_id", "toxic", "windows"])
+    return rows
+
+
+def _threshold(histogram: np.ndarray) -> int:
+    """The least saved bytes beyond the quantile (interpolated) of ordinary windows."""
+    ends = np.cumsum(histogram)
+    if not ends[-1]:
+        return 1
+    at = (1 - FALSE_WINDOWS) * (int(ends[-1]) - 1)
+    low, high = (LEAST_SAVED + int(np.searchsorted(ends, i, side="right")) for i in (math.floor(at), math.ceil(at)))
+    return max(1, int(low + (high - low) * (at - math.floor(at))) + 1)
+
+
+def fit(sample: DataFrame, share: float) -> Model:
+    """Fit on ``sample(_id, text, toxic, half)``, whole texts; ``share`` is the share of toxic rows to calibrate for.
 
     The curve is fitted to windows that are scored with the dictionaries of the other half; the dictionaries of
     the model are then trained on all rows.
     """
-    cut = [((t or "")[:SAMPLE_CHARS], y, bool(h)) for t, y, h in rows]
-    model = _dictionaries([(t, y) for t, y, _ in cut])
-    y = np.array([y for _, y, _ in cut], float)
-    if not len(y) or y.min() == y.max():  # nothing to tell apart: the share itself
+    sizes = {(r.toxic, r.half): r["count"] for r in sample.groupBy("toxic", "half").count().collect()}
+    marked = _toxic_grams(sample, sizes)
+    texts = map_arrow(sample.where("toxic = 0").select("_id", "half", "text"), _drawn_windows, "_id long, half boolean, pieces array<binary>")
+    words = map_arrow(sample.where("toxic = 1").select("_id", "half", "text"), _toxic_words(marked),
+                      "_id long, half boolean, pieces array<binary>, half_pieces array<binary>")
+    texts, words = (df.toArrow().sort_by("_id").to_pydict() for df in (texts, words))
+    model = _dictionaries(texts["pieces"], words["pieces"])
+    if len({y for y, _ in sizes}) < 2:  # nothing to tell apart: the share itself
         share = min(max(share, 1e-3), 1 - 1e-3)
         model.weights[-1] = math.log(share / (1 - share))
         return model
-    halves = {h: _dictionaries([(t, y) for t, y, other in cut if other != h]) for h in (False, True)}
-    scorers = {h: m.scorer() for h, m in halves.items()}
-    saved = np.concatenate([scorers[h].saved(t) for t, y, h in cut if y == 0])
-    model.threshold = max(1, int(np.quantile(saved, 1 - FALSE_WINDOWS)) + 1) if len(saved) else 1
-    for m in halves.values():
-        m.threshold = model.threshold
-    x = np.array([scorers[h].features(t)[0] for t, _, h in cut])
+    halves = {half: _dictionaries(*([x for x, h in zip(rows[name], rows["half"]) if h == half]
+                                    for rows, name in ((texts, "pieces"), (words, "half_pieces")))) for half in (False, True)}
+    got = map_arrow(sample, _histograms(halves), "_id long, toxic int, windows array<long>").toArrow().sort_by("_id").to_pydict()
+    y, histograms = np.array(got["toxic"], float), np.array(got["windows"])
+    model.threshold = _threshold(histograms[y == 0].sum(axis=0))
+    x = np.array([_features(h, model.threshold)[0] for h in histograms])
     model.center, model.scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     model.weights = _logistic((x - model.center) / model.scale, y, weight)
@@ -192,8 +280,8 @@ def fit(rows: list[tuple[str | None, int, bool]], share: float) -> Model:
 def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> Model:
     """Fit on the labelled documents for which ``learn``, a condition on doc_id, holds.
 
-    The sample is the rows with the smallest hash of doc_id. Its ids, a bounded table, are broadcast; texts
-    do not shuffle. Conflicting labels of one document count as toxic.
+    The sample is the rows with the smallest hash of doc_id. Its ids, a bounded table, are broadcast; only the texts of
+    the sample shuffle, into a table that the steps of the fit read. Conflicting labels of one document count as toxic.
     """
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     labels = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
@@ -207,10 +295,16 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> Mo
         part = labels.where(F.col("toxic") == label).orderBy(place, "doc_id").limit(SAMPLE_ROWS)
         picked = part if picked is None else picked.unionByName(part)
     picked = picked.select(F.col("doc_id").alias("_id"), "toxic", (place % 2 == 0).alias("half"))
-    text = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    rows = text.join(F.broadcast(picked), F.col("_doc") == F.col("_id")).orderBy("_id", "text").limit(2 * SAMPLE_ROWS)
-    rows = [(r.text, r.toxic, r.half) for r in rows.collect()]
-    return fit(rows, count.get(1, 0) / max(1, sum(count.values())))
+    text = docs.select(F.col("doc_id").cast("long").alias("_doc"), "text")
+    rows = text.join(F.broadcast(picked), F.col("_doc") == F.col("_id")).select("_id", "text", "toxic", "half")
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()).repartition("row"), "toxicity-sample")
+    sample = rows
+    if rows.count() > 2 * SAMPLE_ROWS:  # documents of several rows
+        keep = rows.select("row", "_id", F.xxhash64("text").alias("hash")).orderBy("_id", "hash", "row").limit(2 * SAMPLE_ROWS)
+        sample = rows.join(F.broadcast(keep.select("row")), "row")
+    model = fit(sample.select("_id", "text", "toxic", "half"), count.get(1, 0) / max(1, sum(count.values())))
+    discard(rows)
+    return model
 
 
 def _score(model: Model):

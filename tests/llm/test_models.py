@@ -38,6 +38,23 @@ def test_toxicity_on_held_out_rows(spark):
     assert kept.columns == ["doc_id", "text", "score"] and kept.count() == sum(r.predicted == 0 for r in rows)
 
 
+def test_toxicity_learns_from_late_passages(spark):
+    rng = random.Random(5)
+    docs = []
+    for d in range(160):
+        words = prose(rng, 2200 if d % 2 else 60).split()
+        if d % 4 == 1:  # toxic beyond the first 10,000 characters only
+            assert len(" ".join(words[:2100])) > 10_000
+            words[2100:2100] = rng.choices("zompkul brixnaff gurdlebok wexmurtz".split(), k=30)
+        docs.append((d, " ".join(words)))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 1)) for i, _ in docs], "doc_id long, toxic int")
+    model = toxicity.train(d, labels, ~held_out(F.col("doc_id")))
+    assert b"brixnaff" in model.toxic
+    test = [r for r in toxicity.score_documents(d, model).collect() if r.held_out]
+    assert np.mean([r.predicted == int(r.doc_id % 4 == 1) for r in test]) > 0.93
+
+
 def test_toxicity_without_labels_or_with_one_class(spark):
     d = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     for rows in ([], [(1, 0)], [(1, 1)]):
