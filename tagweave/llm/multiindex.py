@@ -9,6 +9,8 @@ of sampled vectors, found by comparing them with all vectors. What it finds is v
 Work is dealt out in units of one first code: the index vectors with that code and the queries that visit some of its
 cells, each in blocks of bounded size, so a query's vector travels once for all cells of a row of the grid.
 A unit returns one row for each vector with a link (links found, smallest linked vector of its part), never pairs.
+A link counts at both ends: a query that meets a vector which does not visit the query's own cell counts for that vector, too.
+Whether it does is told by its reach, the distance of the last cell that it visits.
 """
 
 from __future__ import annotations
@@ -55,11 +57,16 @@ def _codebook(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarr
 
 
 def cell_order(d1: np.ndarray, d2: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """Multi-sequence traversal: cells (i, j) by rising ``d1[i] + d2[j]``, at most ``most`` of them."""
+    """Multi-sequence traversal: cells (i, j) by rising ``d1[i] + d2[j]``, ``most`` of them and those as far as the last."""
     o1, o2 = np.argsort(d1, kind="stable"), np.argsort(d2, kind="stable")
     heap, seen = [(d1[o1[0]] + d2[o2[0]], 0, 0)], {(0, 0)}
-    for _ in range(min(most, len(o1) * len(o2))):
-        _, a, b = heapq.heappop(heap)
+    last = np.inf
+    for n in range(len(o1) * len(o2)):
+        distance, a, b = heapq.heappop(heap)
+        if distance > last:
+            return
+        if n == most - 1:
+            last = distance
         yield int(o1[a]), int(o2[b])
         for x, y in ((a + 1, b), (a, b + 1)):
             if x < len(o1) and y < len(o2) and (x, y) not in seen:
@@ -81,6 +88,11 @@ class Grid:
         a, b = self.split(x)
         return _distances(a, self.first), _distances(b, self.second)
 
+    def row_distances(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distances of one vector: the same bits whichever rows are beside it."""
+        d1, d2 = self.distances(v[None].copy())
+        return d1[0], d2[0]
+
 
 def fit(sample: np.ndarray, n_vectors: int, threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> Grid:
     """Codebooks for ``n_vectors`` unit vectors, and the cells a query has to visit."""
@@ -173,26 +185,30 @@ def _route(grid: Grid, kind: str, dimension: int):
     def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for start in range(0, batch.num_rows, 512):
             part = batch.slice(start, 512)
-            vectors, out = part.column("vector"), {"code": [], "row": [], "query": [], "cells": []}
-            for row, (d1, d2) in enumerate(zip(*grid.distances(_unit(part, kind, dimension)))):
+            vectors, out = part.column("vector"), {"code": [], "row": [], "query": [], "cells": [], "own1": [], "own2": [], "reach": []}
+            for row, v in enumerate(_unit(part, kind, dimension)):
+                d1, d2 = grid.row_distances(v)
                 visits: dict[int, list[int]] = {}
                 for i, j in cell_order(d1, d2, grid.visited):
                     visits.setdefault(i, []).append(j)
-                for code, query, cells in [(int(d1.argmin()), False, [int(d2.argmin())]), *((i, True, js) for i, js in visits.items())]:
-                    for name, value in zip(out, (code, row, query, cells)):
+                own1, own2, reach = int(d1.argmin()), int(d2.argmin()), float(d1[i] + d2[j])
+                for code, query, cells in [(own1, False, [own2]), *((i, True, js) for i, js in visits.items())]:
+                    for name, value in zip(out, (code, row, query, cells, own1, own2, reach)):
                         out[name].append(value)
             take = pa.array(out["row"], pa.int64())
             yield pa.record_batch([part.column("node").take(take), part.column("copies").take(take), vectors.take(take),
-                                   pa.array(out["code"], pa.int32()), pa.array(out["query"]), pa.array(out["cells"], pa.list_(pa.int32()))],
-                                  names=["node", "copies", "vector", "code", "query", "cells"])
+                                   pa.array(out["code"], pa.int32()), pa.array(out["query"]), pa.array(out["cells"], pa.list_(pa.int32())),
+                                   pa.array(out["own1"], pa.int32()), pa.array(out["own2"], pa.int32()), pa.array(out["reach"], pa.float64())],
+                                  names=["node", "copies", "vector", "code", "query", "cells", "own1", "own2", "reach"])
     return rows
 
 
-def _search(kind: str, dimension: int, threshold: float):
+def _search(grid: Grid, kind: str, dimension: int, threshold: float):
     def unit(rows: pa.Table) -> pa.Table:
         part = rows.combine_chunks().to_batches()[0]
         query = part.column("query").to_numpy(zero_copy_only=False)
         node, copies = part.column("node").to_numpy(), part.column("copies").to_numpy()
+        own1, own2, reach = (part.column(c).to_numpy() for c in ("own1", "own2", "reach"))
         vectors, cells = _unit(part, kind, dimension), part.column("cells").to_pylist()
         in_cell: dict[int, list[int]] = {}
         visits: dict[int, list[int]] = {}
@@ -214,6 +230,12 @@ def _search(kind: str, dimension: int, threshold: float):
                 q, y = q[qs], x[ys]
                 for i, n in zip(node[q].tolist(), (linked * copies[y]).sum(axis=1).tolist()):
                     links[i] = links.get(i, 0) + n
+                for column, i in enumerate(y):  # links that the vector's own visits do not meet
+                    mine = q[linked[:, column]]
+                    d1, d2 = grid.row_distances(vectors[i])
+                    n = int(copies[mine[d1[own1[mine]] + d2[own2[mine]] > reach[i]]].sum())
+                    if n:
+                        links[int(node[i])] = links.get(int(node[i]), 0) + n
                 # smallest node of each connected part of this block
                 a, b = node[q], node[y]
                 while True:
@@ -278,7 +300,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
 def _found(nodes: DataFrame, grid: Grid, kind: str, dimension: int, threshold: float) -> DataFrame:
     """``(node, links, least)`` rows of all units."""
     routes = materialize(map_arrow(nodes, _route(grid, kind, dimension),
-                                   "node long, copies long, vector binary, code int, query boolean, cells array<int>"), "routes")
+                                   "node long, copies long, vector binary, code int, query boolean, cells array<int>, "
+                                   "own1 int, own2 int, reach double"), "routes")
     sizes = {(r.code, r.query): r["count"] for r in routes.groupBy("code", "query").count().collect()}  # two for each code
     blocks = [[-(-max(1, sizes.get((i, q), 0)) // most) for i in range(len(grid.first))]
               for q, most in ((False, BLOCK_INDEX), (True, BLOCK_QUERIES))]
@@ -287,11 +310,11 @@ def _found(nodes: DataFrame, grid: Grid, kind: str, dimension: int, threshold: f
     own = F.when(F.col("query"), F.pmod(place, n_queries)).otherwise(F.pmod(place, n_index)).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.when(F.col("query"), n_index).otherwise(n_queries) - 1))
     dealt = routes.withColumn("own", own).withColumn("other", other).select(
-        "node", "copies", "vector", "query", "cells", "code",
+        "node", "copies", "vector", "query", "cells", "code", "own1", "own2", "reach",
         F.when(F.col("query"), F.col("other")).otherwise(F.col("own")).alias("index_block"),
         F.when(F.col("query"), F.col("own")).otherwise(F.col("other")).alias("query_block"))
     found = dealt.groupBy("code", "index_block", "query_block").applyInArrow(
-        _search(kind, dimension, threshold), "node long, links long, least long")
+        _search(grid, kind, dimension, threshold), "node long, links long, least long")
     found = materialize(found, "found")
     discard(routes)
     return found

@@ -156,6 +156,19 @@ def test_visits_are_fitted_to_true_links(spark, monkeypatch):
     assert found >= 0.98 * ((x @ x.T >= 0.95).sum() - len(x))
 
 
+def test_links_count_at_both_ends(spark, monkeypatch):
+    """With few visited cells many pairs are met from one end only."""
+    monkeypatch.setattr(multiindex, "fit_true", lambda *a: None)
+    monkeypatch.setattr(multiindex, "BLOCK_QUERIES", 300)
+    x = low_rank_pairs(1000, 32, 32, 0.96)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in multiindex.near_duplicates(df, recall=0.7).collect()}
+    found = np.array([got[i].n_links for i in range(2000)])
+    joined = np.array([got[i].component_id for i in range(2000)]) == np.arange(2000) // 2 * 2
+    assert 200 < joined[1::2].sum() < 1000
+    assert (found[::2] == joined[1::2]).all() and (found[1::2] == joined[1::2]).all()
+
+
 def test_cells_come_in_order_of_distance():
     rng = np.random.default_rng(1)
     a, b = rng.random(7), rng.random(9)
