@@ -133,8 +133,6 @@ class Encoder:
         return out
 
     def _learn(self, first: np.ndarray, second: np.ndarray, words: list[str]) -> None:
-        if self.n_words + len(words) > (2 << TABLE_BITS) // 3:
-            raise MemoryError("more distinct words at once than the table holds")
         encoded = self._encode_words(words)
         ids = np.frombuffer(b"".join(encoded), self.dtype)
         lengths = np.array([len(e) // self.dtype.itemsize for e in encoded], np.int32)
@@ -149,14 +147,8 @@ class Encoder:
         self.n_words, self.n_ids = b, self.n_ids + len(ids)
         self.table.insert(first, second, np.arange(a, b, dtype=np.int32))
 
-    def _by_words(self, texts: list[str]) -> list[bytes]:
-        """Ids of regular texts."""
-        buffer = "\0".join(["", *texts, ""]).encode()
-        data = np.frombuffer(buffer, np.uint8)
-        starts, ends, first, second = word_hashes(data, _SEPARATOR)
-        before = data[starts - 1]
-        blank = before == 32
-        first = np.maximum(mix(first ^ np.where(blank, _AFTER_BLANK, np.uint64(0))), np.uint64(1))
+    def _entries(self, first: np.ndarray, second: np.ndarray, buffer: bytes, starts: np.ndarray, ends: np.ndarray, blank: np.ndarray) -> np.ndarray:
+        """The table's entries of words; new ones are learned, in a cleared table if they might not fit."""
         if self.n_words + len(starts) > (2 << TABLE_BITS) // 3:
             self._clear()
         entry = self.table.find(first, second)
@@ -167,15 +159,33 @@ class Encoder:
             self._learn(first[new], second[new], [buffer[s - 1 if b else s:e].decode() for s, e, b in zip(
                 starts[new].tolist(), ends[new].tolist(), blank[new].tolist())])
             entry[missing] = self.table.find(first[missing], second[missing])
-        line = before == 10
-        length = self.length[entry] + line  # the line end's id, then the word's
-        at = np.cumsum(length) - length
-        total = int(at[-1] + length[-1]) if len(length) else 0
-        out = self.ids[np.repeat(self.start[entry] - line - at, length) + np.arange(total)]
-        out[at[line]] = self.line_end
+        return entry
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        """Ids of regular texts."""
+        buffer = "\0".join(["", *texts, ""]).encode()
+        data = np.frombuffer(buffer, np.uint8)
+        starts, ends, first, second = word_hashes(data, _SEPARATOR)
+        before = data[starts - 1]
+        blank = before == 32
+        first = np.maximum(mix(first ^ np.where(blank, _AFTER_BLANK, np.uint64(0))), np.uint64(1))
+        most = (2 << TABLE_BITS) // 3  # words of a round: as many as the table holds, should all be distinct
+        raw, places, total = [], [np.zeros(0, np.int64)], 0
+        for i in range(0, len(starts), most):
+            now = slice(i, i + most)
+            entry = self._entries(first[now], second[now], buffer, starts[now], ends[now], blank[now])
+            line = before[now] == 10
+            length = self.length[entry] + line  # the line end's id, then the word's
+            at = np.cumsum(length) - length
+            n = int(at[-1] + length[-1])
+            out = self.ids[np.repeat(self.start[entry] - line - at, length) + np.arange(n)]
+            out[at[line]] = self.line_end
+            raw.append(out.tobytes())
+            places.append(at + total)
+            total += n
+        at, raw, size = np.concatenate(places), b"".join(raw), self.dtype.itemsize
         text_of = np.flatnonzero(before == 0)
         bounds = [*at[text_of].tolist(), total]
-        raw, size = out.tobytes(), self.dtype.itemsize
         return [raw[size * a:size * b] for a, b in zip(bounds, bounds[1:])]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:

@@ -26,6 +26,17 @@ def test_encoder_equals_the_library_on_whole_texts(monkeypatch):
     assert got == want
 
 
+def test_a_text_with_more_distinct_words_than_the_table_holds(monkeypatch):
+    rng = random.Random(4)
+    words = [f"id{i}" for i in range(500)] + ["the", "é!", "日本"] * 100
+    rng.shuffle(words)
+    texts = [" ".join(words), "a b\nc", "\n".join(words[::-1])]
+    monkeypatch.setattr(tokens, "TABLE_BITS", 6)
+    e = tokens.Encoder(tokenizer_path())
+    want = [np.array(x.ids, e.dtype).tobytes() for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert e.encode(texts) == want and e.encode(texts) == want
+
+
 def test_other_kinds_of_tokenizers_encode_whole_texts():
     e = tokens.Encoder(tokenizer_path("word_bpe_49k.json"))
     assert not e.by_word
