@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dartminhash, decontaminate, html_text, language, mixing, multiindex, substring, toxicity, url_templates, wavelet
+from . import dartminhash, decontaminate, html_text, language, merkle, mixing, multiindex, substring, toxicity, url_templates, wavelet
 from .common import held_out, scratch_path, table
 
 
@@ -63,6 +63,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_proofs(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it builds on this module
     return corpus_pipeline.run(spark, sf_dir)
@@ -79,9 +83,11 @@ QUERIES = {f.__name__: f for f in (
     op8_mix_sources,
     op9_url_filter,
     op10_substring_dedup,
+    op11_merkle_manifest,
     pipeline,
 )}
 ORACLE = {
     "op8_mix_sources": mixing.MIX_SQL.format(docs="documents", temperature=0.7, seed="mix-1"),
     "op10_substring_dedup": substring.SUBSTRING_SQL,
+    "op11_merkle_manifest": merkle.MERKLE_SQL,
 }
