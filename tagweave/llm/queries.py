@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dartminhash, decontaminate, html_text, language, merkle, mixing, multiindex, substring, toxicity, url_templates, wavelet, whitening
+from . import dartminhash, decontaminate, html_text, language, merkle, mixing, multiindex, personal, substring, toxicity, url_templates, wavelet, whitening
 from .common import held_out, scratch_path, table
 
 
@@ -67,6 +67,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_proofs(table(spark, sf_dir, "documents"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.digests(personal.personal_data(table(spark, sf_dir, "documents")))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
 
@@ -88,6 +92,7 @@ QUERIES = {f.__name__: f for f in (
     op9_url_filter,
     op10_substring_dedup,
     op11_merkle_manifest,
+    op12_personal_data,
     op13_whitening,
     pipeline,
 )}

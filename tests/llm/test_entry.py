@@ -34,7 +34,7 @@ def tables(spark, tmp_path_factory):
 
 
 def test_registered():
-    assert len(QUERIES) == 13 and set(QUERIES) <= set(__spark_entry__.queries()) and set(ORACLE) <= set(__spark_entry__.oracle_sql())
+    assert len(QUERIES) == 14 and set(QUERIES) <= set(__spark_entry__.queries()) and set(ORACLE) <= set(__spark_entry__.oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "decontaminate", "mix_sources", "token_shards"]
 
 
