@@ -73,3 +73,18 @@ def words_as_tags(text) -> Column:
 def display_label(tag) -> Column:
     """Display label of a tag: '#' followed by the tag."""
     return F.concat(F.lit("#"), as_col(tag))
+
+
+def json_value(c) -> Column:
+    """A value as JSON text, null as ``null``; strings keep their letters."""
+    inside = F.to_json(F.array(as_col(c)))
+    return F.substr(inside, F.lit(2), F.length(inside) - 2)
+
+
+def ascii_json(json) -> Column:
+    """JSON text with everything beyond printable ASCII (but line ends) as ``\\uXXXX``, in UTF-16 units."""
+    c = as_col(json)
+    units = F.regexp_extract_all(F.hex(F.encode(c, "UTF-16BE")), F.lit(".{4}"), F.lit(0))
+    escaped = F.array_join(F.transform(units, lambda u: F.when(
+        u.between("0020", "007E") | (u == "000A"), F.char(F.conv(u, 16, 10).cast("int"))).otherwise(F.concat(F.lit("\\u"), F.lower(u)))), "")
+    return F.when(c.rlike(r"[^ -~\n]"), escaped).otherwise(c)

@@ -144,7 +144,7 @@ def _array_pairs(posts: DataFrame, *extra: str, presorted: bool = False,
                     F.lit(1).cast("long").alias("weight"), *extra))
 
 
-def _block_pairs(posts: DataFrame, block: int = SALT_BLOCK, partitions: int | None = None,
+def _block_pairs(posts: DataFrame, *extra: str, block: int = SALT_BLOCK, partitions: int | None = None,
                  presorted: bool = False, min_tags: int = 2) -> DataFrame:
     """Pairs of long posts over distinct tags with multiplicities, split into blocks.
 
@@ -156,43 +156,44 @@ def _block_pairs(posts: DataFrame, block: int = SALT_BLOCK, partitions: int | No
     explicit partition count (which adaptive execution leaves as is) spreads
     the blocks of one hot post over many tasks before the pairs are exploded.
     Posts with fewer than ``min_tags`` tags make no block (a ``when`` inside
-    the expressions, not a filter, so the tag regex runs once per row).
+    the expressions, not a filter, so the tag regex runs once per row). Columns ``extra`` are kept beside
+    the pairs; copies are then posts that agree in them too.
     """
     spark = posts.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = _sorted(posts, presorted)
+    s = _sorted(posts, presorted, *extra)
     srt = F.col("_s")
     k = F.size(srt)
     starts = F.filter(F.sequence(F.lit(0), k - 1),
                       lambda i: (i == 0) | (F.get(srt, i) != F.get(srt, i - 1)))
     # copies of a post are one row with a count: a post that was shared ten thousand times is paired once
     # (a generated column: the null filter is not pushed below it, so the tag regex runs once per row)
-    long_posts = s.select(F.explode_outer(F.array(F.when(k >= min_tags, srt))).alias("_s"))
-    same = long_posts.groupBy("_s").agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_s").isNotNull())
-    runs = same.select("_s", "_copies", starts.alias("_st"))
+    long_posts = s.select(F.explode_outer(F.array(F.when(k >= min_tags, srt))).alias("_s"), *extra)
+    same = long_posts.groupBy("_s", *extra).agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_s").isNotNull())
+    runs = same.select("_s", "_copies", starts.alias("_st"), *extra)
     st = F.col("_st")
     # distinct tags with their multiplicity, as one sorted array of structs
     dm = runs.select(
-        F.xxhash64("_s").alias("_fp"), "_copies",
+        F.xxhash64("_s", *extra).alias("_fp"), "_copies", *extra,
         F.transform(st, lambda p, j: F.struct(
             F.get(srt, p).alias("tag"),
             (F.coalesce(F.get(st, j + 1), k) - p).cast("long").alias("m"))).alias("_dm"))
     n = F.size("_dm")
     nblocks = F.greatest(F.lit(1), F.ceil(n / F.lit(block))).cast("int")
     block_ids = F.when(F.col("_dm").isNotNull(), F.sequence(F.lit(0), nblocks - 1))
-    blocks = (dm.select("_fp", "_copies", "_dm", F.explode_outer(block_ids).alias("_b"))
+    blocks = (dm.select("_fp", "_copies", *extra, "_dm", F.explode_outer(block_ids).alias("_b"))
               .where(F.col("_b").isNotNull()))
     lo = F.col("_b") * F.lit(block)
-    blocks = blocks.select("_fp", "_copies", "_b", F.slice("_dm", lo + 1, n).alias("_sfx"),
+    blocks = blocks.select("_fp", "_copies", *extra, "_b", F.slice("_dm", lo + 1, n).alias("_sfx"),
                            F.least(F.lit(block), n - lo).alias("_cnt"))
     spread = blocks.repartition(parts, "_fp", "_b")
-    left = spread.select("_copies", "_sfx", F.posexplode(F.slice("_sfx", F.lit(1), F.col("_cnt"))).alias("_i", "_a"))
+    left = spread.select("_copies", *extra, "_sfx", F.posexplode(F.slice("_sfx", F.lit(1), F.col("_cnt"))).alias("_i", "_a"))
     tail = F.slice("_sfx", F.col("_i") + 1, F.size("_sfx") - F.col("_i"))
-    pairs = left.select("_copies", "_a", F.posexplode(tail).alias("_j", "_z"))
+    pairs = left.select("_copies", *extra, "_a", F.posexplode(tail).alias("_j", "_z"))
     ma, mb = F.col("_a.m"), F.col("_z.m")
     weight = F.when(F.col("_j") == 0, F.floor(ma * (ma - 1) / 2)).otherwise(ma * mb)
     return (pairs.select(F.col("_a.tag").alias("src"), F.col("_z.tag").alias("dst"),
-                         (weight * F.col("_copies")).cast("long").alias("weight"))
+                         (weight * F.col("_copies")).cast("long").alias("weight"), *extra)
             .where(F.col("weight") > 0))
 
 
@@ -212,20 +213,29 @@ def post_pairs(posts: DataFrame, method: str = "auto", array_pair_limit: int = A
     if method == "array":
         return _array_pairs(tagged, presorted=presorted)
     if method == "blocks":
-        return _block_pairs(tagged, salt_block, presorted=presorted)
+        return _block_pairs(tagged, block=salt_block, presorted=presorted)
     if method != "auto":
         raise ValueError(f"Unknown pair method: {method}")
     return _array_pairs(tagged, presorted=presorted, max_tags=array_pair_limit).unionByName(
-        _block_pairs(tagged, salt_block, presorted=presorted, min_tags=array_pair_limit + 1))
+        _block_pairs(tagged, block=salt_block, presorted=presorted, min_tags=array_pair_limit + 1))
+
+
+# Occurrences of a pair that one row lists at once.
+_LISTED = 4096
 
 
-def pair_occurrences(posts: DataFrame) -> DataFrame:
+def pair_occurrences(posts: DataFrame, array_pair_limit: int = ARRAY_PAIR_LIMIT) -> DataFrame:
     """``(src, dst, sentiment)``, one row per pair occurrence of each post.
 
-    The unaggregated pair list of short posts; for long texts use
-    :func:`edges`, which never lists occurrences one by one.
+    The unaggregated pair list; its size is the square of a post's tags, and :func:`edges` never lists it. Short posts list their pairs in
+    their own row; long ones go through blocks that are spread over tasks, and a pair that occurs often is listed in several steps.
     """
-    return _array_pairs(posts.select("hashtags", "sentiment"), "sentiment").select("src", "dst", "sentiment")
+    tagged = posts.select("hashtags", "sentiment")
+    short = _array_pairs(tagged, "sentiment", max_tags=array_pair_limit).select("src", "dst", "sentiment")
+    long = _block_pairs(tagged, "sentiment", min_tags=array_pair_limit + 1)
+    first = long.select("src", "dst", "sentiment", "weight", F.explode(F.sequence(F.lit(1), F.col("weight"), F.lit(_LISTED))).alias("_at"))
+    left = F.least(F.col("weight") - F.col("_at") + 1, F.lit(_LISTED)).cast("int")
+    return short.unionByName(first.select("src", "dst", "sentiment", F.explode(F.array_repeat(F.lit(True), left)).alias("_one")).drop("_one"))
 
 
 def tag_keys(posts: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions._util import as_col
 from ..functions.text import TOKEN_PATTERN, shrink, text_or_empty
 
-# Fixed value: a token or a run of white space; together they tile the text.
-PIECE_PATTERN = TOKEN_PATTERN + r"|[\t\n\x0B\f\r ]+"
+# Fixed value: a token with the white space before it; these tile the text but for white space at its end.
+PIECE_PATTERN = r"[\t\n\x0B\f\r ]*(?:" + TOKEN_PATTERN + ")"
 
 
 def assemble(df: DataFrame, text_col: str = "text", cleanup: str = "shrink") -> DataFrame:
@@ -23,32 +23,36 @@ def assemble(df: DataFrame, text_col: str = "text", cleanup: str = "shrink") ->
     return df.withColumn("document", doc)
 
 
-# Pieces whose lengths are added up one by one; the blocks' totals are added up after them.
-_BLOCK = 32
+# The prefix sums' tree: an inner node has this many children, and FAN ** LEVELS leaves are more than a row can hold.
+_FAN, _LEVELS = 16, 7
 
 
 def token_spans(df: DataFrame, id_col: str, text_col: str = "document") -> DataFrame:
     """One row per token: ``(id, pos, begin, end, token)``, offsets 0-based, end inclusive.
 
-    The text is cut into pieces that tile it (tokens and white-space runs);
-    a token begins where the lengths of the pieces before it add up to. The sum is made inside the
-    row in two levels, blocks of pieces and pieces of a block, so nothing shuffles and
-    rows with the same id are kept apart.
+    The text is cut into pieces that tile it (tokens with the white space before them);
+    a token ends where the lengths of the pieces up to its own add up to. The sum is made inside the
+    row, over a tree of blocks: first the sums of every block of a level, bottom up, then where each
+    block begins, top down, from its parent and its elder siblings. The work is linear in the
+    number of pieces; nothing shuffles, and rows with the same id are kept apart.
     """
     pieces = F.regexp_extract_all(text_or_empty(text_col), F.lit(PIECE_PATTERN), F.lit(0))
-    total = lambda xs, size: F.aggregate(xs, F.lit(0), lambda a, x: a + size(x))
-    n_blocks = F.ceil(F.size("_p") / _BLOCK).cast("int")
-    blocks = F.when(F.size("_p") > 0, F.transform(F.sequence(F.lit(0), n_blocks - 1),
-                                                  lambda j: F.slice("_p", j * _BLOCK + 1, _BLOCK)))
-    once = lambda c: F.explode_outer(F.array(c))  # noqa: E731  a generated column is evaluated once, not in every lambda call
-    rows = df.select(F.col(id_col).alias("id"), once(pieces).alias("_p")).select("id", once(blocks).alias("_b"))
-    rows = rows.select("id", "_b", once(F.transform("_b", lambda b: total(b, F.length))).alias("_n"))
-    spans = F.flatten(F.transform("_b", lambda b, j: F.transform(b, lambda x, i: F.struct(
-        (total(F.slice("_n", 1, j), lambda n: n) + total(F.slice(b, 1, i), F.length)).alias("begin"), x.alias("token")))))
-    tokens = F.filter(spans, lambda s: ~s["token"].rlike(r"^[\t\n\x0B\f\r ]"))
-    out = rows.select("id", F.posexplode(tokens).alias("pos", "_t"))
-    return out.select("id", "pos", F.col("_t.begin").alias("begin"),
-                      (F.col("_t.begin") + F.length("_t.token") - 1).alias("end"), F.col("_t.token").alias("token"))
+    # generated columns (and columns that a later one reads more than once) are evaluated once, not in every lambda call
+    rows = df.select(F.col(id_col).alias("id"), F.explode_outer(F.array(pieces)).alias("_p"))
+    rows = rows.select("id", "_p", F.explode_outer(F.array(F.transform("_p", F.length))).alias("_s0"))
+    total = "aggregate({}, 0, (a, n) -> a + n)"
+    for k in range(_LEVELS - 1):
+        of_block = total.format(f"slice(_s{k}, j * {_FAN} + 1, {_FAN})")
+        rows = rows.selectExpr("*", f"explode_outer(array(CASE WHEN size(_s{k}) > {_FAN} THEN transform("
+                               f"sequence(0, (size(_s{k}) - 1) DIV {_FAN}), j -> {of_block}) END)) AS _s{k + 1}")
+    for k in range(_LEVELS - 1, -1, -1):
+        parent = f"coalesce(get(_o{k + 1}, CAST(i DIV {_FAN} AS INT)), 0)" if k < _LEVELS - 1 else "0"
+        elder = total.format(f"slice(_s{k}, i - i % {_FAN} + 1, i % {_FAN})")
+        rows = rows.selectExpr("*", f"explode_outer(array(transform(_s{k}, (s, i) -> {parent} + {elder}))) AS _o{k}")
+    spans = F.transform("_p", lambda t, i: F.struct(F.get("_o0", i).alias("start"), F.length(t).alias("size"), F.ltrim(t, F.lit("\t\n\x0b\f\r ")).alias("token")))
+    out = rows.select("id", F.posexplode(spans).alias("pos", "_t"))
+    end = F.col("_t.start") + F.col("_t.size") - 1
+    return out.select("id", "pos", (end + 1 - F.length("_t.token")).alias("begin"), end.alias("end"), F.col("_t.token").alias("token"))
 
 
 def finish(annotations) -> Column:

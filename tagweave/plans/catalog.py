@@ -22,10 +22,11 @@ from ..operators.model import train_sentiment_model
 from ..operators.tokens import finish, token_spans
 from ..session import materialize, scratch_path
 from .batch import run_batch, tagged_posts
-from ..sinks.graph import write_chunks, write_graph
+from ..schema import EDGE, STREAM_OUT, VERTEX
+from ..sinks.graph import export_graph_json, read_json_document, write_chunks, write_graph
 from ..sources.fixtures import raw_view, read_table, scored_view
 from ..sources.graph_files import read_graph
-from ..sources.posts import hash_sample, load_posts, normalize_posts, posts_with_hashtags
+from ..sources.posts import hash_sample, load_posts, load_posts_and_rejects, normalize_posts, posts_with_hashtags
 from ..streaming.files import start_stream
 from ..streaming.live_graph import compact, live_edges, live_vertices, start_graph_stream
 from ..streaming.wire import to_wire
@@ -69,10 +70,12 @@ def q_load_normalized(spark, sf_dir):
     return _loaded(normalize_posts(raw_view(spark, sf_dir, "posts")))
 
 
-def _csv_lines(raw, *more):
-    """Headerless CSV lines of raw posts, every field quoted."""
+def _csv_lines(raw, *more, fields=None):
+    """Headerless CSV lines of raw posts, every field quoted; ``fields``: how many of them."""
     quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
               for c in ("sentiment_label", "id", "date", "query", "user", "text")]
+    if fields is not None:
+        quoted = [F.slice(F.array(*quoted), F.lit(1), fields)]
     return raw.select(F.concat_ws(",", *quoted, *more).alias("value"))
 
 
@@ -104,6 +107,16 @@ def q_load_dropmalformed(spark, sf_dir):
     return _loaded(load_posts(spark, path, "csv", mode="DROPMALFORMED"))
 
 
+def q_load_rejects(spark, sf_dir):
+    """Every record of a CSV with line ends in its texts: labels 4 have five fields, other ones but 0 seven."""
+    path = scratch_path(spark, "posts-rejects")
+    label = F.col("sentiment_label")
+    (_csv_lines(_lined(spark, sf_dir), F.when(label == 2, '"more"'), fields=F.when(label == 4, 5).otherwise(6)).write.text(path))
+    posts, rejects = load_posts_and_rejects(spark, path, "csv")
+    return posts.select(F.lit("post").alias("kind"), "id", "text").unionByName(
+        rejects.select(F.col("reason").alias("kind"), F.lit(None).cast("string").alias("id"), F.col("record").alias("text")))
+
+
 def q_load_json(spark, sf_dir):
     path = scratch_path(spark, "posts-json")
     _lined(spark, sf_dir).write.json(path)
@@ -146,8 +159,9 @@ def q_hash_sample(spark, sf_dir):
 
 
 def q_sample_bernoulli(spark, sf_dir):
-    return (raw_view(spark, sf_dir, "posts")
-            .sample(withReplacement=False, fraction=SAMPLE_FRACTION, seed=42).select("id"))
+    path = scratch_path(spark, "posts-parquet")
+    raw_view(spark, sf_dir, "posts").write.parquet(path)
+    return load_posts(spark, path, "parquet", sample_fraction=SAMPLE_FRACTION).select("id")
 
 
 def q_limit_ordered(spark, sf_dir):
@@ -176,6 +190,17 @@ def q_created_at_parse(spark, sf_dir):
     return p.select("id", _epoch("created_at").alias("created_at_epoch"))
 
 
+# Zones as they may stand in a date.
+ZONES = ("UTC", "PST", "PDT", "EST", "EDT", "CET", "CEST", "JST", "-0330", "+05:45")
+
+
+def q_created_at_zones(spark, sf_dir):
+    """Dates whose zone goes round by id, daylight and standard ones in every season."""
+    zone = F.get(F.array(*[F.lit(z) for z in ZONES]), (F.col("id").cast("long") % len(ZONES)).cast("int"))
+    raw = raw_view(spark, sf_dir, "posts").withColumn("date", F.replace("date", F.lit("UTC"), zone))
+    return normalize_posts(raw).select("id", _epoch("created_at").alias("created_at_epoch"))
+
+
 def q_created_at_constant(spark, sf_dir):
     p = normalize_posts(raw_view(spark, sf_dir, "posts"), created_at_mode="constant")
     return p.select("id", _epoch("created_at").alias("created_at_epoch"))
@@ -271,7 +296,27 @@ def q_top_vertices(spark, sf_dir):
 
 
 def q_top_subgraph_nodes(spark, sf_dir):
-    return views.top_subgraph_nodes(*_graph(spark, sf_dir, "posts"), top_n=TOP_N)
+    posts = _tagged(spark, sf_dir, "posts")
+    return views.top_subgraph_nodes(graph.vertices(posts), views.posts_with_pairs(posts), top_n=TOP_N)
+
+
+def _slider(spark, sf_dir, view="posts"):
+    """One index for all positions of the slider; tags are cut down to the largest set before pairs are made."""
+    posts = _tagged(spark, sf_dir, view)
+    v = materialize(graph.vertices(posts), "vertices")
+    return views.slider_index(v, graph.edges(views.posts_in_top(posts, v, views.SLIDER[-1])))
+
+
+def q_slider_nodes(spark, sf_dir):
+    return views.at_slider(_slider(spark, sf_dir)[0])
+
+
+def q_slider_edges(spark, sf_dir):
+    return views.at_slider(_slider(spark, sf_dir)[1])
+
+
+def q_turn_slider_edges(spark, sf_dir):
+    return views.at_slider(_slider(spark, sf_dir, "turn_posts")[1])
 
 
 def _top_edges(view):
@@ -333,6 +378,26 @@ def q_graph_roundtrip_vertices(spark, sf_dir):
     return read_graph(spark, out, "json")[0].select("id", F.col("degree").cast("long").alias("degree"), "dominant_sentiment")
 
 
+def _json_documents(spark, sf_dir):
+    return export_graph_json(*_graph(spark, sf_dir, "posts"), scratch_path(spark, "graph-json"))
+
+
+def q_graph_json_vertices(spark, sf_dir):
+    """The complete graph as JSON array documents, read back: its vertices."""
+    return read_json_document(spark, _json_documents(spark, sf_dir)[0], VERTEX)
+
+
+def q_graph_json_edges(spark, sf_dir):
+    return read_json_document(spark, _json_documents(spark, sf_dir)[1], EDGE)
+
+
+def q_chunk_sequence(spark, sf_dir):
+    """Posts by id in numbered files of 1,000: what each file holds."""
+    out = write_chunks(raw_view(spark, sf_dir, "posts").select("id", "text"), scratch_path(spark, "chunks"), chunk_size=1000, order_by=("id",))
+    rows = spark.read.schema("id string").json(out).withColumn("chunk", F.regexp_extract(F.input_file_name(), r"chunk-(\d+)", 1).cast("int"))
+    return rows.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
 def _batch_job(spark, sf_dir):
     """The batch job on one CSV input."""
     path = scratch_path(spark, "batch-csv")
@@ -379,8 +444,14 @@ def q_model_invariants(spark, sf_dir):
                    F.count_if(F.col("strict") == "neutral").alias("neutral_below_threshold"))
 
 
+def _spread(df):
+    """Rows dealt over the cores when the table has fewer files: a small file is one task, whatever its rows cost."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def q_token_spans(spark, sf_dir):
-    return token_spans(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return token_spans(_spread(read_table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 def q_sentiment_model(spark, sf_dir):
@@ -418,11 +489,25 @@ def q_stream_posts(spark, sf_dir):
     q = start_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt",
                      trigger="available_now", max_files_per_trigger=4)
     q.awaitTermination()
-    out = spark.read.schema("id string, text string, hashtags array<string>, sentiment string, "
-                            "processing_time timestamp").json(f"{base}/out")
+    return _streamed(spark, base)
+
+
+def _streamed(spark, base):
+    out = spark.read.schema(STREAM_OUT).json(f"{base}/out")
     return out.select("id", "text", F.array_join("hashtags", " ").alias("hashtags"), "sentiment")
 
 
+def q_stream_once(spark, sf_dir):
+    """Every post is sent twice, the second time in other files and batches; it counts once (by event time, none late)."""
+    base = scratch_path(spark, "stream-once")
+    wire = to_wire(raw_view(spark, sf_dir, "posts"))
+    for order in ("id", "text"):
+        write_chunks(wire, f"{base}/in", chunk_size=1000, order_by=(order,))
+    start_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", trigger="available_now",
+                 max_files_per_trigger=64, dedupe_within="20000 days").awaitTermination()
+    return _streamed(spark, base)
+
+
 def _restarted(spark, sf_dir, start):
     """Two ``availableNow`` runs on one checkpoint, the second half of the files arriving between them."""
     base = scratch_path(spark, "stream-restart")
@@ -436,7 +521,7 @@ def _restarted(spark, sf_dir, start):
 
 def q_stream_restart_posts(spark, sf_dir):
     base = _restarted(spark, sf_dir, lambda b: start_stream(spark, f"{b}/in", f"{b}/out", f"{b}/ckpt", trigger="available_now"))
-    return spark.read.schema("id string, text string, sentiment string").json(f"{base}/out")
+    return _streamed(spark, base)
 
 
 def _restarted_graph(spark, sf_dir):
@@ -457,7 +542,7 @@ def q_stream_restart_edges(spark, sf_dir):
 def _stream_graph(spark, sf_dir):
     base = _wire_files(spark, sf_dir, "stream-graph")
     q = start_graph_stream(spark, f"{base}/in", f"{base}/state", f"{base}/ckpt",
-                           trigger="available_now", max_files_per_trigger=4)
+                           trigger="available_now", max_files_per_trigger=16)
     q.awaitTermination()
     return f"{base}/state"
 
@@ -535,6 +620,15 @@ QUERIES: dict[str, Query] = {
     "stream_graph_edges": q_stream_graph_edges,
     "load_csv": q_load_csv,
     "load_csv_latin1": q_load_csv_latin1,
+    "load_rejects": q_load_rejects,
+    "created_at_zones": q_created_at_zones,
+    "slider_nodes": q_slider_nodes,
+    "slider_edges": q_slider_edges,
+    "turn_slider_edges": q_turn_slider_edges,
+    "graph_json_vertices": q_graph_json_vertices,
+    "graph_json_edges": q_graph_json_edges,
+    "chunk_sequence": q_chunk_sequence,
+    "stream_once": q_stream_once,
     "load_dropmalformed": q_load_dropmalformed,
     "load_json": q_load_json,
     "load_sampled": q_load_sampled,

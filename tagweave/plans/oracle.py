@@ -138,6 +138,21 @@ s AS (SELECT doc_id, k, piece,
       FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
 SELECT doc_id AS id, pos, "begin", "begin" + length(piece) - 1 AS "end", piece AS token FROM s WHERE tok = 1"""
 
+_SLIDER = """
+placed AS (SELECT *, row_number() OVER (ORDER BY degree DESC, id) AS rk FROM vertices),
+settings AS (SELECT unnest(range(5, 51, 5)) AS top_n)"""
+
+SLIDER_EDGES = """
+SELECT CAST(n.top_n AS INTEGER) AS top_n, e.src AS source, e.dst AS target, e.weight,
+       greatest(1.0, least(10.0, e.weight / 2.0)) AS width, '#666' AS color
+FROM edges e JOIN placed a ON e.src = a.id JOIN placed b ON e.dst = b.id JOIN settings n ON a.rk <= n.top_n AND b.rk <= n.top_n"""
+
+_FIELD = """'"' || replace(coalesce(CAST({c} AS VARCHAR), ''), '"', '""') || '"'"""
+_SIX = [_FIELD.format(c=c) for c in ("sentiment_label", "id", "date", "query", '"user"', "replace(text, ' ', chr(10))")]
+
+# minutes east of UTC, by id modulo ten
+_ZONE_MINUTES = ("0", "-480", "-420", "-300", "-240", "60", "120", "540", "-210", "345")
+
 _LOADED = """
 SELECT id, text, array_to_string(hashtags, ' ') AS hashtags,
        CAST(epoch(try_strptime(date, '%a %b %d %H:%M:%S UTC %Y')) AS BIGINT) AS created_at_epoch,
@@ -150,6 +165,26 @@ ORACLE: dict[str, str] = {
     "load_json": _with(_LOADED + "(SELECT * REPLACE (replace(text, ' ', chr(10)) AS text) FROM sp) p"),
     "load_csv_latin1": _with(_LOADED + """(SELECT * REPLACE (
         'café #é ' || text AS text, CASE WHEN text IS NULL THEN [] ELSE list_concat(['é'], hashtags) END AS hashtags) FROM sp) p"""),
+    "load_rejects": _raw(f"""
+SELECT 'post' AS kind, id, replace(text, ' ', chr(10)) AS text FROM rp WHERE sentiment_label = 0
+UNION ALL
+SELECT 'not 6 fields', NULL, {" || ',' || ".join(_SIX[:5])} || CASE WHEN sentiment_label = 4 THEN '' ELSE ',' || {_SIX[5]} || ',"more"' END
+FROM rp WHERE sentiment_label <> 0"""),
+    "created_at_zones": _raw(f"""
+SELECT id, CAST(epoch(try_strptime(date, '%a %b %d %H:%M:%S UTC %Y')) AS BIGINT)
+           - 60 * [{", ".join(_ZONE_MINUTES)}][CAST(id AS BIGINT) % 10 + 1] AS created_at_epoch FROM rp"""),
+    "slider_nodes": _with(f"""
+SELECT CAST(top_n AS INTEGER) AS top_n, id, '#' || id AS label, degree, dominant_sentiment AS sentiment,
+       {COLOR.format(c='dominant_sentiment')} AS color, greatest(20, least(80, degree * 2)) AS size
+FROM placed JOIN settings ON rk <= top_n""", "posts", VERTICES, _SLIDER),
+    "slider_edges": _graph_sql("posts", SLIDER_EDGES, _SLIDER),
+    "turn_slider_edges": _graph_sql("turn_posts", SLIDER_EDGES, _SLIDER),
+    "graph_json_vertices": _with("SELECT * FROM vertices", "posts", VERTICES),
+    "graph_json_edges": _with("SELECT * FROM edges", "posts", EDGES),
+    "chunk_sequence": _raw("""
+SELECT CAST(k // 1000 AS INTEGER) AS chunk, count(*) AS n, min(id) AS first_id, max(id) AS last_id
+FROM (SELECT id, row_number() OVER (ORDER BY id) - 1 AS k FROM rp) r GROUP BY 1"""),
+    "stream_once": _with("SELECT id, text, array_to_string(hashtags, ' ') AS hashtags, sentiment FROM sd", "posts", DISTINCT),
     "load_dropmalformed": _with(_LOADED + "sp WHERE original_sentiment <> 'neutral'"),
     "load_sampled": _raw("""
 SELECT id FROM rp WHERE CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) < ceil(0.999 * 4294967296) ORDER BY id LIMIT 100"""),
@@ -171,7 +206,7 @@ SELECT doc_id, f AS finished, CASE WHEN contains(f, 'positive') THEN 'positive'
 FROM (SELECT doc_id, array_to_string(regexp_extract_all(coalesce(text, ''), '{TOKEN_PATTERN.replace("'", "''")}', 0), ' ') AS f FROM documents) d""",
     "model_invariants": """
 SELECT count(*) AS n, count(*) AS in_domain, count(*) AS same_after_load, count(*) AS neutral_below_threshold FROM documents""",
-    "stream_restart_posts": _with("SELECT id, text, sentiment FROM sd", "posts", DISTINCT),
+    "stream_restart_posts": _with("SELECT id, text, array_to_string(hashtags, ' ') AS hashtags, sentiment FROM sd", "posts", DISTINCT),
     "stream_restart_vertices": _with("SELECT * FROM vertices", "posts", DISTINCT, _on_wire(VERTICES)),
     "stream_restart_edges": _with("SELECT * FROM edges", "posts", DISTINCT, _on_wire(EDGES)),
     "doc_pair_totals": _with("""

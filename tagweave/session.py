@@ -109,4 +109,18 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """A Hadoop ``Path``, for file operations on the driver (names and sizes, never contents of data files)."""
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def discard(*tables) -> None:
+    """Delete tables that ``materialize`` wrote and that nothing reads any more."""
+    for df in tables:
+        path = hadoop_path(df.sparkSession, df._scratch)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

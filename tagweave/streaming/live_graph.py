@@ -1,20 +1,22 @@
 """The co-occurrence graph kept current from the post stream.
 
-Each micro-batch is reduced to two small additive deltas -- the tag
-sentiment profile and the pair weights of that batch. Both are written to
-folders of their own (a new name for every attempt), then one manifest row
-``<state_dir>/manifest/batch_id=N`` names them: a reader sees both
-deltas of a batch or neither, and no file that it reads is overwritten. A replayed batch replaces its manifest
-row, so the state is exactly-once without a transactional table. ``live_vertices`` / ``live_edges`` sum the
-deltas (a batch aggregate, partial sums before the shuffle); ``compact`` sums all batches so far into one. Nothing is
-kept in streaming state and no aggregate is chained in update mode.
-
-Batch ids belong to one checkpoint. A stream with a new checkpoint may not
-write to a state folder that holds batches: they would be overwritten or counted twice.
+Each micro-batch is reduced to one small additive delta: the tag sentiment profile and the pair weights of that
+batch, written to a folder of its own. Deltas are summed in levels: as soon as a level
+holds ``FAN`` of them, they are replaced by their sum, one level up. So after b batches there are at most ``FAN * log(b)``
+snapshots, and each delta is rewritten log(b) times.
+
+What counts is listed in one small document, the pointer ``<state_dir>/current/<batch>.json``: the stream it belongs to, the batch it ends with and
+the folders of its snapshots. A batch's pointer appears after its data, by a rename, so a reader (which takes the
+latest one) sees all of a batch or nothing of it. A replayed batch whose pointer is there has been counted and is left out. The last ``KEEP`` pointers stay, for a replay and
+for readers that have begun; folders that none of them lists are deleted. Nothing is kept in streaming state and no aggregate is chained in update mode.
+
+Batch ids belong to one stream: the id that its checkpoint carries. A stream with another checkpoint may not write to the same
+state folder, whether that checkpoint is new or not: its batches would be taken for replays.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 
@@ -26,10 +28,18 @@ from ..functions.labels import normalize_sentiment
 from ..functions.text import hashtags
 from ..operators.graph import post_pairs, sentiment_profile, vertices_from_profile
 from ..schema import SENTIMENTS
+from ..session import hadoop_path
 from ..sources.graph_files import path_exists
+from .event_time import once_each
 from .files import _apply_trigger, read_wire_stream
 from .wire import decode_wire
 
+# Snapshots of a level that are summed into one of the next level, and pointers that stay readable.
+FAN, KEEP = 8, 16
+
+PROFILE = "id string, degree long, " + ", ".join(f"{s} long" for s in SENTIMENTS)
+PAIRS = "src string, dst string, weight long"
+
 
 def _posts_of(decoded: DataFrame, dedupe: bool) -> DataFrame:
     tags = F.col("hashtags") if dedupe else hashtags(F.col("text"))
@@ -37,66 +47,145 @@ def _posts_of(decoded: DataFrame, dedupe: bool) -> DataFrame:
                           normalize_sentiment(F.col("sentiment")).alias("sentiment"))
 
 
-_MANIFEST = "profile string, pairs string, upto long"
-
+# --- the pointer: a document of a few kilobytes, read and written on the driver -------------------------------
 
-def write_deltas(posts: DataFrame, state_dir: str, batch_id: int) -> None:
-    """Write the profile and pair deltas of one batch, then its manifest row."""
+def _current(spark: SparkSession, state_dir: str) -> dict | None:
+    """The latest pointer, or None for a state folder without batches."""
+    path = os.path.join(state_dir, "current")
+    if not path_exists(spark, path):
+        return None
+    fs = hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(hadoop_path(spark, path))]
+    last = max((n for n in names if n.endswith(".json")), default=None)
+    return json.loads(_read_small(spark, os.path.join(path, last))) if last else None
+
+
+def _read_small(spark: SparkSession, path: str) -> str:
+    file = hadoop_path(spark, path)
+    stream = file.getFileSystem(spark._jsc.hadoopConfiguration()).open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _point(spark: SparkSession, state_dir: str, pointer: dict) -> None:
+    """Publish a pointer. Folders that went out of the list ``KEEP`` batches ago, and older pointers, are deleted."""
+    folder, data = (os.path.join(state_dir, n) for n in ("current", "data"))
+    fs = hadoop_path(spark, folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [d for d in pointer["dropped"] if d["batch"] <= pointer["batch"] - KEEP]
+    for d in old:
+        fs.delete(hadoop_path(spark, os.path.join(data, d["folder"])), True)
+    pointer = {**pointer, "dropped": [d for d in pointer["dropped"] if d not in old]}
+    draft, final = (hadoop_path(spark, os.path.join(folder, n)) for n in (
+        f"_{uuid.uuid4().hex}", f"{pointer['batch']:019d}-{pointer['version']:06d}.json"))
+    out = fs.create(draft, True)
+    out.write(bytearray(json.dumps(pointer).encode()))
+    out.close()
+    if not fs.rename(draft, final):
+        raise OSError(f"cannot publish {final.toString()}")
+    names = sorted(f.getPath().getName() for f in fs.listStatus(hadoop_path(spark, folder)) if f.getPath().getName().endswith(".json"))
+    for name in names[:-KEEP]:
+        fs.delete(hadoop_path(spark, os.path.join(folder, name)), False)
+
+
+def _drop_unfinished(spark: SparkSession, state_dir: str, batch: int) -> None:
+    """Delete folders of attempts that ended before their pointer appeared: those beyond the last ``batch`` that counts."""
+    path = os.path.join(state_dir, "data")
+    if path_exists(spark, path):
+        fs = hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+        for f in fs.listStatus(hadoop_path(spark, path)):
+            if int(f.getPath().getName().split("-")[0]) > batch:
+                fs.delete(f.getPath(), True)
+
+
+def _write_snapshot(spark: SparkSession, state_dir: str, level: int, upto: int, delta: DataFrame) -> dict:
+    """One snapshot: tag rows and pair rows side by side in one job; which of the two there are is noted."""
+    folder = f"{upto:012d}-{level}-{uuid.uuid4().hex[:12]}"
+    path = os.path.join(state_dir, "data", folder)
+    delta.write.partitionBy("part").parquet(path)
+    has = {part: path_exists(spark, os.path.join(path, f"part={part}")) for part in ("profile", "pairs")}
+    return {"folder": folder, "level": level, "upto": upto, **has}
+
+
+def _delta(profile: DataFrame, pairs: DataFrame) -> DataFrame:
+    return (profile.withColumn("part", F.lit("profile"))
+            .unionByName(pairs.withColumn("part", F.lit("pairs")), allowMissingColumns=True))
+
+
+def write_deltas(posts: DataFrame, state_dir: str, batch_id: int, stream: str = "") -> None:
+    """Count one batch of ``stream``: its snapshot, the sums of levels that are full, then the pointer."""
+    spark = posts.sparkSession
+    pointer = _current(spark, state_dir) or {"stream": stream, "batch": -1, "version": 0, "snapshots": [], "dropped": []}
+    if pointer["stream"] != stream:
+        raise ValueError(f"{state_dir} holds batches of another stream; start with an empty state folder")
+    if batch_id <= pointer["batch"]:
+        return  # a replay of a batch that is counted
+    _drop_unfinished(spark, state_dir, pointer["batch"])
     pairs = (post_pairs(posts).groupBy("src", "dst")
              .agg(F.sum("weight").cast("long").alias("weight")))
-    _publish(posts.sparkSession, state_dir, batch_id, batch_id, sentiment_profile(posts), pairs)
+    snapshots = [*pointer["snapshots"], _write_snapshot(spark, state_dir, 0, batch_id, _delta(sentiment_profile(posts), pairs))]
+    snapshots, dropped = _levelled(spark, state_dir, snapshots)
+    _point(spark, state_dir, {"stream": stream, "batch": batch_id, "version": 0, "snapshots": snapshots,
+                              "dropped": [*pointer["dropped"], *[{"folder": d, "batch": batch_id} for d in dropped]]})
 
 
-def _publish(spark: SparkSession, state_dir: str, batch_id: int, upto: int, profile: DataFrame, pairs: DataFrame) -> None:
-    folder = os.path.join(state_dir, "data", f"{batch_id:012d}-{uuid.uuid4().hex[:12]}")
-    paths = [os.path.join(folder, name) for name in ("profile", "pairs")]
-    profile.write.parquet(paths[0])
-    pairs.write.parquet(paths[1])
-    (spark.createDataFrame([(*paths, upto)], _MANIFEST).coalesce(1)
-     .write.mode("overwrite").parquet(os.path.join(state_dir, "manifest", f"batch_id={batch_id}")))
+def _levelled(spark: SparkSession, state_dir: str, snapshots: list[dict]) -> tuple[list[dict], list[str]]:
+    """Sum the levels that hold ``FAN`` snapshots, from the bottom up."""
+    dropped, level = [], 0
+    while any(s["level"] >= level for s in snapshots):
+        full = [s for s in snapshots if s["level"] == level]
+        if len(full) >= FAN:
+            snapshots, gone = _merged(spark, state_dir, snapshots, full, level + 1)
+            dropped += gone
+        level += 1
+    return snapshots, dropped
 
 
-def _batches(spark: SparkSession, state_dir: str) -> list:
-    """Manifest rows of the batches that count: one row a batch, or a compacted row for all up to it (one row of a few paths each)."""
-    path = os.path.join(state_dir, "manifest")
-    if not path_exists(spark, path):
-        return []
-    rows = spark.read.schema(_MANIFEST + ", batch_id long").parquet(path).collect()
-    base = max((r for r in rows if r.batch_id < 0), key=lambda r: r.upto, default=None)
-    tail = [r for r in rows if r.batch_id >= 0 and (base is None or r.batch_id > base.upto)]
-    return ([base] if base else []) + tail
+def _merged(spark: SparkSession, state_dir: str, snapshots: list[dict], some: list[dict], level: int) -> tuple[list[dict], list[str]]:
+    summed = _delta(_sum_profile(spark, state_dir, some), _sum_pairs(spark, state_dir, some))
+    one = _write_snapshot(spark, state_dir, level, max(s["upto"] for s in some), summed)
+    return [*[s for s in snapshots if s not in some], one], [s["folder"] for s in some]
 
 
 def compact(spark: SparkSession, state_dir: str) -> None:
-    """Sum all batches published so far into one, which readers take in their place.
+    """Sum all batches published so far into one snapshot. Not needed for bounded reads; run it between batches, never beside one."""
+    pointer = _current(spark, state_dir)
+    if pointer and len(pointer["snapshots"]) > 1:
+        snapshots, dropped = _merged(spark, state_dir, pointer["snapshots"], pointer["snapshots"],
+                                     max(s["level"] for s in pointer["snapshots"]) + 1)
+        _point(spark, state_dir, {**pointer, "version": pointer["version"] + 1, "snapshots": snapshots,
+                                  "dropped": [*pointer["dropped"], *[{"folder": d, "batch": pointer["batch"]} for d in dropped]]})
 
-    Run it between batches now and then, so that reads do not grow with the age of the stream. The batches' own
-    files stay for readers that have begun; delete folders under ``data`` that are older than any reader.
-    """
-    rows = _batches(spark, state_dir)
-    if len(rows) > 1:
-        upto = max(r.upto for r in rows)
-        _publish(spark, state_dir, -1 - upto, upto, _sum_profile(spark, rows), _sum_pairs(spark, rows))
+
+def _stream_id(spark: SparkSession, checkpoint_dir: str) -> str | None:
+    """The id that a checkpoint gives its stream; None before its first start."""
+    path = os.path.join(checkpoint_dir, "metadata")
+    return json.loads(_read_small(spark, path))["id"] if path_exists(spark, path) else None
 
 
 def start_graph_stream(spark: SparkSession, input_dir: str, state_dir: str, checkpoint_dir: str,
                        dedupe: bool = True, trigger: str | None = "30 seconds",
-                       max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Maintain graph deltas from a folder of wire files.
+                       max_files_per_trigger: int | None = None, dedupe_within: str | None = None) -> StreamingQuery:
+    """Maintain the graph of a folder of wire files.
 
     ``dedupe=True`` uses the wire's (distinct) tags; ``dedupe=False``
     re-extracts tags from the text, so the graph equals the batch graph of
-    the same posts. Raises ``ValueError`` for a new checkpoint on a state folder that holds batches.
+    the same posts. ``dedupe_within`` (an interval of event time): a post that is sent again counts once. Raises ``ValueError`` for a
+    checkpoint other than the one that the state folder's batches belong to.
     """
-    if _batches(spark, state_dir) and not path_exists(spark, os.path.join(checkpoint_dir, "metadata")):
+    pointer = _current(spark, state_dir)
+    if pointer and pointer["stream"] != _stream_id(spark, checkpoint_dir):
         raise ValueError(f"{state_dir} holds batches of another checkpoint; start with an empty state folder")
-    decoded = decode_wire(read_wire_stream(spark, input_dir, max_files_per_trigger))
+    decoded = decode_wire(read_wire_stream(spark, input_dir, max_files_per_trigger), keep_event_time=bool(dedupe_within))
+    if dedupe_within:
+        decoded = once_each(decoded, dedupe_within)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        # the micro-batch feeds two writes; keep it instead of reading the files twice
+        # the micro-batch feeds both parts of its delta; keep it instead of reading the files twice
         posts = _posts_of(batch, dedupe).persist()
         try:
-            write_deltas(posts, state_dir, batch_id)
+            write_deltas(posts, state_dir, batch_id, _stream_id(spark, checkpoint_dir))
         finally:
             posts.unpersist()
 
@@ -105,25 +194,31 @@ def start_graph_stream(spark: SparkSession, input_dir: str, state_dir: str, chec
     return _apply_trigger(writer, trigger).start()
 
 
-def _sum_profile(spark: SparkSession, rows: list) -> DataFrame:
-    if not rows:
-        return spark.createDataFrame([], "id string, degree long, " + ", ".join(f"{s} long" for s in SENTIMENTS))
-    prof = spark.read.parquet(*[r.profile for r in rows])
+def _read_part(spark: SparkSession, state_dir: str, snapshots: list[dict], part: str, schema: str) -> DataFrame:
+    paths = [os.path.join(state_dir, "data", s["folder"], f"part={part}") for s in snapshots if s[part]]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def _sum_profile(spark: SparkSession, state_dir: str, snapshots: list[dict]) -> DataFrame:
+    prof = _read_part(spark, state_dir, snapshots, "profile", PROFILE)
     return prof.groupBy("id").agg(F.sum("degree").alias("degree"), *[F.sum(s).alias(s) for s in SENTIMENTS])
 
 
-def _sum_pairs(spark: SparkSession, rows: list) -> DataFrame:
-    if not rows:
-        return spark.createDataFrame([], "src string, dst string, weight long")
-    pairs = spark.read.parquet(*[r.pairs for r in rows])
+def _sum_pairs(spark: SparkSession, state_dir: str, snapshots: list[dict]) -> DataFrame:
+    pairs = _read_part(spark, state_dir, snapshots, "pairs", PAIRS)
     return pairs.groupBy("src", "dst").agg(F.sum("weight").cast("long").alias("weight"))
 
 
+def _snapshots(spark: SparkSession, state_dir: str) -> list[dict]:
+    pointer = _current(spark, state_dir)
+    return pointer["snapshots"] if pointer else []
+
+
 def live_vertices(spark: SparkSession, state_dir: str) -> DataFrame:
-    """Current vertices ``(id, degree, dominant_sentiment)`` from the deltas."""
-    return vertices_from_profile(_sum_profile(spark, _batches(spark, state_dir)))
+    """Current vertices ``(id, degree, dominant_sentiment)``; to be read before ``KEEP`` more batches."""
+    return vertices_from_profile(_sum_profile(spark, state_dir, _snapshots(spark, state_dir)))
 
 
 def live_edges(spark: SparkSession, state_dir: str) -> DataFrame:
-    """Current edges ``(src, dst, weight)`` from the deltas."""
-    return _sum_pairs(spark, _batches(spark, state_dir))
+    """Current edges ``(src, dst, weight)``; to be read before ``KEEP`` more batches."""
+    return _sum_pairs(spark, state_dir, _snapshots(spark, state_dir))
