@@ -36,8 +36,11 @@ HEADLINE = [
     "turn_edges",                # G2 on conversation turns (large vocabulary)
     "turn_pagerank_5",           # G4, 5 iterations
     "doc_pair_totals",           # whole documents, every word a tag (hot rows), closed form
+    "turn_slider_edges",         # G3 for ten settings from one index
+    "weights_sentiment",         # N3 as join and sum
     "token_spans",               # tokens with offsets of whole documents
     "stream_graph_edges",        # live graph: availableNow stream, then the current edges
+    "doc_graph_summary",         # whole documents, every pair of words
 ]
 
 
@@ -57,8 +60,7 @@ def main() -> None:
     csv_path = scratch_path(spark, "bench-posts-csv")
     raw_view(spark, sf_dir, "posts").write.option("header", "false").csv(csv_path)
     t0 = time.perf_counter()
-    res = run_batch(spark, csv_path, "csv", scratch_path(spark, "bench-graph"), top_n=20,
-                    multiline=False)  # no text holds a line end
+    res = run_batch(spark, csv_path, "csv", scratch_path(spark, "bench-graph"), top_n=20)
     job = round(time.perf_counter() - t0, 3)
     times["batch_job_csv"] = job
     for name in names:

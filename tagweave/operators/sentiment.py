@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import normalize_sentiment
+from .weights import score_by_weights
 
 
 def with_sentiment(posts: DataFrame, mode: str = "label", model=None) -> DataFrame:
     """Add ``sentiment`` (positive / negative / neutral) to normalised posts.
 
     ``mode="label"`` copies ``original_sentiment``; ``mode="model"`` scores the
-    text with a fitted :class:`tagweave.operators.model.SentimentModel`. The
+    text with a fitted :class:`tagweave.operators.model.SentimentModel`; ``mode="weights"`` scores it by a
+    table of token weights (see :mod:`tagweave.operators.weights`; ids identify posts). The
     choice is explicit and errors are raised: no silent fall-back.
     """
     if mode == "label":
@@ -21,6 +23,11 @@ def with_sentiment(posts: DataFrame, mode: str = "label", model=None) -> DataFra
         if model is None:
             raise ValueError("mode='model' needs a fitted SentimentModel")
         return model.transform(posts)
+    if mode == "weights":
+        if model is None:
+            raise ValueError("mode='weights' needs a table of token weights")
+        scored = score_by_weights(posts, model).select(F.col("id").alias("_id"), "sentiment")
+        return posts.drop("sentiment").join(scored, F.col("id").eqNullSafe(F.col("_id"))).drop("_id")
     raise ValueError(f"Unknown sentiment mode: {mode}")
 
 

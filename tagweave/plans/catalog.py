@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import strip_zone
 from ..functions.labels import label_to_sentiment, sentiment_from_text
 from ..functions.text import distinct_hashtags, has_hash, hashtags, shrink, tokens
-from ..operators import centrality, graph, sentiment, views
+from ..operators import centrality, graph, sentiment, views, weights
 from ..operators.model import train_sentiment_model
 from ..operators.tokens import finish, token_spans
 from ..session import materialize, scratch_path
@@ -272,7 +272,7 @@ def q_vertices_general(spark, sf_dir):
 
 
 def q_pairs(spark, sf_dir):
-    return graph.pair_occurrences(scored_view(spark, sf_dir, "posts"))
+    return graph.pair_occurrences(_tagged(spark, sf_dir, "posts"))
 
 
 def q_edges(spark, sf_dir):
@@ -346,7 +346,7 @@ def _centrality(view):
 def _pagerank(view):
     def q(spark, sf_dir):
         v, e = _graph(spark, sf_dir, view)
-        pr = centrality.pagerank(v, e, max_iter=PAGERANK_ITERATIONS, tol=None, checkpoint_every=None)
+        pr = centrality.pagerank(v, e, max_iter=PAGERANK_ITERATIONS, tol=None)
         return pr.select("id", F.round("rank", 6).alias("rank"))
     return q
 
@@ -415,9 +415,9 @@ def q_batch_edges(spark, sf_dir):
 
 
 def q_pagerank_tol(spark, sf_dir):
-    """Run until no rank moves by 1e-9 (tests hold it against a longer run; 100 iterations unrolled are too slow as SQL)."""
+    """Run until no rank moves by 1e-9, with the adjacency in blocks."""
     v, e = _graph(spark, sf_dir, "posts")
-    return centrality.pagerank(v, e, tol=1e-9).select("id", F.round("rank", 6).alias("rank"))
+    return centrality.pagerank(v, e, tol=1e-9, plan="blocks").select("id", F.round("rank", 6).alias("rank"))
 
 
 def q_finisher(spark, sf_dir):
@@ -463,6 +463,44 @@ def q_sentiment_model(spark, sf_dir):
     return model.transform(docs).select("doc_id", "sentiment")
 
 
+def _labelled_documents(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select(
+        "doc_id", F.when(F.col("quality") == 1, "positive").otherwise("negative").alias("label"))
+    return docs.join(labels, "doc_id")
+
+
+def _document_weights(spark, sf_dir):
+    """Token weights from the labelled documents that are not held out."""
+    known = _labelled_documents(spark, sf_dir).where(~weights.held_out("doc_id"))
+    return materialize(weights.fit_token_weights(known, "doc_id", label_col="label"), "token-weights")
+
+
+def q_token_weights(spark, sf_dir):
+    return _document_weights(spark, sf_dir).select("token", F.col("class").alias("label"), F.round("weight", 6).alias("weight"))
+
+
+def q_weights_sentiment(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    out = weights.score_by_weights(docs, _document_weights(spark, sf_dir), "doc_id")
+    return out.select("doc_id", "sentiment", F.round("confidence", 6).alias("confidence"))
+
+
+def _held_out_scores(spark, sf_dir):
+    kept = _labelled_documents(spark, sf_dir).where(weights.held_out("doc_id"))
+    return weights.score_by_weights(kept, _document_weights(spark, sf_dir), "doc_id").join(kept.select("doc_id", "label"), "doc_id")
+
+
+def q_heldout_confusion(spark, sf_dir):
+    """Labels against predictions on documents that the weights were not fitted on."""
+    return sentiment.confusion_counts(_held_out_scores(spark, sf_dir).withColumnRenamed("label", "original_sentiment"))
+
+
+def q_heldout_calibration(spark, sf_dir):
+    out = weights.calibration(_held_out_scores(spark, sf_dir), "label")
+    return out.withColumn("confidence", F.round("confidence", 6))
+
+
 def q_model_confusion(spark, sf_dir):
     """Agreement of labels and model predictions on the labelled documents."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -493,8 +531,10 @@ def q_stream_posts(spark, sf_dir):
 
 
 def _streamed(spark, base):
+    """What a stream wrote; ``stamped``: its processing time is one of this hour's."""
     out = spark.read.schema(STREAM_OUT).json(f"{base}/out")
-    return out.select("id", "text", F.array_join("hashtags", " ").alias("hashtags"), "sentiment")
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("processing_time")
+    return out.select("id", "text", F.array_join("hashtags", " ").alias("hashtags"), "sentiment", age.between(0, 3600).alias("stamped"))
 
 
 def q_stream_once(spark, sf_dir):
@@ -614,6 +654,10 @@ QUERIES: dict[str, Query] = {
     "token_spans": q_token_spans,
     "sentiment_model": q_sentiment_model,
     "model_confusion": q_model_confusion,
+    "token_weights": q_token_weights,
+    "weights_sentiment": q_weights_sentiment,
+    "heldout_confusion": q_heldout_confusion,
+    "heldout_calibration": q_heldout_calibration,
     "to_wire": q_to_wire,
     "stream_posts": q_stream_posts,
     "stream_graph_vertices": q_stream_graph_vertices,

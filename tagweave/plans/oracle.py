@@ -160,7 +160,50 @@ SELECT id, text, array_to_string(hashtags, ' ') AS hashtags,
 
 _BY_VALUE = "CASE WHEN {x} = 0 THEN 'negative' WHEN {x} = 4 THEN 'positive' ELSE 'neutral' END"
 
+# naive Bayes on the labelled documents whose md5 fold is not 0, and its scores of all documents
+_WEIGHTS = """
+WITH labelled AS (
+  SELECT d.doc_id, CASE WHEN l.quality = 1 THEN 'positive' ELSE 'negative' END AS label,
+         CAST('0x' || substr(md5(CAST(d.doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 5 = 0 AS held_out
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+tf AS (SELECT doc_id, token, count(*) AS tf FROM (
+         SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]+')) AS token FROM documents) t GROUP BY doc_id, token),
+seen AS (SELECT token, label, sum(tf) AS n FROM tf JOIN labelled USING (doc_id) WHERE NOT held_out GROUP BY token, label),
+vocabulary AS (SELECT DISTINCT token FROM seen),
+classes AS (SELECT label, count(*) AS texts FROM labelled WHERE NOT held_out GROUP BY label),
+sizes AS (SELECT c.label, ln(c.texts / (SELECT sum(texts) FROM classes)) AS own,
+                 (SELECT coalesce(sum(n), 0) FROM seen s WHERE s.label = c.label) + (SELECT count(*) FROM vocabulary) AS whole FROM classes c),
+weights AS (SELECT v.token, z.label, ln((coalesce(s.n, 0) + 1) / z.whole) AS weight
+            FROM vocabulary v CROSS JOIN sizes z LEFT JOIN seen s ON s.token = v.token AND s.label = z.label),
+sums AS (SELECT d.doc_id, z.label, any_value(z.own) + coalesce(sum(t.tf * w.weight), 0) AS score
+         FROM documents d CROSS JOIN sizes z LEFT JOIN tf t ON t.doc_id = d.doc_id LEFT JOIN weights w ON w.token = t.token AND w.label = z.label
+         GROUP BY d.doc_id, z.label),
+best AS (SELECT doc_id, arg_min(label, (-score, label)) AS label, max(score) AS top FROM sums GROUP BY doc_id),
+scored AS (SELECT b.doc_id, any_value(b.label) AS best, 1 / sum(exp(s.score - b.top)) AS confidence FROM best b JOIN sums s ON s.doc_id = b.doc_id GROUP BY b.doc_id),
+named AS (SELECT doc_id, CASE WHEN confidence < 0.6 THEN 'neutral' ELSE best END AS sentiment, confidence FROM scored),
+kept AS (SELECT n.*, l.label FROM named n JOIN labelled l USING (doc_id) WHERE l.held_out)
+"""
+
+_CONVERGED = """
+und AS (SELECT src AS s, dst AS d FROM edges WHERE src <> dst UNION ALL SELECT dst AS s, src AS d FROM edges WHERE src <> dst),
+deg AS (SELECT s, count(*) AS k FROM und GROUP BY s),
+adj AS MATERIALIZED (SELECT u.s, u.d, 1.0::DOUBLE / deg.k AS inv FROM und u JOIN deg ON u.s = deg.s),
+steps AS (
+  SELECT 0 AS i, id, 1.0::DOUBLE AS rank FROM vertices
+  UNION ALL
+  SELECT any_value(r.i) + 1, a.d, 0.15::DOUBLE + 0.85::DOUBLE * sum(r.rank * a.inv) FROM steps r JOIN adj a ON a.s = r.id WHERE r.i < 160 GROUP BY a.d)"""
+
 ORACLE: dict[str, str] = {
+    "pagerank_tol": _graph_sql("posts", """
+SELECT v.id, round(coalesce(r.rank, 0.15), 6) AS rank FROM vertices v LEFT JOIN steps r ON r.id = v.id AND r.i = 160""",
+                               _CONVERGED).replace("WITH ", "WITH RECURSIVE ", 1),
+    "token_weights": _WEIGHTS + """
+SELECT token, label, round(weight, 6) AS weight FROM weights UNION ALL SELECT NULL, label, round(own, 6) FROM sizes""",
+    "weights_sentiment": _WEIGHTS + "SELECT doc_id, sentiment, round(confidence, 6) AS confidence FROM named",
+    "heldout_confusion": _WEIGHTS + "SELECT label AS original_sentiment, sentiment, count(*) AS n FROM kept GROUP BY label, sentiment",
+    "heldout_calibration": _WEIGHTS + """
+SELECT CAST(least(floor(confidence * 10), 9) AS INTEGER) AS bin, count(*) AS n, count(*) FILTER (sentiment = label) AS correct,
+       round(avg(confidence), 6) AS confidence FROM kept GROUP BY 1""",
     "load_csv": _with(_LOADED + "(SELECT * REPLACE (replace(text, ' ', chr(10)) AS text) FROM sp) p"),
     "load_json": _with(_LOADED + "(SELECT * REPLACE (replace(text, ' ', chr(10)) AS text) FROM sp) p"),
     "load_csv_latin1": _with(_LOADED + """(SELECT * REPLACE (
@@ -184,7 +227,7 @@ FROM placed JOIN settings ON rk <= top_n""", "posts", VERTICES, _SLIDER),
     "chunk_sequence": _raw("""
 SELECT CAST(k // 1000 AS INTEGER) AS chunk, count(*) AS n, min(id) AS first_id, max(id) AS last_id
 FROM (SELECT id, row_number() OVER (ORDER BY id) - 1 AS k FROM rp) r GROUP BY 1"""),
-    "stream_once": _with("SELECT id, text, array_to_string(hashtags, ' ') AS hashtags, sentiment FROM sd", "posts", DISTINCT),
+    "stream_once": _with("SELECT id, text, array_to_string(hashtags, ' ') AS hashtags, sentiment, true AS stamped FROM sd", "posts", DISTINCT),
     "load_dropmalformed": _with(_LOADED + "sp WHERE original_sentiment <> 'neutral'"),
     "load_sampled": _raw("""
 SELECT id FROM rp WHERE CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) < ceil(0.999 * 4294967296) ORDER BY id LIMIT 100"""),
@@ -206,7 +249,7 @@ SELECT doc_id, f AS finished, CASE WHEN contains(f, 'positive') THEN 'positive'
 FROM (SELECT doc_id, array_to_string(regexp_extract_all(coalesce(text, ''), '{TOKEN_PATTERN.replace("'", "''")}', 0), ' ') AS f FROM documents) d""",
     "model_invariants": """
 SELECT count(*) AS n, count(*) AS in_domain, count(*) AS same_after_load, count(*) AS neutral_below_threshold FROM documents""",
-    "stream_restart_posts": _with("SELECT id, text, array_to_string(hashtags, ' ') AS hashtags, sentiment FROM sd", "posts", DISTINCT),
+    "stream_restart_posts": _with("SELECT id, text, array_to_string(hashtags, ' ') AS hashtags, sentiment, true AS stamped FROM sd", "posts", DISTINCT),
     "stream_restart_vertices": _with("SELECT * FROM vertices", "posts", DISTINCT, _on_wire(VERTICES)),
     "stream_restart_edges": _with("SELECT * FROM edges", "posts", DISTINCT, _on_wire(EDGES)),
     "doc_pair_totals": _with("""
@@ -298,7 +341,7 @@ FROM (SELECT * FROM vertices ORDER BY degree DESC, id LIMIT {TOP_N}) t""", "post
     "to_wire": _with(f"""
 SELECT id, text, CAST(to_json(hashtags) AS VARCHAR) AS hashtags, {_strip_zone('date')} AS created_at,
        sentiment FROM sd""", "posts", DISTINCT),
-    "stream_posts": _with("SELECT id, text, array_to_string(hashtags, ' ') AS hashtags, sentiment FROM sd",
+    "stream_posts": _with("SELECT id, text, array_to_string(hashtags, ' ') AS hashtags, sentiment, true AS stamped FROM sd",
                           "posts", DISTINCT),
     "stream_graph_vertices": _with("SELECT * FROM vertices", "posts", DISTINCT, _on_wire(VERTICES)),
     "stream_graph_edges": _with("SELECT * FROM edges", "posts", DISTINCT, _on_wire(EDGES)),

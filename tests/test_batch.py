@@ -26,3 +26,15 @@ def test_run_batch_csv(spark, scratch):
     assert [n["id"] for n in nodes] == ["a", "b"]
     split = {r["sentiment"]: r["count"] for r in res.sentiment.collect()}
     assert split == {"negative": 1, "positive": 2, "neutral": 1}
+
+
+def test_run_batch_keeps_rejects_and_reads_the_input_once_for_the_counts(spark, scratch):
+    src = os.path.join(scratch, "in.csv")
+    with open(src, "w", encoding="utf-8") as f:
+        f.write('0,"1","d","q","u","#a #b"\n4,"2","d","q","five"\n')
+    out = os.path.join(scratch, "out")
+    res = run_batch(spark, src, "csv", out, keep_rejects=True)
+    assert res.counts == {"posts": 1, "posts_with_hash": 1, "posts_with_tags": 1}
+    assert [r["record"] for r in spark.read.parquet(res.rejects_path).collect()] == ['4,"2","d","q","five"']
+    open(src, "w").close()
+    assert run_batch(spark, src, "csv", out, keep_rejects=True).counts == {"posts": 0, "posts_with_hash": 0, "posts_with_tags": 0}

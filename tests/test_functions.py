@@ -94,3 +94,29 @@ def test_labels_compare_by_value(spark):
     df = spark.createDataFrame([("0", "negative"), ("0.0", "negative"), ("4.0", "positive"), ("0.5", "neutral"), ("-0.3", "neutral"),
                                 ("4.7", "neutral"), ("junk", "neutral"), (None, "neutral")], "label string, want string")
     assert all(r["got"] == r["want"] for r in df.withColumn("got", label_to_sentiment("label")).collect())
+
+
+def test_zone_abbreviations_are_offsets_whatever_the_season(spark):
+    at = lambda z: one(spark, f"Mon Apr 06 22:19:45 {z} 2009", parse_post_date)
+    assert at("PST") - at("PDT") == dt.timedelta(hours=1) and at("CET") - at("CEST") == dt.timedelta(hours=1)
+    assert at("pdt") == at("PDT") == at("-0700") == at("-07:00") == dt.datetime(2009, 4, 7, 5, 19, 45)
+    assert at("America/Los_Angeles") == at("PDT")  # a region goes by the date
+    assert at("UTC") == at("GMT") == dt.datetime(2009, 4, 6, 22, 19, 45)
+    assert at("+9999") is None and at("XXT") is None and one(spark, "  Mon Apr 06 22:19:45 PST 2009 ", parse_post_date) == at("PST")
+
+
+def test_event_time_of_wire_dates(spark):
+    from tagweave.streaming import event_time
+    other = F.lit("2000-01-01 00:00:00").cast("timestamp")
+    got = lambda v: one(spark, v, lambda c: event_time(c, other))
+    assert got("Mon Apr 06 22:19:45 2009") == dt.datetime(2009, 4, 6, 22, 19, 45)
+    assert got(None) == got("junk") == got("") == dt.datetime(2000, 1, 1)
+
+
+def test_ascii_json(spark):
+    import json
+    from tagweave.functions.text import ascii_json, json_value
+    for v in ("plain", 'q"\\ \n\t', "café 日本 \U0001f600 \x7f", "", None):
+        text = one(spark, v, lambda c: ascii_json(json_value(c)))
+        assert text.isascii() and json.loads(text) == v
+    assert one(spark, "é\U0001f600", lambda c: ascii_json(json_value(c))) == json.dumps("é\U0001f600")

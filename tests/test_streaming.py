@@ -94,18 +94,113 @@ def test_replayed_batch_does_not_double_count(spark, scratch):
     assert {tuple(r) for r in live_edges(spark, state).collect()} == {("a", "b", 2)}
 
 
-def test_compacted_state_and_a_foreign_checkpoint(spark, scratch):
-    import pytest
+POSTS = [(["a", "b"], "positive")]
+TAGGED = "hashtags array<string>, sentiment string"
+
+
+def pointer_of(spark, state):
+    from tagweave.streaming.live_graph import _current
+    return _current(spark, state)
+
+
+def test_levels_keep_reads_and_folders_bounded(spark, scratch, monkeypatch):
+    from tagweave.streaming import live_graph, write_deltas
+    monkeypatch.setattr(live_graph, "FAN", 3)
+    monkeypatch.setattr(live_graph, "KEEP", 4)
+    posts = spark.createDataFrame(POSTS, TAGGED)
+    state = os.path.join(scratch, "state")
+    for batch in range(30):
+        write_deltas(posts, state, batch)
+    p = pointer_of(spark, state)
+    assert p["batch"] == 29 and len(p["snapshots"]) <= 3 * 4  # 30 batches in base 3
+    assert sorted(s["level"] for s in p["snapshots"]) == [1, 3]
+    assert len(os.listdir(os.path.join(state, "current"))) <= 2 * 5  # pointers (and their checksum files)
+    assert len(os.listdir(os.path.join(state, "data"))) <= 15 and len(p["dropped"]) <= 12
+    assert {tuple(r) for r in live_edges(spark, state).collect()} == {("a", "b", 30)}
+    assert {r["id"]: r["degree"] for r in live_vertices(spark, state).collect()} == {"a": 30, "b": 30}
+
+
+def test_replay_after_compaction_and_after_a_broken_attempt(spark, scratch):
     from tagweave.streaming import compact, write_deltas
-    posts = spark.createDataFrame([(["a", "b"], "positive")], "hashtags array<string>, sentiment string")
+    from tagweave.streaming.live_graph import _delta, _write_snapshot
+    from tagweave.operators.graph import edges, sentiment_profile
+    posts = spark.createDataFrame(POSTS, TAGGED)
     state = os.path.join(scratch, "state")
     for batch in range(3):
         write_deltas(posts, state, batch)
     compact(spark, state)
+    write_deltas(posts, state, 2)  # the last batch comes again
+    assert len(pointer_of(spark, state)["snapshots"]) == 1
+    _write_snapshot(spark, state, 0, 3, _delta(sentiment_profile(posts), edges(posts)))  # data without a pointer
+    before = len(os.listdir(os.path.join(state, "data")))
     write_deltas(posts, state, 3)
+    assert len(os.listdir(os.path.join(state, "data"))) == before  # the broken attempt's folder is gone
+    write_deltas(posts.where("false"), state, 4)  # an empty batch
     for _ in range(2):
         assert {tuple(r) for r in live_edges(spark, state).collect()} == {("a", "b", 4)}
         assert {r["id"]: r["degree"] for r in live_vertices(spark, state).collect()} == {"a": 4, "b": 4}
         compact(spark, state)
+
+
+def test_state_belongs_to_one_stream(spark, scratch):
+    import pytest
+    from tagweave.streaming import write_deltas
+    parts = wire_batches(spark)
+    inp, state, ckpt = (os.path.join(scratch, d) for d in ("in", "state", "ckpt"))
+    parts[0].write.json(inp)
+    start_graph_stream(spark, inp, state, ckpt, trigger="available_now").awaitTermination()
+    n = live_edges(spark, state).agg(F.sum("weight")).first()[0]
+    with pytest.raises(ValueError, match="another checkpoint"):  # a new one
+        start_graph_stream(spark, inp, state, os.path.join(scratch, "new"))
+    other = os.path.join(scratch, "other")  # one that another stream has used
+    start_stream(spark, inp, os.path.join(scratch, "out"), other, trigger="available_now").awaitTermination()
     with pytest.raises(ValueError, match="another checkpoint"):
-        start_graph_stream(spark, os.path.join(scratch, "in"), state, os.path.join(scratch, "new"))
+        start_graph_stream(spark, inp, state, other)
+    with pytest.raises(ValueError, match="another stream"):
+        write_deltas(spark.createDataFrame(POSTS, TAGGED), state, 7, "x")
+    parts[1].write.mode("append").json(inp)  # its own goes on
+    start_graph_stream(spark, inp, state, ckpt, trigger="available_now").awaitTermination()
+    assert live_edges(spark, state).agg(F.sum("weight")).first()[0] > n
+
+
+def wire_rows(spark, path, *rows):
+    """Wire files written one after the other: (id, time of day, tags)."""
+    import json
+    df = spark.createDataFrame([(str(i), f"post {i}", json.dumps(tags), f"Mon Apr 06 {t} 2009", "neutral") for i, t, tags in rows],
+                               "id string, text string, hashtags string, created_at string, sentiment string")
+    df.coalesce(1).write.mode("append").json(path)
+
+
+def test_a_post_sent_again_counts_once_and_late_ones_do_not(spark, scratch):
+    inp, out, ckpt, state, ckpt2 = (os.path.join(scratch, d) for d in ("in", "out", "ckpt", "state", "ckpt2"))
+    run = lambda: (start_stream(spark, inp, out, ckpt, trigger="available_now", dedupe_within="1 hour").awaitTermination(),
+                   start_graph_stream(spark, inp, state, ckpt2, trigger="available_now", dedupe_within="1 hour").awaitTermination())
+    wire_rows(spark, inp, (1, "10:00:00", ["a"]), (2, "10:05:00", ["a", "b"]), (2, "10:05:00", ["a", "b"]))
+    run()
+    wire_rows(spark, inp, (1, "10:00:00", ["a"]), (3, "10:30:00", ["b"]))  # 1 again, in another batch
+    run()
+    wire_rows(spark, inp, (4, "14:00:00", ["c"]))  # moves the watermark to 13:00
+    run()
+    wire_rows(spark, inp, (5, "11:00:00", ["late"]), (6, "13:30:00", ["c"]), (4, "14:00:00", ["c"]))
+    run()
+    rows = spark.read.schema("id string, event_time timestamp").json(out).collect()
+    assert sorted(r["id"] for r in rows) == ["1", "2", "3", "4", "6"]
+    assert {r["id"]: r["degree"] for r in live_vertices(spark, state).collect()} == {"a": 2, "b": 2, "c": 2}
+
+
+def test_tags_by_window_of_event_time(spark, scratch):
+    from tagweave.streaming import decode_wire, read_wire_stream, windowed_tag_counts
+    inp, out, ckpt = (os.path.join(scratch, d) for d in ("in", "out", "ckpt"))
+
+    def run():
+        counts = windowed_tag_counts(decode_wire(read_wire_stream(spark, inp), keep_event_time=True), "1 hour", "30 minutes")
+        counts.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination()
+
+    wire_rows(spark, inp, (1, "10:10:00", ["a"]), (2, "10:50:00", ["a", "b"]), (3, "11:10:00", ["a"]))
+    run()
+    wire_rows(spark, inp, (4, "10:45:00", ["b"]), (5, "12:40:00", ["c"]))  # 4 is out of order, but not late
+    run()
+    wire_rows(spark, inp, (6, "10:55:00", ["a"]), (7, "14:00:00", ["c"]))  # 6 is late: its window is closed
+    run()
+    got = {(r["start"].hour, r["tag"]): r["n"] for r in spark.read.parquet(out).collect()}
+    assert got == {(10, "a"): 2, (10, "b"): 2, (11, "a"): 1, (12, "c"): 1}
