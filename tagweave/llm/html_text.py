@@ -1,16 +1,20 @@
 """Visible text of HTML pages by layout-aware rendering.
 
 A tree builder with HTML's implied tags (paragraphs that a block ends, list items, table
-parts, void elements) makes a tree of each page; visibility rules (elements without a box, the ``hidden`` attribute,
-``display`` and ``visibility`` in style attributes and in simple selectors of the page's own style sheets, closed
-``details``) cut parts of it; a renderer then lays out the rest: collapsed white space, blocks on lines of
+parts, void elements) makes a tree of each page; visibility rules cut parts of it: elements without a box, the ``hidden`` attribute, closed
+``details``, and ``display`` and ``visibility`` by the cascade of the page's own style sheets (for a screen of ``SCREEN`` pixels) and style
+attributes: importance, specificity, order. A renderer then lays out the rest: collapsed white space, blocks on lines of
 their own, blank lines around paragraphs and headings, indented lists with markers, tables with aligned columns.
 Nothing visible is judged or dropped.
+
+Selectors may combine types, classes and ids, as descendants or children; rules with others (attributes, states, siblings) are not applied,
+so what they hide is kept. Drawings show their text elements, formulas their symbols, form fields their text.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -26,8 +30,15 @@ GAP = dict.fromkeys("address article aside blockquote body center dd details dia
                     "form header hgroup hr html legend li main menu nav ol optgroup option pre search section summary table ul".split(), 1)
 GAP |= dict.fromkeys("p h1 h2 h3 h4 h5 h6 blockquote dl figure ol pre table ul menu".split(), 2)
 #: Elements without a box of their own.
-NO_BOX = frozenset("audio canvas datalist embed head iframe input map math noembed noframes noscript object param rp script source "
-                   "style svg template textarea title track video".split())
+NO_BOX = frozenset("audio canvas datalist embed head iframe map noembed noframes noscript object param rp script source "
+                   "style template title track video annotation annotation-xml".split())
+#: Inside a drawing only these show what they hold, and these hold nothing that shows.
+SVG_TEXT = frozenset("text foreignobject".split())
+SVG_HIDDEN = frozenset("defs desc metadata symbol clippath mask marker pattern".split())
+#: Fields whose value is no text on the page.
+SILENT_INPUTS = frozenset("hidden password checkbox radio file image color range".split())
+#: Width in pixels that media queries see.
+SCREEN = 1280
 #: A start tag on the left ends an open element on the right, unless one of the third stands between.
 _SECTIONS = frozenset("thead tbody tfoot".split())
 _CELLS = frozenset("td th".split())
@@ -43,8 +54,9 @@ _TABLE_PARTS = frozenset("tr td th thead tbody tfoot".split())
 #: A tag that the page's end cuts is no text.
 _CUT_TAG = re.compile(r"<[A-Za-z/][^<>]*\Z")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_RULE = re.compile(r"([^{}@]+)\{([^{}]*)\}")
-_SIMPLE = re.compile(r"([a-z][a-z0-9]*)?((?:[.#][\w-]+)*)", re.I)
+_COMPOUND = re.compile(r"([a-z][a-z0-9-]*|\*)?((?:[.#][\w-]+)*)", re.I)
+_COMBINED = re.compile(r"\s*>\s*|\s+")
+_PIXELS = re.compile(r"\(\s*(min|max)-width\s*:\s*([0-9.]+)(px|em|rem)\s*\)")
 
 
 class Node:
@@ -54,9 +66,136 @@ class Node:
         self.tag, self.attrs, self.children = tag, attrs, []
 
 
-def _hides(declarations: str) -> bool:
-    d = declarations.lower().replace(" ", "").replace("!important", "")
-    return any(x in f";{d};" for x in (";display:none;", ";visibility:hidden;", ";visibility:collapse;"))
+def declared(declarations: str) -> list[tuple[str, str, bool]]:
+    """``display`` and ``visibility`` among declarations: (property, value, important)."""
+    out = []
+    for d in declarations.lower().split(";"):
+        name, _, value = d.partition(":")
+        if name.strip() in ("display", "visibility") and value.strip():
+            plain, important, _ = value.partition("!important")
+            out.append((name.strip(), plain.strip(), bool(important)))
+    return out
+
+
+def on_screen(query: str) -> bool:
+    """Whether a media query holds on a wide screen; features other than the width count as holding, dark colours and reduced motion do not."""
+    for q in query.lower().split(","):
+        q = q.strip().removeprefix("only ").strip()
+        negated, q = q.startswith("not "), q.removeprefix("not ").strip()
+        kind = re.match(r"[a-z]+", q)
+        holds = not kind or kind[0] in ("all", "screen")
+        for bound, number, unit in _PIXELS.findall(q):
+            width = float(number) * (1 if unit == "px" else 16)
+            holds &= SCREEN >= width if bound == "min" else SCREEN <= width
+        holds &= not re.search(r"prefers-color-scheme\s*:\s*dark|prefers-reduced-motion\s*:\s*reduce", q)
+        if holds != negated:
+            return True
+    return False
+
+
+def sheet_rules(css: str) -> Iterator[tuple[str, str]]:
+    """(selectors, declarations) of the rules of a style sheet that apply on a screen, in order."""
+    css = re.sub(r"/\*.*?(\*/|\Z)", " ", css, flags=re.S)
+    close, unclosed = {}, []  # where each block ends; at the sheet's end if nothing closes it
+    for brace in re.finditer(r"[{}]", css):
+        if brace[0] == "{":
+            unclosed.append(brace.start())
+        elif unclosed:
+            close[unclosed.pop()] = brace.start()
+    mark, at, end_of_read = re.compile(r"[{;}]"), 0, len(css)
+    while found := mark.search(css, at, end_of_read):
+        head, at = css[at:found.start()].strip(), found.end()
+        if found[0] != "{":
+            continue  # a statement, or the end of a block whose rules were read
+        inner = close.get(found.start(), len(css))
+        name = re.match(r"@([a-z-]+)\s*(.*)", head, re.I | re.S)
+        if not name:
+            yield head, css[at:inner]
+        elif name[1].lower() in ("media", "supports", "layer") and (name[1].lower() != "media" or on_screen(name[2])):
+            continue  # read what it holds
+        at = inner + 1
+
+
+class Selector:
+    """Compounds of type, classes and id, from the element outwards, with what joins each to the one inside it (child or descendant)."""
+
+    __slots__ = ("parts", "weight", "needs")
+
+    def __init__(self, parts: list[tuple[bool, str, frozenset[str], frozenset[str]]]):
+        self.parts = parts
+        self.needs = [n for _, t, c, i in parts[1:] for n in (*([t] if t not in ("", "*") else ()), *(f".{x}" for x in c), *(f"#{x}" for x in i))]
+        self.weight = (sum(len(i) for *_, i in parts), sum(len(c) for _, _, c, _ in parts), sum(t not in ("", "*") for _, t, _, _ in parts))
+
+    @classmethod
+    def parse(cls, text: str) -> "Selector | None":
+        text = text.strip()
+        joins = ["" if not j.strip() else ">" for j in _COMBINED.findall(text)]
+        parts = []
+        for k, compound in enumerate(_COMBINED.split(text)):
+            m = _COMPOUND.fullmatch(compound)
+            if not m or not compound:
+                return None
+            names = re.findall(r"[.#][\w-]+", m[2])
+            parts.append((k < len(joins) and joins[k] == ">", (m[1] or "").lower(), frozenset(n[1:] for n in names if n[0] == "."),
+                          frozenset(n[1:] for n in names if n[0] == "#")))
+        return cls(parts[::-1])
+
+    def fits(self, node: Node, above: list[Node], names: Counter) -> bool:
+        """Whether the selector names ``node`` under the open elements ``above``, whose types, classes and ids ``names`` counts."""
+        if not self._is(node, 0) or not all(names[n] for n in self.needs):
+            return False
+        todo = [(1, len(above) - 1)]
+        while todo:
+            k, i = todo.pop()
+            if k == len(self.parts):
+                return True
+            child = self.parts[k][0]
+            for j in range(i, i - 1 if child else -1, -1):
+                if j >= 0 and self._is(above[j], k):
+                    if k + 1 == len(self.parts):
+                        return True
+                    todo.append((k + 1, j - 1))
+                    if not child and not self.parts[k + 1][0]:
+                        break  # the nearest one is the best for a descendant
+        return False
+
+    def _is(self, node: Node, k: int) -> bool:
+        _, tag, classes, ids = self.parts[k]
+        if tag not in ("", "*", node.tag):
+            return False
+        return (not classes or classes <= set(node.attrs.get("class", "").split())) and (not ids or ids == {node.attrs.get("id")})
+
+
+class Cascade:
+    """The rules of a page on ``display`` and ``visibility``, looked up by what their innermost compound names."""
+
+    def __init__(self, styles: str):
+        self.rules: dict[str, list] = {}
+        order = 0
+        for selectors, declarations in sheet_rules(styles):
+            if found := declared(declarations):
+                for text in selectors.split(","):
+                    if selector := Selector.parse(text):
+                        _, tag, classes, ids = selector.parts[0]
+                        key = f"#{min(ids)}" if ids else f".{min(classes)}" if classes else tag if tag != "*" else ""
+                        for name, value, important in found:
+                            order += 1
+                            self.rules.setdefault(key, []).append(((important, False, selector.weight, order), name, value, selector))
+
+    def styles(self, node: Node, above: list[Node], names: Counter) -> dict[str, str]:
+        """The winning values for an element."""
+        best: dict[str, tuple] = {}
+        if self.rules:
+            for key in ("", *_names(node)):
+                for rank, name, value, selector in self.rules.get(key, ()):
+                    if (name not in best or rank > best[name][0]) and selector.fits(node, above, names):
+                        best[name] = (rank, value)
+        if "style" in node.attrs:
+            for i, (name, value, important) in enumerate(declared(node.attrs["style"])):
+                rank = (important, True, (), i)
+                if name not in best or rank[:2] > best[name][0][:2] or rank[:2] == best[name][0][:2] and i >= best[name][0][3]:
+                    best[name] = (rank, value)
+        return {name: value for name, (_, value) in best.items()}
 
 
 class Builder(HTMLParser):
@@ -137,19 +276,6 @@ class Builder(HTMLParser):
                 self._pop()
             self.open[-1].children.append(data)
 
-    def hiding_rules(self) -> list[tuple[str, frozenset[str], str]]:
-        """(tag, classes, id) of the simple selectors that hide their elements."""
-        rules = []
-        for selectors, declarations in _RULE.findall(re.sub(r"/\*.*?\*/", "", "\n".join(self.styles), flags=re.S)):
-            if _hides(declarations):
-                for s in selectors.split(","):
-                    m = _SIMPLE.fullmatch(s.strip())
-                    if m and s.strip():
-                        parts = re.findall(r"[.#][\w-]+", m[2])
-                        ids = [p[1:] for p in parts if p[0] == "#"]
-                        rules.append(((m[1] or "").lower(), frozenset(p[1:] for p in parts if p[0] == "."), ids[0] if ids else ""))
-        return rules
-
 
 class Lines:
     """Text being laid out: collapses white space, keeps asked-for line breaks to the largest."""
@@ -204,32 +330,44 @@ class Lines:
         return "".join(self.parts).strip("\n")
 
 
-def _table(rows: list[list[tuple[str, int]]]) -> str:
-    """Rows of (text, columns spanned) with aligned columns, two blanks apart; cells of several lines keep them."""
-    width: list[int] = []
+def _table(rows: list[list[tuple[str, int, int]]]) -> str:
+    """Rows of (text, columns spanned, rows spanned) with aligned columns, two blanks apart; cells of several lines keep them."""
+    placed: list[list[tuple[int, str, int]]] = []  # column, text, columns of each cell
+    taken: dict[int, int] = {}  # rows for which a cell above still holds a column
     for row in rows:
-        at = 0
-        for text, span in row:
-            width += [0] * (at + span - len(width))
+        at, cells, held = 0, [], {c: n - 1 for c, n in taken.items() if n > 1}
+        for text, span, down in row:
+            while taken.get(at):
+                at += 1
+            cells.append((at, text, span))
+            if down > 1:
+                held.update(dict.fromkeys(range(at, at + span), down - 1))
+            at += span
+        placed.append(cells)
+        taken = held
+    width = [0] * max((at + span for cells in placed for at, _, span in cells), default=0)
+    for cells in placed:
+        for at, text, span in cells:
             if span == 1:
                 width[at] = max([width[at], *map(len, text.split("\n"))])
-            at += span
-    for row in rows:  # what spans columns widens the last of them
-        at = 0
-        for text, span in row:
+    for cells in placed:  # what spans columns widens the last of them
+        for at, text, span in cells:
             if span > 1:
                 lack = max(map(len, text.split("\n"))) - sum(width[at:at + span]) - 2 * (span - 1)
                 width[at + span - 1] += max(0, lack)
-            at += span
+    begin = [0]
+    for w in width:
+        begin.append(begin[-1] + w + 2)
     out = []
-    for row in rows:
-        cells = [text.split("\n") for text, _ in row]
-        for i in range(max(map(len, cells), default=0)):
-            line, at = [], 0
-            for (_, span), cell in zip(row, cells):
-                line.append((cell[i] if i < len(cell) else "").ljust(sum(width[at:at + span]) + 2 * (span - 1)))
-                at += span
-            out.append("  ".join(line).rstrip())
+    for cells in placed:
+        if any(text for _, text, _ in cells):
+            texts = [(at, text.split("\n")) for at, text, _ in cells]
+            for i in range(max(len(t) for _, t in texts)):
+                line = ""
+                for at, t in texts:
+                    if i < len(t) and t[i]:
+                        line = line.ljust(begin[at]) + t[i]
+                out.append(line.rstrip())
     return "\n".join(out)
 
 
@@ -237,43 +375,81 @@ def _indent(text: str, first: str) -> str:
     return first + text.replace("\n", "\n" + " " * len(first))
 
 
-def _span(node: Node) -> int:
-    value = node.attrs.get("colspan", "1").strip()
-    return min(max(int(value), 1), 1000) if value.isascii() and value.isdigit() else 1
+def _span(node: Node, name: str, most: int) -> int:
+    value = node.attrs.get(name, "1").strip()
+    if not (value.isascii() and value.isdigit()):
+        return 1
+    return min(max(int(value[:9]), 1), most) if name == "colspan" or int(value[:9]) else most  # rowspan=0: to the end
+
+
+def _whole(node: Node, name: str) -> int | None:
+    value = node.attrs.get(name, "").strip()
+    return int(value) if re.fullmatch(r"[+-]?[0-9]{1,9}", value) else None
+
+
+def _marker(kind: str, n: int) -> str:
+    """The marker of an ordered list's item."""
+    if kind in ("a", "A") and n > 0:
+        out = ""
+        while n:
+            n, r = divmod(n - 1, 26)
+            out = chr(97 + r) + out
+        return out if kind == "a" else out.upper()
+    if kind in ("i", "I") and 0 < n < 4000:
+        out = ""
+        for value, text in ((1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i")):
+            out, n = out + text * (n // value), n % value
+        return out if kind == "i" else out.upper()
+    return str(n)
+
+
+def _names(node: Node) -> list[str]:
+    """What a selector can name of an element."""
+    out = [node.tag, *{f".{c}" for c in node.attrs.get("class", "").split()}]
+    return [*out, f"#{node.attrs['id']}"] if "id" in node.attrs else out
 
 
 class Renderer:
     """Walks the tree without recursion. Items, cells and tables are laid out by themselves, then placed in their parent."""
 
-    def __init__(self, rules: list[tuple[str, frozenset[str], str]]):
-        self.by_tag: dict[str, list] = {}
-        for rule in rules:
-            self.by_tag.setdefault(rule[0], []).append(rule)
+    def __init__(self, cascade: Cascade):
+        self.cascade = cascade
         self.lines = [Lines()]
-        self.tables: list[list[list[tuple[str, int]]]] = []
+        self.tables: list[list[list[tuple[str, int, int]]]] = []
         self.lists: list[list] = []
         self.pre = 0
-
-    def hidden(self, node: Node) -> bool:
-        a = node.attrs
-        if node.tag in NO_BOX or "hidden" in a or node.tag == "dialog" and "open" not in a:
-            return True
-        if "style" in a and _hides(a["style"]):
-            return True
-        if self.by_tag and (a or node.tag in self.by_tag):
-            classes = set(a.get("class", "").split())
-            return any(c <= classes and (not i or i == a.get("id")) for _, c, i in (*self.by_tag.get(node.tag, ()), *self.by_tag.get("", ())))
-        return False
+        self.above: list[Node] = []
+        self.names: Counter = Counter()
+        self.visible, self.drawing = [True], [False]
+
+    def shown(self, node: Node) -> bool:
+        """Whether an element has a box; if so, it is opened with its visibility, which it inherits unless a rule says otherwise."""
+        if node.tag in NO_BOX or self.drawing[-1] and node.tag in SVG_HIDDEN:
+            return False
+        styles = self.cascade.styles(node, self.above, self.names)
+        display = styles.get("display", "none" if "hidden" in node.attrs or node.tag == "dialog" and "open" not in node.attrs else "")
+        if display == "none":
+            return False
+        value = styles.get("visibility", "inherit")
+        self.visible.append(self.visible[-1] if value in ("inherit", "unset") else value not in ("hidden", "collapse"))
+        self.drawing.append(node.tag == "svg" or self.drawing[-1] and node.tag not in SVG_TEXT)
+        self.above.append(node)
+        self.names.update(_names(node))
+        return True
 
     def render(self, root: Node) -> str:
         todo: list[tuple[Node | str, bool]] = [(root, True)]
         while todo:
             node, enter = todo.pop()
             if isinstance(node, str):
-                self.lines[-1].raw(node) if self.pre else self.lines[-1].text(node)
+                if self.visible[-1] and not self.drawing[-1]:
+                    self.lines[-1].raw(node) if self.pre else self.lines[-1].text(node)
             elif not enter:
                 self.leave(node)
-            elif not self.hidden(node):
+                self.names.subtract(_names(node))
+                for stack in (self.above, self.visible, self.drawing):
+                    stack.pop()
+            elif self.shown(node):
                 self.enter(node)
                 todo.append((node, False))
                 children = node.children
@@ -287,7 +463,10 @@ class Renderer:
         if tag == "br":
             lines.line_end()
         elif tag == "img":
-            lines.text(node.attrs.get("alt", ""))
+            self._say(node.attrs.get("alt", ""))
+        elif tag == "input":
+            if node.attrs.get("type", "").strip().lower() not in SILENT_INPUTS:
+                self._say(node.attrs.get("value") or node.attrs.get("placeholder", ""))
         elif tag == "table":
             self.tables.append([])
         elif tag == "tr" and self.tables:
@@ -295,32 +474,39 @@ class Renderer:
         elif tag in _CELLS and self.tables or tag in ("li", "dd", "blockquote"):
             self.lines.append(Lines())
         elif tag in ("ol", "ul", "menu"):
-            start = node.attrs.get("start", "1")
-            self.lists.append([tag, int(start) if re.fullmatch(r"-?[0-9]{1,9}", start) else 1])
+            down = tag == "ol" and "reversed" in node.attrs
+            start = _whole(node, "start")
+            if start is None:
+                start = sum(isinstance(c, Node) and c.tag == "li" for c in node.children) if down else 1
+            self.lists.append([tag, start, -1 if down else 1, node.attrs.get("type", "1")])
             lines.gap(1 if len(self.lists) > 1 else 2)
         elif tag in GAP:
             lines.gap(GAP[tag])
-        if tag == "pre":
+        elif tag in SVG_TEXT:
+            lines.gap(1)
+        if tag in ("pre", "textarea"):
             self.pre += 1
 
     def leave(self, node: Node) -> None:
         tag = node.tag
-        if tag == "pre":
+        if tag in ("pre", "textarea"):
             self.pre -= 1
         if tag == "table":
             rows = self.tables.pop()
-            self._place(_table([r for r in rows if any(t for t, _ in r)]), 2)
+            self._place(_table(rows), 2)
         elif tag in _CELLS and self.tables:
             text = self.lines.pop().done()
             if not self.tables[-1]:
                 self.tables[-1].append([])
-            self.tables[-1][-1].append((text, _span(node)))
+            self.tables[-1][-1].append((text, _span(node, "colspan", 1000), _span(node, "rowspan", 65534)))
         elif tag == "li":
-            kind = self.lists[-1] if self.lists else ["ul", 1]
+            kind = self.lists[-1] if self.lists else ["ul", 1, 1, "1"]
             marker = "- "
             if kind[0] == "ol":
-                marker = f"{kind[1]}. "
-                kind[1] += 1
+                value = _whole(node, "value")
+                kind[1] = kind[1] if value is None else value
+                marker = f"{_marker(node.attrs.get('type', kind[3]), kind[1])}. "
+                kind[1] += kind[2]
             text = self.lines.pop().done()
             self._place(_indent(text, marker) if text else "", 1)
         elif tag in ("dd", "blockquote"):
@@ -331,6 +517,13 @@ class Renderer:
             self.lines[-1].gap(1 if self.lists else 2)
         elif tag in GAP:
             self.lines[-1].gap(GAP[tag])
+        elif tag in SVG_TEXT:
+            self.lines[-1].gap(1)
+
+    def _say(self, text: str) -> None:
+        """Text that an attribute holds."""
+        if self.visible[-1]:
+            self.lines[-1].text(text)
 
     def _place(self, block: str, gap: int) -> None:
         lines = self.lines[-1]
@@ -345,7 +538,7 @@ def visible_text(html: str | None) -> str:
     builder = Builder()
     builder.feed(page)
     builder.close()
-    return Renderer(builder.hiding_rules()).render(builder.root)
+    return Renderer(Cascade("\n".join(builder.styles))).render(builder.root)
 
 
 def _extract(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
