@@ -85,7 +85,7 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, temperature:
     out = docs.join(rates, F.col("source").eqNullSafe(F.col(source)), "inner").withColumn(cdf, copies)
     out = out.where(F.col(cdf) > 0).withColumn(copy_column, F.explode(F.sequence(F.lit(1), F.col(cdf))))
     out = out.withColumn(key, F.xxhash64(F.lit(seed), F.col("doc_id"), F.col(copy_column)))
-    return out.repartition(F.col(key)).sortWithinPartitions(key).select(*docs.columns, copy_column)
+    return out.repartition(F.col(key)).sortWithinPartitions(key).select(*[F.col(f"`{c}`") for c in (*docs.columns, copy_column)])
 
 
 #: DuckDB twin of ``mix_sources(docs)`` over a relation ``{docs}`` with the columns of documents.

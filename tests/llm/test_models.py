@@ -209,3 +209,13 @@ def test_mixing_beyond_the_broadcast_bound(spark, monkeypatch):
 def test_mixing_runs_no_python(spark):
     d = spark.createDataFrame([(1, "t", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
     assert not any(x in mixing.mix_sources(d)._jdf.queryExecution().executedPlan().toString() for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_mixing_takes_columns_of_any_name(spark):
+    d = spark.createDataFrame([(i, "t", f"s{i % 2}", 1) for i in range(50)], "doc_id long, text string, source string, `a.b` int")
+    out = mixing.mix_sources(d)
+    assert out.columns == ["doc_id", "text", "source", "a.b", "copy_no"] and out.where("`a.b` = 1").count() == out.count() > 0
+
+
+def test_toxic_segments_of_long_words_are_learnt():
+    assert b"insul" in toxicity._grams(b"x" * 500 + b"insult") and len(toxicity._grams(b"a")) == 1
