@@ -124,7 +124,7 @@ def _train(size: int, samples: list[bytes]) -> bytes:
 
 
 def _grams(word: bytes) -> list[bytes]:
-    w = b" " + word[:64] + b" "
+    w = b" " + word + b" "
     return [w[i:i + GRAM] for i in range(max(1, len(w) - GRAM + 1))]
 
 
