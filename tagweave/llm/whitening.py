@@ -250,8 +250,9 @@ def combined(parts: DataFrame, dim: int) -> Spectrum:
 
     ship_package(parts.sparkSession)
     parts = materialize(parts, "spectra")
-    while parts.count() > 1:
-        merged = materialize(parts.groupBy(F.floor(F.col("part") / FAN_IN)).applyInPandas(merge, SPECTRUM), "spectra")
+    while (count := parts.count()) > 1:
+        group = F.floor(F.col("part") / FAN_IN)  # each group a task: a spectrum is small, its work is not
+        merged = materialize(parts.withColumn("g", group).repartition(-(-count // FAN_IN), "g").groupBy("g").applyInPandas(merge, SPECTRUM), "spectra")
         discard(parts)
         parts = merged
     row = parts.first()
