@@ -5,10 +5,15 @@ whole buffer; a window's hash is a polynomial in its word hashes, read off a
 second prefix sum. Both are finished by a 64-bit mixer, depend on the content
 alone (never on the place in the buffer), and cost a few nanoseconds a byte
 for any window length.
+
+Folding brings texts beyond ASCII to one form first, so that the byte tables can take every byte beyond ASCII for a letter.
 """
 
 from __future__ import annotations
 
+import functools
+import unicodedata
+
 import numpy as np
 
 #: Bytes hashed at once; longer buffers are cut between two words.
@@ -99,7 +104,7 @@ def hash_words(texts: list[bytes], plain: bool = True) -> tuple[np.ndarray, np.n
 
     ``plain``: words are runs without ASCII white space, unchanged. Otherwise
     they are runs of letters and digits (ASCII; any other character counts as
-    a letter), with ASCII case folded.
+    a letter, which ``folded`` makes true), with ASCII case folded.
     """
     separator = _SPACE if plain else _NOT_ALNUM
     data = np.frombuffer(b" ".join(texts), np.uint8)
@@ -147,15 +152,53 @@ class Windows:
         return mix((self.total[k:] - self.total[:n]) * self.inverse[:n] + np.uint64(k * int(_BYTE_BASE) % (1 << 64)))
 
 
+#: Letters of scripts written without blanks, as code points (fixed values): Thai and Lao, Myanmar, Khmer, kana, Han.
+NO_BLANKS = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF),
+             (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+_KEEP, _BLANK, _DROP, _ALONE = range(4)
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """What folding does with each code point: letters, marks and numbers stay, invisible format characters go, others are blanks."""
+    def kind(c: str) -> int:
+        category = unicodedata.category(c)
+        return _DROP if category == "Cf" and c != "\u200b" else _KEEP if category[0] in "LMN" else _BLANK
+
+    kinds = np.fromiter((kind(chr(c)) for c in range(0x110000)), np.uint8, 0x110000)
+    kinds[:128] = _KEEP  # the byte tables split at these
+    for first, last in NO_BLANKS:
+        part = kinds[first:last + 1]
+        part[part == _KEEP] = _ALONE
+    return kinds
+
+
+def _fold_wide(text: str) -> str:
+    if not unicodedata.is_normalized("NFKC", text):
+        text = unicodedata.normalize("NFKC", text)
+    text = text.lower()
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
+    kinds = _kinds()[points]
+    if not kinds.any():
+        return text
+    points = np.where(kinds == _BLANK, 32, points).astype("<u4")[kinds != _DROP]
+    kinds = kinds[kinds != _DROP]
+    out = np.full(len(points) + 2 * int((kinds == _ALONE).sum()), 32, "<u4")
+    width = np.where(kinds == _ALONE, 3, 1)
+    out[np.cumsum(width) - width + (width == 3)] = points
+    return out.tobytes().decode("utf-32-le")
+
+
 def folded(texts: list[str | None]) -> list[bytes]:
-    """Lower-cased UTF-8 of each text, null as empty."""
-    return [t.lower().encode("utf-8", "replace") if t else b"" for t in texts]
+    """Lower-cased UTF-8 of each text, null as empty; beyond ASCII in compatibility form (NFKC), with a blank for whatever is no
+    letter, mark or number, without format characters, and with blanks round each letter of a script that is written without them."""
+    return [(t.lower() if t.isascii() else _fold_wide(t)).encode("utf-8", "replace") if t else b"" for t in texts]
 
 
 class Shingles:
     """Hashes of the ``k``-word shingles of each text, in order, with repeats.
 
-    Words are runs of letters and digits, case folded. A text of 1 to k-1 words has one
+    Words are runs of letters and digits, case folded (see ``folded``; a letter of a script without blanks is a word). A text of 1 to k-1 words has one
     shingle, all its words; a text without words has none.
     """
 
