@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
@@ -164,19 +165,27 @@ def fit_true(grid: Grid, nodes: DataFrame, sample: np.ndarray, sample_nodes: np.
 def _unit(batch: pa.RecordBatch, kind: str, dimension: int) -> np.ndarray:
     raw = b"".join(batch.column("vector").to_pylist())
     x = np.frombuffer(raw, kind).reshape(-1, dimension).astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)  # squares of very large and very small entries stay finite
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def _clean(kind: str):
-    """Each vector as bytes, null if it can have no link."""
+    """Each vector as bytes, null if it can have no link. Of one dimension only the sign is kept: it is the vector's direction."""
     def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        vectors = []
-        for v in batch.column("embedding").to_pylist():
-            x = np.array(v, kind) if v and None not in v else np.zeros(0, kind)
-            y = x.astype(np.float64)
-            size = float(np.sqrt((y * y).sum())) if len(y) and np.isfinite(y).all() else 0.0
-            vectors.append(x.tobytes() if 0 < size < np.inf else None)
-        yield pa.record_batch([batch.column("vec_id"), pa.array(vectors, pa.binary())], names=["vec_id", "vector"])
+        for start in range(0, batch.num_rows, 4096):
+            part = batch.slice(start, 4096)
+            column = part.column("embedding")
+            values = pc.list_flatten(column)
+            usable = ~pc.is_null(values).to_numpy(zero_copy_only=False)
+            x = pc.fill_null(values, 0).to_numpy(zero_copy_only=False).astype(kind)
+            size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(size)), size)
+            bad = np.bincount(row, ~(usable & np.isfinite(x)), len(size)) > 0
+            zero = np.bincount(row, x != 0, len(size)) == 0
+            x = np.where(size[row] == 1, np.sign(x), x).astype(kind)
+            raw, end = x.tobytes(), np.cumsum(size) * x.itemsize
+            vectors = [None if no else raw[a:b] for no, a, b in zip((bad | zero).tolist(), [0, *end.tolist()], end.tolist())]
+            yield pa.record_batch([part.column("vec_id"), pa.array(vectors, pa.binary())], names=["vec_id", "vector"])
     return rows
 
 
@@ -262,6 +271,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
     most, or hold a null or non-finite component are linked with nothing. Equal vectors
     are one node with copies: they link with each other and have the same links. A row with a null vec_id is linked with nothing and
     has no component (kept); rows that repeat a vec_id count as vectors of their own. Other columns are ignored.
+    Sizes do not matter: finite entries of any magnitude have a direction, and vectors of one dimension are linked if their signs are equal.
     """
     spark = vectors.sparkSession
     kind = "<f4" if isinstance(vectors.schema["embedding"].dataType.elementType, FloatType) else "<f8"

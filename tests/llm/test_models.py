@@ -148,6 +148,18 @@ def test_embeddings_of_low_rank_keep_their_links(spark):
     assert (found <= n).all() and found.sum() >= 0.99 * n.sum()
 
 
+def test_embeddings_of_one_dimension_and_of_any_size(spark):
+    one = spark.createDataFrame([(i, [v]) for i, v in enumerate([1.0, 2.0, -3.0, 0.0, 1e-300, -1e300, float("inf")])] + [(7, None), (8, [None])],
+                                "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in multiindex.near_duplicates(one).collect()}
+    assert got == {0: (2, 0), 1: (2, 0), 2: (1, 2), 3: (0, 3), 4: (2, 0), 5: (1, 2), 6: (0, 6), 7: (0, 7), 8: (0, 8)}
+    sizes = [1.0, 1e200, 1e-200, 5e-324, 1e308]
+    rows = [(i, [v, v, 0.0, v]) for i, v in enumerate(sizes)] + [(i + 5, [0.0, -v, v, 0.0]) for i, v in enumerate(sizes)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in multiindex.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {i: (4, i // 5 * 5) for i in range(10)}
+
+
 def test_visits_are_fitted_to_true_links(spark, monkeypatch):
     monkeypatch.setattr(multiindex, "_directions", lambda x, sample, rng: iter(()))
     x = low_rank_pairs(1000, 6, 64, 0.9505)
