@@ -204,17 +204,25 @@ def test_mixing_reaches_weights_and_is_repeatable(spark):
 
 
 def test_poisson_draws_follow_the_distribution(spark):
-    for rate in (0.3, 4.0, 60.0):
-        cdf = spark.range(1).select(mixing.poisson_cdf(F.lit(rate)).alias("c")).first().c
+    for rate in (0.3, 4.0, 60.0, 400.0, 40_000.0):
+        first, cdf = spark.range(1).select(mixing.poisson_cdf(F.lit(rate)).alias("c")).first().c
         p = np.diff(np.r_[0, cdf])
-        k = np.arange(len(p))
-        assert abs((p * k).sum() - rate) < 1e-9 and abs((p * k * k).sum() - rate - rate * rate) < 1e-6
+        k = first + np.arange(len(p)) - rate
+        assert len(p) <= 2 * mixing.DEVIATIONS * rate**0.5 + 50 and abs(p.sum() - 1) < 1e-9 and p[-1] < 1e-20
+        assert abs((p * k).sum()) < 1e-8 * max(1, rate) and abs((p * k * k).sum() / rate - 1) < 1e-8
+
+
+def test_a_source_repeated_very_often(spark):
+    d = spark.createDataFrame([(i, "t", "en", "rare" if i < 3 else "s", 1) for i in range(500)], "doc_id long, text string, lang string, source string, n_chars long")
+    w = spark.createDataFrame([("rare", 1.0), ("s", 0.0)], "source string, weight double")
+    got = {r.doc_id: r["count"] for r in mixing.mix_sources(d, w, total_rows=60_000).groupBy("doc_id").count().collect()}
+    assert set(got) == {0, 1, 2} and all(abs(n - 20_000) < 900 for n in got.values())
 
 
 def test_mixing_beyond_the_broadcast_bound(spark, monkeypatch):
     d = spark.createDataFrame([(i, "t", "en", f"s{i % 7}", 1) for i in range(300)], "doc_id long, text string, lang string, source string, n_chars long")
     a = sorted((r.doc_id, r.copy_no) for r in mixing.mix_sources(d).collect())
-    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 3)
+    monkeypatch.setattr(mixing, "BROADCAST_VALUES", 3)
     assert a == sorted((r.doc_id, r.copy_no) for r in mixing.mix_sources(d).collect())
 
 
