@@ -75,6 +75,33 @@ def cell_order(d1: np.ndarray, d2: np.ndarray, most: int) -> Iterator[tuple[int,
                 heapq.heappush(heap, (d1[o1[x]] + d2[o2[y]], x, y))
 
 
+def nearest_cells(d1: np.ndarray, d2: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``cell_order`` for many queries at once: (row, i, j) of all visited cells by row, and each row's reach.
+
+    The traversal can only meet a cell after all that precede it in both orders: the cell at places (a, b) is among the first ``most``
+    only if (a + 1) * (b + 1) of them fit. Those places are ranked together; a row with ties beyond them is walked cell by cell.
+    """
+    most = min(most, d1.shape[1] * d2.shape[1])
+    o1, o2 = np.argsort(d1, axis=1, kind="stable"), np.argsort(d2, axis=1, kind="stable")
+    s1, s2 = np.take_along_axis(d1, o1, 1), np.take_along_axis(d2, o2, 1)
+    width = np.minimum(most // np.arange(1, min(d1.shape[1], most) + 1), d2.shape[1])
+    a = np.repeat(np.arange(len(width)), width)
+    b = np.arange(len(a)) - np.repeat(np.cumsum(width) - width, width)
+    sums = s1[:, a] + s2[:, b]
+    reach = np.partition(sums, most - 1, axis=1)[:, most - 1]
+    beside = np.flatnonzero(width < d2.shape[1])
+    tied = (s1[:, beside] + s2[:, width[beside]] <= reach[:, None]).any(axis=1)
+    if len(width) < d1.shape[1]:
+        tied |= s1[:, len(width)] + s2[:, 0] <= reach
+    row, at = np.nonzero((sums <= reach[:, None]) & ~tied[:, None])
+    i, j = o1[row, a[at]], o2[row, b[at]]
+    for r in np.flatnonzero(tied):
+        cells = np.array(list(cell_order(d1[r], d2[r], most)))
+        row, i, j = np.r_[row, np.full(len(cells), r)], np.r_[i, cells[:, 0]], np.r_[j, cells[:, 1]]
+    order = np.lexsort((j, i, row))
+    return row[order], i[order], j[order], reach
+
+
 @dataclass
 class Grid:
     first: np.ndarray
@@ -191,46 +218,50 @@ def _clean(kind: str):
 
 def _route(grid: Grid, kind: str, dimension: int):
     """A row ``x`` for the index and rows ``q`` for the visits, one for each first code."""
+    # rows whose candidates are ranked together: a query has about visited * log(visited) of them
+    step = int(np.clip((1 << 20) // (grid.visited * (1 + np.log(grid.visited))), 1, 512))
+
     def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for start in range(0, batch.num_rows, 512):
-            part = batch.slice(start, 512)
-            vectors, out = part.column("vector"), {"code": [], "row": [], "query": [], "cells": [], "own1": [], "own2": [], "reach": []}
-            for row, v in enumerate(_unit(part, kind, dimension)):
-                d1, d2 = grid.row_distances(v)
-                visits: dict[int, list[int]] = {}
-                for i, j in cell_order(d1, d2, grid.visited):
-                    visits.setdefault(i, []).append(j)
-                own1, own2, reach = int(d1.argmin()), int(d2.argmin()), float(d1[i] + d2[j])
-                for code, query, cells in [(own1, False, [own2]), *((i, True, js) for i, js in visits.items())]:
-                    for name, value in zip(out, (code, row, query, cells, own1, own2, reach)):
-                        out[name].append(value)
-            take = pa.array(out["row"], pa.int64())
-            yield pa.record_batch([part.column("node").take(take), part.column("copies").take(take), vectors.take(take),
-                                   pa.array(out["code"], pa.int32()), pa.array(out["query"]), pa.array(out["cells"], pa.list_(pa.int32())),
-                                   pa.array(out["own1"], pa.int32()), pa.array(out["own2"], pa.int32()), pa.array(out["reach"], pa.float64())],
+        for start in range(0, batch.num_rows, step):
+            part = batch.slice(start, step)
+            d1, d2 = (np.stack(d) for d in zip(*(grid.row_distances(v) for v in _unit(part, kind, dimension))))
+            own1, own2 = d1.argmin(axis=1), d2.argmin(axis=1)
+            row, i, j, reach = nearest_cells(d1, d2, grid.visited)
+            first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (i[1:] != i[:-1])])
+            n = part.num_rows
+            source = np.r_[np.arange(n), row[first]]
+            code = np.r_[own1, i[first]]
+            offsets = np.r_[np.arange(n), n + first, n + len(j)]
+            cells = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.r_[own2, j], pa.int32()))
+            take = pa.array(source, pa.int64())
+            yield pa.record_batch([part.column("node").take(take), part.column("copies").take(take), part.column("vector").take(take),
+                                   pa.array(code, pa.int32()), pa.array(np.arange(len(source)) >= n), cells,
+                                   pa.array(own1[source], pa.int32()), pa.array(own2[source], pa.int32()), pa.array(reach[source])],
                                   names=["node", "copies", "vector", "code", "query", "cells", "own1", "own2", "reach"])
     return rows
 
 
+def _by_cell(cell: np.ndarray, row: np.ndarray) -> dict[int, np.ndarray]:
+    order = np.argsort(cell, kind="stable")
+    cells, first = np.unique(cell[order], return_index=True)
+    return dict(zip(cells.tolist(), np.split(row[order], first[1:])))
+
+
 def _search(grid: Grid, kind: str, dimension: int, threshold: float):
     def unit(rows: pa.Table) -> pa.Table:
         part = rows.combine_chunks().to_batches()[0]
         query = part.column("query").to_numpy(zero_copy_only=False)
         node, copies = part.column("node").to_numpy(), part.column("copies").to_numpy()
         own1, own2, reach = (part.column(c).to_numpy() for c in ("own1", "own2", "reach"))
-        vectors, cells = _unit(part, kind, dimension), part.column("cells").to_pylist()
-        in_cell: dict[int, list[int]] = {}
-        visits: dict[int, list[int]] = {}
-        for i, (q, js) in enumerate(zip(query.tolist(), cells)):
-            for j in js:
-                (visits if q else in_cell).setdefault(j, []).append(i)
+        vectors, cells = _unit(part, kind, dimension), part.column("cells")
+        cell, row = cells.flatten().to_numpy(), np.repeat(np.arange(len(node)), pc.list_value_length(cells).to_numpy())
+        in_cell, visits = (_by_cell(cell[side], row[side]) for side in (~query[row], query[row]))
         links: dict[int, int] = {}
         least: dict[int, int] = {}
         extra: list[tuple[int, int]] = []
-        for j, xs in in_cell.items():
-            x = np.array(xs)
+        for j, x in in_cell.items():
             for start in range(0, len(visits.get(j, ())), 512):
-                q = np.array(visits[j][start:start + 512])
+                q = visits[j][start:start + 512]
                 linked = (vectors[q] @ vectors[x].T >= threshold) & (node[q][:, None] != node[x][None])
                 qs, ys = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
                 if not len(qs):

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tagweave.llm import language, mixing, multiindex, toxicity
@@ -189,6 +190,20 @@ def test_cells_come_in_order_of_distance():
     assert len(set(cells)) == 63 and sums == sorted(sums) and len(list(multiindex.cell_order(a, b, 10))) == 10
 
 
+@pytest.mark.parametrize("kind", ["distinct", "ties"])
+def test_visits_of_many_queries_equal_the_walk(kind):
+    rng = np.random.default_rng(3)
+    for most in (1, 2, 7, 30, 62, 63, 500):
+        a, b = rng.random((20, 7)), rng.random((20, 9))
+        if kind == "ties":
+            a, b = np.round(2 * a), np.round(2 * b)
+        row, i, j, reach = multiindex.nearest_cells(a, b, most)
+        for r in range(20):
+            walk = list(multiindex.cell_order(a[r], b[r], most))
+            assert sorted(zip(i[row == r].tolist(), j[row == r].tolist())) == sorted(walk)
+            assert reach[r] == a[r, walk[-1][0]] + b[r, walk[-1][1]]
+
+
 def test_mixing_reaches_weights_and_is_repeatable(spark):
     rows = [(i, f"t{i}", "en", ["hot", "mid", None][0 if i % 10 < 6 else 1 if i % 10 < 9 else 2], 2) for i in range(3000)]
     d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("copy_no", F.lit("old"))
