@@ -18,6 +18,7 @@ filter on their rarest shingles. Pairs are verified on the exact shingle sets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,10 @@ THRESHOLD = 0.8
 #: 32 bands of 6 coordinates: a pair at 0.8 is missed with probability (1 - 0.8^6)^32 = 6e-5, at 0.9 with 1e-10.
 BANDS, ROWS = 32, 6
 COORDINATES = BANDS * ROWS
+#: Shingles of more open texts than that are matched by size class too; a class spans 2 % of the size.
+FEW_TEXTS, SIZE_CLASS = 64, 0.02
+#: Pairs to compare for each joined row beyond which buckets get other hubs first: four times what texts of rare shingles need at most.
+MOST_LISTED = 4 * FEW_TEXTS
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SALT = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -204,27 +209,49 @@ def _links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def _later_links(buckets: DataFrame, joined: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links between components that share a bucket and that no hub has joined."""
-    nodes = _open_nodes(buckets, joined)
-    pairs, used = _prefix_pairs(nodes, sets, threshold)
-    links = _links(pairs, sets, threshold)
-    discard(nodes, *used)
-    return links
+    """Links between components that share a bucket and that the popular hubs have left apart.
 
+    Where a prefix join would list many pairs for each row, most of them lead from one large component to another, and one link would do:
+    such buckets get other hubs first, for as long as a round takes a quarter of the pairs off the list.
+    """
+    later, owned, n_round, before = None, [], 0, math.inf
+    while True:
+        members, nodes = _open_members(buckets, joined)
+        index, probe, used = _prefixes(nodes, sets, threshold)
+        listed, rows = _listed(index, probe)
+        if listed <= MOST_LISTED * rows or listed > 0.75 * before:
+            break
+        n_round, before = n_round + 1, listed
+        hubs = members.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", F.lit(n_round)), "node", "component")).alias("h"))
+        pairs = members.join(hubs, "band").where("component <> h.component").select(F.col("h.node").alias("a"), F.col("node").alias("b"))
+        links = _links(pairs, sets, threshold)
+        discard(members, nodes, *used)
+        later = links if later is None else later.unionByName(links)
+        joined = connected_components(links.unionByName(joined.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        owned += [links, joined]
+    links = _links(_prefix_pairs(index, probe, threshold), sets, threshold)
+    discard(members, nodes, *used)
+    if later is None:
+        return links
+    out = materialize(links.unionByName(later), "links")
+    discard(links, *owned)
+    return out
 
-def _open_nodes(buckets: DataFrame, joined: DataFrame) -> DataFrame:
-    """``(node, component)`` of the members of buckets that still hold several components, written out."""
+
+def _open_members(buckets: DataFrame, joined: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(band, node, component)`` of the buckets that still hold several components, and their distinct nodes, written out."""
     members = materialize(buckets.select("band", "node").join(joined, "node", "left")
                           .withColumn("component", F.coalesce("component", "node")), "members")
     mixed = materialize(members.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"))
                         .where("x < y").select("band"), "open-bands")
-    nodes = materialize(members.join(mixed, "band").select("node", "component").distinct(), "open-nodes")
+    still_open = materialize(members.join(mixed, "band"), "open-members")
+    nodes = materialize(still_open.select("node", "component").distinct(), "open-nodes")
     discard(members, mixed)
-    return nodes
+    return still_open, nodes
 
 
-def _prefix_pairs(nodes: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
-    """Pairs of different components that may reach the threshold, and the tables that they are read from.
+def _prefixes(nodes: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """What the prefix join matches by ``(strip, class)``: indexed rows, probing rows, and the tables that they are read from.
 
     Prefix filtering on shingles in order of rarity:
 
@@ -232,6 +259,10 @@ def _prefix_pairs(nodes: DataFrame, sets: DataFrame, threshold: float) -> tuple[
     their first common element leaves room for ``o - 1`` more behind it in both. Shingles that no other open text
     has come first and match nothing, shingles of a large group's source come last: an edited copy that went too far from
     its source has no room left, and the members of the group are not listed with every straggler.
+
+    How much must be shared depends on both sizes. A shingle of many texts (a template's) therefore matches by size class too: a
+    text is indexed in its own class, at the places that leave room for a partner no smaller than that, and probes each class
+    from ``threshold`` times its size up to its own, at the places that leave room for a partner of that class.
     """
     known = sets.join(nodes, "node")
     single = materialize(map_arrow(known.select("node", "strips"), _single_strips, "strip long, node long"), "strips")
@@ -243,10 +274,34 @@ def _prefix_pairs(nodes: DataFrame, sets: DataFrame, threshold: float) -> tuple[
         .withColumn("prefix", F.col("size") - F.ceil(threshold * F.col("size") - 1e-9) + 1 - (F.col("size") - F.col("common")))
         .where("prefix > 0"), "open-texts")
     rank = F.row_number().over(Window.partitionBy("node").orderBy("n", "strip"))
-    x = materialize(common.join(attributes, "node").withColumn("place", rank).where("place <= prefix").select(
-        "strip", "node", "component", "size", (F.col("common") - F.col("place") + 1).alias("room")), "prefixes")
-    y = x.select("strip", *[F.col(c).alias(f"y_{c}") for c in x.columns[1:]])
+    width = math.log1p(SIZE_CLASS)
+    # the largest partner, by class, that the room is enough for; 1e-9 of a class is slack for rounding
+    fits = F.floor(F.log(F.col("room") * (1 + threshold) / threshold - F.col("size")) / width + 1e-9)
+    rows = materialize(
+        common.join(attributes, "node").withColumn("place", rank).where("place <= prefix")
+        .withColumn("room", F.col("common") - F.col("place") + 1)
+        .withColumn("own", F.when(F.col("n") <= FEW_TEXTS, -1).otherwise(F.floor(F.log("size") / width + 1e-9)).cast("int"))
+        .withColumn("last", F.least("own", fits).cast("int"))
+        .select("strip", "node", "component", "size", "room", "own", "last"), "prefixes")
+    index = rows.where("own = last").withColumn("class", F.col("own")).drop("last")
+    first = F.when(F.col("own") < 0, -1).otherwise(F.floor(F.log(threshold * F.col("size")) / width - 1e-9)).cast("int")
+    probe = rows.withColumn("class", F.explode(F.sequence(first, F.greatest(first, "last")))).drop("last")
+    return index, probe, [single, shared, attributes, rows]
+
+
+def _listed(index: DataFrame, probe: DataFrame) -> tuple[int, int]:
+    """Pairs that the prefix join compares, and the rows that it joins."""
+    key = ["strip", "class"]
+    n, m = (df.groupBy(*key).agg(F.count(F.lit(1)).alias(c)) for df, c in ((index, "n"), (probe, "m")))
+    found = n.join(m, key, "full").agg(F.sum(F.col("n") * F.col("m")).alias("pairs"),
+                                       F.sum(F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("rows")).first()
+    return found.pairs or 0, found.rows or 0
+
+
+def _prefix_pairs(index: DataFrame, probe: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of different components that may reach the threshold."""
+    y = index.select("strip", "class", *[F.col(c).alias(f"y_{c}") for c in ("node", "component", "size", "room", "own")])
     fits = F.least("room", "y_room") >= threshold / (1 + threshold) * (F.col("size") + F.col("y_size")) - 1e-9
-    pairs = x.join(y, (x["strip"] == y["strip"]) & (F.col("component") != F.col("y_component"))
-                   & (F.col("node") < F.col("y_node")) & fits)
-    return pairs.select(F.col("node").alias("a"), F.col("y_node").alias("b")), [single, shared, attributes, x]
+    once = (F.col("own") > F.col("y_own")) | (F.col("node") < F.col("y_node"))
+    pairs = probe.join(y, ["strip", "class"]).where((F.col("component") != F.col("y_component")) & once & fits)
+    return pairs.select(F.least("node", "y_node").alias("a"), F.greatest("node", "y_node").alias("b"))

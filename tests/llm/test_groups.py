@@ -93,6 +93,48 @@ def test_edited_copies_meet_through_prefixes(spark):
     assert got == {i: u.find(i) for i in range(40)} and len(set(got.values())) > 1
 
 
+def template_texts(rng, n, words, most_changed):
+    """Texts of one template, three fields filled with words of their own (and as many or more words than the template's)."""
+    out = []
+    for _ in range(n):
+        t = [f"t{j}" for j in range(words)]
+        for field in (3, 2, 1):
+            at, k = field * words // 4, rng.randint(1, most_changed)
+            t[at:at + k] = [f"v{rng.randrange(10**6)}" for _ in range(k + rng.randrange(2))]
+        out.append(" ".join(t))
+    return out
+
+
+@pytest.mark.parametrize("few,most", [(64, 256), (2, 256), (2, 0)])
+def test_texts_of_a_template_against_all_pairs(spark, monkeypatch, few, most):
+    """By rare shingles, by size classes, and with other hubs before the pairs are listed."""
+    monkeypatch.setattr(dartminhash, "FEW_TEXTS", few)
+    monkeypatch.setattr(dartminhash, "MOST_LISTED", most)
+    texts = template_texts(random.Random(3), 70, 200, 7) + template_texts(random.Random(4), 30, 150, 4)
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.class_id for r in dartminhash.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()}
+    u, sets = Union(), [shingles(t) for t in texts]
+    for i in range(len(texts)):
+        for j in range(i):
+            if sum((sets[i] & sets[j]).values()) >= 0.8 * sum((sets[i] | sets[j]).values()):
+                u.join(i, j)
+    assert got == {i: u.find(i) for i in range(len(texts))} and 2 < len(set(got.values())) < len(texts)
+
+
+def test_texts_of_a_template_are_not_compared_pair_by_pair(spark, monkeypatch):
+    """600 texts whose common part is too short for a link share 196 - 24 shingles each: 179,700 pairs, hardly any of them compared."""
+    seen, listed = [], dartminhash._listed
+    monkeypatch.setattr(dartminhash, "_listed", lambda *a: seen.append(listed(*a)) or seen[-1])
+    rng, rows = random.Random(6), []
+    for i in range(600):
+        t = [f"t{j}" for j in range(200)]
+        for at in (30, 90, 150):
+            t[at:at + 4] = [f"v{rng.randrange(10**9)}" for _ in range(4)]
+        rows.append((i, " ".join(t)))
+    got = dartminhash.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()
+    assert all(r.kept for r in got) and seen[0][1] > 600 and seen[0][0] < 600
+
+
 def test_signatures_agree_as_often_as_weighted_jaccard():
     rng = np.random.default_rng(2)
     a = rng.integers(0, 2**62, 300).astype(np.uint64)
