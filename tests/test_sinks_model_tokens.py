@@ -155,3 +155,24 @@ def test_token_spans_are_linear_and_do_not_shuffle(spark):
     assert "Exchange" not in plan
     rows = token_spans(spark.createDataFrame([(1, None), (2, ""), (3, " \t "), (4, "a  "), (4, "x'y z")], "id long, text string"), "id", "text").collect()
     assert sorted(tuple(r) for r in rows) == [(4, 0, 0, 0, "a"), (4, 0, 0, 2, "x'y"), (4, 1, 4, 4, "z")]
+
+
+def test_many_chunks_share_tasks_and_stay_full(spark, scratch):
+    n = spark.sparkContext.defaultParallelism * 4
+    rows = spark.range(10 * 3 * n + 5).select("id")
+    before = spark._jvm.java.lang.System.currentTimeMillis()
+    out = write_chunks(rows, os.path.join(scratch, "c"), chunk_size=10, order_by=("id",))
+    files = sorted(glob.glob(os.path.join(out, "chunk-*.json")))
+    assert [len(ids([f])) for f in files] == [10] * (3 * n) + [5] and ids(files) == list(range(30 * n + 5))
+    times = [os.stat(f).st_mtime_ns for f in files]
+    assert times == sorted(set(times)) and times[0] >= before * 1_000_000
+    assert not glob.glob(os.path.join(out, "_*"))
+
+
+def test_chunks_of_many_files_are_written_by_few_tasks(spark, scratch, monkeypatch):
+    kind = type(spark.range(1))
+    dealt, plain = [], kind.repartitionById
+    monkeypatch.setattr(kind, "repartitionById", lambda self, n, *a: dealt.append(n) or plain(self, n, *a))
+    cores = spark.sparkContext.defaultParallelism
+    write_chunks(spark.range(40 * cores), os.path.join(scratch, "c"), chunk_size=1)
+    assert 4 * cores <= dealt[0] <= 5 * cores  # a task a chunk before: 40 for each core
