@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.labels import normalize_sentiment
 from ..functions.text import hashtags
-from ..operators.graph import post_pairs, sentiment_profile, vertices_from_profile
+from ..operators.graph import ARRAY_PAIR_LIMIT, post_pairs, tag_occurrences, vertices_from_profile
 from ..schema import SENTIMENTS
 from ..session import hadoop_path
 from ..sources.graph_files import path_exists
@@ -36,6 +37,8 @@ from .wire import decode_wire
 
 # Snapshots of a level that are summed into one of the next level, and pointers that stay readable.
 FAN, KEEP = 8, 16
+# Tag and pair occurrences that one task counts, about: a small batch takes few tasks and few shuffle files, whatever the session's partitions.
+TASK_ROWS = 200_000
 
 PROFILE = "id string, degree long, " + ", ".join(f"{s} long" for s in SENTIMENTS)
 PAIRS = "src string, dst string, weight long"
@@ -99,13 +102,32 @@ def _drop_unfinished(spark: SparkSession, state_dir: str, batch: int) -> None:
                 fs.delete(f.getPath(), True)
 
 
-def _write_snapshot(spark: SparkSession, state_dir: str, level: int, upto: int, delta: DataFrame) -> dict:
-    """One snapshot: tag rows and pair rows side by side in one job; which of the two there are is noted."""
+@contextmanager
+def _shuffles_of(spark: SparkSession, tasks: int | None):
+    """Shuffles of adaptive plans begin with ``tasks`` partitions, at most those of the session."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if tasks is None or tasks >= most:
+        yield
+        return
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(tasks))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def _write_snapshot(spark: SparkSession, state_dir: str, level: int, upto: int, delta: DataFrame, tasks: int | None = None) -> dict:
+    """One snapshot: tag rows and pair rows side by side in one job; which of the two there are is noted, and the ``tasks`` its rows are worth."""
     folder = f"{upto:012d}-{level}-{uuid.uuid4().hex[:12]}"
     path = os.path.join(state_dir, "data", folder)
-    delta.write.partitionBy("part").parquet(path)
+    with _shuffles_of(spark, tasks):
+        # tasks move their own files, and no mark is left: a snapshot counts when the pointer names it
+        (delta.write.partitionBy("part").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+         .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path))
     has = {part: path_exists(spark, os.path.join(path, f"part={part}")) for part in ("profile", "pairs")}
-    return {"folder": folder, "level": level, "upto": upto, **has}
+    return {"folder": folder, "level": level, "upto": upto, "tasks": tasks, **has}
 
 
 def _delta(profile: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -113,6 +135,23 @@ def _delta(profile: DataFrame, pairs: DataFrame) -> DataFrame:
             .unionByName(pairs.withColumn("part", F.lit("pairs")), allowMissingColumns=True))
 
 
+def _counted(posts: DataFrame) -> tuple[DataFrame, int]:
+    """The delta of one batch, and how many tasks its rows are worth: tags and pairs side by side in one aggregate, so a batch is one shuffle.
+
+    The plan for long posts (more shuffles) is made only for a batch that holds one.
+    """
+    size = posts.selectExpr("CAST(size(hashtags) AS LONG) AS k").selectExpr("max(k) AS longest", "sum(k + k * (k - 1) DIV 2) AS n").first()
+    long, tasks = (size["longest"] or 0) > ARRAY_PAIR_LIMIT, 1 + int(size["n"] or 0) // TASK_ROWS
+    posts = posts if long else posts.coalesce(tasks)
+    tags = tag_occurrences(posts, "sentiment").selectExpr(
+        "'profile' AS part", "tag AS id", "CAST(NULL AS STRING) AS src", "CAST(NULL AS STRING) AS dst", "1L AS weight", "sentiment")
+    pairs = post_pairs(posts, "auto" if long else "array").selectExpr(
+        "'pairs' AS part", "CAST(NULL AS STRING) AS id", "src", "dst", "weight", "CAST(NULL AS STRING) AS sentiment")
+    counts = [f"count_if(sentiment = '{s}') AS {s}" for s in SENTIMENTS]
+    return tags.union(pairs).groupBy("part", "id", "src", "dst").agg(
+        F.expr("CAST(sum(weight) AS LONG) AS weight"), F.expr("CAST(sum(weight) AS LONG) AS degree"), *[F.expr(c) for c in counts]), tasks
+
+
 def write_deltas(posts: DataFrame, state_dir: str, batch_id: int, stream: str = "") -> None:
     """Count one batch of ``stream``: its snapshot, the sums of levels that are full, then the pointer."""
     spark = posts.sparkSession
@@ -122,9 +161,7 @@ def write_deltas(posts: DataFrame, state_dir: str, batch_id: int, stream: str =
     if batch_id <= pointer["batch"]:
         return  # a replay of a batch that is counted
     _drop_unfinished(spark, state_dir, pointer["batch"])
-    pairs = (post_pairs(posts).groupBy("src", "dst")
-             .agg(F.sum("weight").cast("long").alias("weight")))
-    snapshots = [*pointer["snapshots"], _write_snapshot(spark, state_dir, 0, batch_id, _delta(sentiment_profile(posts), pairs))]
+    snapshots = [*pointer["snapshots"], _write_snapshot(spark, state_dir, 0, batch_id, *_counted(posts))]
     snapshots, dropped = _levelled(spark, state_dir, snapshots)
     _point(spark, state_dir, {"stream": stream, "batch": batch_id, "version": 0, "snapshots": snapshots,
                               "dropped": [*pointer["dropped"], *[{"folder": d, "batch": batch_id} for d in dropped]]})
@@ -144,7 +181,8 @@ def _levelled(spark: SparkSession, state_dir: str, snapshots: list[dict]) -> tup
 
 def _merged(spark: SparkSession, state_dir: str, snapshots: list[dict], some: list[dict], level: int) -> tuple[list[dict], list[str]]:
     summed = _delta(_sum_profile(spark, state_dir, some), _sum_pairs(spark, state_dir, some))
-    one = _write_snapshot(spark, state_dir, level, max(s["upto"] for s in some), summed)
+    tasks = [s.get("tasks") for s in some]
+    one = _write_snapshot(spark, state_dir, level, max(s["upto"] for s in some), summed, sum(tasks) if all(tasks) else None)
     return [*[s for s in snapshots if s not in some], one], [s["folder"] for s in some]
 
 

@@ -204,3 +204,24 @@ def test_tags_by_window_of_event_time(spark, scratch):
     run()
     got = {(r["start"].hour, r["tag"]): r["n"] for r in spark.read.parquet(out).collect()}
     assert got == {(10, "a"): 2, (10, "b"): 2, (11, "a"): 1, (12, "c"): 1}
+
+
+def test_a_small_batch_is_one_shuffle_of_few_tasks(spark, scratch):
+    from tagweave.streaming.live_graph import _counted, write_deltas
+    rows = [(["a", "b", "b"], "positive"), (["a"], "negative"), ([], "neutral"), (None, "neutral")]
+    posts = spark.createDataFrame(rows, TAGGED).repartition(5).persist()
+    delta, tasks = _counted(posts)
+    plan = delta._jdf.queryExecution().executedPlan().toString()
+    assert tasks == 1 and plan.count("Exchange hashpartitioning") <= 1  # two aggregates and the block plan before: four
+    long = ([f"t{i:03d}" for i in range(70)] + ["a"], "negative")  # beyond the row-local plan, in one batch with short ones
+    state, partitions = os.path.join(scratch, "state"), spark.conf.get("spark.sql.shuffle.partitions")
+    for batch, part in enumerate([posts, posts.union(spark.createDataFrame([long], TAGGED)), posts.where("false"), *[posts] * 6]):
+        write_deltas(part, state, batch)
+    alls = spark.createDataFrame(rows * 8 + [long], TAGGED)
+    want = graph.build_graph(alls.na.fill({"sentiment": "neutral"}))
+    assert {tuple(r) for r in live_vertices(spark, state).collect()} == {tuple(r) for r in want[0].collect()}
+    assert {tuple(r) for r in live_edges(spark, state).collect()} == {tuple(r) for r in want[1].collect()}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
+    assert all(len(os.listdir(os.path.join(state, "data", d, p))) <= 2 for d in os.listdir(os.path.join(state, "data"))
+               if d.split("-")[1] == "0" and int(d.split("-")[0]) != 1 for p in os.listdir(os.path.join(state, "data", d)) if p.startswith("part="))
