@@ -21,6 +21,10 @@ from .model import DEFAULT_THRESHOLD, SentimentModel
 # Fixed value: folds of the held-out split.
 FOLDS = 5
 
+# Tunables (not semantics): a table of weights goes to every task while its proven size (token bytes and so much for each row) stays under this.
+WEIGHTS_BROADCAST_BYTES = 64 << 20
+WEIGHT_ROW_OVERHEAD = 64
+
 
 def text_tokens(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``(key, token, tf)``: lower-cased words and how often a text holds them; a text without words has one row with a null token."""
@@ -29,6 +33,17 @@ def text_tokens(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
             .groupBy("key", "token").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def row_tokens(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+    """``(key, token, tf)`` of every row by itself, nothing shuffled: rows of one key are not put together as in :func:`text_tokens`."""
+    words = F.array_sort(F.regexp_extract_all(F.lower(text_or_empty(text_col)), F.lit(WORD_PATTERN), F.lit(0)))
+    # generated columns are evaluated once, not in every lambda call; a token begins where the sorted words change
+    rows = df.select(F.col(key).alias("key"), F.explode_outer(F.array(words)).alias("_w"))
+    starts = "explode_outer(array(filter(sequence(0, size(_w)), i -> i = 0 OR i = size(_w) OR get(_w, i) != get(_w, i - 1)))) AS _s"
+    runs = rows.selectExpr("key", "_w", starts)
+    counted = "explode_outer(transform(slice(_s, 1, size(_s) - 1), (p, j) -> struct(get(_w, p) AS token, CAST(get(_s, j + 1) - p AS LONG) AS tf))) AS _t"
+    return runs.selectExpr("key", counted).selectExpr("key", "_t.token AS token", "coalesce(_t.tf, 1L) AS tf")
+
+
 def held_out(key) -> Column:
     """True for the fifth of the keys that is kept for measuring: by the first 32 bits of ``md5``, so the same in every run and layout."""
     c = F.col(key) if isinstance(key, str) else key
@@ -88,13 +103,17 @@ def score_by_weights(df: DataFrame, weights: DataFrame, key: str = "id", text_co
     probability. A null key has a row too. An empty table of weights makes everything neutral.
     """
     classes = [r["class"] for r in weights.where(F.col("token").isNull()).select("class").distinct().orderBy("class").collect()]
-    tokens = text_tokens(df, key, text_col)
     if not classes:
-        return tokens.select(F.col("key").alias(key), F.lit("neutral").alias("sentiment"), F.lit(0.0).alias("confidence")).distinct()
+        return df.select(F.col(key), F.lit("neutral").alias("sentiment"), F.lit(0.0).alias("confidence")).distinct()
     own = {r["class"]: r["weight"] for r in weights.where(F.col("token").isNull()).collect()}
     wide = weights.where(F.col("token").isNotNull()).groupBy(F.col("token").alias("_t")).agg(
         *[F.sum(F.when(F.col("class") == c, F.col("weight"))).alias(f"w{i}") for i, c in enumerate(classes)])
-    sums = tokens.join(wide, F.col("token") == F.col("_t"), "left").groupBy("key").agg(
+    # a small table goes to the texts; words then meet their weights where they stand, and only the sums of texts are shuffled
+    size = wide.agg(F.coalesce(F.sum(F.octet_length("_t") + F.lit(WEIGHT_ROW_OVERHEAD)), F.lit(0))).first()[0]
+    if size <= WEIGHTS_BROADCAST_BYTES:
+        wide = F.broadcast(wide)
+    # a score is a sum over word occurrences, so they are counted in their row, and not once more by key and token
+    sums = row_tokens(df, key, text_col).join(wide, F.col("token") == F.col("_t"), "left").groupBy("key").agg(
         *[(F.lit(own[c]) + F.coalesce(F.sum(F.col("tf") * F.col(f"w{i}")), F.lit(0.0))).alias(f"s{i}") for i, c in enumerate(classes)])
     scores = [F.col(f"s{i}") for i in range(len(classes))]
     top = F.greatest(*scores) if len(scores) > 1 else scores[0]

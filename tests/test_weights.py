@@ -60,3 +60,25 @@ def test_split_and_calibration(spark):
     assert 0.18 < share < 0.22 and ids.repartition(7).where(held_out("id")).count() == ids.where(held_out("id")).count()
     scored = spark.createDataFrame([("positive", "positive", 1.0), ("positive", "negative", 0.95), ("neutral", "positive", 0.55)], "sentiment string, label string, confidence double")
     assert sorted(map(tuple, calibration(scored, "label").collect())) == [(5, 1, 0, 0.55), (9, 2, 1, 0.975)]
+
+
+def test_words_meet_their_weights_without_a_shuffle_of_words(spark, monkeypatch):
+    from tagweave.operators import weights as module
+    from tagweave.operators.weights import row_tokens
+    texts = [("1", "b a B é a b"), ("1", "a"), ("2", None), ("3", "!"), (None, "x")]
+    posts = spark.createDataFrame(texts, "id string, text string")
+    got = sorted(map(str, map(tuple, row_tokens(posts, "id").collect())))
+    assert got == sorted(map(str, [("1", "a", 2), ("1", "b", 3), ("1", "é", 1), ("1", "a", 1), ("2", None, 1), ("3", None, 1), (None, "x", 1)]))
+    assert "Exchange" not in row_tokens(posts, "id")._jdf.queryExecution().executedPlan().toString()
+    w = fit_token_weights(frame(spark), "id").localCheckpoint()
+    docs = read_table(spark, SF_SMALL, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    both = {}
+    for size in (module.WEIGHTS_BROADCAST_BYTES, 0):
+        monkeypatch.setattr(module, "WEIGHTS_BROADCAST_BYTES", size)
+        out = score_by_weights(docs, w)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        by_key = [x for x in plan.splitlines() if "Aggregate [" in x and "token" in x and "tf" in x and "count(" in x]
+        assert not by_key  # words were grouped by key and token before they met their weights
+        assert ("rightHint=(strategy=broadcast)" in plan) == bool(size)
+        both[size] = sorted((r["id"], r["sentiment"], round(r["confidence"], 9)) for r in out.collect())
+    assert len(set(map(str, both.values()))) == 1
