@@ -133,3 +133,29 @@ def test_pair_occurrences_of_long_posts_keep_their_sentiment(spark, monkeypatch)
     want = Counter((a, b, s) for tags, s in posts for a, b in combinations(sorted(tags), 2))
     df = spark.createDataFrame(posts, "hashtags array<string>, sentiment string")
     assert Counter(tuple(r) for r in graph.pair_occurrences(df).collect()) == want
+
+
+def test_grid_shuffles_tags_not_pairs_and_equals_brute_force(spark, monkeypatch):
+    from tagweave.operators import pair_grid
+    rnd = random.Random(7)
+    vocab = [f"t{i}" for i in range(1500)] + ["é", "日本", "𝒳", "ｚ"]  # the last two: UTF-8 and UTF-16 order them differently
+    long = [rnd.choice(vocab) for _ in range(300)]
+    posts = [([rnd.choice(vocab) for _ in range(rnd.choice([0, 1, 2, 9, 30, 90, 200]))] + ["hot"], "neutral") for _ in range(150)]
+    posts += [(long, "neutral")] * 5 + [(["a", "a", "a"], "neutral"), (None, "neutral"), ([], "neutral")]
+    exp_v, exp_e = brute.graph([(t or [], s) for t, s in posts])
+    assert len(exp_v) >= graph.HASH_MIN_TAGS
+    df = posts_df(spark, posts).repartition(3)
+    e = graph.edges(df, keys="auto")
+    plan = e._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[src" not in plan and "_hs" not in plan  # no pair is summed behind a shuffle
+    assert collect_edges(e) == exp_e and e.count() == len(exp_e)
+    # few pairs at once, small dense blocks: both ways to sum take several steps
+    monkeypatch.setattr(pair_grid, "PAIRS_AT_ONCE", 500)
+    monkeypatch.setattr(pair_grid, "DENSE_SUMS", 600)
+    assert collect_edges(pair_grid.grid_edges(graph._collapsed(df, 65), 3)) == exp_e
+
+
+def test_grid_groups_follow_the_tags():
+    from tagweave.operators.pair_grid import CELL_TAGS, MAX_GROUPS, groups_for
+    assert groups_for(0, 1) == 2 and groups_for(1000, 12) * (groups_for(1000, 12) + 1) // 2 >= 36
+    assert 2 * 10 * CELL_TAGS / groups_for(10 * CELL_TAGS, 12) <= CELL_TAGS and groups_for(1 << 60, 12) == MAX_GROUPS
