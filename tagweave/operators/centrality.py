@@ -16,10 +16,9 @@ from ..session import materialize as write_table
 
 
 def _undirected(e: DataFrame) -> DataFrame:
-    """Both directions of every non-loop edge: ``(id, nbr, weight)``."""
-    und = e.where(F.col("src") != F.col("dst"))
-    return (und.select(F.col("src").alias("id"), F.col("dst").alias("nbr"), "weight")
-            .unionByName(und.select(F.col("dst").alias("id"), F.col("src").alias("nbr"), "weight")))
+    """Both directions of every non-loop edge: ``(id, nbr, weight)``; the edges are made once for both."""
+    ways = F.array(F.struct(F.col("src").alias("id"), F.col("dst").alias("nbr")), F.struct(F.col("dst").alias("id"), F.col("src").alias("nbr")))
+    return e.where(F.col("src") != F.col("dst")).select(F.explode(ways).alias("_way"), "weight").select("_way.id", "_way.nbr", "weight")
 
 
 def degree_centrality(v: DataFrame, e: DataFrame) -> DataFrame:
@@ -68,14 +67,17 @@ class NotConverged(RuntimeError):
 
 
 class _Edges:
-    """Adjacency ``(src, dst)`` as one written table; shares reach it by broadcast."""
+    """Edges ``(src, dst)`` as one written table, each once; shares reach both of its ends by broadcast."""
 
     def __init__(self, adj: DataFrame):
         self.adj = adj
 
     def messages(self, ranks: DataFrame) -> DataFrame:
-        share = F.broadcast(ranks.select(F.col("_k").alias("_u"), (F.col("rank") / F.col("_deg")).alias("_c")))
-        return self.adj.join(share, F.col("src") == F.col("_u")).select(F.col("dst").alias("_k"), "_c")
+        share = ranks.select(F.col("_k").alias("_u"), (F.col("rank") / F.col("_deg")).alias("_c"))
+        s, d = F.broadcast(share.alias("_s")), F.broadcast(share.alias("_d"))
+        ways = F.array(F.struct(F.col("dst").alias("_k"), F.col("_s._c").alias("_c")), F.struct(F.col("src").alias("_k"), F.col("_d._c").alias("_c")))
+        return (self.adj.join(s, F.col("src") == F.col("_s._u")).join(d, F.col("dst") == F.col("_d._u"))
+                .select(F.explode(ways).alias("_m")).select("_m._k", "_m._c"))
 
     def drop(self) -> None:
         discard(self.adj)
@@ -145,11 +147,12 @@ def pagerank(v: DataFrame, e: DataFrame, max_iter: int | None = None, tol: float
     key = (lambda c: F.xxhash64(c)) if unique else (lambda c: F.col(c))
     if plan == "auto":
         plan = "broadcast" if unique and n_vertices * SHARE_ROW_BYTES <= SHARE_BROADCAST_BYTES else "blocks"
-    adj = write_table(_undirected(e).select(key("id").alias("src"), key("nbr").alias("dst")), "pagerank-adjacency")
-    ranks = write_table(adj.groupBy(F.col("src").alias("_k")).agg(F.count(F.lit(1)).alias("_deg"))
+    adj = write_table(e.where(F.col("src") != F.col("dst")).select(key("src").alias("src"), key("dst").alias("dst")), "pagerank-adjacency")
+    ways = adj.select(F.explode(F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))).alias("_way")).select("_way.*")
+    ranks = write_table(ways.groupBy(F.col("src").alias("_k")).agg(F.count(F.lit(1)).alias("_deg"))
                         .select("_k", F.lit(1.0).alias("rank"), "_deg", F.lit(1.0).alias("_old")), "pagerank-ranks")
     if plan == "blocks":
-        graph = _Blocks(adj, ranks)
+        graph = _Blocks(ways, ranks)
         discard(adj)
     else:
         graph = _Edges(adj)

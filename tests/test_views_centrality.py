@@ -162,3 +162,10 @@ def test_subgraph_nodes_need_a_pair_not_the_edges(spark):
     assert views.top_subgraph_nodes(graph.vertices(lone), views.posts_with_pairs(lone)).count() == 0
     loop = spark.createDataFrame([(["a", "a"], "neutral")], "hashtags array<string>, sentiment string")
     assert views.top_subgraph_nodes(graph.vertices(loop), views.posts_with_pairs(loop)).count() == 1
+
+
+def test_both_directions_come_from_one_pass_over_the_edges(spark):
+    e = spark.createDataFrame([("a", "b", 2), ("a", "a", 1), ("b", "c", 3)], "src string, dst string, weight long")
+    both = centrality._undirected(e)
+    assert sorted(map(tuple, both.collect())) == [("a", "b", 2), ("b", "a", 2), ("b", "c", 3), ("c", "b", 3)]
+    assert "Union" not in both._jdf.queryExecution().executedPlan().toString()
