@@ -225,3 +225,23 @@ def test_a_small_batch_is_one_shuffle_of_few_tasks(spark, scratch):
     assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
     assert all(len(os.listdir(os.path.join(state, "data", d, p))) <= 2 for d in os.listdir(os.path.join(state, "data"))
                if d.split("-")[1] == "0" and int(d.split("-")[0]) != 1 for p in os.listdir(os.path.join(state, "data", d)) if p.startswith("part="))
+
+
+def test_state_of_sent_again_posts_is_committed_by_the_cores(spark, scratch):
+    from tagweave.streaming import files
+    wire = to_wire(raw_view(spark, SF_SMALL, "posts")).limit(300)
+    inp, out, ckpt = (os.path.join(scratch, d) for d in ("in", "out", "ckpt"))
+    for order in ("id", "text"):
+        write_chunks(wire, inp, chunk_size=100, order_by=(order,))
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass")}
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        q = start_stream(spark, inp, out, ckpt, trigger="available_now", max_files_per_trigger=3, dedupe_within="20000 days")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"  # the session's own settings are as they were
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before["spark.sql.shuffle.partitions"])
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before["spark.sql.streaming.stateStore.providerClass"]
+    parts = [d for d in os.listdir(os.path.join(ckpt, "state", "0")) if d.isdigit()]
+    assert len(parts) <= files.STATE_PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert sorted(r["id"] for r in read_out(spark, out).collect()) == sorted(r["id"] for r in wire.collect())
