@@ -3,6 +3,7 @@
 import glob
 import json
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -176,3 +177,16 @@ def test_chunks_of_many_files_are_written_by_few_tasks(spark, scratch, monkeypat
     cores = spark.sparkContext.defaultParallelism
     write_chunks(spark.range(40 * cores), os.path.join(scratch, "c"), chunk_size=1)
     assert 4 * cores <= dealt[0] <= 5 * cores  # a task a chunk before: 40 for each core
+
+
+def test_token_spans_are_summed_in_one_pass_whatever_the_slices(spark, monkeypatch):
+    from tagweave.operators import tokens as module
+    monkeypatch.setattr(module, "SPANS_AT_ONCE", 3)
+    texts = [("a", "Ünï  日本's x!\n𝒳 y "), ("b", ""), ("a", " one, two  three four"), (None, "z\t#z"), ("c", None)]
+    out = token_spans(spark.createDataFrame(texts, "id string, text string").coalesce(1), "id", "text")
+    want = []
+    for key, text in texts:
+        for pos, m in enumerate(re.finditer(r"\w+(?:'[^\W\d_]+)?|[^\w\s]", text or "")):
+            want.append((key, pos, m.start(), m.end() - 1, m.group()))
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()  # no pass for each level of a tree
