@@ -5,18 +5,21 @@ IDF -> label indexer -> logistic regression. Scoring keeps the input
 columns and adds ``sentiment``; a prediction whose top class probability
 is below ``threshold`` (0.6 by default) is ``neutral``. Fitting and scoring
 are distributed ``pyspark.ml`` jobs; no row reaches the driver.
+A trained model holds no training summary: that refers to the session, which
+goes with every scoring task and cannot once a query of it was observed.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StringIndexer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import WORD_PATTERN
+from ..session import remove, scratch_path
 
 DEFAULT_THRESHOLD = 0.6
 NUM_FEATURES = 1 << 18
@@ -74,4 +77,15 @@ def train_sentiment_model(train: DataFrame, text_col: str = "text", label_col: s
     indexer = StringIndexer(inputCol="sentiment", outputCol="_y",
                             stringOrderType="alphabetAsc").fit(data)
     model = sentiment_pipeline(**params).fit(indexer.transform(data))
-    return SentimentModel(model, indexer.labels, text_col, threshold)
+    *features, classifier = model.stages
+    return SentimentModel(PipelineModel([*features, _without_summary(train.sparkSession, classifier)]), indexer.labels, text_col, threshold)
+
+
+def _without_summary(spark: SparkSession, model: LogisticRegressionModel) -> LogisticRegressionModel:
+    """The fitted classifier as it is read back from storage, which keeps no training summary."""
+    path = scratch_path(spark, "classifier")
+    model.write().save(path)
+    try:
+        return LogisticRegressionModel.load(path)
+    finally:
+        remove(spark, path)

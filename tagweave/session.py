@@ -119,8 +119,13 @@ def hadoop_path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this package under the shared checkpoint directory."""
+    folder = hadoop_path(spark, path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def discard(*tables) -> None:
     """Delete tables that ``materialize`` wrote and that nothing reads any more."""
     for df in tables:
-        path = hadoop_path(df.sparkSession, df._scratch)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        remove(df.sparkSession, df._scratch)

@@ -190,3 +190,16 @@ def test_token_spans_are_summed_in_one_pass_whatever_the_slices(spark, monkeypat
             want.append((key, pos, m.start(), m.end() - 1, m.group()))
     assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
     assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()  # no pass for each level of a tree
+
+
+def test_model_scores_in_a_session_that_has_observed_a_query(spark):
+    from pyspark.sql import Observation
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}  # the session now holds its observations, which cannot be serialised
+    rows = [("good day", "positive"), ("good", "positive"), ("bad", "negative"), ("bad day", "negative"), ("day", None)]
+    train = spark.createDataFrame(rows, "text string, sentiment string")
+    m = train_sentiment_model(train, num_features=64, max_iter=10, threshold=0.5)
+    got = {r["text"]: r["sentiment"] for r in m.transform(train.select("text")).collect()}
+    assert got["good"] == "positive" and got["bad"] == "negative" and len(got) == 5
+    assert not m.pipeline_model.stages[-1].hasSummary
