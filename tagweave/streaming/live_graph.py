@@ -32,7 +32,7 @@ from ..schema import SENTIMENTS
 from ..session import hadoop_path
 from ..sources.graph_files import path_exists
 from .event_time import once_each
-from .files import _apply_trigger, read_wire_stream
+from .files import _apply_trigger, log_conf, read_wire_stream, start_with
 from .wire import decode_wire
 
 # Snapshots of a level that are summed into one of the next level, and pointers that stay readable.
@@ -229,7 +229,7 @@ def start_graph_stream(spark: SparkSession, input_dir: str, state_dir: str, chec
 
     writer = (decoded.writeStream.foreachBatch(on_batch)
               .option("checkpointLocation", checkpoint_dir))
-    return _apply_trigger(writer, trigger).start()
+    return start_with(spark, _apply_trigger(writer, trigger), log_conf(spark, checkpoint_dir))
 
 
 def _read_part(spark: SparkSession, state_dir: str, snapshots: list[dict], part: str, schema: str) -> DataFrame:

@@ -245,3 +245,27 @@ def test_state_of_sent_again_posts_is_committed_by_the_cores(spark, scratch):
     parts = [d for d in os.listdir(os.path.join(ckpt, "state", "0")) if d.isdigit()]
     assert len(parts) <= files.STATE_PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
     assert sorted(r["id"] for r in read_out(spark, out).collect()) == sorted(r["id"] for r in wire.collect())
+
+
+def test_batches_of_a_stream_share_their_code_and_logs_stay_readable(spark, scratch):
+    from tagweave.streaming import files
+    compiled = spark._jvm.org.apache.spark.metrics.source.CodegenMetrics.METRIC_COMPILATION_TIME()
+    wire = to_wire(raw_view(spark, SF_SMALL, "posts")).limit(260).localCheckpoint()
+    inp, out, ckpt = (os.path.join(scratch, d) for d in ("in", "out", "ckpt"))
+    names = ("spark.sql.streaming.fileSource.log.compactInterval", "spark.sql.streaming.checkpointFileManagerClass")
+    before = [spark.conf.get(k, None) for k in names]
+    write_chunks(wire, inp, chunk_size=10)
+    n = compiled.getCount()
+    start_stream(spark, inp, out, ckpt, trigger="available_now", max_files_per_trigger=2).awaitTermination()  # 13 batches
+    assert compiled.getCount() - n <= 5  # one for each batch before
+    assert [spark.conf.get(k, None) for k in names] == before
+    rows = read_out(spark, out)
+    assert rows.select("processing_time").distinct().count() == 13
+    first = sorted(map(str, rows.select("id", "text").collect()))
+    assert first == sorted(map(str, wire.select("id", "text").collect()))
+    log = os.path.join(ckpt, "sources", "0")
+    assert not [f for f in os.listdir(log) if f.endswith(".compact")] and files.SOURCE_LOG_INTERVAL > 13  # written anew at the tenth batch before
+    write_chunks(wire, inp, chunk_size=10)  # a restart reads the log
+    start_stream(spark, inp, out, ckpt, trigger="available_now", max_files_per_trigger=2).awaitTermination()
+    assert sorted(map(str, read_out(spark, out).select("id", "text").collect())) == sorted(first * 2)
+    assert files.log_conf(spark, "file:/a", "/b").keys() == set(names)
