@@ -7,13 +7,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import EDGE, VERTEX
+from ..session import hadoop_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    hpath = hadoop_path(spark, path)
+    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath)
 
 
 def read_graph(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:

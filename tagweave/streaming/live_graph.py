@@ -1,9 +1,10 @@
 """The co-occurrence graph kept current from the post stream.
 
-Each micro-batch is reduced to one small additive delta: the tag sentiment profile and the pair weights of that
-batch, written to a folder of its own. Deltas are summed in levels: as soon as a level
-holds ``FAN`` of them, they are replaced by their sum, one level up. So after b batches there are at most ``FAN * log(b)``
-snapshots, and each delta is rewritten log(b) times.
+Each micro-batch is reduced to one small additive delta in a folder of its own: tags and sentiment of its posts, written by one job
+without a shuffle (level 0). Deltas are summed in levels: as soon as a level holds ``FAN`` of them, they are replaced by one of the next
+level, which holds their tag sentiment profile and their pair weights. So what is dear (pairs, shuffles) is done once for
+``FAN`` batches; after b batches there are at most ``FAN * log(b)`` snapshots, and each delta is rewritten log(b) times. A reader counts the posts that
+lie in level 0 as it sums the levels above.
 
 What counts is listed in one small document, the pointer ``<state_dir>/current/<batch>.json``: the stream it belongs to, the batch it ends with and
 the folders of its snapshots. A batch's pointer appears after its data, by a rename, so a reader (which takes the
@@ -18,8 +19,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 from contextlib import contextmanager
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,21 +30,24 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.labels import normalize_sentiment
 from ..functions.text import hashtags
-from ..operators.graph import ARRAY_PAIR_LIMIT, post_pairs, tag_occurrences, vertices_from_profile
+from ..operators.graph import ARRAY_PAIR_LIMIT, post_pairs, sentiment_profile, tag_occurrences, vertices_from_profile
 from ..schema import SENTIMENTS
-from ..session import hadoop_path
+from ..session import hadoop_path, is_local, java_class, remove
 from ..sources.graph_files import path_exists
 from .event_time import once_each
-from .files import _apply_trigger, log_conf, read_wire_stream, start_with
+from .files import _apply_trigger, log_conf, read_wire_stream, start_with, upkeep_conf
 from .wire import decode_wire
 
-# Snapshots of a level that are summed into one of the next level, and pointers that stay readable.
-FAN, KEEP = 8, 16
+# Snapshots of a level that are summed into one of the next level (32 folders at most are listed without a job), and pointers that stay readable.
+FAN, KEEP = 32, 16
 # Tag and pair occurrences that one task counts, about: a small batch takes few tasks and few shuffle files, whatever the session's partitions.
 TASK_ROWS = 200_000
+# Bytes of a batch, as Spark reckons them, that one task reads and writes at most.
+TASK_BYTES, MOST_TASKS = 1 << 20, 1 << 20
 
 PROFILE = "id string, degree long, " + ", ".join(f"{s} long" for s in SENTIMENTS)
 PAIRS = "src string, dst string, weight long"
+POSTS = "hashtags array<string>, sentiment string"
 
 
 def _posts_of(decoded: DataFrame, dedupe: bool) -> DataFrame:
@@ -52,54 +58,86 @@ def _posts_of(decoded: DataFrame, dedupe: bool) -> DataFrame:
 
 # --- the pointer: a document of a few kilobytes, read and written on the driver -------------------------------
 
+@lru_cache(maxsize=8)
+def _plain(spark: SparkSession, path: str) -> str | None:
+    """The path as the driver's own files know it, for Hadoop's ``file:`` system, else None. Hadoop would start a process for the permissions of every file it makes there."""
+    return hadoop_path(spark, path).toUri().getPath() if is_local(spark, path) else None
+
+
+def _fs(spark: SparkSession, path: str):
+    return hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def _current(spark: SparkSession, state_dir: str) -> dict | None:
     """The latest pointer, or None for a state folder without batches."""
-    path = os.path.join(state_dir, "current")
-    if not path_exists(spark, path):
-        return None
-    fs = hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [f.getPath().getName() for f in fs.listStatus(hadoop_path(spark, path))]
-    last = max((n for n in names if n.endswith(".json")), default=None)
-    return json.loads(_read_small(spark, os.path.join(path, last))) if last else None
+    last = max(_names(spark, state_dir, "current", r"\d+-\d+\.json"), default=None)
+    return json.loads(_read_small(spark, state_dir, os.path.join("current", last))) if last else None
 
 
-def _read_small(spark: SparkSession, path: str) -> str:
-    file = hadoop_path(spark, path)
-    stream = file.getFileSystem(spark._jsc.hadoopConfiguration()).open(file)
+def _names(spark: SparkSession, base: str, folder: str, pattern: str) -> list[str]:
+    """Names in a folder below ``base`` that match as a whole, sorted; few calls to the JVM, whatever their number."""
+    plain = _plain(spark, base)
+    if plain:
+        path = os.path.join(plain, folder)
+        return sorted(n for n in os.listdir(path) if re.fullmatch(pattern, n)) if os.path.isdir(path) else []
+    path = os.path.join(base, folder)
+    if not path_exists(spark, path):
+        return []
+    found = java_class(spark._jvm, "org.apache.hadoop.fs.FileUtil").stat2Paths(_fs(spark, path).listStatus(hadoop_path(spark, path)))
+    text = java_class(spark._jvm, "org.apache.commons.lang3.ArrayUtils").toString(found)
+    return sorted(re.findall(rf"/({pattern})(?=[,}}])", text))
+
+
+def _read_small(spark: SparkSession, base: str, name: str) -> str:
+    plain = _plain(spark, base)
+    if plain:
+        with open(os.path.join(plain, name), encoding="utf-8") as f:
+            return f.read()
+    path = os.path.join(base, name)
+    stream = _fs(spark, path).open(hadoop_path(spark, path))
     try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return java_class(spark._jvm, "org.apache.commons.io.IOUtils").toString(stream, "UTF-8")
     finally:
         stream.close()
 
 
+def _publish(spark: SparkSession, base: str, folder: str, name: str, text: str) -> None:
+    """A small file that appears complete, by a rename."""
+    draft, plain = f"_{uuid.uuid4().hex}", _plain(spark, base)
+    if plain:
+        path = os.path.join(plain, folder)
+        os.makedirs(path, exist_ok=True)
+        with open(os.path.join(path, draft), "w", encoding="utf-8") as f:
+            f.write(text)
+            f.flush()
+            os.fsync(f.fileno())
+        os.rename(os.path.join(path, draft), os.path.join(path, name))
+        return
+    fs = _fs(spark, base)
+    draft, final = (hadoop_path(spark, os.path.join(base, folder, n)) for n in (draft, name))
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(draft, final):
+        raise OSError(f"cannot publish {final.toString()}")
+
+
 def _point(spark: SparkSession, state_dir: str, pointer: dict) -> None:
     """Publish a pointer. Folders that went out of the list ``KEEP`` batches ago, and older pointers, are deleted."""
-    folder, data = (os.path.join(state_dir, n) for n in ("current", "data"))
-    fs = hadoop_path(spark, folder).getFileSystem(spark._jsc.hadoopConfiguration())
     old = [d for d in pointer["dropped"] if d["batch"] <= pointer["batch"] - KEEP]
     for d in old:
-        fs.delete(hadoop_path(spark, os.path.join(data, d["folder"])), True)
+        remove(spark, os.path.join(state_dir, "data", d["folder"]))
     pointer = {**pointer, "dropped": [d for d in pointer["dropped"] if d not in old]}
-    draft, final = (hadoop_path(spark, os.path.join(folder, n)) for n in (
-        f"_{uuid.uuid4().hex}", f"{pointer['batch']:019d}-{pointer['version']:06d}.json"))
-    out = fs.create(draft, True)
-    out.write(bytearray(json.dumps(pointer).encode()))
-    out.close()
-    if not fs.rename(draft, final):
-        raise OSError(f"cannot publish {final.toString()}")
-    names = sorted(f.getPath().getName() for f in fs.listStatus(hadoop_path(spark, folder)) if f.getPath().getName().endswith(".json"))
-    for name in names[:-KEEP]:
-        fs.delete(hadoop_path(spark, os.path.join(folder, name)), False)
+    _publish(spark, state_dir, "current", f"{pointer['batch']:019d}-{pointer['version']:06d}.json", json.dumps(pointer))
+    for name in _names(spark, state_dir, "current", r"\d+-\d+\.json")[:-KEEP]:
+        remove(spark, os.path.join(state_dir, "current", name))
 
 
 def _drop_unfinished(spark: SparkSession, state_dir: str, batch: int) -> None:
     """Delete folders of attempts that ended before their pointer appeared: those beyond the last ``batch`` that counts."""
-    path = os.path.join(state_dir, "data")
-    if path_exists(spark, path):
-        fs = hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
-        for f in fs.listStatus(hadoop_path(spark, path)):
-            if int(f.getPath().getName().split("-")[0]) > batch:
-                fs.delete(f.getPath(), True)
+    for name in _names(spark, state_dir, "data", r"\d+-\d+-\w+"):
+        if int(name.split("-")[0]) > batch:
+            remove(spark, os.path.join(state_dir, "data", name))
 
 
 @contextmanager
@@ -118,14 +156,33 @@ def _shuffles_of(spark: SparkSession, tasks: int | None):
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
+def _folder(state_dir: str, level: int, upto: int) -> tuple[str, str]:
+    folder = f"{upto:012d}-{level}-{uuid.uuid4().hex[:12]}"
+    return folder, os.path.join(state_dir, "data", folder)
+
+
+def _writer(delta: DataFrame):
+    """Tasks move their own files, and no mark is left: a snapshot counts when the pointer names it."""
+    return (delta.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+            .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"))
+
+
+def _write_posts(state_dir: str, upto: int, posts: DataFrame) -> dict:
+    """The snapshot of one batch: its posts as they are, one job without a shuffle."""
+    folder, path = _folder(state_dir, 0, upto)
+    plain = _plain(posts.sparkSession, state_dir)
+    if plain:  # the folders of the commit, see there
+        os.makedirs(os.path.join(plain, "data", folder, "_temporary", "0", "_temporary"))
+    tasks = 1 + int(posts._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) // TASK_BYTES
+    _writer(posts.coalesce(min(tasks, MOST_TASKS))).mode("append").parquet(path)
+    return {"folder": folder, "level": 0, "upto": upto, "posts": True}
+
+
 def _write_snapshot(spark: SparkSession, state_dir: str, level: int, upto: int, delta: DataFrame, tasks: int | None = None) -> dict:
     """One snapshot: tag rows and pair rows side by side in one job; which of the two there are is noted, and the ``tasks`` its rows are worth."""
-    folder = f"{upto:012d}-{level}-{uuid.uuid4().hex[:12]}"
-    path = os.path.join(state_dir, "data", folder)
+    folder, path = _folder(state_dir, level, upto)
     with _shuffles_of(spark, tasks):
-        # tasks move their own files, and no mark is left: a snapshot counts when the pointer names it
-        (delta.write.partitionBy("part").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-         .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path))
+        _writer(delta).partitionBy("part").parquet(path)
     has = {part: path_exists(spark, os.path.join(path, f"part={part}")) for part in ("profile", "pairs")}
     return {"folder": folder, "level": level, "upto": upto, "tasks": tasks, **has}
 
@@ -135,13 +192,18 @@ def _delta(profile: DataFrame, pairs: DataFrame) -> DataFrame:
             .unionByName(pairs.withColumn("part", F.lit("pairs")), allowMissingColumns=True))
 
 
+def _extent(posts: DataFrame) -> tuple[bool, int]:
+    """Whether one of the posts is long, and how many tasks their tags and pairs are worth: one small job."""
+    size = posts.selectExpr("CAST(size(hashtags) AS LONG) AS k").selectExpr("max(k) AS longest", "sum(k + k * (k - 1) DIV 2) AS n").first()
+    return (size["longest"] or 0) > ARRAY_PAIR_LIMIT, 1 + int(size["n"] or 0) // TASK_ROWS
+
+
 def _counted(posts: DataFrame) -> tuple[DataFrame, int]:
-    """The delta of one batch, and how many tasks its rows are worth: tags and pairs side by side in one aggregate, so a batch is one shuffle.
+    """The sums of posts, and how many tasks their rows are worth: tags and pairs side by side in one aggregate, so they are one shuffle.
 
-    The plan for long posts (more shuffles) is made only for a batch that holds one.
+    The plan for long posts (more shuffles) is made only where there is one.
     """
-    size = posts.selectExpr("CAST(size(hashtags) AS LONG) AS k").selectExpr("max(k) AS longest", "sum(k + k * (k - 1) DIV 2) AS n").first()
-    long, tasks = (size["longest"] or 0) > ARRAY_PAIR_LIMIT, 1 + int(size["n"] or 0) // TASK_ROWS
+    long, tasks = _extent(posts)
     posts = posts if long else posts.coalesce(tasks)
     tags = tag_occurrences(posts, "sentiment").selectExpr(
         "'profile' AS part", "tag AS id", "CAST(NULL AS STRING) AS src", "CAST(NULL AS STRING) AS dst", "1L AS weight", "sentiment")
@@ -153,7 +215,7 @@ def _counted(posts: DataFrame) -> tuple[DataFrame, int]:
 
 
 def write_deltas(posts: DataFrame, state_dir: str, batch_id: int, stream: str = "") -> None:
-    """Count one batch of ``stream``: its snapshot, the sums of levels that are full, then the pointer."""
+    """Take in one batch of ``stream``: its snapshot, the sums of levels that are full, then the pointer."""
     spark = posts.sparkSession
     pointer = _current(spark, state_dir) or {"stream": stream, "batch": -1, "version": 0, "snapshots": [], "dropped": []}
     if pointer["stream"] != stream:
@@ -161,7 +223,7 @@ def write_deltas(posts: DataFrame, state_dir: str, batch_id: int, stream: str =
     if batch_id <= pointer["batch"]:
         return  # a replay of a batch that is counted
     _drop_unfinished(spark, state_dir, pointer["batch"])
-    snapshots = [*pointer["snapshots"], _write_snapshot(spark, state_dir, 0, batch_id, *_counted(posts))]
+    snapshots = [*pointer["snapshots"], _write_posts(state_dir, batch_id, posts)]
     snapshots, dropped = _levelled(spark, state_dir, snapshots)
     _point(spark, state_dir, {"stream": stream, "batch": batch_id, "version": 0, "snapshots": snapshots,
                               "dropped": [*pointer["dropped"], *[{"folder": d, "batch": batch_id} for d in dropped]]})
@@ -180,12 +242,26 @@ def _levelled(spark: SparkSession, state_dir: str, snapshots: list[dict]) -> tup
 
 
 def _merged(spark: SparkSession, state_dir: str, snapshots: list[dict], some: list[dict], level: int) -> tuple[list[dict], list[str]]:
-    summed = _delta(_sum_profile(spark, state_dir, some), _sum_pairs(spark, state_dir, some))
-    tasks = [s.get("tasks") for s in some]
-    one = _write_snapshot(spark, state_dir, level, max(s["upto"] for s in some), summed, sum(tasks) if all(tasks) else None)
+    one = _sum_of(spark, state_dir, some, level)
     return [*[s for s in snapshots if s not in some], one], [s["folder"] for s in some]
 
 
+def _sum_of(spark: SparkSession, state_dir: str, some: list[dict], level: int) -> dict:
+    """One snapshot in place of ``some``; posts are counted first, on their own."""
+    raw, upto = [s for s in some if s.get("posts")], max(s["upto"] for s in some)
+    if len(raw) == len(some):
+        return _write_snapshot(spark, state_dir, level, upto, *_counted(_read_posts(spark, state_dir, raw)))
+    counted = [s for s in some if not s.get("posts")]
+    if raw:
+        first = _sum_of(spark, state_dir, raw, 1)
+        one = _sum_of(spark, state_dir, [*counted, first], level)
+        remove(spark, os.path.join(state_dir, "data", first["folder"]))
+        return one
+    tasks = [s.get("tasks") for s in some]
+    summed = _delta(_sum_profile(spark, state_dir, some), _sum_pairs(spark, state_dir, some))
+    return _write_snapshot(spark, state_dir, level, upto, summed, sum(tasks) if all(tasks) else None)
+
+
 def compact(spark: SparkSession, state_dir: str) -> None:
     """Sum all batches published so far into one snapshot. Not needed for bounded reads; run it between batches, never beside one."""
     pointer = _current(spark, state_dir)
@@ -199,7 +275,7 @@ def compact(spark: SparkSession, state_dir: str) -> None:
 def _stream_id(spark: SparkSession, checkpoint_dir: str) -> str | None:
     """The id that a checkpoint gives its stream; None before its first start."""
     path = os.path.join(checkpoint_dir, "metadata")
-    return json.loads(_read_small(spark, path))["id"] if path_exists(spark, path) else None
+    return json.loads(_read_small(spark, checkpoint_dir, "metadata"))["id"] if path_exists(spark, path) else None
 
 
 def start_graph_stream(spark: SparkSession, input_dir: str, state_dir: str, checkpoint_dir: str,
@@ -219,31 +295,39 @@ def start_graph_stream(spark: SparkSession, input_dir: str, state_dir: str, chec
     if dedupe_within:
         decoded = once_each(decoded, dedupe_within)
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        # the micro-batch feeds both parts of its delta; keep it instead of reading the files twice
-        posts = _posts_of(batch, dedupe).persist()
-        try:
-            write_deltas(posts, state_dir, batch_id, _stream_id(spark, checkpoint_dir))
-        finally:
-            posts.unpersist()
+    stream: list[str | None] = []
+
+    def on_batch(posts: DataFrame, batch_id: int) -> None:
+        if not stream:
+            stream.append(_stream_id(spark, checkpoint_dir))
+        write_deltas(posts, state_dir, batch_id, stream[0])
 
-    writer = (decoded.writeStream.foreachBatch(on_batch)
+    writer = (_posts_of(decoded, dedupe).writeStream.foreachBatch(on_batch)
               .option("checkpointLocation", checkpoint_dir))
-    return start_with(spark, _apply_trigger(writer, trigger), log_conf(spark, checkpoint_dir))
+    return start_with(spark, _apply_trigger(writer, trigger), log_conf(spark, checkpoint_dir) | upkeep_conf(spark))
+
+
+def _read_posts(spark: SparkSession, state_dir: str, snapshots: list[dict]) -> DataFrame:
+    return spark.read.schema(POSTS).parquet(*[os.path.join(state_dir, "data", s["folder"]) for s in snapshots if s.get("posts")])
 
 
 def _read_part(spark: SparkSession, state_dir: str, snapshots: list[dict], part: str, schema: str) -> DataFrame:
-    paths = [os.path.join(state_dir, "data", s["folder"], f"part={part}") for s in snapshots if s[part]]
+    paths = [os.path.join(state_dir, "data", s["folder"], f"part={part}") for s in snapshots if s.get(part)]
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def _sum_profile(spark: SparkSession, state_dir: str, snapshots: list[dict]) -> DataFrame:
     prof = _read_part(spark, state_dir, snapshots, "profile", PROFILE)
+    if any(s.get("posts") for s in snapshots):
+        prof = prof.unionByName(sentiment_profile(_read_posts(spark, state_dir, snapshots)))
     return prof.groupBy("id").agg(F.sum("degree").alias("degree"), *[F.sum(s).alias(s) for s in SENTIMENTS])
 
 
 def _sum_pairs(spark: SparkSession, state_dir: str, snapshots: list[dict]) -> DataFrame:
     pairs = _read_part(spark, state_dir, snapshots, "pairs", PAIRS)
+    if any(s.get("posts") for s in snapshots):
+        posts = _read_posts(spark, state_dir, snapshots)
+        pairs = pairs.unionByName(post_pairs(posts, "auto" if _extent(posts)[0] else "array"))
     return pairs.groupBy("src", "dst").agg(F.sum("weight").cast("long").alias("weight"))
 
 

@@ -269,3 +269,46 @@ def test_batches_of_a_stream_share_their_code_and_logs_stay_readable(spark, scra
     start_stream(spark, inp, out, ckpt, trigger="available_now", max_files_per_trigger=2).awaitTermination()
     assert sorted(map(str, read_out(spark, out).select("id", "text").collect())) == sorted(first * 2)
     assert files.log_conf(spark, "file:/a", "/b").keys() == set(names)
+
+
+def test_a_batch_of_the_live_graph_is_one_job_without_a_shuffle(spark, scratch):
+    """Pairs are made and summed once for FAN batches; before, every batch was counted in jobs of its own."""
+    from tagweave.streaming import live_graph, write_deltas
+    long = ([f"t{i:03d}" for i in range(70)] + ["a"], "negative")
+    rows = [(["a", "b", "b"], "positive"), (["a"], "negative"), ([], "neutral")]
+    posts = spark.createDataFrame(rows, TAGGED).coalesce(1).cache()
+    posts.count()
+    state, tracker = os.path.join(scratch, "state"), spark.sparkContext.statusTracker()
+    for batch in range(3):
+        spark.sparkContext.setJobGroup(f"batch-{batch}", "")
+        write_deltas(posts, state, batch)
+        jobs = tracker.getJobIdsForGroup(f"batch-{batch}")
+        assert len(jobs) == 1 and len(tracker.getJobInfo(jobs[0]).stageIds) == 1
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    n = live_graph.FAN
+    for batch in range(3, n + 4):
+        write_deltas(posts.union(spark.createDataFrame([long], TAGGED)) if batch in (5, n + 2) else posts, state, batch)
+    snapshots = pointer_of(spark, state)["snapshots"]
+    assert [s["level"] for s in snapshots] == [1, 0, 0, 0, 0]  # sums of FAN batches, and posts of the last ones
+    alls = spark.createDataFrame(rows * (n + 4) + [long] * 2, TAGGED)
+    want = graph.build_graph(alls)
+    for _ in range(2):  # levels together, then one snapshot
+        assert {tuple(r) for r in live_vertices(spark, state).collect()} == {tuple(r) for r in want[0].collect()}
+        assert {tuple(r) for r in live_edges(spark, state).collect()} == {tuple(r) for r in want[1].collect()}
+        live_graph.compact(spark, state)
+    assert [s["level"] for s in pointer_of(spark, state)["snapshots"]] == [2]
+
+
+def test_control_files_by_hadoop_and_by_plain_files_are_the_same(spark, scratch, monkeypatch):
+    from tagweave.streaming import compact, live_graph, write_deltas
+    posts = spark.createDataFrame(POSTS, TAGGED)
+    state = os.path.join(scratch, "state")
+    for batch in range(4):  # by turns
+        monkeypatch.setattr(live_graph, "_plain", (lambda *_: None) if batch % 2 else (lambda _, path: path.removeprefix("file:")))
+        write_deltas(posts, state, batch)
+        assert pointer_of(spark, state)["batch"] == batch
+    compact(spark, state)
+    os.makedirs(os.path.join(state, "data", "000000000004-0-broken"))
+    write_deltas(posts, state, 4)
+    assert not os.path.exists(os.path.join(state, "data", "000000000004-0-broken"))
+    assert {tuple(r) for r in live_edges(spark, state).collect()} == {("a", "b", 5)}
