@@ -312,3 +312,26 @@ def test_control_files_by_hadoop_and_by_plain_files_are_the_same(spark, scratch,
     write_deltas(posts, state, 4)
     assert not os.path.exists(os.path.join(state, "data", "000000000004-0-broken"))
     assert {tuple(r) for r in live_edges(spark, state).collect()} == {("a", "b", 5)}
+
+
+def test_logs_of_a_stream_hold_what_is_superseded_for_seconds_only(spark, scratch, monkeypatch):
+    """Each batch lists the folders of the logs; with ten minutes of entries in them a batch costs the more the faster the batches are."""
+    from tagweave.streaming import files
+    monkeypatch.setattr(files, "LOG_DELAY", 0)
+    names = [f"spark.sql.streaming.{n}.log.cleanupDelay" for n in ("fileSource", "fileSink")]
+    assert files.upkeep_conf(spark) == {n: "0" for n in names}
+    wire = to_wire(raw_view(spark, SF_SMALL, "posts")).limit(240).localCheckpoint()
+    inp, out, ckpt = (os.path.join(scratch, d) for d in ("in", "out", "ckpt"))
+    write_chunks(wire, inp, chunk_size=10)
+    spark.conf.set("spark.sql.streaming.minBatchesToRetain", "5")
+    try:
+        start_stream(spark, inp, out, ckpt, trigger="available_now", max_files_per_trigger=1).awaitTermination()  # 24 batches
+    finally:
+        spark.conf.unset("spark.sql.streaming.minBatchesToRetain")
+    log = [f for f in os.listdir(os.path.join(out, "_spark_metadata")) if not f.startswith(".")]
+    assert len(log) < 24 and "19.compact" in log and "0" not in log
+    assert [spark.conf.get(n, None) for n in names] == [None, None]
+    assert sorted(map(str, read_out(spark, out).select("id", "text").collect())) == sorted(map(str, wire.select("id", "text").collect()))
+    spark.conf.set(names[0], "7s")  # the session's own setting stays
+    assert list(files.upkeep_conf(spark)) == names[1:]
+    spark.conf.unset(names[0])
