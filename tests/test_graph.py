@@ -159,3 +159,17 @@ def test_grid_groups_follow_the_tags():
     from tagweave.operators.pair_grid import CELL_TAGS, MAX_GROUPS, groups_for
     assert groups_for(0, 1) == 2 and groups_for(1000, 12) * (groups_for(1000, 12) + 1) // 2 >= 36
     assert 2 * 10 * CELL_TAGS / groups_for(10 * CELL_TAGS, 12) <= CELL_TAGS and groups_for(1 << 60, 12) == MAX_GROUPS
+
+
+def test_grid_shuffles_the_tags_once_whatever_its_groups(spark):
+    from tagweave.operators import pair_grid
+    rows = [([f"t{(i * j) % 97}" for j in range(2 + i % 70)], "positive") for i in range(300)]
+    df = spark.createDataFrame(rows, "hashtags array<string>, sentiment string").repartition(4).localCheckpoint()
+    want = collect_edges(graph.edges(df))
+    for groups in (2, 12):
+        edges = pair_grid.grid_edges(graph._collapsed(df, 65), groups)
+        assert collect_edges(edges) == want
+        edges.collect()
+        plan = edges._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        # before, each row was repeated for all cells of its group; now both sides of the cells read one shuffle
+        assert "CartesianProduct" in plan and "explode" not in plan and "ReusedExchange" in plan
